@@ -27,10 +27,13 @@ def bind_version_params(
     """The parameter list with reserved words replaced; other entries pass through."""
     reserved = {
         TABLE_PARAMETER: object_name(schema, table),
-        LAST_PARAMETER: str(last),
-        CURRENT_PARAMETER: str(current),
+        LAST_PARAMETER: last,
+        CURRENT_PARAMETER: current,
     }
-    return [reserved.get(param, param) for param in params]
+    unknown = [param for param in params if param in reserved and reserved[param] is None]
+    if unknown:
+        raise ValueError(f"not known at this point of a run: {unknown}")
+    return [str(reserved.get(param, param)) for param in params]
 
 
 def render_call(query: str, params: Sequence[str]) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.changes import change_feed, change_key, net_changes, source_versions
+from tablesync.operators.merge import latest_per_key
 from tablesync.operators.predicates import CHANGE_KEY_PREFIX, CHANGE_OP
 from tablesync.sources import change_sql
 from tablesync.sources.jdbc import (
@@ -70,8 +71,9 @@ class JdbcChangeSource:
 
     The queries may hold `?` markers; their parameter lists may use the reserved words of
     `change_sql`. `feed`, a function from `(last, current)` to query text, takes the place of
-    `changes_query` when the source's feed is read in several slices; rows of one key from
-    several slices are then the feed's affair.
+    `changes_query` when the source's feed is read in several slices. As a key may then show
+    up in several slices, `feed_version` names the feed's version column, by which the latest
+    row of each key is kept.
     """
 
     spark: SparkSession
@@ -89,6 +91,7 @@ class JdbcChangeSource:
     changes_query: str = ""
     changes_params: Sequence[str] = field(default_factory=list)
     feed: Callable[[int, int], str] | None = None
+    feed_version: str = ""
 
     def _render(
         self, query: str, params: Sequence[str], last: int | None, current: int | None
@@ -113,12 +116,16 @@ class JdbcChangeSource:
 
     def changes(self, last: int, current: int) -> DataFrame:
         if self.feed is not None:
-            feed = self.feed
-            return with_change_names(
+            slices = self.num_partitions if self.feed_version else 1
+            rows = with_change_names(
                 jdbc_version_range_scan(
-                    self.spark, self.options, feed, "", last, current, self.num_partitions
+                    self.spark, self.options, self.feed, "", last, current, slices
                 )
             )
+            if not self.feed_version:
+                return rows
+            change_keys = [change_key(key) for key in self.keys]
+            return latest_per_key(rows, change_keys, self.feed_version).drop(self.feed_version)
         if self.changes_query:
             text = self._render(self.changes_query, self.changes_params, last, current)
             return with_change_names(
