@@ -10,6 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.functions.timestamps import date_to_instant
 from tablesync.operators.shape import quoted
 
 CHANGE_OP = "_op"
@@ -22,16 +23,21 @@ def as_column(predicate: Column | str) -> Column:
 
 
 def date_window(
-    column: str, start: dt.date | str | None, end: dt.date | str | None = None
+    column: str,
+    start: dt.date | str,
+    end: dt.date | str | None = None,
+    timezone: str | None = None,
 ) -> Column:
     """Half-open day window `[start, end)`; without `end`, the one day `start`.
 
-    The bounds are compared as wall clocks, so the filter reaches the scan.
+    The bounds are constants, so the filter reaches the scan. For a column of instants,
+    `timezone` says whose days are meant.
     """
     first = dt.date.fromisoformat(str(start))
     last = first + dt.timedelta(days=1) if end is None else dt.date.fromisoformat(str(end))
-    lower = F.lit(first.isoformat()).cast("date")
-    upper = F.lit(last.isoformat()).cast("date")
+    lower, upper = F.lit(first), F.lit(last)
+    if timezone is not None:
+        lower, upper = date_to_instant(lower, timezone), date_to_instant(upper, timezone)
     return (quoted(column) >= lower) & (quoted(column) < upper)
 
 

@@ -30,6 +30,7 @@ from tablesync.operators.merge import (
 )
 from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
+    CHANGE_OP,
     as_column,
     in_touched_partitions,
     is_delete,
@@ -56,10 +57,6 @@ class TableExistsError(RuntimeError):
     """The target exists and the write mode does not allow that."""
 
 
-class CursorError(ValueError):
-    """A batch does not follow on the commit it was made for."""
-
-
 @dataclass(frozen=True)
 class SourceKeys:
     """Measured facts about the merge keys of a source."""
@@ -67,25 +64,37 @@ class SourceKeys:
     n_rows: int
     max_per_key: int
     key_bytes: int
+    counts: dict[str, int]
 
 
 def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
-    """Rows, highest count of a non-NULL key and size of the keys, in one aggregation.
+    """Rows, highest count of a non-NULL key, size of the keys and, for change rows, the number
+    of rows per operation, in one aggregation.
 
-    The per-key counts are combined before the shuffle; only the key columns are read.
+    The per-key counts are combined before the shuffle; only the needed columns are read.
     """
+    operations = ("I", "U", "D") if CHANGE_OP in source.columns else ()
     names = [quoted(key) for key in keys]
     width = sum((F.coalesce(F.octet_length(n.cast("string")), F.lit(0)) + 16 for n in names), F.lit(0))
     any_null = F.lit(False)
     for name in names:
         any_null = any_null | name.isNull()
-    per_key = source.groupBy(names).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = source.groupBy(names).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(CHANGE_OP) == op).alias(f"_n_{op}") for op in operations],
+    )
     row = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.max(F.when(~any_null, F.col("_n"))), F.lit(0)).alias("max_per_key"),
         F.coalesce(F.sum(width * F.col("_n")), F.lit(0)).alias("key_bytes"),
+        *[F.coalesce(F.sum(f"_n_{op}"), F.lit(0)).alias(f"_n_{op}") for op in operations],
     ).first()
-    return SourceKeys(int(row["n_rows"]), int(row["max_per_key"]), int(row["key_bytes"]))
+    return SourceKeys(
+        int(row["n_rows"]),
+        int(row["max_per_key"]),
+        int(row["key_bytes"]),
+        {op: int(row[f"_n_{op}"]) for op in operations},
+    )
 
 
 class TargetTable:
@@ -288,8 +297,11 @@ class TargetTable:
         """Find the directories with matched rows, rewrite those, add the source's rows."""
         prefixed = [prefix + key for key in keys]
         facts = measure_keys(source, prefixed)
+        marks = {"stream": stream, "batch": batch, "changes": facts.counts}
         if facts.max_per_key > 1:
             raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
+        if facts.n_rows == 0:
+            return self._commit(before, "MERGE", set(), None, None, version, **marks)
         small = facts.key_bytes <= BROADCAST_KEY_BYTES
         source_keys = source.select([quoted(p).alias(k) for p, k in zip(prefixed, keys)]).dropna()
         if small:
@@ -305,7 +317,7 @@ class TargetTable:
         kept = delete_keys(self._scan(before, sorted(touched_dirs)), source_keys, keys)
         return self._commit(
             before, "MERGE", touched_dirs, kept, written_rows(source, hits.drop("_dirs"), keys), version,
-            redistribute=not small, stream=stream, batch=batch,
+            redistribute=not small, **marks,
         )
 
     def _delete(
@@ -376,8 +388,7 @@ class TargetTable:
         added: DataFrame | None,
         version: int | None,
         redistribute: bool = False,
-        stream: str | None = None,
-        batch: int | None = None,
+        **marks,
     ) -> Commit:
         """Write the new rows, then list them instead of the replaced directories.
 
@@ -399,8 +410,7 @@ class TargetTable:
             new_dirs += self._batch_dirs(name, before.partition_by)
         dirs = [name for name in before.dirs if name not in replaced] + new_dirs
         commit = self.ledger.next(
-            before, op=op, dirs=dirs, user_metadata=cursor_text(version),
-            stream=stream, batch=batch,
+            before, op=op, dirs=dirs, user_metadata=cursor_text(version), **marks
         )
         return self.ledger.append(commit)
 

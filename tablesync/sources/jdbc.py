@@ -8,6 +8,7 @@ does not depend on the time zone of any JVM.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -121,6 +122,11 @@ def jdbc_partitioned_scan(
     bounds = jdbc_bounds(spark, options, relation, column).first()
     if bounds is None or bounds["min_bound"] is None:
         return jdbc_scan(spark, options, relation, custom_schema)
+    scan = jdbc_scan(spark, options, relation, custom_schema)
+    types = {field.name.lower(): field.dataType for field in scan.schema}
+    if isinstance(types.get(column.strip('"[]`').lower()), TimestampNTZType):
+        predicates = time_ranges(column, bounds["min_bound"], bounds["max_bound"], num_partitions)
+        return _jdbc_predicates(spark, options, relation, predicates, custom_schema)
     ranges = {
         "partitionColumn": column,
         "lowerBound": bounds["min_bound"],
@@ -130,6 +136,38 @@ def jdbc_partitioned_scan(
     return jdbc_scan(spark, {**options, **ranges}, relation, custom_schema)
 
 
+def time_ranges(column: str, lower: str, upper: str, num_partitions: int) -> list[str]:
+    """Adjacent conditions on a timestamp column, one per partition; the outer ones are open.
+
+    Spark splits by instants only; these conditions compare wall clocks, as the source does.
+    """
+    first, last = dt.datetime.fromisoformat(lower), dt.datetime.fromisoformat(upper)
+    step = (last - first) / num_partitions
+    inner = sorted({first + step * i for i in range(1, num_partitions)} - {first})
+    edges = [f"{{ts '{edge:%Y-%m-%d %H:%M:%S.%f}'}}" for edge in inner]
+    if not edges:
+        return [f"{column} is null or {column} is not null"]
+    middle = [f"{column} >= {a} and {column} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"{column} < {edges[0]} or {column} is null", *middle, f"{column} >= {edges[-1]}"]
+
+
+def _jdbc_predicates(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    relation: str,
+    predicates: list[str],
+    custom_schema: str = "",
+) -> DataFrame:
+    """One partition per condition."""
+    properties = {name: value for name, value in options.items() if name != "url"}
+    properties["preferTimestampNTZ"] = "true"
+    if custom_schema:
+        properties["customSchema"] = custom_schema
+    return spark.read.jdbc(
+        url=options["url"], table=subquery(relation), predicates=predicates, properties=properties
+    )
+
+
 def table_filter_scan(
     scan: DataFrame, where: Column | str | None = None, window: Column | None = None
 ) -> DataFrame:
@@ -226,12 +264,7 @@ def jdbc_version_range_scan(
         df = reduce(DataFrame.unionByName, parts)
     else:
         predicates = [f"{version} > {low} and {version} <= {high}" for low, high in slices]
-        settings = dict(options)
-        url = settings.pop("url")
-        settings["preferTimestampNTZ"] = "true"
-        df = spark.read.jdbc(
-            url=url, table=subquery(feed), predicates=predicates, properties=settings
-        )
+        df = _jdbc_predicates(spark, options, feed, predicates)
     if len(slices) > 1:
         return df
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
