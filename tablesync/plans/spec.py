@@ -143,12 +143,14 @@ class SyncSpec:
             return None
         return date_window(self.window_column, *self.window_dates)
 
-    def overwrite_scope(self, schema: StructType) -> Column:
-        """Condition on the target rows that an overwrite may replace.
+    def overwrite_scope(self, schema: StructType) -> Column | None:
+        """Condition on the target rows that an overwrite may replace; None for all of them.
 
         In the target the window column may be a date or an instant; the window's days are
         those of the source's time zone either way.
         """
+        if not self.where and not self.window_column:
+            return None
         window = None
         if self.window_column and self.window_dates is not None:
             name = clean_name(self.window_column)

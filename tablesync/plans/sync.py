@@ -6,7 +6,6 @@ from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablesync.functions.names import clean_name
 from tablesync.operators.changes import capped_version, require_valid_cursor
@@ -14,9 +13,8 @@ from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
     CHANGE_OP,
     filter_source,
-    touched_partitions,
 )
-from tablesync.operators.shape import quoted, shape
+from tablesync.operators.shape import shape
 from tablesync.plans.spec import SpecError, SyncSpec
 from tablesync.sinks.catalog import register_table, set_retention
 from tablesync.sinks.files import stage
@@ -126,17 +124,18 @@ def run_sync(
     `stage_source=False` leaves that out for sources that are themselves stable files.
     """
     target = TargetTable(spark, spec.target_path)
+    before = target.ledger.latest()
     if spec.change_tracking or spec.custom_ct:
         feed = jdbc_change_source(spark, spec) if source is None else source
         if isinstance(feed, DataFrame):
             raise SpecError("change tracking needs a change source, not a frame")
-        commit, rows = incremental_sync(target, spec, feed, stage_source)
+        commit = incremental_sync(target, spec, feed, stage_source)
     else:
         frame = source if isinstance(source, DataFrame) else None
         rows = shape_rows(read_source(spark, spec, frame), spec)
         rows = stage(rows) if stage_source else rows
         commit = plain_sync(target, spec, rows)
-    finish(target, spec, rows)
+    finish(target, spec, before)
     return commit
 
 
@@ -152,48 +151,34 @@ def plain_sync(target: TargetTable, spec: SyncSpec, rows: DataFrame) -> Commit |
 
 def incremental_sync(
     target: TargetTable, spec: SyncSpec, source: ChangeSource, stage_source: bool = True
-) -> tuple[Commit | None, DataFrame]:
+) -> Commit | None:
     """Full load if there is no target, else the changes since its cursor."""
     versions = plan_versions(target, source, spec.ct_window)
     if versions.last is None:
         rows = shape_rows(source.snapshot(), spec)
         rows = stage(rows) if stage_source else rows
-        commit = target.write(rows, "errorifexists", spec.layout, version=versions.current)
-        return commit, rows
+        return target.write(rows, "errorifexists", spec.layout, version=versions.current)
     rows = shape_rows(source.changes(versions.last, versions.current), spec)
     rows = stage(rows) if stage_source else rows
     keys = [clean_name(key) for key in spec.primary_key]
     if spec.custom_ct:
         parents = [clean_name(key) for key in spec.parent_key]
-        commit = target.apply_parent_child_changes(
+        return target.apply_parent_child_changes(
             rows, keys, parents, versions.current, versions.last
         )
-    else:
-        commit = target.apply_changes(
-            rows, keys, versions.current, source_partitions_only=spec.source_partitions_only
-        )
-    return commit, rows
+    return target.apply_changes(
+        rows, keys, versions.current, source_partitions_only=spec.source_partitions_only
+    )
 
 
-def finish(target: TargetTable, spec: SyncSpec, rows: DataFrame) -> None:
-    """Cluster what this run touched, then register the table and its retention."""
-    if spec.zorder_by:
-        touched = None
-        if spec.layout:
-            touched = _touched_by(rows, spec.layout[-1])
-        target.zorder([clean_name(name) for name in spec.zorder_by], touched)
+def finish(target: TargetTable, spec: SyncSpec, before: Commit | None) -> None:
+    """Cluster the partitions this run wrote to, then register the table and its retention."""
+    if spec.zorder_by and target.exists():
+        columns = [clean_name(name) for name in spec.zorder_by]
+        target.zorder(columns, changed_since=None if before is None else before.commit)
     if not spec.database:
         return
     if register_table(target, spec.database, spec.target, spec.database_location or None):
         set_retention(
             target, spec.database, spec.target, spec.log_retention, spec.deleted_file_retention
         )
-
-
-def _touched_by(rows: DataFrame, column: str) -> DataFrame:
-    """Partition values of the run, taken from the change key where a deleted row has no other."""
-    mirror = CHANGE_KEY_PREFIX + column
-    if mirror not in rows.columns:
-        return touched_partitions(rows, column)
-    value = F.coalesce(quoted(column), quoted(mirror))
-    return rows.select(value.alias(column)).distinct()

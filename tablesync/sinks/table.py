@@ -16,7 +16,14 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tablesync.functions.cursor import cursor_text
 from tablesync.operators.layout import zorder
@@ -45,6 +52,9 @@ from tablesync.sinks.ledger import OPTIMIZE, Commit, Ledger
 _BATCH = "_batch"
 _DIR = "_dir"
 
+# Key types whose bounds serve to skip files.
+_BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
+
 # Keys of a change set up to this size may be broadcast. The size is measured on the change
 # set itself before each merge; beyond it the joins shuffle.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -65,11 +75,12 @@ class SourceKeys:
     max_per_key: int
     key_bytes: int
     counts: dict[str, int]
+    bounds: list[tuple]
 
 
 def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
-    """Rows, highest count of a non-NULL key, size of the keys and, for change rows, the number
-    of rows per operation, in one aggregation.
+    """Rows, highest count of a non-NULL key, size and bounds of the keys and, for change rows,
+    the number of rows per operation, in one aggregation.
 
     The per-key counts are combined before the shuffle; only the needed columns are read.
     """
@@ -88,12 +99,15 @@ def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
         F.coalesce(F.max(F.when(~any_null, F.col("_n"))), F.lit(0)).alias("max_per_key"),
         F.coalesce(F.sum(width * F.col("_n")), F.lit(0)).alias("key_bytes"),
         *[F.coalesce(F.sum(f"_n_{op}"), F.lit(0)).alias(f"_n_{op}") for op in operations],
+        *[F.min(name).alias(f"_low_{i}") for i, name in enumerate(names)],
+        *[F.max(name).alias(f"_high_{i}") for i, name in enumerate(names)],
     ).first()
     return SourceKeys(
         int(row["n_rows"]),
         int(row["max_per_key"]),
         int(row["key_bytes"]),
         {op: int(row[f"_n_{op}"]) for op in operations},
+        [(row[f"_low_{i}"], row[f"_high_{i}"]) for i in range(len(names))],
     )
 
 
@@ -178,8 +192,9 @@ class TargetTable:
         if chosen in ("error", "errorifexists"):
             raise TableExistsError(f"a table exists at {self.root}")
         if chosen == "overwrite":
-            return self.replace_where(df, F.lit(True) if scope is None else scope, version)
-        return self._commit(before, "WRITE", set(), None, df, version, redistribute=True)
+            return self.replace_where(df, scope, version)
+        new_dirs = self._put(df, before, redistribute=True)
+        return self._commit(before, "WRITE", set(), new_dirs, version)
 
     def _create(
         self, df: DataFrame, partition_by: Sequence[str], version: int | None
@@ -201,24 +216,28 @@ class TargetTable:
         return self.ledger.append(commit)
 
     def replace_where(
-        self, df: DataFrame, scope: Column | str, version: int | None = None
+        self, df: DataFrame, scope: Column | str | None = None, version: int | None = None
     ) -> Commit:
-        """Replace the rows in `scope`; in a partitioned table only where the source has rows.
+        """Replace the rows in `scope` (default: all); in a partitioned table only where the
+        source has rows.
 
-        "Where the source has rows" goes by the last partition column. Directories without
-        such rows are carried over unread; a scope on partition columns alone reads no data.
+        "Where the source has rows" goes by the last partition column, read off the names of
+        the directories the source was written to. Other directories, and those without a row
+        in scope, are carried over; without a scope nothing of the target is read.
         """
         before = self._require()
         require_same_columns(df.columns, before.struct.names)
-        in_scope = F.coalesce(as_column(scope), F.lit(False))
-        require_in_scope(df, in_scope)
-        located = self._scan(before, None, with_dir=True)
-        if before.partition_by:
-            last = before.partition_by[-1]
-            located = in_touched_partitions(located, touched_partitions(df, last), last)
-        touched = self._collect_dirs(located.where(in_scope))
-        kept = self._scan(before, sorted(touched)).where(~in_scope)
-        return self._commit(before, "WRITE", touched, kept, df, version)
+        if scope is not None:
+            scope = F.coalesce(as_column(scope), F.lit(False))
+            require_in_scope(df, scope)
+        new_dirs = self._put(df, before, redistribute=True)
+        replaced = _same_partitions(before, new_dirs)
+        if scope is not None:
+            located = self._scan(before, sorted(replaced), with_dir=True)
+            replaced = self._collect_dirs(located.where(scope))
+            kept = self._scan(before, sorted(replaced)).where(~scope)
+            new_dirs += self._put(kept, before, redistribute=False) if replaced else []
+        return self._commit(before, "WRITE", replaced, new_dirs, version)
 
     # merges ----------------------------------------------------------------------------
 
@@ -275,11 +294,11 @@ class TargetTable:
         writes = changes.where(is_write())
         nothing_to_write = writes.isEmpty()
         old = self.cursor() if last_version is None else last_version
-        after = self._delete(
-            before, deletes, parent_key, version if nothing_to_write else old
-        )
         if nothing_to_write:
-            return after
+            return self._delete(before, deletes, parent_key, version)
+        after = before
+        if not deletes.isEmpty():
+            after = self._delete(before, deletes, parent_key, old)
         return self._merge(after, writes, primary_key, CHANGE_KEY_PREFIX, rows_to_apply, version)
 
     def _merge(
@@ -301,66 +320,71 @@ class TargetTable:
         if facts.max_per_key > 1:
             raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
         if facts.n_rows == 0:
-            return self._commit(before, "MERGE", set(), None, None, version, **marks)
+            return self._commit(before, "MERGE", set(), [], version, **marks)
         small = facts.key_bytes <= BROADCAST_KEY_BYTES
-        source_keys = source.select([quoted(p).alias(k) for p, k in zip(prefixed, keys)]).dropna()
-        if small:
-            source_keys = F.broadcast(source_keys)
-        located = self._scan(before, None, with_dir=True)
+        source_keys = _merge_keys(source, prefixed, keys, small)
+        located = _skip_by_bounds(self._scan(before, None, with_dir=True), keys, facts)
         if source_partitions_only and before.partition_by:
             column = before.partition_by[-1]
             named = prefix + column if prefix and column in keys else column
             touched = touched_partitions(source, named).toDF(column)
             located = in_touched_partitions(located, touched, column)
-        hits = stage(_hits_by_dir(located, source_keys, keys), "hits")
-        touched_dirs = self._collect_dirs(hits.select(F.explode("_dirs").alias(_DIR)))
-        kept = delete_keys(self._scan(before, sorted(touched_dirs)), source_keys, keys)
-        return self._commit(
-            before, "MERGE", touched_dirs, kept, written_rows(source, hits.drop("_dirs"), keys), version,
-            redistribute=not small, **marks,
-        )
+        hits = stage(_hits_by_dir(located, source_keys, keys, join_first=small), "hits")
+        replaced = self._collect_dirs(hits.select(F.explode("_dirs").alias(_DIR)))
+        new_dirs = []
+        if replaced:
+            kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
+            new_dirs += self._put(kept, before, redistribute=not small)
+        added = written_rows(source, hits.drop("_dirs"), keys)
+        new_dirs += self._put(added, before, redistribute=True)
+        return self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
 
     def _delete(
         self, before: Commit, deletes: DataFrame, parent_key: Sequence[str], version: int | None
     ) -> Commit:
         prefixed = [CHANGE_KEY_PREFIX + key for key in parent_key]
-        small = measure_keys(deletes, prefixed).key_bytes <= BROADCAST_KEY_BYTES
-        parents = deletes.select([quoted(p).alias(k) for p, k in zip(prefixed, parent_key)]).dropna()
-        if small:
-            parents = F.broadcast(parents)
-        located = self._scan(before, None, with_dir=True)
-        touched = self._collect_dirs(located.join(parents, list(parent_key), "left_semi"))
-        kept = delete_keys(self._scan(before, sorted(touched)), parents, parent_key)
-        return self._commit(
-            before, "MERGE", touched, kept, None, version, redistribute=not small
-        )
+        facts = measure_keys(deletes, prefixed)
+        if facts.n_rows == 0:
+            return self._commit(before, "MERGE", set(), [], version)
+        small = facts.key_bytes <= BROADCAST_KEY_BYTES
+        parents = _merge_keys(deletes, prefixed, parent_key, small)
+        located = _skip_by_bounds(self._scan(before, None, with_dir=True), parent_key, facts)
+        replaced = self._collect_dirs(located.join(parents, list(parent_key), "left_semi"))
+        new_dirs = []
+        if replaced:
+            kept = delete_keys(self._scan(before, sorted(replaced)), parents, parent_key)
+            new_dirs = self._put(kept, before, redistribute=not small)
+        return self._commit(before, "MERGE", replaced, new_dirs, version, changes=facts.counts)
 
     # upkeep ----------------------------------------------------------------------------
 
     def zorder(
         self,
         columns: Sequence[str],
-        touched: DataFrame | None = None,
+        changed_since: int | None = None,
         num_files: int | None = None,
     ) -> Commit | None:
-        """Cluster the table, or the partitions whose last column's value is in `touched`."""
+        """Cluster the table, or only the partitions written after commit `changed_since`.
+
+        Partitions go by the last partition column, as directory names tell it; an
+        unpartitioned table is clustered as a whole.
+        """
         before = self._require()
-        dirs = list(before.dirs)
-        if touched is not None and before.partition_by:
-            last = before.partition_by[-1]
-            located = self._scan(before, None, with_dir=True)
-            dirs = sorted(self._collect_dirs(in_touched_partitions(located, touched, last)))
+        dirs = set(before.dirs)
+        if changed_since is not None and before.partition_by:
+            written = dirs - set(self.ledger.read(changed_since).dirs)
+            dirs = _same_partitions(before, written)
         if not dirs:
             return None
-        size = self.ledger.files.size([f"{self.root}/{name}" for name in dirs])
-        n_files = num_files or max(1, -(-size // TARGET_FILE_BYTES))
-        rows = self._scan(before, dirs)
+        paths = [f"{self.root}/{name}" for name in sorted(dirs)]
+        n_files = num_files or max(1, -(-self.ledger.files.size(paths) // TARGET_FILE_BYTES))
         position = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
         clustered = zorder(
-            rows.select("*", position.alias("_position")), columns, n_files,
-            before.partition_by, salt=F.col("_position"),
+            rows, columns, n_files, before.partition_by, salt=F.col("_position")
         ).drop("_position")
-        return self._commit(before, OPTIMIZE, set(dirs), None, clustered, None)
+        new_dirs = self._put(clustered, before, redistribute=False)
+        return self._commit(before, OPTIMIZE, dirs, new_dirs, None)
 
     def set_retention(self, log: str, deleted_files: str) -> Commit | None:
         """Record retention durations if they differ; the commit keeps the sync cursor."""
@@ -379,35 +403,30 @@ class TargetTable:
         """Distinct directories of some rows; bounded by the directories the commit lists."""
         return {unquote(row[0]) for row in located.select(_DIR).distinct().collect()}
 
+    def _put(self, df: DataFrame, before: Commit, redistribute: bool) -> list[str]:
+        """Write rows in the table's types and layout to a new batch; its directories.
+
+        Rows that come straight out of directories of this table need not be redistributed:
+        each task then holds few partitions already.
+        """
+        columns = [quoted(f.name).cast(f.dataType).alias(f.name) for f in before.struct]
+        name = self._new_batch()
+        self._write_batch(df.select(columns), name, before.partition_by, redistribute)
+        return self._batch_dirs(name, before.partition_by)
+
     def _commit(
         self,
         before: Commit,
         op: str,
         replaced: set[str],
-        kept: DataFrame | None,
-        added: DataFrame | None,
+        new_dirs: list[str],
         version: int | None,
-        redistribute: bool = False,
         **marks,
     ) -> Commit:
-        """Write the new rows, then list them instead of the replaced directories.
-
-        `kept` rows come out of directories of this table; unless a shuffle has mixed them
-        (`redistribute`), each task holds few partitions and writes them as they are.
-        """
+        """List the new directories instead of the replaced ones."""
         unknown = replaced - set(before.dirs)
         if unknown:
             raise RuntimeError(f"directories not in commit {before.commit}: {sorted(unknown)[:3]}")
-        new_dirs: list[str] = []
-        if kept is not None and replaced:
-            name = self._new_batch()
-            self._write_batch(kept, name, before.partition_by, redistribute)
-            new_dirs += self._batch_dirs(name, before.partition_by)
-        if added is not None:
-            name = self._new_batch()
-            columns = [quoted(f.name).cast(f.dataType).alias(f.name) for f in before.struct]
-            self._write_batch(added.select(columns), name, before.partition_by, op != OPTIMIZE)
-            new_dirs += self._batch_dirs(name, before.partition_by)
         dirs = [name for name in before.dirs if name not in replaced] + new_dirs
         commit = self.ledger.next(
             before, op=op, dirs=dirs, user_metadata=cursor_text(version), **marks
@@ -443,17 +462,51 @@ class TargetTable:
         return sorted(path[len(self.root) + 1:] for path in found)
 
 
-def _hits_by_dir(located: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _merge_keys(
+    source: DataFrame, prefixed: Sequence[str], keys: Sequence[str], small: bool
+) -> DataFrame:
+    """Non-NULL keys of a source under the target's names, for broadcast if measured small."""
+    named = source.select([quoted(p).alias(k) for p, k in zip(prefixed, keys)]).dropna()
+    return F.broadcast(named) if small else named
+
+
+def _skip_by_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys) -> DataFrame:
+    """Target rows within the range of the source's keys.
+
+    The constants reach the scan, which skips files and row groups outside the range; a load
+    of recent keys then does not read the keys of the whole table.
+    """
+    types = {field.name: field.dataType for field in located.schema}
+    for key, (low, high) in zip(keys, facts.bounds):
+        if low is not None and isinstance(types[key], _BOUNDED_TYPES):
+            located = located.where((quoted(key) >= F.lit(low)) & (quoted(key) <= F.lit(high)))
+    return located
+
+
+def _hits_by_dir(
+    located: DataFrame, source_keys: DataFrame, keys: Sequence[str], join_first: bool
+) -> DataFrame:
     """Keys present on both sides, with the number of target rows and their directories.
 
-    Reads key columns only. Rows of one key shrink to one before any shuffle, and the join
-    reuses the partitioning of the count; with a broadcast Spark joins first instead.
+    Reads key columns only. With a broadcast, `join_first` leaves few rows to count. Otherwise
+    rows of one key are combined before the one shuffle, which the join then reuses.
     """
     names = [quoted(key) for key in keys]
-    counts = located.select(*names, _DIR).groupBy(names).agg(
+    rows = located.select(*names, _DIR)
+    if join_first:
+        rows = rows.join(source_keys, list(keys), "left_semi")
+    counts = rows.groupBy(names).agg(
         F.count(F.lit(1)).alias("_hits"), F.collect_set(_DIR).alias("_dirs")
     )
-    return counts.join(source_keys, list(keys), "left_semi")
+    return counts if join_first else counts.join(source_keys, list(keys), "left_semi")
+
+
+def _same_partitions(before: Commit, written) -> set[str]:
+    """Directories of a commit whose last partition value occurs among the written ones."""
+    if not before.partition_by:
+        return set(before.dirs)
+    values = {name.rsplit("/", 1)[1] for name in written}
+    return {name for name in before.dirs if name.rsplit("/", 1)[1] in values}
 
 
 def _nullable(schema: StructType) -> StructType:

@@ -13,6 +13,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 
 
+TYPES = {
+    "string": "varchar",
+    "int": "integer",
+    "timestamp_ntz": "timestamp",
+    "array<string>": "varchar[]",
+}
+
+
 def connect(sf_dir):
     connection = duckdb.connect()
     for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
@@ -42,7 +50,12 @@ def compare(spark, connection, sf_dir, query, sql):
     df = query(spark, sf_dir)
     ours = canonical(df.columns, [tuple(row) for row in df.collect()])
     cursor = connection.execute(sql)
+    sql_types = {c[0]: str(c[1]).upper() for c in cursor.description}
     theirs = canonical([c[0] for c in cursor.description], cursor.fetchall())
+    for field in df.schema:
+        ours_type = TYPES.get(field.dataType.simpleString(), field.dataType.simpleString()).upper()
+        if field.name in sql_types and sql_types[field.name] != ours_type:
+            return f"type of {field.name}: {ours_type} / {sql_types[field.name]}"
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} / {theirs[0]}"
     if len(ours[1]) != len(theirs[1]):
