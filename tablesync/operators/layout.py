@@ -7,6 +7,7 @@ ranges of each column, which the scan's min/max statistics can skip.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -46,7 +47,10 @@ def _ordinal(column: Column, data_type: DataType) -> Column:
 
 
 def _cut_points(df: DataFrame, ordinals: Sequence[Column], bits: int) -> list[list[float]]:
-    """At most `2^bits - 1` rising cut points per column, from one sketch pass over all rows."""
+    """`2^bits - 1` rising cut points per column, from one sketch pass over all rows.
+
+    They split the rows evenly, so a frequent value stands for several of them.
+    """
     n_cells = 2**bits
     shares = F.array(*[F.lit(i / n_cells) for i in range(1, n_cells)])
     sketches = [
@@ -54,20 +58,26 @@ def _cut_points(df: DataFrame, ordinals: Sequence[Column], bits: int) -> list[li
         for i, ordinal in enumerate(ordinals)
     ]
     row = df.select(*sketches).first()
-    return [sorted(set(points or [])) for points in row]
+    return [sorted(points or []) for points in row]
 
 
 def _rank(ordinal: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points not above the value, by a balanced decision tree of CASEs."""
+    """Number of cut points not above the value, by a balanced decision tree of CASEs.
+
+    Equal cut points count each, so the ranks of every column, also of one with few values,
+    spread over the whole range and carry the same weight in the z-value.
+    """
+    distinct = sorted(set(cuts))
+
     def search(low: int, high: int) -> Column:
         if low == high:
-            return F.lit(low)
+            return F.lit(bisect_left(cuts, distinct[low]) if low < len(distinct) else len(cuts))
         middle = (low + high) // 2
-        return F.when(ordinal < F.lit(cuts[middle]), search(low, middle)).otherwise(
+        return F.when(ordinal < F.lit(distinct[middle]), search(low, middle)).otherwise(
             search(middle + 1, high)
         )
 
-    return F.when(ordinal.isNull(), F.lit(0)).otherwise(search(0, len(cuts))).cast("long")
+    return F.when(ordinal.isNull(), F.lit(0)).otherwise(search(0, len(distinct))).cast("long")
 
 
 def interleave(ranks: Sequence[Column], bits: int) -> Column:

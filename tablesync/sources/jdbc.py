@@ -9,7 +9,9 @@ does not depend on the time zone of any JVM.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal, InvalidOperation
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -129,13 +131,22 @@ def jdbc_partitioned_scan(
         return _jdbc_predicates(spark, options, relation, predicates, custom_schema)
     ranges = {
         "partitionColumn": column,
-        "lowerBound": bounds["min_bound"],
-        "upperBound": bounds["max_bound"],
+        "lowerBound": _whole(bounds["min_bound"], math.floor),
+        "upperBound": _whole(bounds["max_bound"], math.ceil),
         "numPartitions": str(num_partitions),
     }
     return jdbc_scan(spark, {**options, **ranges}, relation, custom_schema)
 
 
+def _whole(bound: str, rounding: Callable[[Decimal], int]) -> str:
+    """A fractional bound as the whole number Spark wants for numeric columns."""
+    try:
+        number = Decimal(bound)
+    except InvalidOperation:
+        return bound
+    return str(rounding(number))
+
+
 def time_ranges(column: str, lower: str, upper: str, num_partitions: int) -> list[str]:
     """Adjacent conditions on a timestamp column, one per partition; the outer ones are open.
 

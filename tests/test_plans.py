@@ -1,0 +1,113 @@
+"""The plans that matter at scale: what is read, what is shuffled, what is broadcast."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.operators.changes import change_feed, net_changes
+from tablesync.operators.merge import apply_changes, latest_per_key, upsert
+from tablesync.operators.predicates import date_window
+from tablesync.sinks import table as table_module
+from tablesync.sinks.files import shared_dir
+from tablesync.sinks.table import TargetTable, _hits_by_dir, _skip_by_bounds, measure_keys
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def orders(table):
+    return table("orders")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_upsert_does_not_shuffle_the_target(orders):
+    text = plan(upsert(orders, orders.where("o_orderkey < 10"), ["o_orderkey"], target_keys_unique=True))
+    assert "Exchange hashpartitioning" not in text and "LeftAnti" in text
+
+
+def test_hits_join_below_the_count_when_keys_are_small(orders):
+    text = plan(upsert(orders, orders.where("o_orderkey < 10"), ["o_orderkey"]))
+    assert text.index("partial_count") < text.index("LeftSemi")
+
+
+def test_merges_never_use_full_outer_joins(orders, no_broadcast):
+    changes = orders.withColumns({"_op": F.lit("U"), "_pk_o_orderkey": F.col("o_orderkey")})
+    text = plan(apply_changes(orders, changes, ["o_orderkey"]))
+    assert "FullOuter" not in text and "CartesianProduct" not in text
+
+
+def test_merge_keys_pass_reads_key_columns_only(orders, no_broadcast):
+    text = plan(upsert(orders, orders, ["o_orderkey"]))
+    assert "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_net_changes_combines_before_the_shuffle_in_fixed_space(orders):
+    log = orders.select("o_custkey", F.col("o_orderkey").alias("v"), F.col("o_orderstatus").alias("op"))
+    text = plan(net_changes(log, ["o_custkey"], "v", "op", 100, 1000))
+    assert "Window" not in text and "SortAggregate" not in text
+    assert text.count("Exchange") == 1 and "partial_max" in text
+    assert "GreaterThan(o_orderkey,100)" in text
+
+
+def test_latest_per_key_uses_no_window(orders):
+    text = plan(latest_per_key(orders, ["o_custkey"], "o_orderkey"))
+    assert "Window" not in text and "partial_max" in text
+
+
+def test_change_feed_shuffles_no_base_for_few_changes(orders):
+    net = orders.where("o_orderkey < 3").select("o_orderkey", F.lit("U").alias("_op"))
+    text = plan(change_feed(orders, net, ["o_orderkey"]))
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_window_reaches_the_scan(orders):
+    text = plan(orders.where(date_window("o_orderdate", "1996-01-01")).select("o_orderkey"))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in text
+
+
+def test_key_bounds_reach_the_scan(spark, orders, new_dir):
+    target = TargetTable(spark, new_dir)
+    target.write(orders)
+    source = orders.where("o_orderkey between 100 and 120")
+    facts = measure_keys(source, ["o_orderkey"])
+    assert (facts.n_rows, facts.max_per_key, facts.bounds) == (21, 1, [(100, 120)])
+    located = target._scan(target.ledger.latest(), None, with_dir=True)
+    found = _hits_by_dir(
+        _skip_by_bounds(located, ["o_orderkey"], facts),
+        F.broadcast(source.select("o_orderkey")), ["o_orderkey"], join_first=True,
+    )
+    text = plan(found)
+    assert "GreaterThanOrEqual(o_orderkey,100)" in text and "LessThanOrEqual(o_orderkey,120)" in text
+    assert "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_large_change_sets_shuffle_keys_once(spark, orders, new_dir, no_broadcast):
+    target = TargetTable(spark, new_dir)
+    target.write(orders)
+    located = target._scan(target.ledger.latest(), None, with_dir=True)
+    text = plan(_hits_by_dir(located, orders.select("o_orderkey"), ["o_orderkey"], join_first=False))
+    assert text.count("Exchange hashpartitioning") == 2 and "Broadcast" not in text
+
+
+def test_measured_key_size_decides_on_broadcast(orders, monkeypatch):
+    facts = measure_keys(orders, ["o_orderkey"])
+    assert facts.n_rows * 8 <= facts.key_bytes <= facts.n_rows * 40
+    assert facts.key_bytes < table_module.BROADCAST_KEY_BYTES
+
+
+def test_partition_columns_prune_the_target(spark, orders, new_dir):
+    target = TargetTable(spark, new_dir)
+    target.write(orders, partition_by=["o_orderpriority"])
+    text = plan(target.read().where("o_orderpriority = '5-LOW'"))
+    assert "PartitionFilters: [isnotnull(o_orderpriority" in text
+
+
+def test_intermediate_tables_go_to_the_folder_the_session_names(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")

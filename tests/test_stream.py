@@ -1,0 +1,41 @@
+from pyspark.sql import functions as F
+
+from conftest import DATA, rows
+from tablesync.sinks.files import new_path
+from tablesync.sinks.table import TargetTable
+from tablesync.streaming.batches import applied_batch, apply_batch, apply_change_stream
+
+SCHEMA = "k int, v int, _op string, _pk_k int, version bigint"
+
+
+def test_a_batch_delivered_twice_is_applied_once(spark, new_dir):
+    target = TargetTable(spark, new_dir)
+    target.write(spark.createDataFrame([(1, 1)], "k int, v int"))
+    batch = spark.createDataFrame(
+        [(1, 2, "U", 1, 5), (1, 3, "U", 1, 6), (None, None, "D", 2, 4)], SCHEMA
+    )
+    assert apply_batch(target, batch, 0, ["k"], "version", "s")
+    assert not apply_batch(target, batch, 0, ["k"], "version", "s")
+    assert applied_batch(target, "s") == 0 and applied_batch(target, "other") == -1
+    assert rows(target.read()) == [(1, 3)] and target.cursor() == 6
+
+
+def test_stream_over_files_in_several_batches(spark, new_dir):
+    target = TargetTable(spark, new_dir)
+    incoming = new_path(spark, "incoming")
+    orders = spark.read.parquet(f"{DATA}/orders.parquet")
+    orders.repartition(4).write.parquet(incoming)
+    target.write(orders.limit(0).select("o_custkey", "o_totalprice"))
+    changes = (
+        spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
+        .select(
+            "o_custkey", "o_totalprice", F.lit("U").alias("_op"),
+            F.col("o_custkey").alias("_pk_o_custkey"), F.lit(1).cast("long").alias("version"),
+        )
+    )
+    checkpoint = new_path(spark, "stream")
+    for _ in range(2):
+        query = apply_change_stream(changes, target, ["o_custkey"], "version", "orders", checkpoint)
+        query.awaitTermination()
+    assert target.ledger.latest().commit == 4
+    assert target.read().count() == orders.select("o_custkey").distinct().count()

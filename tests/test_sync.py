@@ -1,0 +1,219 @@
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tablesync import SpecError, SyncSpec, TargetTable, run_sync
+from tablesync.operators.changes import CursorExpiredError
+from tablesync.plans.sync import plan_versions
+from tablesync.sources.feeds import JdbcChangeSource, LogChangeSource, with_change_names
+
+SCHEMA = "id int, name string, at timestamp_ntz"
+NOON = dt.datetime(2022, 3, 29, 12)
+
+
+class Source:
+    """A change source whose answers the test sets."""
+
+    def __init__(self, base, rows, current, oldest=0):
+        self.base, self.rows, self.current, self.oldest = base, rows, current, oldest
+        self.asked = []
+
+    def current_version(self):
+        return self.current
+
+    def min_valid_version(self):
+        return self.oldest
+
+    def snapshot(self):
+        return self.base
+
+    def changes(self, last, current):
+        self.asked.append((last, current))
+        return self.rows
+
+
+@pytest.fixture
+def base(spark):
+    return spark.createDataFrame([(i, f"n{i}", NOON) for i in range(5)], SCHEMA)
+
+
+@pytest.fixture
+def feed(spark):
+    return spark.createDataFrame(
+        [(1, "one", NOON, "U", 1), (None, None, None, "D", 2), (9, "nine", NOON, "I", 9)],
+        f"{SCHEMA}, SYS_CHANGE_OPERATION string, SYS_CHANGE_PK_id int",
+    )
+
+
+def tracked(path, **settings):
+    return SyncSpec(path=path, table="T", change_tracking=True, primary_key="[id]", **settings)
+
+
+def test_first_run_loads_everything_and_stamps_the_version(spark, new_dir, base):
+    spec = tracked(new_dir)
+    run_sync(spark, spec, Source(base, None, 40))
+    target = TargetTable(spark, spec.target_path)
+    assert target.cursor() == 40
+    assert target.read().columns == ["_platform_ingested_at", "id", "name", "at"]
+    moments = target.read().select(F.unix_seconds("at")).distinct().collect()
+    assert moments[0][0] == int(dt.datetime(2022, 3, 29, 9, tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_later_run_applies_changes_since_the_cursor(spark, new_dir, base, feed):
+    spec = tracked(new_dir, ct_window=5)
+    run_sync(spark, spec, Source(base, None, 40))
+    source = Source(base, with_change_names(feed), 100)
+    run_sync(spark, spec, source)
+    target = TargetTable(spark, spec.target_path)
+    assert source.asked == [(40, 45)] and target.cursor() == 45
+    assert rows(target.read().select("id", "name")) == [
+        (0, "n0"), (1, "one"), (3, "n3"), (4, "n4"), (9, "nine"),
+    ]
+
+
+def test_expired_cursor_refuses_before_any_write(spark, new_dir, base, feed):
+    spec = tracked(new_dir)
+    run_sync(spark, spec, Source(base, None, 40))
+    with pytest.raises(CursorExpiredError):
+        run_sync(spark, spec, Source(base, with_change_names(feed), 100, oldest=41))
+    assert TargetTable(spark, spec.target_path).ledger.latest().commit == 0
+
+
+def test_target_without_cursor_starts_at_the_oldest_version(spark, new_dir, base):
+    target = TargetTable(spark, new_dir)
+    target.write(base)
+    versions = plan_versions(target, Source(base, None, 100, oldest=7), ct_window=10)
+    assert (versions.last, versions.current) == (7, 17)
+
+
+def test_parent_child_first_load_and_next_run(spark, new_dir, base, feed):
+    spec = SyncSpec(path=new_dir, table="T", custom_ct=True, primary_key="id", parent_key="id")
+    run_sync(spark, spec, Source(base, None, 1))
+    run_sync(spark, spec, Source(base, with_change_names(feed), 2))
+    target = TargetTable(spark, spec.target_path)
+    assert target.cursor() == 2
+    versions = [c.version for c in map(target.ledger.read, target.ledger.numbers())]
+    assert versions == [1, 1, 2]
+    assert rows(target.read().select("id")) == [(0,), (1,), (3,), (4,), (9,)]
+
+
+def test_overwrite_of_a_window_in_source_days(spark, new_dir):
+    late = spark.createDataFrame(
+        [(1, "a", dt.datetime(2022, 3, 28, 23, 30)), (2, "b", dt.datetime(2022, 3, 29, 0, 30))], SCHEMA
+    )
+    spec = SyncSpec(path=new_dir, table="T", mode="overwrite", ingestion_time=False)
+    run_sync(spark, spec, late)
+    day = SyncSpec(
+        path=new_dir, table="T", mode="overwrite", ingestion_time=False, window_column="at",
+        exec_date="2022-03-29",
+    )
+    run_sync(spark, day, late.withColumn("name", F.lit("new")))
+    found = TargetTable(spark, spec.target_path).read().select("id", "name")
+    assert rows(found) == [(1, "a"), (2, "new")]
+
+
+def test_cleaned_names_apply_to_keys_and_partitions(spark, new_dir):
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "`the id` int, `p(1)` string, v int")
+    spec = SyncSpec(
+        path=new_dir, table="T", use_merge=True, merge_keys=["the id"], write_partitioned=True,
+        partition_by=["p(1)"], ingestion_time=False, zorder_by="v", database="sync_db",
+        database_location=f"{new_dir}-db",
+    )
+    run_sync(spark, spec, df)
+    run_sync(spark, spec, df.withColumn("v", F.col("v") + 10))
+    assert rows(spark.table("sync_db.dbo__t")) == [(1, 11, "a"), (2, 12, "b")] or rows(
+        spark.table("sync_db.dbo__t")
+    ) == [(1, "a", 11), (2, "b", 12)]
+
+
+def test_source_is_read_once(spark, new_dir, base):
+    """A source that answers differently each time cannot mix two answers into one run."""
+    def rename(batches):
+        for batch in batches:
+            yield batch.assign(name=[uuid.uuid4().hex for _ in range(len(batch))])
+
+    shaky = base.mapInPandas(rename, base.schema)
+    spec = SyncSpec(path=new_dir, table="T", use_merge=True, merge_keys="name", ingestion_time=False)
+    run_sync(spark, spec, shaky)
+    run_sync(spark, spec, shaky)
+    assert TargetTable(spark, spec.target_path).read().count() == 10
+
+
+def test_missing_source(spark, new_dir, base):
+    with pytest.raises(SpecError):
+        run_sync(spark, SyncSpec(path=new_dir, table="T"))
+    with pytest.raises(SpecError):
+        run_sync(spark, tracked(new_dir), base)
+
+
+def test_log_source_needs_no_snapshots_in_between(spark, new_dir):
+    log = spark.createDataFrame(
+        [(1, 1, "I"), (2, 2, "I"), (2, 3, "D"), (3, 4, "I"), (1, 5, "U")], "id int, version int, op string"
+    )
+    now = spark.createDataFrame([(1, "new", NOON), (3, "c", NOON)], SCHEMA)
+    first = spark.createDataFrame([(1, "a", NOON), (2, "b", NOON)], SCHEMA)
+    spec = tracked(new_dir, ingestion_time=False)
+    run_sync(spark, spec, LogChangeSource(first, log.where("version <= 2"), ["id"], "version", "op"))
+    run_sync(spark, spec, LogChangeSource(now, log, ["id"], "version", "op"))
+    found = TargetTable(spark, spec.target_path)
+    assert rows(found.read().select("id", "name")) == [(1, "new"), (3, "c")]
+    assert found.cursor() == 5
+
+
+def test_jdbc_change_tracking_end_to_end(spark, derby, new_dir):
+    """A base table and a log table at the source, with the user's own change queries."""
+    def put(name, data, schema, mode="overwrite"):
+        spark.createDataFrame(data, schema).write.format("jdbc").options(**derby).option(
+            "dbtable", name
+        ).option("createTableColumnTypes", "NAME varchar(20)" if "NAME" in schema else "OP varchar(1)").mode(
+            mode
+        ).save()
+
+    base_schema, log_schema = "ID int, NAME string", "ID int, VERSION bigint, OP string"
+    put("BASE", [(1, "a"), (2, "b")], base_schema)
+    put("LOG", [(1, 1, "I"), (2, 2, "I")], log_schema)
+    spec = SyncSpec(
+        path=new_dir, table="BASE", change_tracking=True, primary_key="ID", jdbc=derby,
+        ingestion_time=False, timezone="UTC",
+        current_version_query="select max(VERSION) as v from LOG",
+        min_valid_version_query="select min(VERSION) - 1 as v from LOG where '?' <> 'x'".replace("'?'", "?"),
+        min_valid_version_params="defaultSQLTable",
+        changes_query=(
+            "select B.*, C.OP as SYS_CHANGE_OPERATION, C.ID as SYS_CHANGE_PK_ID from LOG C "
+            "left join BASE B on B.ID = C.ID where C.VERSION > ? and C.VERSION <= ?"
+        ),
+        changes_params="queryCTLastVersion, queryCTCurrentVersion",
+    )
+    source = JdbcChangeSource(
+        spark, derby, "dbo", "BASE", ["ID"],
+        current_version_query=spec.current_version_query,
+        min_valid_version_query=spec.min_valid_version_query,
+        min_valid_version_params=spec.min_valid_version_params,
+        changes_query=spec.changes_query, changes_params=spec.changes_params,
+    )
+    snapshot = spark.createDataFrame([(1, "a"), (2, "b")], base_schema)
+    source.snapshot = lambda: snapshot
+    run_sync(spark, spec, source)
+    put("BASE", [(1, "x"), (3, "c")], base_schema)
+    put("LOG", [(1, 3, "U"), (2, 4, "D"), (3, 5, "I")], log_schema, "append")
+    run_sync(spark, spec)
+    target = TargetTable(spark, spec.target_path)
+    assert rows(target.read()) == [(1, "x"), (3, "c")] and target.cursor() == 5
+
+
+def test_sliced_feed_keeps_the_latest_row_of_a_key(spark, derby):
+    log = spark.createDataFrame([(1, 1, "I"), (1, 9, "D"), (2, 5, "I")], "ID int, VERSION bigint, OP string")
+    log.write.format("jdbc").options(**derby).option("dbtable", "LOG").option(
+        "createTableColumnTypes", "OP varchar(1)"
+    ).save()
+    source = JdbcChangeSource(
+        spark, derby, "dbo", "LOG", ["ID"], num_partitions=3, feed_version="VERSION",
+        feed=lambda low, high: (
+            "select OP as SYS_CHANGE_OPERATION, ID as SYS_CHANGE_PK_ID, VERSION from LOG "
+            f"where VERSION > {low} and VERSION <= {high}"
+        ),
+    )
+    assert rows(source.changes(0, 9)) == [("D", 1), ("I", 2)]
