@@ -7,9 +7,11 @@ ranges of each column, which the scan's min/max statistics can skip.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import math
+from bisect import bisect_right
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -46,7 +48,7 @@ def _ordinal(column: Column, data_type: DataType) -> Column:
     raise TypeError(f"cannot cluster by a column of type {data_type.simpleString()}")
 
 
-def _cut_points(df: DataFrame, ordinals: Sequence[Column], bits: int) -> list[list[float]]:
+def _cut_points(df: DataFrame, ordinals: Sequence[str], bits: int) -> list[list[float]]:
     """`2^bits - 1` rising cut points per column, from one sketch pass over all rows.
 
     They split the rows evenly, so a frequent value stands for several of them.
@@ -54,30 +56,38 @@ def _cut_points(df: DataFrame, ordinals: Sequence[Column], bits: int) -> list[li
     n_cells = 2**bits
     shares = F.array(*[F.lit(i / n_cells) for i in range(1, n_cells)])
     sketches = [
-        F.percentile_approx(ordinal, shares, F.lit(16 * n_cells)).alias(f"c{i}")
-        for i, ordinal in enumerate(ordinals)
+        F.percentile_approx(name, shares, F.lit(16 * n_cells)).alias(name) for name in ordinals
     ]
     row = df.select(*sketches).first()
     return [sorted(points or []) for points in row]
 
 
-def _rank(ordinal: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points not above the value, by a balanced decision tree of CASEs.
+def _ranked(df: DataFrame, ordinals: Sequence[str], cuts: Sequence[list[float]]) -> DataFrame:
+    """Each ordinal column replaced by its rank: the number of cut points not above the value.
 
-    Equal cut points count each, so the ranks of every column, also of one with few values,
-    spread over the whole range and carry the same weight in the z-value.
+    A bucketizer finds the place among the distinct cut points by binary search; a table
+    then tells the rank there. Equal cut points count each, so the ranks of every column, also
+    of one with few values, spread over the whole range and weigh the same in the z-value.
+    NULL and NaN rank lowest.
     """
-    distinct = sorted(set(cuts))
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(bisect_left(cuts, distinct[low]) if low < len(distinct) else len(cuts))
-        middle = (low + high) // 2
-        return F.when(ordinal < F.lit(distinct[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
+    for name, points in zip(ordinals, cuts):
+        distinct = sorted({point for point in points if math.isfinite(point)})
+        if not distinct:
+            df = df.withColumn(name, F.lit(0).cast("long"))
+            continue
+        place = f"{name}_place"
+        bucketizer = Bucketizer(
+            splits=[-math.inf, *distinct, math.inf],
+            inputCol=name,
+            outputCol=place,
+            handleInvalid="keep",
         )
-
-    return F.when(ordinal.isNull(), F.lit(0)).otherwise(search(0, len(distinct))).cast("long")
+        finite = [point for point in points if math.isfinite(point)]
+        ranks = [bisect_right(finite, point) for point in [-math.inf, *distinct]]
+        table = F.array(*[F.lit(rank).cast("long") for rank in [*ranks, len(finite)]])
+        df = bucketizer.transform(df.fillna(-math.inf, [name]))
+        df = df.withColumn(name, F.get(table, F.col(place).cast("int"))).drop(place)
+    return df
 
 
 def interleave(ranks: Sequence[Column], bits: int) -> Column:
@@ -93,12 +103,16 @@ def interleave(ranks: Sequence[Column], bits: int) -> Column:
     return value
 
 
-def zvalue(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """The z-value of each row of `df`, with cut points taken from all its rows."""
+def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+    """`df` with the z-value of each row, from cut points taken over all its rows."""
     types = {field.name: field.dataType for field in df.schema}
-    ordinals = [_ordinal(quoted(name), types[name]) for name in columns]
-    cuts = _cut_points(df, ordinals, bits)
-    return interleave([_rank(o, points) for o, points in zip(ordinals, cuts)], bits)
+    ordinals = [f"_zordinal_{i}" for i in range(len(columns))]
+    numbered = df.withColumns(
+        {o: _ordinal(quoted(name), types[name]) for o, name in zip(ordinals, columns)}
+    )
+    ranked = _ranked(numbered, ordinals, _cut_points(numbered, ordinals, bits))
+    value = interleave([F.col(name) for name in ordinals], bits)
+    return ranked.withColumn(ZVALUE, value).drop(*ordinals)
 
 
 def zorder(
@@ -117,7 +131,7 @@ def zorder(
     """
     if salt is None:
         salt = F.xxhash64(*[quoted(name) for name in df.columns])
-    marked = df.withColumns({ZVALUE: zvalue(df, columns, bits), SALT: salt})
+    marked = with_zvalue(df.withColumn(SALT, salt), columns, bits)
     ranges = [quoted(name) for name in partition_by] + [F.col(ZVALUE)]
     return (
         marked.repartitionByRange(num_files, *ranges, F.col(SALT))

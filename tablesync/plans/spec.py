@@ -26,7 +26,9 @@ class SyncSpec:
     """Settings of one sync.
 
     `jdbc` holds the connection options; a run may also be given its source as a frame or a
-    change source. Key and column lists may be text such as `"id,[FilId]"`.
+    change source. Key and column lists may be text such as `"id,[FilId]"`. `column_catalog`
+    names the source's own list of columns (`information_schema.columns`) for drivers that
+    deliver dates as text unless told their type.
     """
 
     path: str
@@ -38,6 +40,7 @@ class SyncSpec:
     mode: str = "errorifexists"
     num_partitions: int = 1
     split_by: str = ""
+    column_catalog: str = ""
     window_column: str = ""
     window_start: str = ""
     window_end: str = ""

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.functions.names import clean_name
 from tablesync.operators.changes import capped_version, require_valid_cursor
@@ -22,7 +23,7 @@ from tablesync.sinks.ledger import Commit
 from tablesync.sinks.table import TargetTable
 from tablesync.sources import change_sql
 from tablesync.sources.feeds import JdbcChangeSource
-from tablesync.sources.jdbc import jdbc_partitioned_scan, jdbc_scan
+from tablesync.sources.jdbc import jdbc_partitioned_scan, jdbc_scan, type_override_schema
 
 
 class ChangeSource(Protocol):
@@ -69,9 +70,23 @@ def read_source(spark: SparkSession, spec: SyncSpec, frame: DataFrame | None = N
 
 
 def _jdbc(spark: SparkSession, spec: SyncSpec, relation: str) -> DataFrame:
+    schema = _type_overrides(spark, spec)
     if not spec.split_by:
-        return jdbc_scan(spark, spec.jdbc, relation)
-    return jdbc_partitioned_scan(spark, spec.jdbc, relation, spec.split_by, spec.num_partitions)
+        return jdbc_scan(spark, spec.jdbc, relation, schema)
+    return jdbc_partitioned_scan(
+        spark, spec.jdbc, relation, spec.split_by, spec.num_partitions, schema
+    )
+
+
+def _type_overrides(spark: SparkSession, spec: SyncSpec) -> str:
+    """Types to read date and time columns as, from the column catalog if the spec names one."""
+    if not spec.column_catalog:
+        return ""
+    catalog = jdbc_scan(spark, spec.jdbc, spec.column_catalog)
+    columns = catalog.toDF(*[name.lower() for name in catalog.columns]).where(
+        (F.col("table_name") == spec.table) & (F.col("table_schema") == spec.schema)
+    )
+    return type_override_schema(columns, timestamp_type="timestamp_ntz").first()[0]
 
 
 def jdbc_change_source(spark: SparkSession, spec: SyncSpec) -> JdbcChangeSource:
@@ -82,6 +97,7 @@ def jdbc_change_source(spark: SparkSession, spec: SyncSpec) -> JdbcChangeSource:
         schema=spec.schema,
         table=spec.table,
         keys=spec.primary_key,
+        custom_schema=_type_overrides(spark, spec),
         split_by=spec.split_by,
         num_partitions=spec.num_partitions,
         current_version_query=spec.current_version_query,
@@ -120,8 +136,9 @@ def run_sync(
 ) -> Commit | None:
     """Carry out one run and return its last data commit (None if nothing was to be done).
 
-    The shaped source is written once to shared storage and every later step reads that copy;
-    `stage_source=False` leaves that out for sources that are themselves stable files.
+    Where a run needs its source more than once, the shaped rows are written once to shared
+    storage and every step reads that copy; `stage_source=False` leaves that out for sources
+    that are themselves stable files.
     """
     target = TargetTable(spark, spec.target_path)
     before = target.ledger.latest()
@@ -132,21 +149,26 @@ def run_sync(
         commit = incremental_sync(target, spec, feed, stage_source)
     else:
         frame = source if isinstance(source, DataFrame) else None
-        rows = shape_rows(read_source(spark, spec, frame), spec)
-        rows = stage(rows) if stage_source else rows
-        commit = plain_sync(target, spec, rows)
+        commit = plain_sync(target, spec, read_source(spark, spec, frame), stage_source)
     finish(target, spec, before)
     return commit
 
 
-def plain_sync(target: TargetTable, spec: SyncSpec, rows: DataFrame) -> Commit | None:
+def plain_sync(
+    target: TargetTable, spec: SyncSpec, source: DataFrame, stage_source: bool = True
+) -> Commit | None:
     """Upsert, or a plain write in the mode of the spec."""
+    rows = shape_rows(source, spec)
+    scope = spec.overwrite_scope(rows.schema)
+    read_again = spec.use_merge or (spec.mode.lower() == "overwrite" and scope is not None)
+    if stage_source and read_again and target.exists():
+        rows = stage(rows)
     if spec.use_merge:
         keys = [clean_name(key) for key in spec.merge_keys]
         return target.upsert(
             rows, keys, spec.layout, source_partitions_only=spec.source_partitions_only
         )
-    return target.write(rows, spec.mode, spec.layout, spec.overwrite_scope(rows.schema))
+    return target.write(rows, spec.mode, spec.layout, scope)
 
 
 def incremental_sync(
@@ -156,7 +178,6 @@ def incremental_sync(
     versions = plan_versions(target, source, spec.ct_window)
     if versions.last is None:
         rows = shape_rows(source.snapshot(), spec)
-        rows = stage(rows) if stage_source else rows
         return target.write(rows, "errorifexists", spec.layout, version=versions.current)
     rows = shape_rows(source.changes(versions.last, versions.current), spec)
     rows = stage(rows) if stage_source else rows

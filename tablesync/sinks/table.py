@@ -329,13 +329,14 @@ class TargetTable:
             named = prefix + column if prefix and column in keys else column
             touched = touched_partitions(source, named).toDF(column)
             located = in_touched_partitions(located, touched, column)
-        hits = stage(_hits_by_dir(located, source_keys, keys, join_first=small), "hits")
-        replaced = self._collect_dirs(hits.select(F.explode("_dirs").alias(_DIR)))
+        matched = stage(_matched_rows(located, source_keys, keys), "matched")
+        replaced = self._collect_dirs(matched)
         new_dirs = []
         if replaced:
             kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
             new_dirs += self._put(kept, before, redistribute=not small)
-        added = written_rows(source, hits.drop("_dirs"), keys)
+        hits = matched.groupBy([quoted(key) for key in keys]).agg(F.count(F.lit(1)).alias("_hits"))
+        added = written_rows(source, hits, keys)
         new_dirs += self._put(added, before, redistribute=True)
         return self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
 
@@ -378,7 +379,7 @@ class TargetTable:
             return None
         paths = [f"{self.root}/{name}" for name in sorted(dirs)]
         n_files = num_files or max(1, -(-self.ledger.files.size(paths) // TARGET_FILE_BYTES))
-        position = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
         clustered = zorder(
             rows, columns, n_files, before.partition_by, salt=F.col("_position")
@@ -483,22 +484,15 @@ def _skip_by_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys)
     return located
 
 
-def _hits_by_dir(
-    located: DataFrame, source_keys: DataFrame, keys: Sequence[str], join_first: bool
-) -> DataFrame:
-    """Keys present on both sides, with the number of target rows and their directories.
+def _matched_rows(located: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key and directory of every target row whose key the source has.
 
-    Reads key columns only. With a broadcast, `join_first` leaves few rows to count. Otherwise
-    rows of one key are combined before the one shuffle, which the join then reuses.
+    Reads key columns only. Nothing follows the join, so with a broadcast there is no shuffle,
+    and otherwise adaptive execution may split a key that many target rows share.
     """
-    names = [quoted(key) for key in keys]
-    rows = located.select(*names, _DIR)
-    if join_first:
-        rows = rows.join(source_keys, list(keys), "left_semi")
-    counts = rows.groupBy(names).agg(
-        F.count(F.lit(1)).alias("_hits"), F.collect_set(_DIR).alias("_dirs")
+    return located.select([quoted(key) for key in keys] + [_DIR]).join(
+        source_keys, list(keys), "left_semi"
     )
-    return counts if join_first else counts.join(source_keys, list(keys), "left_semi")
 
 
 def _same_partitions(before: Commit, written) -> set[str]:

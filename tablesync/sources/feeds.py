@@ -51,12 +51,21 @@ class LogChangeSource:
     keys: Sequence[str]
     version: str
     op: str
+    _oldest: int | None = field(default=None, init=False, repr=False)
 
     def current_version(self) -> int:
-        return scalar_version(source_versions(self.log, self.version).select("current_version"))
+        """Highest version of the log; the same pass finds the oldest one."""
+        row = source_versions(self.log, self.version).first()
+        if row["current_version"] is None:
+            raise ValueError("the change log is empty: it has no version")
+        self._oldest = int(row["min_valid_version"])
+        return int(row["current_version"])
 
     def min_valid_version(self) -> int:
-        return scalar_version(source_versions(self.log, self.version).select("min_valid_version"))
+        """Version before the oldest change, as of the last look at the log."""
+        if self._oldest is None:
+            self.current_version()
+        return self._oldest
 
     def snapshot(self) -> DataFrame:
         return self.base

@@ -197,14 +197,18 @@ def query_scan(
     return filter_source(spark.sql(query, args=dict(args or {})), where, window)
 
 
-def type_override_schema(catalog: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def type_override_schema(
+    catalog: DataFrame, by: Sequence[str] = (), timestamp_type: str = "timestamp"
+) -> DataFrame:
     """`customSchema` text per group of a column catalog `(column_name, data_type, …)`.
 
     Lists the `date` and `datetime2` columns, the latter as timestamps; empty text if a group
     has none. The number of columns of one table bounds each list.
     """
     source_type = F.lower(quoted("data_type"))
-    spark_type = F.when(source_type == "datetime2", "timestamp").when(source_type == "date", "date")
+    spark_type = (
+        F.when(source_type == "datetime2", timestamp_type).when(source_type == "date", "date")
+    )
     entry = F.when(spark_type.isNotNull(), F.concat_ws(" ", quoted("column_name"), spark_type))
     text = F.array_join(F.sort_array(F.collect_set(entry)), ", ")
     return catalog.groupBy([quoted(name) for name in by]).agg(text.alias("custom_schema"))

@@ -8,7 +8,12 @@ from tablesync.operators.merge import apply_changes, latest_per_key, upsert
 from tablesync.operators.predicates import date_window
 from tablesync.sinks import table as table_module
 from tablesync.sinks.files import shared_dir
-from tablesync.sinks.table import TargetTable, _hits_by_dir, _skip_by_bounds, measure_keys
+from tablesync.sinks.table import (
+    TargetTable,
+    _matched_rows,
+    _skip_by_bounds,
+    measure_keys,
+)
 
 
 def plan(df):
@@ -79,11 +84,12 @@ def test_key_bounds_reach_the_scan(spark, orders, new_dir):
     facts = measure_keys(source, ["o_orderkey"])
     assert (facts.n_rows, facts.max_per_key, facts.bounds) == (21, 1, [(100, 120)])
     located = target._scan(target.ledger.latest(), None, with_dir=True)
-    found = _hits_by_dir(
+    found = _matched_rows(
         _skip_by_bounds(located, ["o_orderkey"], facts),
-        F.broadcast(source.select("o_orderkey")), ["o_orderkey"], join_first=True,
+        F.broadcast(source.select("o_orderkey")), ["o_orderkey"],
     )
     text = plan(found)
+    assert "Exchange hashpartitioning" not in text
     assert "GreaterThanOrEqual(o_orderkey,100)" in text and "LessThanOrEqual(o_orderkey,120)" in text
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
@@ -92,7 +98,7 @@ def test_large_change_sets_shuffle_keys_once(spark, orders, new_dir, no_broadcas
     target = TargetTable(spark, new_dir)
     target.write(orders)
     located = target._scan(target.ledger.latest(), None, with_dir=True)
-    text = plan(_hits_by_dir(located, orders.select("o_orderkey"), ["o_orderkey"], join_first=False))
+    text = plan(_matched_rows(located, orders.select("o_orderkey"), ["o_orderkey"]))
     assert text.count("Exchange hashpartitioning") == 2 and "Broadcast" not in text
 
 

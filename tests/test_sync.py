@@ -204,6 +204,32 @@ def test_jdbc_change_tracking_end_to_end(spark, derby, new_dir):
     assert rows(target.read()) == [(1, "x"), (3, "c")] and target.cursor() == 5
 
 
+def test_types_from_the_column_catalog_of_the_source(spark, derby, new_dir):
+    catalog = spark.createDataFrame(
+        [("dbo", "T", "DAY", "date"), ("dbo", "T", "AT", "datetime2"), ("dbo", "U", "X", "date")],
+        "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string",
+    )
+    names = "TABLE_SCHEMA varchar(9), TABLE_NAME varchar(9), COLUMN_NAME varchar(9), DATA_TYPE varchar(9)"
+    for name, df, types in (
+        ("COLS", catalog, names),
+        ("T", spark.sql("select 1 as ID, '2022-03-29' as DAY, '2022-03-29 10:00:00' as AT"),
+         "DAY varchar(10), AT varchar(19)"),
+    ):
+        df.write.format("jdbc").options(**derby).option("dbtable", name).option(
+            "createTableColumnTypes", types
+        ).save()
+    spec = SyncSpec(
+        path=new_dir, table="T", jdbc=derby, query="select * from T", column_catalog="COLS",
+        ingestion_time=False,
+    )
+    run_sync(spark, spec)
+    found = TargetTable(spark, spec.target_path).read()
+    assert dict(found.dtypes) == {"ID": "int", "DAY": "timestamp", "AT": "timestamp"}
+    seconds = found.select(F.unix_seconds("AT"), F.unix_seconds("DAY")).first()
+    at = dt.datetime(2022, 3, 29, 7, tzinfo=dt.timezone.utc).timestamp()
+    assert tuple(seconds) == (at, at - 10 * 3600)
+
+
 def test_sliced_feed_keeps_the_latest_row_of_a_key(spark, derby):
     log = spark.createDataFrame([(1, 1, "I"), (1, 9, "D"), (2, 5, "I")], "ID int, VERSION bigint, OP string")
     log.write.format("jdbc").options(**derby).option("dbtable", "LOG").option(
