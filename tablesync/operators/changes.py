@@ -62,15 +62,19 @@ def net_changes(
     return latest.select(*names, F.col("_latest").alias(version), operation.alias(CHANGE_OP))
 
 
-def change_feed(base: DataFrame, net: DataFrame, keys: Sequence[str]) -> DataFrame:
+def change_feed(
+    base: DataFrame, net: DataFrame, keys: Sequence[str], broadcast_keys: bool = False
+) -> DataFrame:
     """Base columns, `_op` and `_pk_<key>` for every net change; base columns NULL if gone.
 
-    The base is first cut down to the changed keys by a semi-join, which Spark can do with a
-    broadcast of the changes; only what is left takes part in the outer join.
+    The base is first cut down to the changed keys by a semi-join, and only what is left takes
+    part in the outer join. `broadcast_keys` says that the keys were measured to be small, so
+    that the base is not shuffled; otherwise Spark decides by its own estimate.
     """
     changes = pk_alias_projection(net, keys, CHANGE_OP)
     condition = [quoted(key) == quoted(change_key(key)) for key in keys]
-    current = base.join(changes, condition, "left_semi")
+    wanted = pk_alias_projection(net, keys)
+    current = base.join(F.broadcast(wanted) if broadcast_keys else wanted, condition, "left_semi")
     joined = changes.join(current, condition, "left")
     return joined.select(
         *[quoted(name) for name in base.columns],

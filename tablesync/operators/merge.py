@@ -20,6 +20,7 @@ from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
     CHANGE_OP,
     as_column,
+    broadcast_if_small,
     in_touched_partitions,
     is_delete,
     is_write,
@@ -152,7 +153,7 @@ def upsert(
     whose partition value changed stays behind next to its new version.
     """
     if source_partitions_only:
-        touched = touched_partitions(source, source_partitions_only)
+        touched = broadcast_if_small(touched_partitions(source, source_partitions_only))
         inside = in_touched_partitions(target, touched, source_partitions_only)
         outside = not_in_touched_partitions(target, touched, source_partitions_only)
         return upsert(inside, source, keys, target_keys_unique).unionByName(outside)
@@ -211,8 +212,10 @@ def replace_where(
         require_in_scope(source, in_scope)
     if partition_column is None:
         return target.where(~in_scope).unionByName(source)
-    touched = touched_partitions(source, partition_column).select(
-        quoted(partition_column).alias("_touched"), F.lit(True).alias("_is_touched")
+    touched = broadcast_if_small(
+        touched_partitions(source, partition_column).select(
+            quoted(partition_column).alias("_touched"), F.lit(True).alias("_is_touched")
+        )
     )
     marked = target.join(touched, quoted(partition_column).eqNullSafe(F.col("_touched")), "left")
     kept = marked.where(~(in_scope & F.coalesce("_is_touched", F.lit(False))))

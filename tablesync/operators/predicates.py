@@ -13,10 +13,31 @@ from pyspark.sql import functions as F
 from tablesync.functions.timestamps import date_to_instant
 from tablesync.operators.shape import quoted
 
+# Frames measured to be no larger than this may be broadcast; larger ones are shuffled.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 CHANGE_OP = "_op"
 CHANGE_KEY_PREFIX = "_pk_"
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Upper estimate of the size of a frame of plain columns, by one aggregation over it."""
+    width = F.lit(0).cast("long")
+    for name in df.columns:
+        width = width + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0)) + 16
+    return int(df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0])
+
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """`df` marked for broadcast if it is measured to fit the limit, else as it is.
+
+    To be used where the other side of a join is a whole table: without the mark, Spark would
+    start to shuffle that table before it knows that this side is small.
+    """
+    allowed = BROADCAST_BYTES if limit is None else limit
+    return F.broadcast(df) if measured_bytes(df) <= allowed else df
+
+
 def as_column(predicate: Column | str) -> Column:
     """A predicate given as SQL text or as a column."""
     return F.expr(predicate) if isinstance(predicate, str) else predicate

@@ -26,6 +26,7 @@ from pyspark.sql.types import (
 )
 
 from tablesync.functions.cursor import cursor_text
+from tablesync.operators import predicates
 from tablesync.operators.layout import zorder
 from tablesync.operators.merge import (
     DuplicateKeyError,
@@ -39,6 +40,7 @@ from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
     CHANGE_OP,
     as_column,
+    broadcast_if_small,
     in_touched_partitions,
     is_delete,
     is_write,
@@ -55,10 +57,6 @@ _DIR = "_dir"
 # Key types whose bounds serve to skip files.
 _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 
-# Keys of a change set up to this size may be broadcast. The size is measured on the change
-# set itself before each merge; beyond it the joins shuffle.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-
 # Size of a clustered file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -321,13 +319,13 @@ class TargetTable:
             raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
         if facts.n_rows == 0:
             return self._commit(before, "MERGE", set(), [], version, **marks)
-        small = facts.key_bytes <= BROADCAST_KEY_BYTES
+        small = facts.key_bytes <= predicates.BROADCAST_BYTES
         source_keys = _merge_keys(source, prefixed, keys, small)
         located = _skip_by_bounds(self._scan(before, None, with_dir=True), keys, facts)
         if source_partitions_only and before.partition_by:
             column = before.partition_by[-1]
             named = prefix + column if prefix and column in keys else column
-            touched = touched_partitions(source, named).toDF(column)
+            touched = broadcast_if_small(touched_partitions(source, named).toDF(column))
             located = in_touched_partitions(located, touched, column)
         matched = stage(_matched_rows(located, source_keys, keys), "matched")
         replaced = self._collect_dirs(matched)
@@ -347,7 +345,7 @@ class TargetTable:
         facts = measure_keys(deletes, prefixed)
         if facts.n_rows == 0:
             return self._commit(before, "MERGE", set(), [], version)
-        small = facts.key_bytes <= BROADCAST_KEY_BYTES
+        small = facts.key_bytes <= predicates.BROADCAST_BYTES
         parents = _merge_keys(deletes, prefixed, parent_key, small)
         located = _skip_by_bounds(self._scan(before, None, with_dir=True), parent_key, facts)
         replaced = self._collect_dirs(located.join(parents, list(parent_key), "left_semi"))

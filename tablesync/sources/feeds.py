@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from tablesync.operators.changes import change_feed, change_key, net_changes, source_versions
 from tablesync.operators.merge import latest_per_key
-from tablesync.operators.predicates import CHANGE_KEY_PREFIX, CHANGE_OP
+from tablesync.operators.predicates import (
+    BROADCAST_BYTES,
+    CHANGE_KEY_PREFIX,
+    CHANGE_OP,
+    measured_bytes,
+)
 from tablesync.sinks.files import stage
 from tablesync.sources import change_sql
 from tablesync.sources.jdbc import (
@@ -72,8 +77,11 @@ class LogChangeSource:
 
     def changes(self, last: int, current: int) -> DataFrame:
         """Change rows; the net changes are staged, so the log is read once."""
-        net = net_changes(self.log, self.keys, self.version, self.op, last, current)
-        return change_feed(self.base, stage(net, "net"), self.keys)
+        net = stage(
+            net_changes(self.log, self.keys, self.version, self.op, last, current), "net"
+        )
+        small = measured_bytes(net.select([F.col(f"`{key}`") for key in self.keys])) <= BROADCAST_BYTES
+        return change_feed(self.base, net, self.keys, broadcast_keys=small)
 
 
 @dataclass

@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync.operators import predicates
 from tablesync.operators.changes import change_feed, net_changes
 from tablesync.operators.merge import apply_changes, latest_per_key, upsert
-from tablesync.operators.predicates import date_window
-from tablesync.sinks import table as table_module
+from tablesync.operators.predicates import broadcast_if_small, date_window, touched_partitions
 from tablesync.sinks.files import shared_dir
 from tablesync.sinks.table import (
     TargetTable,
@@ -102,10 +102,24 @@ def test_large_change_sets_shuffle_keys_once(spark, orders, new_dir, no_broadcas
     assert text.count("Exchange hashpartitioning") == 2 and "Broadcast" not in text
 
 
-def test_measured_key_size_decides_on_broadcast(orders, monkeypatch):
+def test_touched_partitions_are_broadcast_only_if_measured_small(orders):
+    touched = touched_partitions(orders, "o_orderpriority")
+    assert "ResolvedHint" in broadcast_if_small(touched)._jdf.queryExecution().analyzed().toString()
+    large = broadcast_if_small(touched, limit=10)
+    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_small_feed_does_not_shuffle_the_base(orders, no_broadcast):
+    net = orders.select("o_orderkey", F.lit("U").alias("_op"))
+    text = plan(change_feed(orders, net, ["o_orderkey"], broadcast_keys=True))
+    semi = text[text.index("LeftSemi"):]
+    assert "BroadcastExchange" in semi and "Exchange hashpartitioning" not in semi
+
+
+def test_measured_key_size_decides_on_broadcast(orders):
     facts = measure_keys(orders, ["o_orderkey"])
     assert facts.n_rows * 8 <= facts.key_bytes <= facts.n_rows * 40
-    assert facts.key_bytes < table_module.BROADCAST_KEY_BYTES
+    assert facts.key_bytes < predicates.BROADCAST_BYTES
 
 
 def test_partition_columns_prune_the_target(spark, orders, new_dir):

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tablesync.functions.names import target_name
+from tablesync.operators import predicates
 from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError
 from tablesync.operators.schema import SchemaMismatchError
 from tablesync.sinks import catalog
-from tablesync.sinks import table as table_module
 from tablesync.sinks.ledger import (
     OPTIMIZE,
     ConcurrentCommitError,
@@ -122,7 +122,7 @@ def test_duplicate_source_keys_raise_before_anything_is_written(spark, filled):
 
 
 def test_shuffled_merge_equals_broadcast_merge(spark, filled, monkeypatch):
-    monkeypatch.setattr(table_module, "BROADCAST_KEY_BYTES", -1)
+    monkeypatch.setattr(predicates, "BROADCAST_BYTES", -1)
     source = spark.createDataFrame([(i, "abc"[i % 3], -i) for i in range(6, 18)], SCHEMA)
     filled.upsert(source, ["k"])
     expected = [(i, "abc"[i % 3], i if i < 6 else -i) for i in range(18)]
