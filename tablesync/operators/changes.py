@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.operators.predicates import CHANGE_KEY_PREFIX, CHANGE_OP
-from tablesync.operators.shape import quoted
+from tablesync.operators.shape import actual_names, quoted
 
 
 class CursorExpiredError(ValueError):
@@ -90,6 +90,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     result is exact.
     """
     names = new.columns
+    keys = actual_names(keys, names)
     before = old.select([quoted(name).alias(f"_old_{name}") for name in names] + [
         F.lit(True).alias("_in_old")
     ])

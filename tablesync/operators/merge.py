@@ -27,7 +27,7 @@ from tablesync.operators.predicates import (
     not_in_touched_partitions,
     touched_partitions,
 )
-from tablesync.operators.shape import quoted
+from tablesync.operators.shape import actual_names, quoted
 
 _HITS = "_hits"
 
@@ -62,6 +62,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
     An aggregate with map-side combine rather than a window, so one hot key does not put all
     its rows into one task. Among rows of equal version the greatest in column order wins.
     """
+    keys = actual_names(keys, df.columns)
+    version = actual_names([version], df.columns)[0]
     others = [name for name in df.columns if name not in set(keys)]
     keyless = " or ".join(f"`{key}` is null" for key in keys)
     ordered = F.struct(quoted(version), *[quoted(name) for name in others if name != version])

@@ -23,6 +23,18 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def actual_names(names: Iterable[str], columns: Iterable[str]) -> list[str]:
+    """Column names as the data spells them, given in any case; exact spelling goes first."""
+    present = list(columns)
+    found = []
+    for name in names:
+        matches = [name] if name in present else [c for c in present if c.lower() == name.lower()]
+        if len(matches) != 1:
+            raise ValueError(f"{'no' if not matches else 'more than one'} column {name!r}")
+        found.append(matches[0])
+    return found
+
+
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Rename every column with `clean_name`."""
     return df.toDF(*[clean_name(name) for name in df.columns])

@@ -47,7 +47,7 @@ from tablesync.operators.predicates import (
     touched_partitions,
 )
 from tablesync.operators.schema import require_same_columns
-from tablesync.operators.shape import quoted
+from tablesync.operators.shape import actual_names, quoted
 from tablesync.sinks.files import stage
 from tablesync.sinks.ledger import OPTIMIZE, Commit, Ledger
 
@@ -197,10 +197,7 @@ class TargetTable:
     def _create(
         self, df: DataFrame, partition_by: Sequence[str], version: int | None
     ) -> Commit:
-        names = list(partition_by)
-        missing = [name for name in names if name not in df.columns]
-        if missing:
-            raise ValueError(f"partition columns not in the data: {missing}")
+        names = actual_names(partition_by, df.columns)
         batch = self._new_batch()
         self._write_batch(df, batch, names, redistribute=True)
         commit = self.ledger.next(
@@ -312,6 +309,9 @@ class TargetTable:
         batch: int | None = None,
     ) -> Commit:
         """Find the directories with matched rows, rewrite those, add the source's rows."""
+        prefixed = actual_names([prefix + key for key in keys], source.columns)
+        keys = actual_names(keys, before.struct.names)
+        source = source.withColumnsRenamed(dict(zip(prefixed, [prefix + key for key in keys])))
         prefixed = [prefix + key for key in keys]
         facts = measure_keys(source, prefixed)
         marks = {"stream": stream, "batch": batch, "changes": facts.counts}
@@ -341,7 +341,8 @@ class TargetTable:
     def _delete(
         self, before: Commit, deletes: DataFrame, parent_key: Sequence[str], version: int | None
     ) -> Commit:
-        prefixed = [CHANGE_KEY_PREFIX + key for key in parent_key]
+        prefixed = actual_names([CHANGE_KEY_PREFIX + k for k in parent_key], deletes.columns)
+        parent_key = actual_names(parent_key, before.struct.names)
         facts = measure_keys(deletes, prefixed)
         if facts.n_rows == 0:
             return self._commit(before, "MERGE", set(), [], version)
@@ -377,6 +378,7 @@ class TargetTable:
             return None
         paths = [f"{self.root}/{name}" for name in sorted(dirs)]
         n_files = num_files or max(1, -(-self.ledger.files.size(paths) // TARGET_FILE_BYTES))
+        columns = actual_names(columns, before.struct.names)
         position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
         clustered = zorder(
@@ -446,7 +448,7 @@ class TargetTable:
         tasks and joins small ones, so neither one huge task nor many tiny files result.
         """
         if partition_by and redistribute:
-            df = df.hint("rebalance", *partition_by)
+            df = df.hint("rebalance", *[quoted(column) for column in partition_by])
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)

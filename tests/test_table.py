@@ -83,6 +83,28 @@ def test_odd_partition_values_survive_every_step(spark, target):
     assert rows(spark.table("odd_values.t")) == expected
 
 
+def test_names_of_keys_and_partitions_match_in_any_case(spark, target):
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "Id int, P string, v int")
+    target.write(df, partition_by=["p"])
+    target.upsert(df.withColumn("v", F.col("v") + 1), ["ID"])
+    changes = df.selectExpr("Id", "P", "v", "'D' as _op", "Id as _pk_iD").where("Id = 1")
+    target.apply_changes(changes, ["id"], 2)
+    target.zorder(["V"])
+    assert target.ledger.latest().partition_by == ["P"]
+    assert rows(target.read()) == [(2, "b", 3)]
+    with pytest.raises(ValueError):
+        target.upsert(df, ["key"])
+
+
+def test_two_partition_columns_with_odd_names(spark, target):
+    df = spark.createDataFrame([(1, "a", 1), (2, None, 2)], "k int, `p*=%` string, q int")
+    target.write(df, partition_by=["p*=%", "q"])
+    target.upsert(df.where("k = 2"), ["k"])
+    assert rows(target.read()) == rows(df)
+    catalog.register_table(target, "odd_names", "t")
+    assert rows(spark.table("odd_names.t")) == rows(df)
+
+
 def test_only_touched_directories_are_rewritten(spark, filled):
     before = filled.ledger.latest()
     after = filled.apply_changes(change(spark, (0, "a", 100, "U"), (99, "b", 9, "I")), ["k"], 2)
