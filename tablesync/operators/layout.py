@@ -122,6 +122,7 @@ def zorder(
     partition_by: Sequence[str] = (),
     salt: Column | None = None,
     bits: int = 6,
+    keep_zvalue: bool = False,
 ) -> DataFrame:
     """`df` in `num_files` partitions ordered by z-value within `partition_by`.
 
@@ -136,5 +137,5 @@ def zorder(
     return (
         marked.repartitionByRange(num_files, *ranges, F.col(SALT))
         .sortWithinPartitions(*ranges)
-        .drop(ZVALUE, SALT)
+        .drop(SALT, *([] if keep_zvalue else [ZVALUE]))
     )

@@ -168,7 +168,7 @@ def plain_sync(
         return target.upsert(
             rows, keys, spec.layout, source_partitions_only=spec.source_partitions_only
         )
-    return target.write(rows, spec.mode, spec.layout, scope)
+    return target.write(rows, spec.mode, spec.layout, scope, sliced=False)
 
 
 def incremental_sync(

@@ -8,10 +8,9 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from tablesync.sinks.ledger import Commit
+from tablesync.sinks.ledger import BATCH, SLICE, Commit
 from tablesync.sinks.table import TargetTable
 
-_BATCH = "_batch"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 # Partitions named in one ALTER TABLE statement.
@@ -80,11 +79,12 @@ def _create_files_table(
 ) -> None:
     types = {field.name: field.dataType.simpleString() for field in StructType(commit.struct.fields)}
     plain = [name for name in types if name not in commit.partition_by]
-    columns = [f"{_name(name)} {types[name]}" for name in [*plain, *commit.partition_by]]
-    partitions = ", ".join(_name(name) for name in [_BATCH, *commit.partition_by])
+    types |= {BATCH: "string", SLICE: "int"}
+    layout = [BATCH, *commit.layout]
+    columns = [f"{_name(name)} {types[name]}" for name in [*plain, *layout]]
+    partitions = ", ".join(_name(name) for name in layout)
     spark.sql(
-        f"CREATE TABLE {_name(database, files_table)} "
-        f"({', '.join(columns)}, {_name(_BATCH)} string) USING PARQUET "
+        f"CREATE TABLE {_name(database, files_table)} ({', '.join(columns)}) USING PARQUET "
         f"PARTITIONED BY ({partitions}) LOCATION {_text(root)}"
     )
 

@@ -1,17 +1,22 @@
 """A target table: parquet directories, and the ledger that says which of them count.
 
-Layout: `root/_batch=<id>/<partition directories>/*.parquet` and `root/_ledger/<n>.json`.
-Every write goes to a new batch directory and becomes visible with the ledger file written
-last, so a crash leaves the table as it was, and readers keep the commit they started from.
+Layout: `root/_batch=<id>/<partition directories>/_slice=<n>/*.parquet` and
+`root/_ledger/<n>.json`. Every write goes to a new batch directory and becomes visible with
+the ledger file written last, so a crash leaves the table as it was, and readers keep the
+commit they started from.
+
 A write replaces only the directories that hold affected rows; all others are carried over by
-name.
+name. Slices keep those directories small: each holds what some neighbouring tasks wrote, a few
+gigabytes, so a change of few rows does not rewrite a partition that holds a third of a table,
+nor an unpartitioned table as a whole. Tables that are only appended to or overwritten can do
+without them.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
     DecimalType,
+    IntegerType,
     IntegralType,
     StringType,
     StructField,
@@ -27,7 +33,7 @@ from pyspark.sql.types import (
 
 from tablesync.functions.cursor import cursor_text
 from tablesync.operators import predicates
-from tablesync.operators.layout import zorder
+from tablesync.operators.layout import ZVALUE, zorder
 from tablesync.operators.merge import (
     DuplicateKeyError,
     delete_keys,
@@ -49,11 +55,13 @@ from tablesync.operators.predicates import (
 from tablesync.operators.schema import require_same_columns
 from tablesync.operators.shape import actual_names, quoted
 from tablesync.sinks.files import stage
-from tablesync.sinks.ledger import OPTIMIZE, Commit, Ledger
+from tablesync.sinks.ledger import BATCH, OPTIMIZE, SLICE, Commit, Ledger
 
-_BATCH = "_batch"
 _DIR = "_dir"
 
+# Neighbouring tasks that share a slice directory. Tasks write some 64 to 128 MB each.
+TASKS_PER_SLICE = 64
+
 # Key types whose bounds serve to skip files.
 _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 
@@ -151,7 +159,8 @@ class TargetTable:
         if not wanted:
             extra = [StructField(_DIR, StringType())] if with_dir else []
             return self.spark.createDataFrame([], StructType(schema.fields + extra))
-        full = StructType(schema.fields + [StructField(_BATCH, StringType())])
+        hidden = [StructField(BATCH, StringType()), StructField(SLICE, IntegerType())]
+        full = StructType(schema.fields + hidden[: 2 if commit.sliced else 1])
         rows = (
             self.spark.read.schema(full)
             .option("basePath", self.root)
@@ -159,7 +168,7 @@ class TargetTable:
         )
         columns = [quoted(field.name) for field in schema]
         if with_dir:
-            parent = F.regexp_extract("_metadata.file_path", f"({_BATCH}=.*)/[^/]+$", 1)
+            parent = F.regexp_extract("_metadata.file_path", f"({BATCH}=.*)/[^/]+$", 1)
             columns.append(parent.alias(_DIR))
         return rows.select(columns)
 
@@ -172,10 +181,12 @@ class TargetTable:
         partition_by: Sequence[str] = (),
         scope: Column | str | None = None,
         version: int | None = None,
+        sliced: bool = True,
     ) -> Commit | None:
         """Write a frame: append, overwrite (within `scope`), errorifexists or ignore.
 
-        A table is created with `partition_by`; later writes follow the table's own layout.
+        A table is created with `partition_by` and, unless it will never be merged into, with
+        slices; later writes follow the table's own layout.
         Returns None when `ignore` left an existing table alone.
         """
         chosen = mode.lower()
@@ -183,7 +194,7 @@ class TargetTable:
             raise ValueError(f"unknown write mode {mode!r}")
         before = self.ledger.latest()
         if before is None:
-            return self._create(df, partition_by, version)
+            return self._create(df, partition_by, version, sliced)
         require_same_columns(df.columns, before.struct.names)
         if chosen == "ignore":
             return None
@@ -195,20 +206,22 @@ class TargetTable:
         return self._commit(before, "WRITE", set(), new_dirs, version)
 
     def _create(
-        self, df: DataFrame, partition_by: Sequence[str], version: int | None
+        self, df: DataFrame, partition_by: Sequence[str], version: int | None, sliced: bool
     ) -> Commit:
-        names = actual_names(partition_by, df.columns)
-        batch = self._new_batch()
-        self._write_batch(df, batch, names, redistribute=True)
-        commit = self.ledger.next(
+        taken = {BATCH, SLICE} & {name.lower() for name in df.columns}
+        if taken:
+            raise ValueError(f"column names used by the layout: {sorted(taken)}")
+        planned = self.ledger.next(
             None,
             op="WRITE",
             schema=_nullable(df.schema).jsonValue(),
-            partition_by=names,
-            dirs=self._batch_dirs(batch, names),
+            partition_by=actual_names(partition_by, df.columns),
+            sliced=sliced,
+            dirs=[],
             user_metadata=cursor_text(version),
         )
-        return self.ledger.append(commit)
+        new_dirs = self._put(df, planned, redistribute=True)
+        return self.ledger.append(replace(planned, dirs=new_dirs))
 
     def replace_where(
         self, df: DataFrame, scope: Column | str | None = None, version: int | None = None
@@ -382,9 +395,9 @@ class TargetTable:
         position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
         clustered = zorder(
-            rows, columns, n_files, before.partition_by, salt=F.col("_position")
-        ).drop("_position")
-        new_dirs = self._put(clustered, before, redistribute=False)
+            rows, columns, n_files, before.partition_by, salt=F.col("_position"), keep_zvalue=True
+        )
+        new_dirs = self._put(clustered, before, redistribute=False, order=ZVALUE)
         return self._commit(before, OPTIMIZE, dirs, new_dirs, None)
 
     def set_retention(self, log: str, deleted_files: str) -> Commit | None:
@@ -404,16 +417,36 @@ class TargetTable:
         """Distinct directories of some rows; bounded by the directories the commit lists."""
         return {unquote(row[0]) for row in located.select(_DIR).distinct().collect()}
 
-    def _put(self, df: DataFrame, before: Commit, redistribute: bool) -> list[str]:
+    def _put(
+        self, df: DataFrame, before: Commit, redistribute: bool, order: str | None = None
+    ) -> list[str]:
         """Write rows in the table's types and layout to a new batch; its directories.
 
-        Rows that come straight out of directories of this table need not be redistributed:
-        each task then holds few partitions already.
+        Rows that lie mixed (`redistribute`) are first gathered by partition with a REBALANCE
+        hint: adaptive execution then splits a partition value that holds much of the data
+        over several tasks and joins small ones, so neither one huge task nor many tiny files
+        result. Rows that come straight out of directories of this table need no gathering:
+        each task holds few partitions already. `order` names a further column to sort files by.
+
+        The batch gets a name that no other attempt uses, so leftovers of a crash are never
+        mixed in.
         """
         columns = [quoted(f.name).cast(f.dataType).alias(f.name) for f in before.struct]
-        name = self._new_batch()
-        self._write_batch(df.select(columns), name, before.partition_by, redistribute)
-        return self._batch_dirs(name, before.partition_by)
+        rows = df.select(*columns, *([order] if order else []))
+        if before.partition_by and redistribute:
+            rows = rows.hint("rebalance", *[quoted(name) for name in before.partition_by])
+        if before.sliced:
+            number = F.floor(F.spark_partition_id() / TASKS_PER_SLICE).cast("int")
+            rows = rows.withColumn(SLICE, number)
+        if order:
+            rows = rows.sortWithinPartitions(*[quoted(n) for n in before.layout], order).drop(order)
+        name = f"{BATCH}={uuid.uuid4().hex}"
+        writer = rows.write.partitionBy(*before.layout) if before.layout else rows.write
+        writer.parquet(f"{self.root}/{name}")
+        if not before.layout:
+            return [name]
+        found = self.ledger.files.directories(f"{self.root}/{name}" + "/*=*" * len(before.layout))
+        return sorted(path[len(self.root) + 1 :] for path in found)
 
     def _commit(
         self,
@@ -434,34 +467,6 @@ class TargetTable:
         )
         return self.ledger.append(commit)
 
-    def _new_batch(self) -> str:
-        """A directory name no other attempt uses, so leftovers of a crash are never mixed in."""
-        return f"{_BATCH}={uuid.uuid4().hex}"
-
-    def _write_batch(
-        self, df: DataFrame, name: str, partition_by: Sequence[str], redistribute: bool
-    ) -> None:
-        """Write rows under a batch directory.
-
-        Rows that lie mixed are first gathered by partition with a REBALANCE hint: adaptive
-        execution then splits a partition value that holds much of the data over several
-        tasks and joins small ones, so neither one huge task nor many tiny files result.
-        """
-        if partition_by and redistribute:
-            df = df.hint("rebalance", *[quoted(column) for column in partition_by])
-        writer = df.write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{name}")
-
-    def _batch_dirs(self, name: str, partition_by: Sequence[str]) -> list[str]:
-        """Directories of a batch that hold data files, relative to the root."""
-        if not partition_by:
-            return [name]
-        pattern = f"{self.root}/{name}" + "/*=*" * len(partition_by)
-        found = self.ledger.files.directories(pattern)
-        return sorted(path[len(self.root) + 1:] for path in found)
-
 
 def _merge_keys(
     source: DataFrame, prefixed: Sequence[str], keys: Sequence[str], small: bool
@@ -499,8 +504,8 @@ def _same_partitions(before: Commit, written) -> set[str]:
     """Directories of a commit whose last partition value occurs among the written ones."""
     if not before.partition_by:
         return set(before.dirs)
-    values = {name.rsplit("/", 1)[1] for name in written}
-    return {name for name in before.dirs if name.rsplit("/", 1)[1] in values}
+    values = {before.partition_of(name) for name in written}
+    return {name for name in before.dirs if before.partition_of(name) in values}
 
 
 def _nullable(schema: StructType) -> StructType:

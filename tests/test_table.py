@@ -10,6 +10,7 @@ from tablesync.operators import predicates
 from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError
 from tablesync.operators.schema import SchemaMismatchError
 from tablesync.sinks import catalog
+from tablesync.sinks import table as table_module
 from tablesync.sinks.ledger import (
     OPTIMIZE,
     ConcurrentCommitError,
@@ -39,7 +40,7 @@ def change(spark, *found):
 
 
 def partition_dirs(commit, value):
-    return {d for d in commit.dirs if d.endswith(f"p={value}")}
+    return {d for d in commit.dirs if f"/p={value}/" in f"{d}/"}
 
 
 def test_write_modes(spark, target):
@@ -115,6 +116,35 @@ def test_only_touched_directories_are_rewritten(spark, filled):
     assert filled.cursor() == 2
 
 
+def test_a_change_of_few_rows_rewrites_one_slice_of_a_hot_partition(spark, target, monkeypatch):
+    monkeypatch.setattr(table_module, "TASKS_PER_SLICE", 1)
+    target.write(spark.range(0, 8000, 1, 8).selectExpr("cast(id as int) as k", "'a' as p", "1 as v"))
+    before = target.ledger.latest()
+    assert len(before.dirs) == 8
+    after = target.apply_changes(change(spark, (1234, "a", 9, "U")), ["k"], 2)
+    assert len(set(before.dirs) & set(after.dirs)) == 7
+    assert rows(target.read().where("v = 9")) == [(1234, "a", 9)]
+    assert target.read().count() == 8000
+    catalog.register_table(target, "slice_db", "t")
+    assert spark.table("slice_db.t").where("v = 9").count() == 1
+    assert spark.table("slice_db.t").count() == 8000
+
+
+def test_tables_without_slices(spark, target):
+    df = spark.createDataFrame([(i, "abc"[i % 3], i) for i in range(12)], SCHEMA)
+    target.write(df, partition_by=["p"], sliced=False)
+    assert all(d.count("/") == 1 for d in target.ledger.latest().dirs)
+    target.apply_changes(change(spark, (1, "b", 100, "U"), (2, None, None, "D")), ["k"], 2)
+    target.write(df.where("p = 'a'"), "overwrite")
+    target.zorder(["k"], changed_since=1)
+    assert target.read().count() == 11 and target.read().where("v = 100").count() == 1
+
+
+def test_columns_of_the_layout_are_refused(spark, target):
+    with pytest.raises(ValueError):
+        target.write(spark.createDataFrame([(1, 2)], "k int, _slice int"))
+
+
 def test_row_whose_partition_moves_appears_once(spark, filled):
     filled.apply_changes(change(spark, (0, "c", 0, "U")), ["k"], 2)
     assert rows(filled.read().where("k = 0")) == [(0, "c", 0)]
