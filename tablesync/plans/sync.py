@@ -18,7 +18,7 @@ from tablesync.operators.predicates import (
 from tablesync.operators.shape import shape
 from tablesync.plans.spec import SpecError, SyncSpec
 from tablesync.sinks.catalog import register_table, set_retention
-from tablesync.sinks.files import stage
+from tablesync.sinks.files import stage, staging_scope
 from tablesync.sinks.ledger import Commit
 from tablesync.sinks.table import TargetTable
 from tablesync.sources import change_sql
@@ -142,14 +142,15 @@ def run_sync(
     """
     target = TargetTable(spark, spec.target_path)
     before = target.ledger.latest()
-    if spec.change_tracking or spec.custom_ct:
-        feed = jdbc_change_source(spark, spec) if source is None else source
-        if isinstance(feed, DataFrame):
-            raise SpecError("change tracking needs a change source, not a frame")
-        commit = incremental_sync(target, spec, feed, stage_source)
-    else:
-        frame = source if isinstance(source, DataFrame) else None
-        commit = plain_sync(target, spec, read_source(spark, spec, frame), stage_source)
+    with staging_scope(spark):
+        if spec.change_tracking or spec.custom_ct:
+            feed = jdbc_change_source(spark, spec) if source is None else source
+            if isinstance(feed, DataFrame):
+                raise SpecError("change tracking needs a change source, not a frame")
+            commit = incremental_sync(target, spec, feed, stage_source)
+        else:
+            frame = source if isinstance(source, DataFrame) else None
+            commit = plain_sync(target, spec, read_source(spark, spec, frame), stage_source)
     finish(target, spec, before)
     return commit
 

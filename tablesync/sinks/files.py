@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FALLBACK: dict[str, str] = {}
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,14 +40,31 @@ def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
     """Write a frame once to the shared folder and return the written copy.
 
     The copy has no lineage to its source, so it is neither read again nor able to change
-    between the steps of a run, and it survives the loss of executors.
+    between the steps of a run, and it survives the loss of executors. It is removed at the
+    end of the `staging_scope` it was made in, if any.
     """
     spark = df.sparkSession
     path = new_path(spark, purpose)
+    scope = _STAGED.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the staged frames of a block when it ends, however it ends."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            SharedFiles(spark, path).delete_root()
+
+
 class SharedFiles:
     """Hadoop file system calls the driver needs for commit files."""
 
@@ -71,6 +91,10 @@ class SharedFiles:
         found = self._fs.globStatus(self._path(pattern)) or []
         return [str(s.getPath().toString()) for s in found if s.isDirectory()]
 
+    def delete_root(self) -> None:
+        """Remove the directory these calls were made for, with all it holds."""
+        self._fs.delete(self._path(self.root), True)
+
     def size(self, paths: Sequence[str]) -> int:
         """Bytes under the paths."""
         return sum(

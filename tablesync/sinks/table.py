@@ -54,7 +54,7 @@ from tablesync.operators.predicates import (
 )
 from tablesync.operators.schema import require_same_columns
 from tablesync.operators.shape import actual_names, quoted
-from tablesync.sinks.files import stage
+from tablesync.sinks.files import stage, staging_scope
 from tablesync.sinks.ledger import BATCH, OPTIMIZE, SLICE, Commit, Ledger
 
 _DIR = "_dir"
@@ -340,15 +340,16 @@ class TargetTable:
             named = prefix + column if prefix and column in keys else column
             touched = broadcast_if_small(touched_partitions(source, named).toDF(column))
             located = in_touched_partitions(located, touched, column)
-        matched = stage(_matched_rows(located, source_keys, keys), "matched")
-        replaced = self._collect_dirs(matched)
-        new_dirs = []
-        if replaced:
-            kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
-            new_dirs += self._put(kept, before, redistribute=not small)
-        hits = matched.groupBy([quoted(key) for key in keys]).agg(F.count(F.lit(1)).alias("_hits"))
-        added = written_rows(source, hits, keys)
-        new_dirs += self._put(added, before, redistribute=True)
+        with staging_scope(self.spark):
+            matched = stage(_matched_rows(located, source_keys, keys), "matched")
+            replaced = self._collect_dirs(matched)
+            new_dirs = []
+            if replaced:
+                kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
+                new_dirs += self._put(kept, before, redistribute=not small)
+            names = [quoted(key) for key in keys]
+            hits = matched.groupBy(names).agg(F.count(F.lit(1)).alias("_hits"))
+            new_dirs += self._put(written_rows(source, hits, keys), before, redistribute=True)
         return self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
 
     def _delete(

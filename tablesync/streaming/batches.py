@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablesync.operators.changes import change_key
 from tablesync.operators.merge import latest_per_key
 from tablesync.operators.shape import quoted
-from tablesync.sinks.files import stage
+from tablesync.sinks.files import stage, staging_scope
 from tablesync.sinks.table import TargetTable
 
 
@@ -42,10 +42,11 @@ def apply_batch(
     if batch <= applied_batch(target, stream):
         return False
     change_keys = [change_key(key) for key in keys]
-    latest = stage(latest_per_key(changes, change_keys, version))
-    newest = latest.agg(F.max(quoted(version))).first()[0]
-    cursor = target.cursor() if newest is None else int(newest)
-    target.apply_changes(latest.drop(version), keys, cursor, stream=stream, batch=batch)
+    with staging_scope(target.spark):
+        latest = stage(latest_per_key(changes, change_keys, version))
+        newest = latest.agg(F.max(quoted(version))).first()[0]
+        cursor = target.cursor() if newest is None else int(newest)
+        target.apply_changes(latest.drop(version), keys, cursor, stream=stream, batch=batch)
     return True
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablesync import SpecError, SyncSpec, TargetTable, run_sync
 from tablesync.operators.changes import CursorExpiredError
+from tablesync.operators.schema import SchemaMismatchError
 from tablesync.plans.sync import plan_versions
+from tablesync.sinks.files import SharedFiles, shared_dir
 from tablesync.sources.feeds import JdbcChangeSource, LogChangeSource, with_change_names
 
 SCHEMA = "id int, name string, at timestamp_ntz"
@@ -142,6 +144,21 @@ def test_source_is_read_once(spark, new_dir, base):
     assert TargetTable(spark, spec.target_path).read().count() == 10
 
 
+def test_staged_frames_are_removed_at_the_end_of_a_run(spark, new_dir, base, feed):
+    files = SharedFiles(spark, shared_dir(spark))
+
+    def staged():
+        return {n for n in files.names(files.root) if n.startswith(("staged-", "matched-", "net-"))}
+
+    before = staged()
+    spec = tracked(new_dir)
+    run_sync(spark, spec, Source(base, None, 40))
+    run_sync(spark, spec, Source(base, with_change_names(feed), 41))
+    with pytest.raises(SchemaMismatchError):
+        run_sync(spark, spec, Source(base, with_change_names(feed).withColumn("more", F.lit(1)), 42))
+    assert staged() == before
+
+
 def test_missing_source(spark, new_dir, base):
     with pytest.raises(SpecError):
         run_sync(spark, SyncSpec(path=new_dir, table="T"))
