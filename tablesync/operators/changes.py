@@ -86,11 +86,24 @@ def change_feed(
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows that turn `old` into `new`: I, U and D with `_pk_<key>` columns.
 
-    Keys are unique and not NULL in each snapshot. Columns are compared null-safely, so the
-    result is exact.
+    Keys are unique in each snapshot. Columns are compared null-safely, so the result is exact.
+    Rows with a NULL key match nothing: they are listed as deleted and inserted without taking
+    part in the join, where they would all meet in one task.
     """
     names = new.columns
     keys = actual_names(keys, names)
+    keyless = " or ".join(f"`{key}` is null" for key in keys)
+    gone = old.where(keyless).select(
+        *[F.lit(None).cast(new.schema[name].dataType).alias(name) for name in names],
+        F.lit("D").alias(CHANGE_OP),
+        *[quoted(key).alias(change_key(key)) for key in keys],
+    )
+    added = new.where(keyless).select(
+        *[quoted(name) for name in names],
+        F.lit("I").alias(CHANGE_OP),
+        *[quoted(key).alias(change_key(key)) for key in keys],
+    )
+    old, new = old.where(f"not ({keyless})"), new.where(f"not ({keyless})")
     before = old.select([quoted(name).alias(f"_old_{name}") for name in names] + [
         F.lit(True).alias("_in_old")
     ])
@@ -104,7 +117,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
         F.when(F.col("_in_new").isNull(), "D").when(F.col("_in_old").isNull(), "I").when(~same, "U")
     )
     both = before.join(after, condition, "full_outer").withColumn(CHANGE_OP, operation)
-    return both.where(F.col(CHANGE_OP).isNotNull()).select(
+    found = both.where(F.col(CHANGE_OP).isNotNull()).select(
         *[quoted(name) for name in names],
         quoted(CHANGE_OP),
         *[
@@ -112,6 +125,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
             for key in keys
         ],
     )
+    return found.unionByName(gone).unionByName(added)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:

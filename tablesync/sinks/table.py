@@ -65,6 +65,9 @@ TASKS_PER_SLICE = 64
 # Key types whose bounds serve to skip files.
 _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 
+# Partition values that are spelled out in a filter.
+MAX_LISTED_PARTITIONS = 1000
+
 # Size of a clustered file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -335,11 +338,12 @@ class TargetTable:
         small = facts.key_bytes <= predicates.BROADCAST_BYTES
         source_keys = _merge_keys(source, prefixed, keys, small)
         located = _skip_by_bounds(self._scan(before, None, with_dir=True), keys, facts)
-        if source_partitions_only and before.partition_by:
+        if before.partition_by and (source_partitions_only or before.partition_by[-1] in keys):
             column = before.partition_by[-1]
-            named = prefix + column if prefix and column in keys else column
-            touched = broadcast_if_small(touched_partitions(source, named).toDF(column))
-            located = in_touched_partitions(located, touched, column)
+            named = prefix + column if column in keys else column
+            located = _only_partitions(
+                located, touched_partitions(source, named).toDF(column), column
+            )
         with staging_scope(self.spark):
             matched = stage(_matched_rows(located, source_keys, keys), "matched")
             replaced = self._collect_dirs(matched)
@@ -490,6 +494,21 @@ def _skip_by_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys)
     return located
 
 
+def _only_partitions(located: DataFrame, touched: DataFrame, column: str) -> DataFrame:
+    """Target rows in the touched partitions.
+
+    Up to `MAX_LISTED_PARTITIONS` values become a filter, by which Spark prunes partitions before
+    it lists files; more of them, or values of another type, are joined.
+    """
+    if isinstance(touched.schema[column].dataType, _BOUNDED_TYPES):
+        found = [row[0] for row in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+        if len(found) <= MAX_LISTED_PARTITIONS:
+            values = [value for value in found if value is not None]
+            listed = quoted(column).isin(values) if values else F.lit(False)
+            return located.where(listed | quoted(column).isNull() if None in found else listed)
+    return in_touched_partitions(located, broadcast_if_small(touched), column)
+
+
 def _matched_rows(located: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key and directory of every target row whose key the source has.
 

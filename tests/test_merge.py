@@ -196,6 +196,16 @@ def test_snapshot_diff_is_null_safe(spark):
     assert rows(apply_changes(old, found, ["k"])) == rows(new)
 
 
+def test_snapshot_diff_lists_rows_without_key_apart(spark):
+    old = spark.createDataFrame([(None, 1, 1), (1, 1, 1)], SCHEMA)
+    new = spark.createDataFrame([(None, 1, 1), (None, 2, 2), (1, 1, 2)], SCHEMA)
+    found = snapshot_diff(old, new, ["k"])
+    assert rows(found) == sorted([
+        (None, None, None, "D", None), (None, 1, 1, "I", None), (None, 2, 2, "I", None),
+        (1, 1, 2, "U", 1),
+    ], key=repr)
+
+
 def test_hot_key_and_null_keys_keep_every_row(spark):
     """A third of the target on one key, a third without key: merged like any other."""
     target = spark.range(9000).selectExpr(

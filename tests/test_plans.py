@@ -10,6 +10,7 @@ from tablesync.operators.predicates import broadcast_if_small, date_window, touc
 from tablesync.sinks.files import shared_dir
 from tablesync.sinks.table import (
     TargetTable,
+    _only_partitions,
     _matched_rows,
     _skip_by_bounds,
     measure_keys,
@@ -94,6 +95,16 @@ def test_key_bounds_reach_the_scan(spark, orders, new_dir):
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
+def test_partition_column_in_the_key_prunes_before_listing(spark, orders, new_dir):
+    target = TargetTable(spark, new_dir)
+    target.write(orders, partition_by=["o_orderpriority"])
+    located = target._scan(target.ledger.latest(), None, with_dir=True)
+    touched = touched_partitions(orders.where("o_orderpriority like '5%'"), "o_orderpriority")
+    text = plan(_only_partitions(located, touched, "o_orderpriority"))
+    filters = text[text.index("PartitionFilters: [") :].split("]")[0]
+    assert "o_orderpriority" in filters and "5-LOW" in filters
+
+
 def test_large_change_sets_shuffle_keys_once(spark, orders, new_dir, no_broadcast):
     target = TargetTable(spark, new_dir)
     target.write(orders)

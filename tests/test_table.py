@@ -155,6 +155,28 @@ def test_older_prune_rule_leaves_the_moved_row_behind(spark, filled):
     assert rows(filled.read().where("k = 0")) == [(0, "a", 0), (0, "c", 0)]
 
 
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_merge_by_a_key_with_the_partition_column(spark, filled, monkeypatch, listed):
+    monkeypatch.setattr(table_module, "MAX_LISTED_PARTITIONS", listed)
+    filled.write(spark.createDataFrame([(0, None, 5)], SCHEMA), "append")
+    source = spark.createDataFrame([(0, "a", 50), (0, "b", 51), (0, None, 52)], SCHEMA)
+    before = filled.ledger.latest()
+    after = filled.upsert(source, ["k", "p"])
+    assert partition_dirs(before, "c") == partition_dirs(after, "c")
+    assert rows(filled.read().where("k = 0")) == [
+        (0, "a", 50), (0, "b", 51), (0, None, 5), (0, None, 52),
+    ]
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_older_prune_rule_with_null_partitions(spark, target, monkeypatch, listed):
+    monkeypatch.setattr(table_module, "MAX_LISTED_PARTITIONS", listed)
+    target.write(spark.createDataFrame([(0, None, 0), (1, "a", 1), (2, "O'B", 2)], SCHEMA), partition_by=["p"])
+    source = spark.createDataFrame([(0, None, 9), (1, None, 9), (2, "O'B", 9)], SCHEMA)
+    target.upsert(source, ["k"], source_partitions_only=True)
+    assert rows(target.read()) == [(0, None, 9), (1, "a", 1), (1, None, 9), (2, "O'B", 9)]
+
+
 def test_partition_that_becomes_empty_disappears(spark, filled):
     gone = [(i, None, None, "D") for i in range(0, 12, 3)]
     commit = filled.apply_changes(change(spark, *gone), ["k"], 2)
