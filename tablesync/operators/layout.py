@@ -122,20 +122,18 @@ def zorder(
     partition_by: Sequence[str] = (),
     salt: Column | None = None,
     bits: int = 6,
-    keep_zvalue: bool = False,
+    sort: bool = True,
 ) -> DataFrame:
     """`df` in `num_files` partitions ordered by z-value within `partition_by`.
 
     The salt is the last range key, so a value combination that fills a large part of the
     table is still spread over several tasks and files. It must be deterministic for a row;
     by default it is a hash of the whole row, while a table scan can pass its row position.
+    Without `sort`, the z-value stays as a column for the caller to sort by.
     """
     if salt is None:
         salt = F.xxhash64(*[quoted(name) for name in df.columns])
     marked = with_zvalue(df.withColumn(SALT, salt), columns, bits)
     ranges = [quoted(name) for name in partition_by] + [F.col(ZVALUE)]
-    return (
-        marked.repartitionByRange(num_files, *ranges, F.col(SALT))
-        .sortWithinPartitions(*ranges)
-        .drop(SALT, *([] if keep_zvalue else [ZVALUE]))
-    )
+    clustered = marked.repartitionByRange(num_files, *ranges, F.col(SALT)).drop(SALT)
+    return clustered.sortWithinPartitions(*ranges).drop(ZVALUE) if sort else clustered

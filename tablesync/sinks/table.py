@@ -22,6 +22,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DecimalType,
     IntegerType,
@@ -85,6 +86,7 @@ class SourceKeys:
     key_bytes: int
     counts: dict[str, int]
     bounds: list[tuple]
+    types: list[DataType]
 
 
 def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
@@ -117,6 +119,7 @@ def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
         int(row["key_bytes"]),
         {op: int(row[f"_n_{op}"]) for op in operations},
         [(row[f"_low_{i}"], row[f"_high_{i}"]) for i in range(len(names))],
+        [field.dataType for field in source.select(names).schema],
     )
 
 
@@ -400,7 +403,7 @@ class TargetTable:
         position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
         clustered = zorder(
-            rows, columns, n_files, before.partition_by, salt=F.col("_position"), keep_zvalue=True
+            rows, columns, n_files, before.partition_by, salt=F.col("_position"), sort=False
         )
         new_dirs = self._put(clustered, before, redistribute=False, order=ZVALUE)
         return self._commit(before, OPTIMIZE, dirs, new_dirs, None)
@@ -488,19 +491,24 @@ def _skip_by_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys)
     of recent keys then does not read the keys of the whole table.
     """
     types = {field.name: field.dataType for field in located.schema}
-    for key, (low, high) in zip(keys, facts.bounds):
-        if low is not None and isinstance(types[key], _BOUNDED_TYPES):
+    for key, source_type, (low, high) in zip(keys, facts.types, facts.bounds):
+        if low is not None and _same_order(source_type, types[key]):
             located = located.where((quoted(key) >= F.lit(low)) & (quoted(key) <= F.lit(high)))
     return located
 
 
+def _same_order(source: DataType, target: DataType) -> bool:
+    """Whether source values, as literals, compare with target values as they do in the source."""
+    return any(isinstance(source, t) and isinstance(target, t) for t in _BOUNDED_TYPES)
+
+
 def _only_partitions(located: DataFrame, touched: DataFrame, column: str) -> DataFrame:
     """Target rows in the touched partitions.
 
     Up to `MAX_LISTED_PARTITIONS` values become a filter, by which Spark prunes partitions before
     it lists files; more of them, or values of another type, are joined.
     """
-    if isinstance(touched.schema[column].dataType, _BOUNDED_TYPES):
+    if _same_order(touched.schema[column].dataType, located.schema[column].dataType):
         found = [row[0] for row in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
         if len(found) <= MAX_LISTED_PARTITIONS:
             values = [value for value in found if value is not None]

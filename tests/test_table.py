@@ -203,6 +203,13 @@ def test_shuffled_merge_equals_broadcast_merge(spark, filled, monkeypatch):
     assert rows(filled.read()) == sorted(expected, key=repr)
 
 
+def test_keys_of_another_type_are_not_bounded_as_text(spark, filled):
+    source = spark.createDataFrame([("9", "a", -9), ("10", "b", -10)], "k string, p string, v int")
+    filled.upsert(source, ["k"])
+    assert rows(filled.read().where("v < 0")) == [(10, "b", -10), (9, "a", -9)]
+    assert filled.read().count() == 12
+
+
 def test_repeated_target_keys_are_all_updated(spark, target):
     target.write(spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "a", 3)], SCHEMA), partition_by=["p"])
     target.upsert(spark.createDataFrame([(1, "c", 9)], SCHEMA), ["k"])
