@@ -23,7 +23,14 @@ from tablesync.sinks.ledger import Commit
 from tablesync.sinks.table import TargetTable
 from tablesync.sources import change_sql
 from tablesync.sources.feeds import JdbcChangeSource
-from tablesync.sources.jdbc import jdbc_partitioned_scan, jdbc_scan, type_override_schema
+from tablesync.sources.jdbc import (
+    column_type,
+    filtered_relation,
+    jdbc_partitioned_scan,
+    jdbc_scan,
+    type_override_schema,
+    window_condition,
+)
 
 
 class ChangeSource(Protocol):
@@ -70,11 +77,22 @@ def read_source(spark: SparkSession, spec: SyncSpec, frame: DataFrame | None = N
 
 
 def _jdbc(spark: SparkSession, spec: SyncSpec, relation: str) -> DataFrame:
+    """The source's rows over JDBC.
+
+    Spark pushes filters into an unsplit read by itself. For a split read the source also gets
+    them as text, so that the ranges span the filtered rows.
+    """
     schema = _type_overrides(spark, spec)
+    whole = jdbc_scan(spark, spec.jdbc, relation, schema)
     if not spec.split_by:
-        return jdbc_scan(spark, spec.jdbc, relation, schema)
+        return whole
+    conditions = [spec.where] if spec.where else []
+    if spec.window_column and spec.window_dates:
+        window_type = column_type(whole, spec.window_column)
+        conditions.append(window_condition(spec.window_column, window_type, *spec.window_dates))
     return jdbc_partitioned_scan(
-        spark, spec.jdbc, relation, spec.split_by, spec.num_partitions, schema
+        spark, spec.jdbc, filtered_relation(relation, conditions), spec.split_by,
+        spec.num_partitions, schema,
     )
 
 

@@ -162,12 +162,3 @@ class JdbcChangeSource:
         return jdbc_partitioned_scan(
             self.spark, self.options, query, self.split_by, self.num_partitions, self.custom_schema
         )
-
-
-def change_rows(df: DataFrame, op: str, keys: Sequence[str]) -> DataFrame:
-    """Change rows from full row images that carry their own operation column."""
-    return df.select(
-        *[F.col(f"`{name}`") for name in df.columns if name != op],
-        F.col(f"`{op}`").alias(CHANGE_OP),
-        *[F.col(f"`{key}`").alias(change_key(key)) for key in keys],
-    )

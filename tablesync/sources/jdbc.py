@@ -53,6 +53,9 @@ SQL_TYPES: dict[str, DataType] = {
     "TIMESTAMP": TimestampType(),
 }
 
+# Types of columns by which a read can be split into ranges.
+_RANGE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
+
 
 def subquery(relation: str) -> str:
     """Relation text for the `dbtable` option: a query becomes a named subquery."""
@@ -109,6 +112,27 @@ def _derived_table(relation: str) -> str:
     return text[: -len(" subq")] if text.endswith(") subq") else text
 
 
+def filtered_relation(relation: str, conditions: Sequence[str]) -> str:
+    """Query over a relation with conditions for the source itself to evaluate."""
+    if not conditions:
+        return relation
+    text = " and ".join(f"({condition})" for condition in conditions)
+    return f"select * from {_derived_table(relation)} f where {text}"
+
+
+def window_condition(column: str, data_type: DataType, start: dt.date, end: dt.date) -> str:
+    """`[start, end)` on a column in the source's SQL, with JDBC's date and time literals."""
+    if isinstance(data_type, DateType):
+        return f"{column} >= {{d '{start}'}} and {column} < {{d '{end}'}}"
+    return f"{column} >= {{ts '{start} 00:00:00'}} and {column} < {{ts '{end} 00:00:00'}}"
+
+
+def column_type(df: DataFrame, column: str) -> DataType:
+    """Type of a column whose name may be quoted and in any case, as source SQL allows."""
+    wanted = column.strip('"[]`').lower()
+    return next(f.dataType for f in df.schema if f.name.lower() == wanted)
+
+
 def jdbc_partitioned_scan(
     spark: SparkSession,
     options: Mapping[str, str],
@@ -119,14 +143,18 @@ def jdbc_partitioned_scan(
 ) -> DataFrame:
     """Read in `num_partitions` parallel ranges of a numeric, date or timestamp column.
 
-    An empty source has no bounds and is read over one connection.
+    The ranges span the rows of the relation, so a filter that narrows them much belongs into
+    it (`filtered_relation`); otherwise few ranges would hold all that is left. An empty source
+    has no bounds and is read over one connection.
     """
+    scan = jdbc_scan(spark, options, relation, custom_schema)
+    split_type = column_type(scan, column)
+    if not isinstance(split_type, _RANGE_TYPES):
+        raise ValueError(f"cannot split a read by {column} of type {split_type.simpleString()}")
     bounds = jdbc_bounds(spark, options, relation, column).first()
     if bounds is None or bounds["min_bound"] is None:
-        return jdbc_scan(spark, options, relation, custom_schema)
-    scan = jdbc_scan(spark, options, relation, custom_schema)
-    types = {field.name.lower(): field.dataType for field in scan.schema}
-    if isinstance(types.get(column.strip('"[]`').lower()), TimestampNTZType):
+        return scan
+    if isinstance(split_type, TimestampNTZType):
         predicates = time_ranges(column, bounds["min_bound"], bounds["max_bound"], num_partitions)
         return _jdbc_predicates(spark, options, relation, predicates, custom_schema)
     ranges = {
@@ -291,8 +319,3 @@ def scalar_version(df: DataFrame) -> int:
     if row is None or row[0] is None:
         raise ValueError("the source returned no version: is change tracking enabled there?")
     return int(row[0])
-
-
-def is_range_column(data_type: DataType) -> bool:
-    """Whether a column of this type can split a parallel read."""
-    return isinstance(data_type, (NumericType, DateType, TimestampType, TimestampNTZType))

@@ -8,6 +8,7 @@ from tablesync.operators.changes import (
     capped_current_version,
     change_counts,
     change_feed,
+    cursor_is_valid,
     net_changes,
     snapshot_diff,
     source_versions,
@@ -224,6 +225,15 @@ def _last_synced_version(spark, sf):
     )
 
 
+def _cursor_validity(spark, sf):
+    """Which targets a source that has forgotten the older half of its versions can still serve."""
+    latest = latest_sync_commit(ledgers(spark, sf), ["user_id"])
+    versions = source_versions(read(spark, sf, "events"), "event_id").first()
+    oldest = F.lit((versions["min_valid_version"] + versions["current_version"]) // 2)
+    valid = cursor_is_valid(last_synced_version(latest, oldest), oldest)
+    return latest.select("user_id", valid.alias("is_valid"))
+
+
 def _expire_snapshots(spark, sf):
     now = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
     return expired_commits(ledgers(spark, sf), now, "interval 7 days", ["user_id"])
@@ -271,6 +281,7 @@ QUERIES = {
     "capped_current_version": _capped_current_version,
     "commit_history": _commit_history,
     "last_synced_version": _last_synced_version,
+    "cursor_validity": _cursor_validity,
     "expire_snapshots": _expire_snapshots,
     "expirable_dirs": _expirable_dirs,
     "snapshot_diff": _snapshot_diff,
@@ -396,6 +407,10 @@ ORACLE = {
         select h.user_id, coalesce(h.version, v.low) as last_version
         from ({_LATEST_COMMIT_SQL}) h
         join (select user_id, min(event_id) - 1 as low from events group by user_id) v on h.user_id = v.user_id""",
+    "cursor_validity": f"""
+        with o as (select (min(event_id) - 1 + max(event_id)) // 2 as oldest from events)
+        select user_id, coalesce(h.version, o.oldest) >= o.oldest as is_valid
+        from ({_LATEST_COMMIT_SQL}) h, o""",
     "expire_snapshots": f"""
         with l as ({LEDGER_SQL})
         select * from l where ts < timestamp '2024-01-13 00:00:00'

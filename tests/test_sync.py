@@ -1,5 +1,6 @@
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from conftest import rows
 from tablesync import SpecError, SyncSpec, TargetTable, run_sync
 from tablesync.operators.changes import CursorExpiredError
 from tablesync.operators.schema import SchemaMismatchError
-from tablesync.plans.sync import plan_versions
+from tablesync.plans.sync import plan_versions, read_source
 from tablesync.sinks.files import SharedFiles, shared_dir
 from tablesync.sources.feeds import JdbcChangeSource, LogChangeSource, with_change_names
 
@@ -247,6 +248,24 @@ def test_types_from_the_column_catalog_of_the_source(spark, derby, new_dir):
     assert tuple(seconds) == (at, at - 10 * 3600)
 
 
+def test_split_reads_span_the_filtered_rows(spark, derby, new_dir, table):
+    """Window and predicate reach the source before the ranges are cut, also for a query."""
+    upper = table("orders").toDF(*[c.upper() for c in table("orders").columns])
+    upper.write.format("jdbc").options(**derby).option("dbtable", "ORDERS").save()
+    for query in ("select * from ORDERS", ""):
+        spec = SyncSpec(
+            path=new_dir, table="ORDERS", jdbc=derby, query=query or "ORDERS", split_by="O_ORDERKEY",
+            num_partitions=4, where="O_ORDERKEY >= 1400", window_column="O_ORDERDATE",
+            window_start="1995-01-01", window_end="2002-01-01",
+        )
+        df = read_source(spark, spec)
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert rows(df) == rows(table("orders").where("o_orderkey >= 1400"))
+        assert len(sizes) == 4 and max(sizes) <= 30
+    with pytest.raises(ValueError):
+        read_source(spark, replace(spec, split_by="O_ORDERSTATUS"))
+
+
 def test_sliced_feed_keeps_the_latest_row_of_a_key(spark, derby):
     log = spark.createDataFrame([(1, 1, "I"), (1, 9, "D"), (2, 5, "I")], "ID int, VERSION bigint, OP string")
     log.write.format("jdbc").options(**derby).option("dbtable", "LOG").option(
