@@ -87,10 +87,11 @@ def _partition_bounds_time_of_day(spark, sf):
 
 
 def _type_override_schema(spark, sf):
-    catalog = read(spark, sf, "part").select(
-        F.col("p_brand").alias("table_name"),
-        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("column_name"),
-        F.expr("case when p_size <= 15 then 'date' when p_size <= 30 then 'datetime2' else 'int' end")
+    """A column catalog of many tables: every order is one, its line numbers are the columns."""
+    catalog = read(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("table_name"),
+        F.concat(F.lit("c"), F.col("l_linenumber").cast("string")).alias("column_name"),
+        F.expr("case l_returnflag when 'A' then 'date' when 'R' then 'datetime2' else 'int' end")
         .alias("data_type"),
     )
     return type_override_schema(catalog, ["table_name"])
@@ -247,11 +248,12 @@ ORACLE = {
                cast(min(l_orderkey) as varchar) as min_bound from lineitem""",
     "partition_bounds_time_of_day": _BOUNDS.format(c="ts", t="events"),
     "type_override_schema": """
-        select p_brand as table_name,
-               coalesce(string_agg('c' || p_partkey || case when p_size <= 15 then ' date' else ' timestamp' end, ', '
-                        order by 'c' || p_partkey || case when p_size <= 15 then ' date' else ' timestamp' end)
-                        filter (where p_size <= 30), '') as custom_schema
-        from part group by p_brand""",
+        select l_orderkey as table_name, coalesce(string_agg(distinct entry, ', ' order by entry), '') as custom_schema
+        from (select l_orderkey,
+                     case l_returnflag when 'A' then 'c' || l_linenumber || ' date'
+                                       when 'R' then 'c' || l_linenumber || ' timestamp' end as entry
+              from lineitem) c
+        group by l_orderkey""",
     "normalise_types": """
         select cast(p_partkey as integer) as p_partkey, p_name, p_brand, p_type,
                cast(p_size as bigint) as p_size, cast(p_retailprice as decimal(12, 2)) as p_retailprice
