@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,21 @@ def unit_interval(*parts: Column) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(2**52))
 
 
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """`mapInArrow` with this package's folder on the workers' import path.
+
+    Where executors do not share that folder, the package comes with the job (`--py-files`).
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = df.sparkSession.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return df.mapInArrow(function, schema)
+
+
 def byte_slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with up to `limit` bytes of text; a longer text stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

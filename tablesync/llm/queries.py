@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
+from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
 from tablesync.llm.sharding import kd_shards
 
@@ -36,10 +37,15 @@ def op6_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_poisson_mix": op4_poisson_mix,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_kd_tree_shards": op6_kd_tree_shards,
+    "op8_super_minhash": op8_super_minhash,
 }
 
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w!r}::double)" for s, w in SOURCE_WEIGHTS.items())
