@@ -91,6 +91,10 @@ def _powers(kind: str, base: int, count: int) -> np.ndarray:
     return known[:count]
 
 
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[ord("A") : ord("Z") + 1] += 32
+
+
 class Words:
     """The words of a run of texts: A-Z lower-cased, cut at ASCII white space.
 
@@ -99,11 +103,13 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array):
-        lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        self.texts = len(lowered)
-        offsets = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset : lowered.offset + self.texts + 1]
-        body = lowered.buffers()[2]
-        raw = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]] if body is not None else np.zeros(0, np.uint8)
+        filled = pc.fill_null(texts.cast(pa.large_string()), "")
+        self.texts = len(filled)
+        offsets = np.zeros(1, np.int64)
+        if self.texts:
+            offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + self.texts + 1]
+        body = filled.buffers()[2] or b""
+        raw = _LOWERED[np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]]]
         lengths = np.diff(offsets)
         place = np.arange(len(raw)) + np.repeat(np.arange(self.texts), lengths)
         self.data = np.full(len(raw) + self.texts, 32, np.uint8)

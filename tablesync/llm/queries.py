@@ -12,10 +12,15 @@ from tablesync.llm.exact_dedup import exact_duplicates
 from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
 from tablesync.llm.sharding import kd_shards
+from tablesync.llm.suffix_tree import score_texts
 
 SHARDS = 40
 
 
+def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents repeated to the weights: one row for each copy."""
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -42,6 +47,7 @@ def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_kd_tree_shards": op6_kd_tree_shards,
