@@ -11,6 +11,7 @@ from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
 from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
+from tablesync.llm.packing import pack_documents
 from tablesync.llm.sharding import kd_shards
 from tablesync.llm.suffix_tree import score_texts
 
@@ -46,12 +47,18 @@ def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
 
 
+def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_kd_tree_shards": op6_kd_tree_shards,
     "op8_super_minhash": op8_super_minhash,
+    "op10_residual_packing": op10_residual_packing,
 }
 
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w!r}::double)" for s, w in SOURCE_WEIGHTS.items())

@@ -34,6 +34,12 @@ LEAST_GRAM = 3e-7
 #: Words with at least this share of all tokens are known to every task: at most 1 / LEAST_WORD.
 LEAST_WORD = 5e-7
 
+#: Weight of the shorter state's prediction, in symbols for each different symbol seen.
+SMOOTHING = 4
+#: A context is a state if its gain in log-likelihood exceeds this, times its next symbols,
+#: times the logarithm of its count (a half is the Bayesian information criterion).
+DIVERGENCE = 0.5
+
 _END, _PAD = 0x09, 0x0A  # white space, so in no word
 
 
@@ -140,14 +146,15 @@ class SuffixTree:
         each the count of its context and the number of different symbols seen after it.
 
         A kept symbol has its share of the counts, interpolated with the shorter state's
-        prediction (Witten-Bell). Symbols left out share what remains as the shorter state does.
+        prediction, which counts as SMOOTHING symbols for each kind seen. Symbols left out share what remains as the shorter state does.
         """
         order = np.argsort(code)
         code, count, total, kinds = code[order], count[order], total[order], kinds[order]
         context = code >> np.uint64(8)
         first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(code) else np.zeros(0, np.int64)
         shorter = self.probability(code, depth - 1)
-        chance = (count + kinds * shorter) / (total + kinds)
+        weight = SMOOTHING * kinds
+        chance = (count + weight * shorter) / (total + weight)
         if len(code):
             rest = 1 - np.add.reduceat(chance, first), 1 - np.add.reduceat(shorter, first)
             self.escape[depth] = np.maximum(rest[0], 1e-12) / np.maximum(rest[1], 1e-12)
@@ -177,7 +184,7 @@ def learn(train: DataFrame) -> SuffixTree:
     grams = map_arrow(train.select("text"), _count_grams, "code bigint, n bigint")
     grams = stage(grams.groupBy("code").agg(F.sum("n").alias("n")), "grams")
     symbols = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2, math.ceil(LEAST_GRAM * symbols))
+    least = max(1, math.ceil(LEAST_GRAM * symbols))
     levels = {DEPTH: grams}
     for depth in range(DEPTH - 1, -1, -1):
         shorter_code = F.col("code").bitwiseAND(F.lit(int(_mask(depth + 1))))
@@ -196,7 +203,7 @@ def learn(train: DataFrame) -> SuffixTree:
             told = level.withColumn("suffix", suffix).join(known, "suffix")
             gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") * F.col("suffix_total") / F.col("suffix_n")))
             states = told.groupBy("context", "total").agg(gain.alias("gain"), F.count("*").alias("symbols"))
-            states = states.filter("gain > 0.5 * symbols * ln(total)").select("context")
+            states = states.filter(f"gain > {DIVERGENCE} * symbols * ln(total)").select("context")
             kept = level.join(states, "context", "left_semi")
         shorter = level
         found = kept.select("code", "n", "total", "kinds").toArrow()
