@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A-Z and a-z, the only letters whose case is changed.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever characters the names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is.
 
@@ -41,7 +47,7 @@ def unit_interval(*parts: Column) -> Column:
 
 
 def map_arrow(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """`mapInArrow` with this package's folder on the workers' import path.
 

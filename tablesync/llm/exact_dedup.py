@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import ascii_lower
+from tablesync.llm.common import ascii_lower, quoted
 from tablesync.sinks.files import stage
 
 #: A chunk ends after white space or punctuation that follows a pair of these characters.
@@ -82,7 +82,7 @@ def exact_duplicates(
     columns = [c for c in (docs.columns if carry is None else ["doc_id", *carry]) if c not in added]
     norm = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     source = docs.select(
-        *columns, norm.alias("_norm"), F.monotonically_increasing_id().alias("_row")
+        *quoted(columns), norm.alias("_norm"), F.monotonically_increasing_id().alias("_row")
     )
     slim = stage(
         recipes(source.withColumn("text_sha256", F.sha2("_norm", 256)), name), "recipes"
@@ -93,7 +93,7 @@ def exact_duplicates(
     found = slim.join(several, "_recipe", "left")
     alone = F.col("group_size").isNull()
     return found.select(
-        *columns,
+        *quoted(columns),
         F.when(alone, F.col("doc_id")).otherwise(F.col("_best.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
         (alone | (F.col("_row") == F.col("_best._row"))).alias("kept"),

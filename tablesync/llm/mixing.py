@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import unit_interval
+from tablesync.llm.common import quoted, unit_interval
 
 #: Weight given to each of the named sources by the registered query; all others share REST.
 SOURCE_WEIGHTS = {
@@ -82,14 +82,14 @@ def mix_sources(
     identity = (F.col("doc_id"), F.col("source"), F.md5(F.coalesce("text", F.lit(""))))
     draw = unit_interval(F.lit(seed), *identity)
     counted = (
-        docs.select(*columns, rate.alias("repeat_rate"), draw.alias("_draw"), steps.alias("_steps"))
+        docs.select(*quoted(columns), rate.alias("repeat_rate"), draw.alias("_draw"), steps.alias("_steps"))
         .withColumn("n_copies", F.size(F.filter("_steps", lambda p: p < F.col("_draw"))))
         .filter("n_copies > 0")
     )
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     key = F.xxhash64(F.lit(seed), F.lit("order"), F.col("_draw"), F.col("copy"))
     keyed = copies.withColumn("shuffle_key", key)
-    return keyed.select(*columns, *added).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return keyed.select(*quoted(columns), *added).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def _by_source(rates: Mapping[str | None, float]) -> tuple[Column, Column]:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
+from tablesync.llm.langid import predict_languages
+from tablesync.llm.metric_tree import integer_vectors, top_k
 from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
 from tablesync.llm.packing import pack_documents
@@ -43,10 +45,20 @@ def op6_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_metric_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
 
 
+def op9_marginal_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return predict_languages(docs, carry=["doc_id"])
+
+
 def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -57,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_poisson_mix": op4_poisson_mix,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_kd_tree_shards": op6_kd_tree_shards,
+    "op7_metric_tree_search": op7_metric_tree_search,
     "op8_super_minhash": op8_super_minhash,
+    "op9_marginal_language_id": op9_marginal_language_id,
     "op10_residual_packing": op10_residual_packing,
 }
 
@@ -95,4 +109,13 @@ with norm as (
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
     doc_id = max(doc_id) over same as kept, sha256(norm) as text_sha256
 from norm window same as (partition by norm)""",
+    "op7_metric_tree_search": """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, v.vec_id, list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2]))::bigint as score
+    from vectors q join vectors v on q.vec_id % 50 = 0 and v.vec_id <> q.vec_id)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
+from scored qualify rank <= 5""",
 }
