@@ -101,14 +101,19 @@ _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[ord("A") : ord("Z") + 1] += 32
 
 
+#: For each byte whether it parts words: ASCII white space, or all ASCII but letters and digits.
+WHITE_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+NOT_ALPHANUMERIC = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
 class Words:
-    """The words of a run of texts: A-Z lower-cased, cut at ASCII white space.
+    """The words of a run of texts: A-Z lower-cased, cut at the bytes `gaps`.
 
     `data` holds the bytes of all texts, a space after each; word w is `data[start[w]:end[w]]`
     and belongs to text `owner[w]`. `first[t]:first[t + 1]` are the words of text t.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, gaps: np.ndarray = WHITE_SPACE):
         filled = pc.fill_null(texts.cast(pa.large_string()), "")
         self.texts = len(filled)
         offsets = np.zeros(1, np.int64)
@@ -121,8 +126,7 @@ class Words:
         self.data = np.full(len(raw) + self.texts, 32, np.uint8)
         self.data[place] = raw
         self.text_start = offsets[:-1] - offsets[0] + np.arange(self.texts)
-        gap = (self.data == 32) | ((self.data >= 9) & (self.data <= 13))
-        edge = np.flatnonzero(np.diff(np.r_[True, gap, True].astype(np.int8)))
+        edge = np.flatnonzero(np.diff(np.r_[True, gaps[self.data], True].astype(np.int8)))
         self.start, self.end = edge[::2], edge[1::2]
         self.first = np.searchsorted(self.start, np.r_[self.text_start, len(self.data)])
         self.owner = np.repeat(np.arange(self.texts), np.diff(self.first))

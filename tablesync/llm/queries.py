@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
 from tablesync.llm.langid import predict_languages
+from tablesync.llm.licenses import scan_licenses
 from tablesync.llm.metric_tree import integer_vectors, top_k
 from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
 from tablesync.llm.packing import pack_documents
 from tablesync.llm.sharding import kd_shards
+from tablesync.llm.surrogates import replace_personal_data
 from tablesync.llm.suffix_tree import score_texts
 
 SHARDS = 40
@@ -24,6 +26,14 @@ def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents repeated to the weights: one row for each copy."""
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -66,6 +76,8 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
+    "op2_surrogates": op2_surrogates,
+    "op3_license_scan": op3_license_scan,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_kd_tree_shards": op6_kd_tree_shards,
