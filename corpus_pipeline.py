@@ -1,4 +1,8 @@
-"""A corpus made ready for training: the stages, and their run over `documents`."""
+"""A corpus made ready for training: the stages, and their run over `documents`.
+
+Each stage takes all that its predecessor kept, written as Parquet and read again, so a lost
+executor costs no earlier stage. The stages but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
@@ -6,26 +10,60 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
+from tablesync.llm.langid import UNKNOWN, predict_languages
+from tablesync.llm.minhash import near_duplicates, text_key
 from tablesync.llm.mixing import mix_sources
+from tablesync.llm.packing import pack_documents
 from tablesync.sinks.files import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document whose language is less sure than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language: null texts, texts without letters and undecided ones go."""
+    told = predict_languages(docs)
+    sure = (told["lang_pred"] != UNKNOWN) & (told["score"] >= LEAST_SCORE)
+    return told.filter(sure).select(*COLUMNS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id stays."""
-    return exact_duplicates(docs).filter("kept").select(*docs.columns)
+    return exact_duplicates(docs).filter("kept").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles, the one with the smallest doc_id stays.
+
+    Documents without an id stay.
+    """
+    gone = near_duplicates(docs, words=5, percent=80).filter("not kept").select("doc_id", "text_key")
+    keyed = docs.withColumn("text_key", text_key())
+    return keyed.join(stage(gone, "near-duplicates"), ["doc_id", "text_key"], "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights, shuffled."""
-    return mix_sources(docs).select(*docs.columns)
+    return mix_sources(docs).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents with their places in sequences."""
+    return pack_documents(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("mixing", mixing)]
+STAGES = [
+    ("language ID", language_id),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing", mixing),
+    ("best-fit packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, from `documents` as it is."""
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for at, (name, apply) in enumerate(STAGES):
         docs = apply(spark, docs, sf_dir)

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import Words, byte_slices, map_arrow, mix64
@@ -107,7 +107,7 @@ def _sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, node, n_shingles, digest of the set, and band keys (null for an empty set)."""
+    """doc_id, text_key, node, n_shingles, digest of the set (null if empty), and band keys."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,18 +127,27 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 starts = np.arange(part.num_rows + 1, dtype=np.int32) * BANDS
                 keys = pa.ListArray.from_arrays(pa.array(starts), pa.array(key.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("node"), pa.array(counts), pa.array(digests, pa.binary()), keys],
-                    ["doc_id", "node", "n_shingles", "digest", "bands"],
+                    [*(part.column(c) for c in _NODE), pa.array(counts), pa.array(digests, pa.binary()), keys],
+                    [*_NODE, "n_shingles", "digest", "bands"],
                 )
 
-    schema = f"doc_id {kind}, node bigint, n_shingles bigint, digest binary, bands array<bigint>"
+    schema = f"doc_id {kind}, text_key bigint, node bigint, n_shingles bigint, digest binary, bands array<bigint>"
     return map_arrow(_nodes(docs), signed, schema)
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, text and node: the doc_id, or where that is null a number far below, from the text."""
-    own = -F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2**61)) - F.lit(2**62)
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), own).alias("node"), "text")
+    """doc_id, text_key, text and node: the doc_id, or where that is null a number far below, from the text."""
+    key = text_key()
+    own = -F.pmod(key, F.lit(2**61)) - F.lit(2**62)
+    return docs.select("doc_id", key.alias("text_key"), F.coalesce(F.col("doc_id").cast("bigint"), own).alias("node"), "text")
+
+
+_NODE = ["doc_id", "text_key", "node"]
+
+
+def text_key() -> Column:
+    """Tells rows that share a doc_id apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -197,7 +206,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_key (see `text_key`), n_shingles, component_id, kept.
 
     A document's set holds its distinct shingles of `words` words (A-Z lower-cased, cut at
     ASCII white space); with fewer words the whole sequence is the only shingle, without words
@@ -256,5 +265,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = joined.join(stage(smallest, "component-ids"), "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return named.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )

@@ -61,7 +61,8 @@ def op7_metric_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2, percent=80)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, words=2, percent=80).drop("text_key")
 
 
 def op9_marginal_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

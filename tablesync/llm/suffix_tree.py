@@ -40,6 +40,11 @@ SMOOTHING = 4
 #: times the logarithm of its count (a half is the Bayesian information criterion).
 DIVERGENCE = 0.5
 
+#: Bytes of text that are counted or scored at once.
+SLICE = 2_000_000
+#: Grams that a task merges before it hands them on.
+HELD = 2_500_000
+
 _END, _PAD = 0x09, 0x0A  # white space, so in no word
 
 
@@ -83,7 +88,7 @@ def _word_array(words: Words) -> pa.Array:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in byte_slices(batch, "text"):
+        for part in byte_slices(batch, "text", SLICE):
             words = Words(part.column("text"))
             coded = _word_array(words).dictionary_encode()
             code, distinct = coded.indices.to_numpy(), len(coded.dictionary)
@@ -103,14 +108,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, np.ndarray]] = []
     rows = 0
     for batch in batches:
-        for part in byte_slices(batch, "text"):
+        for part in byte_slices(batch, "text", SLICE):
             code, count = np.unique(Stream(Words(part.column("text"))).code, return_counts=True)
             held.append((code, count))
             rows += len(code)
-            if rows > 6_000_000:
+            if rows > HELD:
                 held = [_merged(held)]
                 rows = len(held[0][0])
-                if rows > 4_000_000:
+                if rows > HELD // 2:
                     yield _gram_batch(*held.pop())
                     rows = 0
     if held:
@@ -246,7 +251,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         chance = np.log10((np.r_[counts, 0] + 1) / divisor)
         end = math.log10((train_ends + 1) / divisor)
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SLICE):
                 words = Words(part.column("text"))
                 spelled = _word_array(words)
                 index = pc.fill_null(pc.index_in(spelled, value_set=names), -1).to_numpy(zero_copy_only=False)
