@@ -10,8 +10,9 @@ Bands of the signature choose candidates; every link is confirmed on the full sh
 Documents with equal sets are one class with one representative. A bucket is never expanded
 into all its pairs: its members are compared with one leader, different from band to band, and
 the links are united into components. Only members of buckets that still span several
-components are then compared with each other, as far as the distances to their leader leave a
-link possible (the Jaccard distance is a metric), so no candidate pair is lost.
+components are then compared with each other, as far as two exact bounds leave a link possible:
+the distances to their leader (the Jaccard distance is a metric), and prefixes of their sets
+with the rarest shingles first, which similar sets must share. No candidate pair is lost.
 """
 
 from __future__ import annotations
@@ -166,11 +167,30 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return map_arrow(chosen.select("node", "text"), listed, "node bigint, shingles array<bigint>")
 
 
-def _measured(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+def _sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    return stage(_shingle_sets(docs, stage(nodes.distinct(), "candidates"), words), "shingle-sets")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """rep and prefix: the shingles of each set that a linked set can have as its rarest ones.
+
+    Rarest first, ties by hash: the order is the same for all sets, so two sets that share o
+    shingles share one of their first n - o + 1. Shingles of one set only stand as nulls; sets
+    with nothing else in their prefix can't have a link and are left out.
+    """
+    listed = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    counts = listed.groupBy("shingle").agg(F.count("*").alias("sets"))
+    ranked = listed.join(counts, "shingle").groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "shingle"))).alias("all")
+    )
+    first = F.slice("all", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    shared = F.transform(first, lambda s: F.when(s["sets"] > 1, s["shingle"]))
+    named = ranked.select(F.col("node").alias("rep"), shared.alias("prefix"))
+    return named.filter(F.exists("prefix", lambda s: s.isNotNull()))
+
+
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) with the sizes of their sets' intersection and union."""
-    pairs = stage(pairs, "candidate-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stage(_shingle_sets(docs, stage(nodes, "candidates"), words), "shingle-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b")), "b")
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -181,26 +201,24 @@ def _measured(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for every node of the links (a, b).
 
-    Alternates large-star and small-star steps until nothing changes; both are a minimum per
-    node and a join, so a node with very many links costs no more than its links.
+    Alternates large-star and small-star steps until the links are stars around the roots; both
+    are a minimum per node and a join, so a node with very many links costs no more than its
+    links.
     """
     links = stage(links.selectExpr("greatest(a, b) as u", "least(a, b) as v").filter("u <> v").distinct(), "links")
-    seen = None
     while True:
         both = links.union(links.selectExpr("v as u", "u as v"))
         lowest = both.groupBy("u").agg(F.min("v").alias("low")).selectExpr("u", "least(u, low) as low")
         large = both.filter("v > u").join(stage(lowest, "lowest"), "u").selectExpr("v as u", "low as v")
-        large = stage(large.filter("u <> v").distinct(), "links")
-        lowest = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(stage(lowest, "lowest"), "u")
-        links = stage(
-            small.selectExpr("v as u", "low as v").union(small.selectExpr("u", "low as v")).filter("u <> v").distinct(),
-            "links",
-        )
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        links = stage(large.filter("u <> v").distinct(), "links")
+        # a star has each node once, and its centre is no node of another
+        lowest = stage(links.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")), "lowest")
+        chained = lowest.join(links.select(F.col("v").alias("u")), "u", "left_semi")
+        if lowest.filter("n > 1").isEmpty() and chained.isEmpty():
             break
-        seen = state
+        small = links.join(lowest, "u")
+        small = small.selectExpr("v as u", "low as v").union(small.selectExpr("u", "low as v"))
+        links = stage(small.filter("u <> v").distinct(), "links")
     roots = links.selectExpr("v as node", "v as root").distinct()
     return stage(links.selectExpr("u as node", "v as root").union(roots), "components")
 
@@ -235,7 +253,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     fits = f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})"
     stars = members.filter("rep <> leader").filter(fits.format("n", "leader_n"))
-    first = _measured(docs, stars.selectExpr("least(rep, leader) as a", "greatest(rep, leader) as b").distinct(), words)
+    stars = stage(stars.selectExpr("least(rep, leader) as a", "greatest(rep, leader) as b").distinct(), "star-pairs")
+    nodes = stars.select(F.col("a").alias("node")).union(stars.select("b"))
+    first = _measured(stars, _sets_of(docs, nodes, words))
     linked = f"100 * shared >= {percent} * joined"
     links = first.filter(linked).select("a", "b")
     grouped = components(links)
@@ -247,12 +267,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "key", "rep", "n", "root", "case when rep = leader then 0d else 1 - shared / joined end as far"
     ), "placed-members")
     mixed = stage(placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key"), "mixed-buckets")
-    rest = placed.join(mixed, "key", "left_semi")
-    left, right = (rest.select("key", *(F.col(c).alias(c + side) for c in ("rep", "n", "root", "far"))) for side in "ab")
+    rest = stage(placed.join(mixed, "key", "left_semi"), "mixed-members")
+    sets = _sets_of(docs, rest.select(F.col("rep").alias("node")), words)
+    rest = stage(rest.join(_prefixes(sets, percent), "rep"), "members-with-prefixes")
+    left, right = (rest.select("key", *(F.col(c).alias(c + side) for c in ("rep", "n", "root", "far", "prefix"))) for side in "ab")
     near = f"coalesce(abs(fara - farb) <= {1 - percent / 100 + 1e-9}, true)"
+    shared = f"cast(ceil({percent} * (na + nb) / {100 + percent}) as int)"
+    heads = (f"slice(prefix{side}, 1, cast(greatest(n{side} - {shared} + 1, 0) as int))" for side in "ab")
     pairs = left.join(right, "key").filter("repa < repb and roota <> rootb").filter(near).filter(fits.format("na", "nb"))
+    pairs = pairs.filter(f"coalesce(arrays_overlap({', '.join(heads)}), false)")
     pairs = pairs.selectExpr("repa as a", "repb as b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = _measured(docs, pairs, words)
+    second = _measured(stage(pairs, "candidate-pairs"), sets)
     more = second.filter(linked).select("a", "b")
     if not more.isEmpty():
         grouped = components(grouped.filter("node <> root").selectExpr("node as a", "root as b").union(more))
