@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.operators.merge import require_unique_keys
 from tablesync.operators.predicates import CHANGE_KEY_PREFIX, CHANGE_OP
 from tablesync.operators.shape import actual_names, quoted
 
@@ -86,12 +87,14 @@ def change_feed(
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows that turn `old` into `new`: I, U and D with `_pk_<key>` columns.
 
-    Keys are unique in each snapshot. Columns are compared null-safely, so the result is exact.
+    A key that a snapshot repeats raises `DuplicateKeyError`. Columns are compared null-safely, so the result is exact.
     Rows with a NULL key match nothing: they are listed as deleted and inserted without taking
     part in the join, where they would all meet in one task.
     """
     names = new.columns
     keys = actual_names(keys, names)
+    for snapshot in (old, new):
+        require_unique_keys(snapshot, keys)
     keyless = " or ".join(f"`{key}` is null" for key in keys)
     gone = old.where(keyless).select(
         *[F.lit(None).cast(new.schema[name].dataType).alias(name) for name in names],

@@ -2,98 +2,86 @@
 
 Every column is replaced by its rank among cut points, the ranks' bits are interleaved into
 one number, and rows are range-partitioned and sorted by that number. Files then cover narrow
-ranges of each column, which the scan's min/max statistics can skip.
+ranges of each column, which the scan's min/max statistics can skip. Cut points are whole
+values of any type that can be ordered, so long common starts of texts do no harm.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BinaryType,
-    BooleanType,
-    DataType,
-    DateType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import BinaryType, DataType
 
 from tablesync.operators.shape import quoted
 
 ZVALUE = "_zvalue"
 SALT = "_zsalt"
 
+# Bits of a z-value; a column beyond as many only orders the rows of a cell.
+MAX_BITS = 62
 
-def _ordinal(column: Column, data_type: DataType) -> Column:
-    """A number that does not decrease as the column grows; NULL stays NULL."""
-    if isinstance(data_type, NumericType):
-        return column.cast("double")
-    if isinstance(data_type, BooleanType):
-        return column.cast("double")
-    if isinstance(data_type, DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(data_type, (TimestampType, TimestampNTZType)):
-        return column.cast("timestamp").cast("double")
-    if isinstance(data_type, (StringType, BinaryType)):
-        # the first six bytes, padded, as a number: exact in a double
-        head = F.substring(column.cast("binary"), 1, 6)
-        return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot cluster by a column of type {data_type.simpleString()}")
+# Sampled rows per cut point. Cut points shape the files, they decide no row's content.
+ROWS_PER_CUT = 100
 
 
-def _cut_points(df: DataFrame, ordinals: Sequence[str], bits: int) -> list[list[float]]:
-    """`2^bits - 1` rising cut points per column, from one sketch pass over all rows.
+def bits_per_column(n_columns: int, num_files: int) -> int:
+    """Bits of each column, so that all together tell some times more cells than files."""
+    wanted = math.ceil((math.log2(max(num_files, 1)) + 2) / n_columns)
+    return max(1, min(wanted, MAX_BITS // min(n_columns, MAX_BITS), 12))
 
-    They split the rows evenly, so a frequent value stands for several of them.
-    """
-    n_cells = 2**bits
-    shares = F.array(*[F.lit(i / n_cells) for i in range(1, n_cells)])
-    sketches = [
-        F.percentile_approx(name, shares, F.lit(16 * n_cells)).alias(name) for name in ordinals
-    ]
-    row = df.select(*sketches).first()
-    return [sorted(points or []) for points in row]
 
+def _cut_points(df: DataFrame, columns: Sequence[str], bits: int) -> list[list[str]]:
+    """`2^bits - 1` rising cut points per column as text, NULL left out.
 
-def _ranked(df: DataFrame, ordinals: Sequence[str], cuts: Sequence[list[float]]) -> DataFrame:
-    """Each ordinal column replaced by its rank: the number of cut points not above the value.
-
-    A bucketizer finds the place among the distinct cut points by binary search; a table
-    then tells the rank there. Equal cut points count each, so the ranks of every column, also
-    of one with few values, spread over the whole range and weigh the same in the z-value.
-    NULL and NaN rank lowest.
+    They split a sample evenly whose size goes with the number of cut points only, so a
+    frequent value stands for several of them.
     """
-    for name, points in zip(ordinals, cuts):
-        distinct = sorted({point for point in points if math.isfinite(point)})
-        if not distinct:
-            df = df.withColumn(name, F.lit(0).cast("long"))
-            continue
-        place = f"{name}_place"
-        bucketizer = Bucketizer(
-            splits=[-math.inf, *distinct, math.inf],
-            inputCol=name,
-            outputCol=place,
-            handleInvalid="keep",
-        )
-        finite = [point for point in points if math.isfinite(point)]
-        ranks = [bisect_right(finite, point) for point in [-math.inf, *distinct]]
-        table = F.array(*[F.lit(rank).cast("long") for rank in [*ranks, len(finite)]])
-        df = bucketizer.transform(df.fillna(-math.inf, [name]))
-        df = df.withColumn(name, F.get(table, F.col(place).cast("int"))).drop(place)
-    return df
+    n_cells = 2**bits
+    n_rows = df.count()
+    share = min(1.0, ROWS_PER_CUT * n_cells / max(n_rows, 1))
+    sample = df.select([quoted(name) for name in columns])
+    sample = sample if share == 1.0 else sample.sample(share, seed=1)
+    places = F.sequence(F.lit(1), F.lit(n_cells - 1))
+
+    def cuts(name: str) -> Column:
+        ordered = F.sort_array(F.collect_list(quoted(name)))
+        at = F.transform(places, lambda i: F.floor(i * F.size(ordered) / n_cells).cast("int"))
+        return F.transform(at, lambda i: _as_text(F.get(ordered, i), df.schema[name].dataType))
+
+    row = sample.agg(*[cuts(name).alias(f"c{i}") for i, name in enumerate(columns)]).first()
+    return [[cut for cut in points if cut is not None] for points in row]
+
+
+def _as_text(value: Column, data_type: DataType) -> Column:
+    return F.hex(value) if isinstance(data_type, BinaryType) else value.cast("string")
+
+
+def _rank(column: Column, data_type: DataType, cuts: Sequence[str], bits: int) -> Column:
+    """Number of cut points not above the value, by binary search; NULL ranks lowest."""
+    if not cuts:
+        return F.lit(0).cast("long")
+    texts = F.lit(list(cuts))
+    if isinstance(data_type, BinaryType):
+        points = F.transform(texts, F.unhex)
+    else:
+        points = texts.cast(f"array<{data_type.simpleString()}>")
+    steps = F.lit([2**bit for bit in reversed(range(bits))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(
+            (found + step <= len(cuts)) & (F.get(points, found + step - 1) <= column), found + step
+        ).otherwise(found),
+    ).cast("long")
 
 
 def interleave(ranks: Sequence[Column], bits: int) -> Column:
     """Z-value: bit `b` of rank `i` becomes bit `b * n + (n - 1 - i)`."""
     n = len(ranks)
-    if bits * n > 62:
+    if bits * n > MAX_BITS:
         raise ValueError("too many clustering columns for the number of bits")
     value = F.lit(0).cast("long")
     for bit in range(bits):
@@ -103,16 +91,13 @@ def interleave(ranks: Sequence[Column], bits: int) -> Column:
     return value
 
 
-def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     """`df` with the z-value of each row, from cut points taken over all its rows."""
+    columns = list(columns)[: MAX_BITS // bits]
     types = {field.name: field.dataType for field in df.schema}
-    ordinals = [f"_zordinal_{i}" for i in range(len(columns))]
-    numbered = df.withColumns(
-        {o: _ordinal(quoted(name), types[name]) for o, name in zip(ordinals, columns)}
-    )
-    ranked = _ranked(numbered, ordinals, _cut_points(numbered, ordinals, bits))
-    value = interleave([F.col(name) for name in ordinals], bits)
-    return ranked.withColumn(ZVALUE, value).drop(*ordinals)
+    cuts = _cut_points(df, columns, bits)
+    ranks = [_rank(quoted(n), types[n], points, bits) for n, points in zip(columns, cuts)]
+    return df.withColumn(ZVALUE, interleave(ranks, bits))
 
 
 def zorder(
@@ -121,19 +106,19 @@ def zorder(
     num_files: int,
     partition_by: Sequence[str] = (),
     salt: Column | None = None,
-    bits: int = 6,
     sort: bool = True,
 ) -> DataFrame:
     """`df` in `num_files` partitions ordered by z-value within `partition_by`.
 
-    The salt is the last range key, so a value combination that fills a large part of the
+    Rows of a cell are ordered by the columns themselves. The salt is the last range key, so a value combination that fills a large part of the
     table is still spread over several tasks and files. It must be deterministic for a row;
     by default it is a hash of the whole row, while a table scan can pass its row position.
     Without `sort`, the z-value stays as a column for the caller to sort by.
     """
     if salt is None:
         salt = F.xxhash64(*[quoted(name) for name in df.columns])
+    bits = bits_per_column(len(columns), num_files)
     marked = with_zvalue(df.withColumn(SALT, salt), columns, bits)
-    ranges = [quoted(name) for name in partition_by] + [F.col(ZVALUE)]
+    ranges = [*[quoted(name) for name in partition_by], F.col(ZVALUE), *[quoted(n) for n in columns]]
     clustered = marked.repartitionByRange(num_files, *ranges, F.col(SALT)).drop(SALT)
     return clustered.sortWithinPartitions(*ranges).drop(ZVALUE) if sort else clustered

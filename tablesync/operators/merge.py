@@ -3,8 +3,10 @@
 A merge never needs a full outer join here. The target loses the rows whose key the source
 touches (an anti-join on the key columns alone, which Spark broadcasts when the source is
 small and splits by key otherwise) and gains the source's rows. A source row that matches
-several target rows replaces each of them, so a second, keys-only pass over the target counts
-matches; `target_keys_unique=True` states that the count can only be 0 or 1 and drops that pass.
+several target rows replaces each of them: the keys of the matched target rows, found by a
+keys-only semi-join, are joined with the source, so a key on many target rows is spread by
+adaptive execution like any skewed join. `target_keys_unique=True` states that no key repeats
+and drops that pass. A source that repeats a key raises `DuplicateKeyError`.
 
 NULL keys match nothing on either side: such target rows stay, such source rows are inserted.
 """
@@ -15,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
@@ -29,8 +32,6 @@ from tablesync.operators.predicates import (
 )
 from tablesync.operators.shape import actual_names, quoted
 
-_HITS = "_hits"
-
 
 class DuplicateKeyError(ValueError):
     """Several source rows carry the same merge key."""
@@ -59,73 +60,81 @@ def require_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """One row per key: the one with the highest `version` (rows with a NULL key all stay).
 
-    An aggregate with map-side combine rather than a window, so one hot key does not put all
-    its rows into one task. Among rows of equal version the greatest in column order wins.
+    Hash aggregates with map-side combine, and a join, rather than a window: one hot key does
+    not put all its rows into one task, and full-width rows are not sorted. Only rows that tie
+    for the highest version are compared as a whole, maps by their JSON text: the greatest in
+    column order wins.
     """
     keys = actual_names(keys, df.columns)
     version = actual_names([version], df.columns)[0]
-    others = [name for name in df.columns if name not in set(keys)]
+    names = [quoted(key) for key in keys]
+    columns = [quoted(name) for name in df.columns]
     keyless = " or ".join(f"`{key}` is null" for key in keys)
-    ordered = F.struct(quoted(version), *[quoted(name) for name in others if name != version])
-    best = (
-        df.where(f"not ({keyless})")
-        .groupBy([quoted(key) for key in keys])
-        .agg(F.max(ordered).alias("_best"))
-        .select(*[quoted(key) for key in keys], "_best.*")
-        .select([quoted(name) for name in df.columns])
+    keyed = df.where(f"not ({keyless})")
+    counts = keyed.groupBy(*names, quoted(version).alias("_top")).agg(F.count(F.lit(1)).alias("_rows"))
+    top = counts.groupBy(names).agg(F.max("_top").alias("_top"), F.max_by("_rows", "_top").alias("_rows"))
+    found = keyed.join(top, keys).where(quoted(version).eqNullSafe(F.col("_top")))
+    # a key whose versions are all NULL has no count
+    single = F.coalesce(F.col("_rows"), F.lit(2)) == 1
+    tied = found.where(~single).select(*columns, _comparable(df).alias("_whole"))
+    greatest = tied.groupBy(names).agg(F.max("_whole").alias("_greatest"))
+    settled = tied.join(greatest, keys).where("_whole = _greatest")
+    settled = settled.groupBy(columns).agg(F.count(F.lit(1))).select(columns)
+    return found.where(single).select(columns).unionByName(settled).unionByName(df.where(keyless))
+
+
+def _comparable(df: DataFrame) -> Column:
+    """The row as a struct that can be ordered."""
+    return F.struct(
+        *[
+            (F.to_json(F.struct(quoted(field.name))) if _has_map(field.dataType) else quoted(field.name))
+            .alias(field.name)
+            for field in df.schema
+        ]
     )
-    return best.unionByName(df.where(keyless))
+
+
+def _has_map(data_type: DataType) -> bool:
+    if isinstance(data_type, ArrayType):
+        return _has_map(data_type.elementType)
+    if isinstance(data_type, StructType):
+        return any(_has_map(field.dataType) for field in data_type)
+    return isinstance(data_type, MapType)
 
 
 def _renamed_keys(source: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return source.select([quoted(prefix + key).alias(key) for key in keys])
 
 
-def key_hits(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key present in both frames, how many target rows carry it (`_hits`).
-
-    Counted before joining, so that many target rows of one key shrink to one before a shuffle;
-    Spark moves the semi-join below the count by itself when it can broadcast the source keys.
-    """
-    names = [quoted(key) for key in keys]
-    counts = target.select(names).groupBy(names).agg(F.count(F.lit(1)).alias(_HITS))
-    return counts.join(source_keys, list(keys), "left_semi")
+def matched_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key of every target row that the source touches, once per row."""
+    return target.select([quoted(key) for key in keys]).join(source_keys, list(keys), "left_semi")
 
 
-def _with_hits(source: DataFrame, hits: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    """Source rows plus `_hits`, 0 where no target row matches."""
-    matched = hits.select([quoted(key).alias(f"_hit_{key}") for key in keys] + [_HITS])
+def _split_matched(
+    source: DataFrame, matched: DataFrame, keys: Sequence[str], prefix: str
+) -> tuple[DataFrame, DataFrame]:
+    """Source rows once for each target row they match, and source rows that match none."""
+    hits = matched.select([quoted(key).alias(f"_hit_{key}") for key in keys])
     condition = [quoted(prefix + key) == F.col(f"`_hit_{key}`") for key in keys]
-    joined = source.join(matched, condition, "left")
-    return joined.select(
-        [quoted(name) for name in source.columns] + [F.coalesce(_HITS, F.lit(0)).alias(_HITS)]
-    )
-
+    columns = [quoted(name) for name in source.columns]
+    return hits.join(source, condition).select(columns), source.join(hits, condition, "left_anti")
 
-def _repeat(df: DataFrame, copies: Column) -> DataFrame:
-    """Each row `copies` times (none for 0), without the `_hits` column."""
-    names = [quoted(name) for name in df.columns if name != _HITS]
-    times = F.array_repeat(F.lit(True), copies.cast("int"))
-    return df.select(*names, F.explode(times).alias("_copy")).drop("_copy")
 
-
-def rows_to_upsert(source: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rows_to_upsert(source: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows as a merge writes them: one per matched target row, one if unmatched."""
-    return _repeat(_with_hits(source, hits, keys, ""), F.greatest(F.lit(1), F.col(_HITS)))
+    updates, inserts = _split_matched(source, matched, keys, "")
+    return updates.unionByName(inserts)
 
 
-def rows_to_apply(changes: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+def rows_to_apply(changes: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows as a merge writes them.
 
     Matched rows are written unless they delete; unmatched rows only if they insert or update.
     """
-    copies = (
-        F.when((F.col(_HITS) > 0) & F.coalesce(~is_delete(), F.lit(True)), F.col(_HITS))
-        .when((F.col(_HITS) == 0) & is_write(), F.lit(1))
-        .otherwise(F.lit(0))
-    )
-    marked = _with_hits(changes, hits, keys, CHANGE_KEY_PREFIX)
-    return drop_change_columns(_repeat(marked, copies))
+    updates, inserts = _split_matched(changes, matched, keys, CHANGE_KEY_PREFIX)
+    written = updates.where(F.coalesce(~is_delete(), F.lit(True))).unionByName(inserts.where(is_write()))
+    return drop_change_columns(written)
 
 
 def drop_change_columns(changes: DataFrame) -> DataFrame:
@@ -159,11 +168,12 @@ def upsert(
         inside = in_touched_partitions(target, touched, source_partitions_only)
         outside = not_in_touched_partitions(target, touched, source_partitions_only)
         return upsert(inside, source, keys, target_keys_unique).unionByName(outside)
+    require_unique_keys(source, keys)
     source_keys = _renamed_keys(source, keys, "")
     kept = delete_keys(target, source_keys, keys)
     if target_keys_unique:
         return kept.unionByName(source)
-    return kept.unionByName(rows_to_upsert(source, key_hits(target, source_keys, keys), keys))
+    return kept.unionByName(rows_to_upsert(source, matched_keys(target, source_keys, keys), keys))
 
 
 def apply_changes(
@@ -176,12 +186,13 @@ def apply_changes(
 
     Deletes of absent rows do nothing; updates of absent rows insert.
     """
+    require_unique_keys(changes, [CHANGE_KEY_PREFIX + key for key in keys])
     change_keys = _renamed_keys(changes, keys, CHANGE_KEY_PREFIX)
     kept = delete_keys(target, change_keys, keys)
     if target_keys_unique:
         return kept.unionByName(drop_change_columns(changes.where(is_write())))
-    hits = key_hits(target, change_keys, keys)
-    return kept.unionByName(rows_to_apply(changes, hits, keys))
+    matched = matched_keys(target, change_keys, keys)
+    return kept.unionByName(rows_to_apply(changes, matched, keys))
 
 
 def apply_parent_child_changes(
@@ -192,9 +203,17 @@ def apply_parent_child_changes(
     target_keys_unique: bool = False,
 ) -> DataFrame:
     """Delete all rows of the parents that occur in D rows, then upsert the I and U rows."""
+    writes = changes.where(is_write())
+    require_unique_keys(writes, [CHANGE_KEY_PREFIX + key for key in primary_key])
     parents = _renamed_keys(changes.where(is_delete()), parent_key, CHANGE_KEY_PREFIX)
-    remaining = delete_keys(target, parents, parent_key)
-    return apply_changes(remaining, changes.where(is_write()), primary_key, target_keys_unique)
+    change_keys = _renamed_keys(writes, primary_key, CHANGE_KEY_PREFIX)
+    kept = delete_keys(delete_keys(target, change_keys, primary_key), parents, parent_key)
+    if target_keys_unique:
+        return kept.unionByName(drop_change_columns(writes))
+    both = target.select([quoted(name) for name in dict.fromkeys([*primary_key, *parent_key])])
+    touched = both.join(change_keys, list(primary_key), "left_semi").select(both.columns)
+    matched = delete_keys(touched, parents, parent_key)
+    return kept.unionByName(rows_to_apply(writes, matched, primary_key))
 
 
 def replace_where(

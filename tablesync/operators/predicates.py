@@ -98,8 +98,8 @@ def touched_partitions(source: DataFrame, column: str, prefix: str = "") -> Data
 def in_touched_partitions(target: DataFrame, touched: DataFrame, column: str) -> DataFrame:
     """Target rows whose partition value is in `touched` (NULL equals NULL).
 
-    A semi-join instead of a rendered IN list: values are never turned into text, and Spark
-    prunes the target's partitions when it broadcasts the distinct values.
+    A semi-join instead of a rendered IN list: values are never turned into text. It reads all
+    partitions; a target table chooses its directories by name instead.
     """
     values = touched.select(quoted(column).alias("_touched"))
     return target.join(values, quoted(column).eqNullSafe(F.col("_touched")), "left_semi")

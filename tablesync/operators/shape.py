@@ -15,6 +15,7 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 from tablesync.functions.names import clean_name
 from tablesync.functions.timestamps import date_to_instant, utc_date, wall_clock_to_instant
 
+# Fixed value: the name readers expect of the column with the time of ingestion.
 INGESTED_AT = "_platform_ingested_at"
 
 

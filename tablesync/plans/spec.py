@@ -28,7 +28,9 @@ class SyncSpec:
     `jdbc` holds the connection options; a run may also be given its source as a frame or a
     change source. Key and column lists may be text such as `"id,[FilId]"`. `column_catalog`
     names the source's own list of columns (`information_schema.columns`) for drivers that
-    deliver dates as text unless told their type.
+    deliver dates as text unless told their type. `where` is in the SQL of whoever evaluates it:
+    the source over JDBC, Spark over a frame. `changes_version` names the version column that
+    `changes_query` returns; it is then asked for `num_partitions` parts of the range at once.
     """
 
     path: str
@@ -61,6 +63,7 @@ class SyncSpec:
     parent_key: list[str] | str = field(default_factory=list)
     changes_query: str = ""
     changes_params: list[str] | str = field(default_factory=list)
+    changes_version: str = ""
     min_valid_version_query: str = ""
     min_valid_version_params: list[str] | str = field(default_factory=list)
     current_version_query: str = ""
@@ -139,12 +142,17 @@ class SyncSpec:
             return day, day + dt.timedelta(days=1)
         return None
 
-    @property
-    def window(self) -> Column | None:
-        """Condition on the source rows of the window."""
+    def window_of(self, schema: StructType) -> Column | None:
+        """Condition on source rows of the window.
+
+        Sources keep wall clocks. A column that comes as instants holds them as clocks in UTC,
+        as `shape` takes them, so the days are UTC's whatever the session's zone is.
+        """
         if not self.window_column or self.window_dates is None:
             return None
-        return date_window(self.window_column, *self.window_dates)
+        instants = isinstance(schema[self.window_column].dataType, TimestampType)
+        zone = "UTC" if instants else None
+        return date_window(self.window_column, *self.window_dates, timezone=zone)
 
     def overwrite_scope(self, schema: StructType) -> Column | None:
         """Condition on the target rows that an overwrite may replace; None for all of them.
@@ -246,6 +254,7 @@ _OPTION_FIELDS = {
     "parent_key": "parent_key",
     "ct_changes_query": "changes_query",
     "ct_changes_query_params": "changes_params",
+    "ct_changes_version": "changes_version",
     "ct_min_valid_version_query": "min_valid_version_query",
     "ct_min_valid_version_params": "min_valid_version_params",
     "ct_current_version_query": "current_version_query",

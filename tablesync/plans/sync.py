@@ -67,32 +67,34 @@ def plan_versions(target: TargetTable, source: ChangeSource, ct_window: int = -1
 
 
 def read_source(spark: SparkSession, spec: SyncSpec, frame: DataFrame | None = None) -> DataFrame:
-    """Rows of a non-incremental run: the table or query, window and predicate applied."""
-    if frame is None:
-        if not spec.jdbc:
-            raise SpecError("a run needs JDBC options, a frame or a change source")
-        relation = spec.query or change_sql.table_query(spec.schema, spec.table)
-        frame = _jdbc(spark, spec, relation)
-    return filter_source(frame, spec.where or None, spec.window)
+    """Rows of a non-incremental run: the table or query, window and predicate applied.
+
+    Over JDBC the predicate is in the source's SQL and is evaluated there alone; over a given
+    frame it is Spark SQL.
+    """
+    if frame is not None:
+        return filter_source(frame, spec.where or None, spec.window_of(frame.schema))
+    if not spec.jdbc:
+        raise SpecError("a run needs JDBC options, a frame or a change source")
+    return _jdbc(spark, spec, spec.query or change_sql.table_query(spec.schema, spec.table))
 
 
 def _jdbc(spark: SparkSession, spec: SyncSpec, relation: str) -> DataFrame:
-    """The source's rows over JDBC.
+    """The source's rows over JDBC, window and predicate being part of the relation.
 
-    Spark pushes filters into an unsplit read by itself. For a split read the source also gets
-    them as text, so that the ranges span the filtered rows.
+    So the source can use its own dialect and indexes, no other rows cross the wire, and the
+    ranges of a split read span the filtered rows.
     """
     schema = _type_overrides(spark, spec)
-    whole = jdbc_scan(spark, spec.jdbc, relation, schema)
-    if not spec.split_by:
-        return whole
     conditions = [spec.where] if spec.where else []
     if spec.window_column and spec.window_dates:
-        window_type = column_type(whole, spec.window_column)
+        window_type = column_type(jdbc_scan(spark, spec.jdbc, relation, schema), spec.window_column)
         conditions.append(window_condition(spec.window_column, window_type, *spec.window_dates))
+    filtered = filtered_relation(relation, conditions)
+    if not spec.split_by:
+        return jdbc_scan(spark, spec.jdbc, filtered, schema)
     return jdbc_partitioned_scan(
-        spark, spec.jdbc, filtered_relation(relation, conditions), spec.split_by,
-        spec.num_partitions, schema,
+        spark, spec.jdbc, filtered, spec.split_by, spec.num_partitions, schema
     )
 
 
@@ -124,6 +126,7 @@ def jdbc_change_source(spark: SparkSession, spec: SyncSpec) -> JdbcChangeSource:
         min_valid_version_params=spec.min_valid_version_params,
         changes_query=spec.changes_query,
         changes_params=spec.changes_params,
+        feed_version=spec.changes_version,
     )
 
 
@@ -185,9 +188,10 @@ def plain_sync(
     if spec.use_merge:
         keys = [clean_name(key) for key in spec.merge_keys]
         return target.upsert(
-            rows, keys, spec.layout, source_partitions_only=spec.source_partitions_only
+            rows, keys, spec.layout, source_partitions_only=spec.source_partitions_only,
+            stage_source=False,
         )
-    return target.write(rows, spec.mode, spec.layout, scope, sliced=False)
+    return target.write(rows, spec.mode, spec.layout, scope)
 
 
 def incremental_sync(
@@ -204,10 +208,11 @@ def incremental_sync(
     if spec.custom_ct:
         parents = [clean_name(key) for key in spec.parent_key]
         return target.apply_parent_child_changes(
-            rows, keys, parents, versions.current, versions.last
+            rows, keys, parents, versions.current, versions.last, stage_source=False
         )
     return target.apply_changes(
-        rows, keys, versions.current, source_partitions_only=spec.source_partitions_only
+        rows, keys, versions.current, source_partitions_only=spec.source_partitions_only,
+        stage_source=False,
     )
 
 

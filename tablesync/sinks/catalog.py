@@ -8,11 +8,9 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-from tablesync.sinks.ledger import BATCH, SLICE, Commit
+from tablesync.sinks.ledger import BATCH, NULL_PARTITION, SLICE, Commit
 from tablesync.sinks.table import TargetTable
 
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 # Partitions named in one ALTER TABLE statement.
 _PARTITIONS_PER_STATEMENT = 500
 
@@ -35,7 +33,7 @@ def _partition_spec(directory: str) -> tuple[tuple[str, str | None], ...]:
     """Column-value pairs spelled by a directory name."""
     pairs = (part.partition("=")[::2] for part in directory.split("/"))
     return tuple(
-        (unquote(column), None if value == _NULL_PARTITION else unquote(value))
+        (unquote(column), None if value == NULL_PARTITION else unquote(value))
         for column, value in pairs
     )
 
@@ -52,28 +50,43 @@ def register_table(
 ) -> bool:
     """Make an existing target readable as `database.table`; False if there is no target.
 
-    The catalog holds an external table over the root, partitioned by batch and by the
-    target's own partition columns, whose partition list is kept equal to the directories of
-    the latest commit, and a view of the target's name that leaves the batch out. To call
-    again after each commit; only differences are applied.
+    The catalog holds two external tables over the root, partitioned by batch and by the
+    target's own partition columns, and a view of the target's name over one of them. The other
+    one is brought to the directories of the latest commit, by differences, and then the view
+    is pointed at it in one statement: a reader finds one commit's rows at any moment, and a
+    call that stops half-way leaves the view as it was. To call again after each commit.
     """
     commit = target.ledger.latest()
     if commit is None:
         return False
     spark = target.spark
     create_database(spark, database, database_location)
-    files_table = f"{table}__files"
-    if not spark.catalog.tableExists(f"{_name(database, files_table)}"):
-        _create_files_table(spark, database, files_table, target.root, commit)
-    _align_partitions(spark, database, files_table, commit)
+    idle = _idle_files_table(spark, database, table)
+    if not spark.catalog.tableExists(_name(database, idle)):
+        _create_files_table(spark, database, idle, target.root, commit)
+    _align_partitions(spark, database, idle, commit)
     columns = ", ".join(_name(field.name) for field in commit.struct)
     spark.sql(
         f"CREATE OR REPLACE VIEW {_name(database, table)} AS "
-        f"SELECT {columns} FROM {_name(database, files_table)}"
+        f"SELECT {columns} FROM {_name(database, idle)}"
     )
     return True
 
 
+def _files_tables(table: str) -> tuple[str, str]:
+    return f"{table}__files_a", f"{table}__files_b"
+
+
+def _idle_files_table(spark: SparkSession, database: str, table: str) -> str:
+    """The one of the two files tables that the view does not read."""
+    first, second = _files_tables(table)
+    if not spark.catalog.tableExists(_name(database, table)):
+        return first
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_name(database, table)}").collect()
+    text = next((row["data_type"] for row in rows if row["col_name"] == "View Text"), "")
+    return second if text.endswith(f"{_name(database, first)}") else first
+
+
 def _create_files_table(
     spark: SparkSession, database: str, files_table: str, root: str, commit: Commit
 ) -> None:
@@ -134,10 +147,9 @@ def set_retention(
         "deletedFileRetentionDuration": deleted_files,
     }
     spark = target.spark
-    files_table = f"{table}__files"
-    if table_properties(spark, database, files_table, list(wanted)) == wanted:
-        return False
+    present = [t for t in _files_tables(table) if spark.catalog.tableExists(_name(database, t))]
+    outdated = [t for t in present if table_properties(spark, database, t, list(wanted)) != wanted]
     settings = ", ".join(f"{_text(key)} = {_text(value)}" for key, value in wanted.items())
-    spark.sql(f"ALTER TABLE {_name(database, files_table)} SET TBLPROPERTIES ({settings})")
-    target.set_retention(log, deleted_files)
-    return True
+    for files_table in outdated:
+        spark.sql(f"ALTER TABLE {_name(database, files_table)} SET TBLPROPERTIES ({settings})")
+    return target.set_retention(log, deleted_files) is not None or bool(outdated)

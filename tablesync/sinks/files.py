@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -10,7 +9,6 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -18,17 +16,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that every executor can reach.
 
     It is the session's `spark.checkpoint.dir`. Only a local session may do without it; it
-    then gets a folder of its own.
+    then gets a folder in its warehouse directory, which is removed when the session's JVM ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[application] = tempfile.mkdtemp(prefix="tablesync-")
-    return _LOCAL_FALLBACK[application]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own = SharedFiles(spark, f"{warehouse}/_staged-{spark.sparkContext.applicationId}")
+    own.delete_root_on_exit()
+    return own.root
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
@@ -95,6 +93,11 @@ class SharedFiles:
         """Remove the directory these calls were made for, with all it holds."""
         self._fs.delete(self._path(self.root), True)
 
+    def delete_root_on_exit(self) -> None:
+        """Make the directory and have it removed when the session's JVM ends."""
+        self._fs.mkdirs(self._path(self.root))
+        self._fs.deleteOnExit(self._path(self.root))
+
     def size(self, paths: Sequence[str]) -> int:
         """Bytes under the paths."""
         return sum(

@@ -8,8 +8,8 @@ commit they started from.
 A write replaces only the directories that hold affected rows; all others are carried over by
 name. Slices keep those directories small: each holds what some neighbouring tasks wrote, a few
 gigabytes, so a change of few rows does not rewrite a partition that holds a third of a table,
-nor an unpartitioned table as a whole. Tables that are only appended to or overwritten can do
-without them.
+nor an unpartitioned table as a whole. A merge writes what it keeps and what it adds together,
+and joins a partition's small slices once there are many, so directories do not pile up.
 """
 
 from __future__ import annotations
@@ -47,8 +47,6 @@ from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
     CHANGE_OP,
     as_column,
-    broadcast_if_small,
-    in_touched_partitions,
     is_delete,
     is_write,
     touched_partitions,
@@ -66,8 +64,10 @@ TASKS_PER_SLICE = 64
 # Key types whose bounds serve to skip files.
 _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 
-# Partition values that are spelled out in a filter.
-MAX_LISTED_PARTITIONS = 1000
+# A slice with less than this is small; a merge that leaves more small slices than
+# SMALL_SLICES in a partition it wrote to joins them.
+SMALL_SLICE_BYTES = 64 * 1024 * 1024
+SMALL_SLICES = 8
 
 # Size of a clustered file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -262,6 +262,7 @@ class TargetTable:
         partition_by: Sequence[str] = (),
         version: int | None = None,
         source_partitions_only: bool = False,
+        stage_source: bool = True,
     ) -> Commit | None:
         """Update matched rows, insert the others; the first run is a plain write."""
         before = self.ledger.latest()
@@ -269,7 +270,8 @@ class TargetTable:
             return self.write(source, "errorifexists", partition_by, version=version)
         require_same_columns(source.columns, before.struct.names)
         return self._merge(
-            before, source, keys, "", rows_to_upsert, version, source_partitions_only
+            before, source, keys, "", rows_to_upsert, version, source_partitions_only,
+            stage_source=stage_source,
         )
 
     def apply_changes(
@@ -280,13 +282,14 @@ class TargetTable:
         source_partitions_only: bool = False,
         stream: str | None = None,
         batch: int | None = None,
+        stage_source: bool = True,
     ) -> Commit:
         """Apply I, U and D rows by their `_pk_<key>` columns."""
         before = self._require()
         require_same_columns(drop_change_columns(changes).columns, before.struct.names)
         return self._merge(
             before, changes, keys, CHANGE_KEY_PREFIX, rows_to_apply, version,
-            source_partitions_only, stream, batch,
+            source_partitions_only, stream, batch, stage_source,
         )
 
     def apply_parent_child_changes(
@@ -296,6 +299,7 @@ class TargetTable:
         parent_key: Sequence[str],
         version: int,
         last_version: int | None = None,
+        stage_source: bool = True,
     ) -> Commit:
         """Delete the rows of deleted parents, then upsert I and U rows by primary key.
 
@@ -304,16 +308,16 @@ class TargetTable:
         """
         before = self._require()
         require_same_columns(drop_change_columns(changes).columns, before.struct.names)
-        deletes = changes.where(is_delete())
-        writes = changes.where(is_write())
-        nothing_to_write = writes.isEmpty()
-        old = self.cursor() if last_version is None else last_version
-        if nothing_to_write:
-            return self._delete(before, deletes, parent_key, version)
-        after = before
-        if not deletes.isEmpty():
-            after = self._delete(before, deletes, parent_key, old)
-        return self._merge(after, writes, primary_key, CHANGE_KEY_PREFIX, rows_to_apply, version)
+        with staging_scope(self.spark):
+            changes = stage(changes, "merge-source") if stage_source else changes
+            deletes, writes = changes.where(is_delete()), changes.where(is_write())
+            old = self.cursor() if last_version is None else last_version
+            if writes.isEmpty():
+                return self._delete(before, deletes, parent_key, version)
+            after = before if deletes.isEmpty() else self._delete(before, deletes, parent_key, old)
+            return self._merge(
+                after, writes, primary_key, CHANGE_KEY_PREFIX, rows_to_apply, version, stage_source=False
+            )
 
     def _merge(
         self,
@@ -326,38 +330,43 @@ class TargetTable:
         source_partitions_only: bool = False,
         stream: str | None = None,
         batch: int | None = None,
+        stage_source: bool = True,
     ) -> Commit:
-        """Find the directories with matched rows, rewrite those, add the source's rows."""
+        """Find the directories with matched rows, rewrite those together with the source's rows.
+
+        The source is read several times, so unless the caller says that it is stable and cheap
+        to read again, it is staged first.
+        """
         prefixed = actual_names([prefix + key for key in keys], source.columns)
         keys = actual_names(keys, before.struct.names)
         source = source.withColumnsRenamed(dict(zip(prefixed, [prefix + key for key in keys])))
         prefixed = [prefix + key for key in keys]
-        facts = measure_keys(source, prefixed)
-        marks = {"stream": stream, "batch": batch, "changes": facts.counts}
-        if facts.max_per_key > 1:
-            raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
-        if facts.n_rows == 0:
-            return self._commit(before, "MERGE", set(), [], version, **marks)
-        small = facts.key_bytes <= predicates.BROADCAST_BYTES
-        source_keys = _merge_keys(source, prefixed, keys, small)
-        located = _skip_by_bounds(self._scan(before, None, with_dir=True), keys, facts)
-        if before.partition_by and (source_partitions_only or before.partition_by[-1] in keys):
-            column = before.partition_by[-1]
-            named = prefix + column if column in keys else column
-            located = _only_partitions(
-                located, touched_partitions(source, named).toDF(column), column
-            )
         with staging_scope(self.spark):
+            source = stage(source, "merge-source") if stage_source else source
+            facts = measure_keys(source, prefixed)
+            marks = {"stream": stream, "batch": batch, "changes": facts.counts}
+            if facts.max_per_key > 1:
+                raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
+            if facts.n_rows == 0:
+                return self._commit(before, "MERGE", set(), [], version, **marks)
+            small = facts.key_bytes <= predicates.BROADCAST_BYTES
+            source_keys = _merge_keys(source, prefixed, keys, small)
+            dirs = None
+            if before.partition_by and (source_partitions_only or before.partition_by[-1] in keys):
+                column = before.partition_by[-1]
+                named = prefix + column if column in keys else column
+                dirs = self._dirs_of(before, touched_partitions(source, named).toDF(column), column)
+            located = _skip_by_bounds(self._scan(before, dirs, with_dir=True), keys, facts)
             matched = stage(_matched_rows(located, source_keys, keys), "matched")
             replaced = self._collect_dirs(matched)
-            new_dirs = []
+            rows = written_rows(source, matched, keys)
             if replaced:
                 kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
-                new_dirs += self._put(kept, before, redistribute=not small)
-            names = [quoted(key) for key in keys]
-            hits = matched.groupBy(names).agg(F.count(F.lit(1)).alias("_hits"))
-            new_dirs += self._put(written_rows(source, hits, keys), before, redistribute=True)
-        return self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
+                rows = rows.unionByName(kept)
+            new_dirs = self._put(rows, before, redistribute=True)
+            commit = self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
+        self._compact(commit, new_dirs)
+        return commit
 
     def _delete(
         self, before: Commit, deletes: DataFrame, parent_key: Sequence[str], version: int | None
@@ -385,20 +394,19 @@ class TargetTable:
         changed_since: int | None = None,
         num_files: int | None = None,
     ) -> Commit | None:
-        """Cluster the table, or only the partitions written after commit `changed_since`.
+        """Cluster the table, or only what was written after commit `changed_since`.
 
-        Partitions go by the last partition column, as directory names tell it; an
-        unpartitioned table is clustered as a whole.
+        Of a partitioned table that is the partitions written to, which go by the last partition
+        column, as directory names tell it; of an unpartitioned one the new directories alone.
         """
         before = self._require()
         dirs = set(before.dirs)
-        if changed_since is not None and before.partition_by:
-            written = dirs - set(self.ledger.read(changed_since).dirs)
-            dirs = _same_partitions(before, written)
+        if changed_since is not None:
+            dirs -= set(self.ledger.read(changed_since).dirs)
+            dirs = _same_partitions(before, dirs) if before.partition_by else dirs
         if not dirs:
             return None
-        paths = [f"{self.root}/{name}" for name in sorted(dirs)]
-        n_files = num_files or max(1, -(-self.ledger.files.size(paths) // TARGET_FILE_BYTES))
+        n_files = num_files or max(1, -(-self._size(sorted(dirs)) // TARGET_FILE_BYTES))
         columns = actual_names(columns, before.struct.names)
         position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
@@ -425,6 +433,41 @@ class TargetTable:
         """Distinct directories of some rows; bounded by the directories the commit lists."""
         return {unquote(row[0]) for row in located.select(_DIR).distinct().collect()}
 
+    def _dirs_of(self, commit: Commit, touched: DataFrame, column: str) -> list[str]:
+        """Directories of a commit whose value of a partition column is touched.
+
+        Told from their names alone, so nothing else is listed or opened. The names become a
+        frame, whose values are joined with the touched ones: any number of them, of any type.
+        """
+        named = [(name, commit.value_of(name, column)) for name in commit.dirs]
+        frame = self.spark.createDataFrame(named, "dir string, value string")
+        kind = commit.struct[column].dataType
+        values = touched.select(quoted(column).cast(kind).alias("_touched")).distinct()
+        found = frame.join(values, F.col("value").cast(kind).eqNullSafe(F.col("_touched")), "left_semi")
+        return [row["dir"] for row in found.select("dir").collect()]
+
+    def _compact(self, commit: Commit, written: Sequence[str]) -> None:
+        """Join the small slices of the partitions just written to, where they are many."""
+        if not commit.sliced:
+            return
+        by_partition: dict[str, list[str]] = {}
+        for name in commit.dirs:
+            by_partition.setdefault(commit.partition_of(name), []).append(name)
+        whole = [] if commit.partition_by else [commit.dirs]
+        touched = {commit.partition_of(name) for name in written} if commit.partition_by else set()
+        small: set[str] = set()
+        for names in [by_partition[partition] for partition in touched] + whole:
+            if len(names) > SMALL_SLICES:
+                few = [n for n in names if self._size([n]) < SMALL_SLICE_BYTES]
+                small.update(few if len(few) > SMALL_SLICES else [])
+        if small:
+            rows = self._scan(commit, sorted(small))
+            self._commit(commit, OPTIMIZE, small, self._put(rows, commit, redistribute=True), None)
+
+    def _size(self, dirs: Sequence[str]) -> int:
+        """Bytes of some directories."""
+        return self.ledger.files.size([f"{self.root}/{name}" for name in dirs])
+
     def _put(
         self, df: DataFrame, before: Commit, redistribute: bool, order: str | None = None
     ) -> list[str]:
@@ -470,6 +513,8 @@ class TargetTable:
         if unknown:
             raise RuntimeError(f"directories not in commit {before.commit}: {sorted(unknown)[:3]}")
         dirs = [name for name in before.dirs if name not in replaced] + new_dirs
+        if marks.get("stream") is not None:
+            marks["streams"] = {**before.streams, marks["stream"]: marks["batch"]}
         commit = self.ledger.next(
             before, op=op, dirs=dirs, user_metadata=cursor_text(version), **marks
         )
@@ -502,21 +547,6 @@ def _same_order(source: DataType, target: DataType) -> bool:
     return any(isinstance(source, t) and isinstance(target, t) for t in _BOUNDED_TYPES)
 
 
-def _only_partitions(located: DataFrame, touched: DataFrame, column: str) -> DataFrame:
-    """Target rows in the touched partitions.
-
-    Up to `MAX_LISTED_PARTITIONS` values become a filter, by which Spark prunes partitions before
-    it lists files; more of them, or values of another type, are joined.
-    """
-    if _same_order(touched.schema[column].dataType, located.schema[column].dataType):
-        found = [row[0] for row in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        if len(found) <= MAX_LISTED_PARTITIONS:
-            values = [value for value in found if value is not None]
-            listed = quoted(column).isin(values) if values else F.lit(False)
-            return located.where(listed | quoted(column).isNull() if None in found else listed)
-    return in_touched_partitions(located, broadcast_if_small(touched), column)
-
-
 def _matched_rows(located: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key and directory of every target row whose key the source has.
 

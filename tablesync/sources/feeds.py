@@ -89,10 +89,11 @@ class JdbcChangeSource:
     """A SQL Server table with change tracking, or one with the user's own change queries.
 
     The queries may hold `?` markers; their parameter lists may use the reserved words of
-    `change_sql`. `feed`, a function from `(last, current)` to query text, takes the place of
-    `changes_query` when the source's feed is read in several slices. As a key may then show
-    up in several slices, `feed_version` names the feed's version column, by which the latest
-    row of each key is kept.
+    `change_sql`. `feed_version` names the version column of the rows that `changes_query`, or
+    `feed`, a function from `(last, current)` to query text, returns. With it the range is read
+    in `num_partitions` slices, one query each; as a key may then show up in several slices,
+    its latest row is kept. Change tracking without a query of its own is split by the change
+    key of `split_by`, which deleted rows have too.
     """
 
     spark: SparkSession
@@ -131,34 +132,32 @@ class JdbcChangeSource:
         return self._scalar(self._render(query, self.min_valid_version_params, None, None))
 
     def snapshot(self) -> DataFrame:
-        return self._scan(change_sql.table_query(self.schema, self.table))
+        return self._scan(change_sql.table_query(self.schema, self.table), self.split_by)
 
     def changes(self, last: int, current: int) -> DataFrame:
-        if self.feed is not None:
-            slices = self.num_partitions if self.feed_version else 1
-            rows = with_change_names(
-                jdbc_version_range_scan(
-                    self.spark, self.options, self.feed, "", last, current, slices
-                )
-            )
-            if not self.feed_version:
-                return rows
-            change_keys = [change_key(key) for key in self.keys]
-            return latest_per_key(rows, change_keys, self.feed_version).drop(self.feed_version)
-        if self.changes_query:
-            text = self._render(self.changes_query, self.changes_params, last, current)
-            return with_change_names(
-                jdbc_version_range_scan(
-                    self.spark, self.options, lambda low, high: text, "", last, current, 1
-                )
-            )
-        return self._scan(
-            change_sql.changes_query(self.schema, self.table, self.keys, last, current)
+        feed = self.feed
+        if feed is None and self.changes_query:
+            feed = self._rendered_changes
+        if feed is None:
+            query = change_sql.changes_query(self.schema, self.table, self.keys, last, current)
+            split_by = self.split_by.strip('"[]`')
+            keyed = split_by.lower() in {key.lower() for key in self.keys}
+            return self._scan(query, change_key(split_by) if keyed else self.split_by)
+        slices = self.num_partitions if self.feed_version else 1
+        rows = with_change_names(
+            jdbc_version_range_scan(self.spark, self.options, feed, "", last, current, slices)
         )
+        if not self.feed_version:
+            return rows
+        change_keys = [change_key(key) for key in self.keys]
+        return latest_per_key(rows, change_keys, self.feed_version).drop(self.feed_version)
 
-    def _scan(self, query: str) -> DataFrame:
-        if not self.split_by:
+    def _rendered_changes(self, last: int, current: int) -> str:
+        return self._render(self.changes_query, self.changes_params, last, current)
+
+    def _scan(self, query: str, split_by: str) -> DataFrame:
+        if not split_by:
             return jdbc_scan(self.spark, self.options, query, self.custom_schema)
         return jdbc_partitioned_scan(
-            self.spark, self.options, query, self.split_by, self.num_partitions, self.custom_schema
+            self.spark, self.options, query, split_by, self.num_partitions, self.custom_schema
         )

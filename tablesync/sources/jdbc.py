@@ -96,15 +96,18 @@ def partition_bounds(df: DataFrame, column: str) -> DataFrame:
 
 
 def jdbc_bounds(
-    spark: SparkSession, options: Mapping[str, str], relation: str, column: str
+    spark: SparkSession, options: Mapping[str, str], relation: str, column: str, whole_days: bool = True
 ) -> DataFrame:
-    """`partition_bounds` computed by the source itself over the same query."""
+    """`partition_bounds` computed by the source itself over the same query.
+
+    Without `whole_days` timestamps keep their time.
+    """
     query = (
         f"select max(b.{column}) as max_bound, min(b.{column}) as min_bound "
         f"from {_derived_table(relation)} b"
     )
-    bounds = jdbc_scan(spark, options, query)
-    return format_bounds(bounds.toDF("max_bound", "min_bound"))
+    bounds = jdbc_scan(spark, options, query).toDF("max_bound", "min_bound")
+    return format_bounds(bounds) if whole_days else bounds.select(*[F.col(c).cast("string") for c in bounds.columns])
 
 
 def _derived_table(relation: str) -> str:
@@ -151,7 +154,7 @@ def jdbc_partitioned_scan(
     split_type = column_type(scan, column)
     if not isinstance(split_type, _RANGE_TYPES):
         raise ValueError(f"cannot split a read by {column} of type {split_type.simpleString()}")
-    bounds = jdbc_bounds(spark, options, relation, column).first()
+    bounds = jdbc_bounds(spark, options, relation, column, whole_days=False).first()
     if bounds is None or bounds["min_bound"] is None:
         return scan
     if isinstance(split_type, TimestampNTZType):

@@ -20,11 +20,12 @@ from tablesync.sinks.table import TargetTable
 
 
 def applied_batch(target: TargetTable, stream: str) -> int:
-    """Number of the last batch of a stream that the target holds; -1 if none."""
-    row = (
-        target.history().where(F.col("stream") == stream).agg(F.max("batch").alias("batch")).first()
-    )
-    return -1 if row is None or row["batch"] is None else int(row["batch"])
+    """Number of the last batch of a stream that the target holds; -1 if none.
+
+    Every commit carries the last batches of all streams, so only the newest one is read.
+    """
+    latest = target.ledger.latest()
+    return -1 if latest is None else latest.streams.get(stream, -1)
 
 
 def apply_batch(
@@ -46,7 +47,9 @@ def apply_batch(
         latest = stage(latest_per_key(changes, change_keys, version))
         newest = latest.agg(F.max(quoted(version))).first()[0]
         cursor = target.cursor() if newest is None else int(newest)
-        target.apply_changes(latest.drop(version), keys, cursor, stream=stream, batch=batch)
+        target.apply_changes(
+            latest.drop(version), keys, cursor, stream=stream, batch=batch, stage_source=False
+        )
     return True
 
 

@@ -21,13 +21,14 @@ from tablesync.operators.merge import (
     replace_where,
     upsert,
 )
-from tablesync.operators.predicates import date_window
+from tablesync.operators.predicates import date_window, key_equality, merge_condition
 from tablesync.sinks.ledger import (
     expirable_dirs,
     expired_commits,
     last_synced_version,
     latest_sync_commit,
 )
+from tablesync.sources.jdbc import scalar_version, version_range_scan
 from tablesync_checks.data import (
     CUSTOMER_LOG_SQL,
     DELETED_PARENTS_SQL,
@@ -183,6 +184,33 @@ def _cut(spark, sf):
     return low, high - (high - low) // 4
 
 
+def _scalar_version(spark, sf):
+    """Rows after the middle version, which comes from the source's first row and column."""
+    orders = read(spark, sf, "orders")
+    middle = scalar_version(orders.select(F.expr("(max(o_orderkey) + min(o_orderkey)) div 2")))
+    return version_range_scan(orders, "o_orderkey", middle, scalar_version(orders.select(F.max("o_orderkey"))))
+
+
+def _key_equality(spark, sf):
+    """Lines whose supplier has the number of the order's customer."""
+    lines = read(spark, sf, "lineitem").selectExpr("l_orderkey as id", "l_linenumber", "l_suppkey as other")
+    orders = read(spark, sf, "orders").selectExpr("o_orderkey as id", "o_custkey as other")
+    joined = lines.alias("L").join(orders.alias("O"), key_equality(["id", "other"], "L", "O"))
+    return joined.select(F.col("L.id").alias("id"), F.col("L.l_linenumber").alias("line"), F.col("O.other").alias("other"))
+
+
+def _merge_condition(spark, sf):
+    """Changed orders matched with their targets in the partitions of two statuses."""
+    changes = orders_changes(spark, sf).alias("source")
+    target = read(spark, sf, "orders").alias("target")
+    condition = merge_condition(
+        ["o_orderkey"], source_prefix="_pk_", partition_values=["F", "O"], partition_column="o_orderstatus"
+    )
+    return changes.join(target, condition).select(
+        F.col("source._pk_o_orderkey").alias("pk"), F.col("source._op").alias("op"), F.col("target.o_totalprice").alias("old_price")
+    )
+
+
 def _net_changes(spark, sf):
     last, current = _cut(spark, sf)
     log = read(spark, sf, "orders").select(
@@ -274,6 +302,9 @@ QUERIES = {
     "replace_touched_partitions": _replace_touched_partitions,
     "duplicate_keys": _duplicate_keys,
     "latest_per_key": _latest_per_key,
+    "scalar_version": _scalar_version,
+    "key_equality": _key_equality,
+    "merge_condition": _merge_condition,
     "net_changes": _net_changes,
     "change_feed": _change_feed,
     "change_counts": _change_counts,
@@ -373,6 +404,14 @@ ORACLE = {
     "duplicate_keys": """
         select l_orderkey, l_linenumber, count(*) as n_rows from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
+    "scalar_version": """
+        select * from orders where o_orderkey > (select (max(o_orderkey) + min(o_orderkey)) // 2 from orders)""",
+    "key_equality": """
+        select l_orderkey as id, l_linenumber as line, o_custkey as other
+        from lineitem join orders on l_orderkey = o_orderkey and l_suppkey = o_custkey""",
+    "merge_condition": f"""
+        select c.pk, c.op, t.o_totalprice as old_price
+        from ({ORDERS_CHANGES_SQL}) c join orders t on c.pk = t.o_orderkey where t.o_orderstatus in ('F', 'O')""",
     "latest_per_key": """
         select * exclude (n) from (
             select *, row_number() over (

@@ -155,9 +155,7 @@ def test_older_prune_rule_leaves_the_moved_row_behind(spark, filled):
     assert rows(filled.read().where("k = 0")) == [(0, "a", 0), (0, "c", 0)]
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_merge_by_a_key_with_the_partition_column(spark, filled, monkeypatch, listed):
-    monkeypatch.setattr(table_module, "MAX_LISTED_PARTITIONS", listed)
+def test_merge_by_a_key_with_the_partition_column(spark, filled):
     filled.write(spark.createDataFrame([(0, None, 5)], SCHEMA), "append")
     source = spark.createDataFrame([(0, "a", 50), (0, "b", 51), (0, None, 52)], SCHEMA)
     before = filled.ledger.latest()
@@ -168,9 +166,7 @@ def test_merge_by_a_key_with_the_partition_column(spark, filled, monkeypatch, li
     ]
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_older_prune_rule_with_null_partitions(spark, target, monkeypatch, listed):
-    monkeypatch.setattr(table_module, "MAX_LISTED_PARTITIONS", listed)
+def test_older_prune_rule_with_null_partitions(spark, target):
     target.write(spark.createDataFrame([(0, None, 0), (1, "a", 1), (2, "O'B", 2)], SCHEMA), partition_by=["p"])
     source = spark.createDataFrame([(0, None, 9), (1, None, 9), (2, "O'B", 9)], SCHEMA)
     target.upsert(source, ["k"], source_partitions_only=True)
