@@ -13,12 +13,13 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,19 +34,36 @@ GROUP = 20_000
 FAN_IN = 8
 #: A sequence with fewer free tokens is full.
 NEARLY_FULL = 16
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words whose ids a generation of a worker's memory holds.
+REMEMBERED = 500_000
 
 #: A space at either end of a text, or beside other white space.
 _ODD_SPACE = re.compile(r"\A | \Z|\s | \s")
+#: White space that is neither a space nor a line feed.
+_RARE_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# How byte-level vocabularies cut a text, and the name of that rule.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_RULE = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+# Fixed value: bytes that such vocabularies spell as the character of the same number; all
+# others are spelled as the characters from 256 on.
+_SAME = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def _byte_pieces(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """The pieces of a byte-level vocabulary as bytes; special tokens are left out."""
+    others = [b for b in range(256) if b not in _SAME]
+    number = {chr(b): b for b in _SAME} | {chr(256 + i): b for i, b in enumerate(others)}
+    return {bytes(map(number.__getitem__, t)): i for t, i in vocabulary.items() if all(c in number for c in t)}
 
 
 class Encoder:
     """Ids of texts as little-endian bytes, each distinct word tokenized once.
 
-    The vocabulary's rule cuts a text before every single space between two other characters,
-    so such words can be tokenized apart, each with its space. A text with any other space is
-    tokenized as a whole.
+    The byte-level rule cuts a text before every single space between two other characters, so
+    such words can be tokenized apart, each with its space. New words are strung together and
+    tokenized at once; the lengths of the pieces tell which ids are whose. A text with any other
+    space is tokenized as a whole, as are all texts if the vocabulary has another rule. Two
+    generations of words are remembered, so words in use stay and memory is bounded.
     """
 
     def __init__(self, vocabulary: str):
@@ -54,27 +72,71 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.encode_special_tokens = True
+        self._by_words = str(self._tokenizer.pre_tokenizer) == _RULE and self._tokenizer.normalizer is None
+        if self._by_words:
+            special = {t.content for t in self._tokenizer.get_added_tokens_decoder().values()}
+            pieces = _byte_pieces({t: i for t, i in self._tokenizer.get_vocab().items() if t not in special})
+            self._strung = tiktoken.Encoding("words", pat_str=_CUT, mergeable_ranks=pieces, special_tokens={})
+            self._size = np.zeros(max(pieces.values()) + 1, np.int64)
+            for piece, number in pieces.items():
+                self._size[number] = len(piece)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _whole(self, text: str) -> bytes:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
-    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+    def _learn(self, words: list[str]) -> None:
+        """Remember words that begin with a space."""
+        new = []
+        for word in words:
+            ids = self._older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self._known[word] = ids
+        if new:
+            ids = np.array(self._strung.encode_ordinary("".join(new)), "<u4")
+            ends = np.cumsum([len(word.encode()) for word in new])
+            edges = np.searchsorted(np.cumsum(self._size[ids]), ends) + 1
+            body, start = ids.tobytes(), 0
+            for word, edge in zip(new, (4 * edges).tolist(), strict=True):
+                self._known[word] = body[start:edge]
+                start = edge
+
+    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """The ids of each text; the more texts at once, the better."""
+        if len(self._known) > REMEMBERED:
+            self._known, self._older = {}, self._known
+        apart: list[list[str] | None] = []
+        unknown: list[str] = []
+        known = self._known
         for text in texts:
-            if _ODD_SPACE.search(text):
-                yield self._ids([text])[0]
+            odd = "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
+            odd = odd or (_RARE_SPACE.search(text) is not None and _ODD_SPACE.search(text) is not None)
+            if odd or not self._by_words or not text or "\0" in text:
+                apart.append(None)
                 continue
-            words = text.split(" ")
-            words[1:] = [" " + w for w in words[1:]]
-            known = self._known
-            unknown = list({w for w in words if w not in known})
-            if unknown:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                    unknown = list(set(words))
-                known.update(zip(unknown, self._ids(unknown), strict=True))
-            yield b"".join([known[w] for w in words])
+            words = text.replace(" ", "\0 ").split("\0")
+            apart.append(words)
+            unknown += [w for w in words[1:] if w not in known]
+        self._learn(list(set(unknown)))
+        for text, words in zip(texts, apart, strict=True):
+            if words is None:
+                yield self._whole(text)
+            else:
+                yield self._whole(words[0]) + b"".join(map(known.__getitem__, words[1:]))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: str) -> Encoder:
+    """One encoder for each Python worker, whose tasks have most words in common."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = Encoder(vocabulary)
+    return _ENCODERS[vocabulary]
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -86,12 +148,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = _encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 rows: dict[str, list] = defaultdict(list)
-                texts = (t or "" for t in part.column("text").to_pylist())
+                texts = [t or "" for t in part.column("text").to_pylist()]
                 for at, ids in enumerate(encoder.encode(texts)):
                     ids += end
                     total = len(ids) // 4
