@@ -269,13 +269,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     mixed = stage(placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key"), "mixed-buckets")
     rest = stage(placed.join(mixed, "key", "left_semi"), "mixed-members")
     sets = _sets_of(docs, rest.select(F.col("rep").alias("node")), words)
-    rest = stage(rest.join(_prefixes(sets, percent), "rep"), "members-with-prefixes")
-    left, right = (rest.select("key", *(F.col(c).alias(c + side) for c in ("rep", "n", "root", "far", "prefix"))) for side in "ab")
+    own_keys = rest.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    rest = rest.join(own_keys, "rep").join(_prefixes(sets, percent), "rep")
+    rest = stage(rest, "members-with-prefixes")
+    sides = ("rep", "n", "root", "far", "prefix", "keys")
+    left, right = (rest.select("key", *(F.col(c).alias(c + side) for c in sides)) for side in "ab")
     near = f"coalesce(abs(fara - farb) <= {1 - percent / 100 + 1e-9}, true)"
     shared = f"cast(ceil({percent} * (na + nb) / {100 + percent}) as int)"
     heads = (f"slice(prefix{side}, 1, cast(greatest(n{side} - {shared} + 1, 0) as int))" for side in "ab")
     pairs = left.join(right, "key").filter("repa < repb and roota <> rootb").filter(near).filter(fits.format("na", "nb"))
     pairs = pairs.filter(f"coalesce(arrays_overlap({', '.join(heads)}), false)")
+    # a pair that meets in several buckets is named in one of them
+    pairs = pairs.filter("key = array_min(array_intersect(keysa, keysb))")
     pairs = pairs.selectExpr("repa as a", "repb as b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = _measured(stage(pairs, "candidate-pairs"), sets)
     more = second.filter(linked).select("a", "b")
