@@ -31,7 +31,7 @@ def target_name(schema: str, table: str) -> str:
 
 
 def key_list(text: str | Iterable[str] | None) -> list[str]:
-    """Column list from text such as `"id,[FilId], 'x'"`, or from a sequence of names."""
+    """Column list from text such as `"no,[shop], 'x'"`, or from a sequence of names."""
     if text is None:
         return []
     if not isinstance(text, str):

@@ -26,7 +26,7 @@ class SyncSpec:
     """Settings of one sync.
 
     `jdbc` holds the connection options; a run may also be given its source as a frame or a
-    change source. Key and column lists may be text such as `"id,[FilId]"`. `column_catalog`
+    change source. Key and column lists may be text such as `"no,[shop]"`. `column_catalog`
     names the source's own list of columns (`information_schema.columns`) for drivers that
     deliver dates as text unless told their type. `where` is in the SQL of whoever evaluates it:
     the source over JDBC, Spark over a frame. `changes_version` names the version column that

@@ -4,26 +4,26 @@ from tablesync.sources import change_sql
 
 
 def test_changes_query_preserves_the_change_side():
-    text = change_sql.changes_query("dbo", "sourceTable", ["id", "FilId"], 42, 12345)
-    assert "from changetable(changes [dbo].[sourceTable], 42) as changed" in text
-    assert "left join [dbo].[sourceTable] as base" in text
-    assert "base.[id] = changed.[id] and base.[FilId] = changed.[FilId]" in text
-    assert "changed.[FilId] as [_pk_FilId]" in text
-    assert text.endswith("changed.SYS_CHANGE_VERSION <= 12345")
+    text = change_sql.changes_query("sales", "Basket", ["no", "shop"], 7, 981)
+    assert "from changetable(changes [sales].[Basket], 7) as changed" in text
+    assert "left join [sales].[Basket] as base" in text
+    assert "base.[no] = changed.[no] and base.[shop] = changed.[shop]" in text
+    assert "changed.[shop] as [_pk_shop]" in text
+    assert text.endswith("changed.SYS_CHANGE_VERSION <= 981")
 
 
 def test_version_queries():
     assert "change_tracking_current_version()" in change_sql.current_version_query()
-    assert "object_id('[dbo].[table]')" in change_sql.min_valid_version_query("dbo", "table")
+    assert "object_id('[sales].[Basket]')" in change_sql.min_valid_version_query("sales", "Basket")
 
 
 def test_parameters():
-    params = ["defaultSQLTable", "X", "queryCTCurrentVersion", "queryCTLastVersion"]
-    assert change_sql.bind_version_params(params, "schema", "tab", 2, 1) == [
-        "[schema].[tab]", "X", "1", "2",
+    params = ["weekly", "queryCTLastVersion", "defaultSQLTable", "queryCTCurrentVersion"]
+    assert change_sql.bind_version_params(params, "sales", "Basket", 30, 64) == [
+        "weekly", "30", "[sales].[Basket]", "64",
     ]
     with pytest.raises(ValueError):
-        change_sql.bind_version_params(["queryCTLastVersion"], "schema", "tab", None, 1)
+        change_sql.bind_version_params(["queryCTLastVersion"], "sales", "Basket", None, 64)
 
 
 def test_render_call():

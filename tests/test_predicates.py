@@ -20,8 +20,8 @@ from tablesync.operators.predicates import (
 @pytest.fixture
 def frame(spark):
     return spark.createDataFrame(
-        [(1, "2019-10-05", "00", "A"), (2, "2019-10-05", "01", "B")],
-        "id int, date string, hour string, content string",
+        [(11, "2023-02-17", "low", "pear"), (12, "2023-02-17", "mid", "plum")],
+        "no int, picked string, grade string, fruit string",
     )
 
 
@@ -30,15 +30,15 @@ def text(column):
 
 
 def test_key_equality(spark):
-    t = spark.createDataFrame([(1, 2, 3), (1, 2, 4), (None, 2, 3)], "id int, FilId int, id2 int")
-    joined = t.alias("T").join(t.alias("CT"), key_equality(["id", "FilId", "id2"], "T", "CT"))
+    t = spark.createDataFrame([(7, 5, 6), (7, 5, 8), (None, 5, 6)], "no int, shop int, line int")
+    joined = t.alias("L").join(t.alias("R"), key_equality(["no", "shop", "line"], "L", "R"))
     assert joined.count() == 2
     with pytest.raises(ValueError):
-        key_equality([], "T", "CT")
+        key_equality([], "L", "R")
 
 
 def test_touched_partitions(frame):
-    assert rows(touched_partitions(frame, "id")) == [(1,), (2,)]
+    assert rows(touched_partitions(frame, "no")) == [(11,), (12,)]
 
 
 def test_touched_partition_values_are_never_text(spark):
@@ -52,9 +52,9 @@ def test_touched_partition_values_are_never_text(spark):
 
 
 def test_user_where_and_touched_partitions(spark, frame):
-    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, content string")
-    scoped = target.where(replace_scope("content <> 'b'"))
-    assert rows(in_touched_partitions(scoped, touched_partitions(frame, "id"), "id")) == [(1, "a")]
+    target = spark.createDataFrame([(11, "fig"), (12, "kiwi"), (13, "lime")], "no int, fruit string")
+    scoped = target.where(replace_scope("fruit <> 'kiwi'"))
+    assert rows(in_touched_partitions(scoped, touched_partitions(frame, "no"), "no")) == [(11, "fig")]
 
 
 def test_scope_without_conditions_is_everything(frame):
@@ -68,43 +68,41 @@ def test_scope_with_null_outcome_is_outside(spark):
 
 
 def test_merge_condition_with_prefixes_and_partition(spark):
-    source = spark.range(3).selectExpr("id", "id * 10 as FilId", "0 as id2").selectExpr(
-        "id as _pk_id", "FilId as _pk_FilId", "id2 as _pk_id2", "FilId"
-    )
-    target = spark.range(3).selectExpr("id", "id * 10 as FilId", "0 as id2")
-    keys = ["id", "FilId", "id2"]
+    target = spark.range(4).selectExpr("id as no", "id + 100 as shop", "-1 as line")
+    source = target.selectExpr("no as _pk_no", "shop as _pk_shop", "line as _pk_line", "shop")
+    keys = ["no", "shop", "line"]
     plain = merge_condition(keys, source_prefix="_pk_")
     pruned = merge_condition(
-        keys, source_prefix="_pk_", partition_values=[0, 10], partition_column="FilId"
+        keys, source_prefix="_pk_", partition_values=[100, 103], partition_column="shop"
     )
     join = lambda c: source.alias("source").join(target.alias("target"), c).count()
-    assert join(plain) == 3
+    assert join(plain) == 4
     assert join(pruned) == 2
-    assert text(merge_condition(keys, partition_values=[], partition_column="FilId")) == text(
+    assert text(merge_condition(keys, partition_values=[], partition_column="shop")) == text(
         merge_condition(keys)
     )
 
 
 def test_date_window_is_half_open(spark):
     df = spark.sql(
-        "select explode(sequence(timestamp_ntz'2022-01-19 12:00:00', "
-        "timestamp_ntz'2022-03-28 12:00:00', interval 12 hours)) as ts"
+        "select explode(sequence(timestamp_ntz'2024-05-02 18:00:00', "
+        "timestamp_ntz'2024-06-11 18:00:00', interval 6 hours)) as ts"
     )
-    found = df.where(date_window("ts", "2022-01-20", "2022-03-27")).agg(F.min("ts"), F.max("ts")).first()
-    assert found[0] == dt.datetime(2022, 1, 20)
-    assert found[1] == dt.datetime(2022, 3, 26, 12)
-    assert df.where(date_window("ts", "2022-01-20")).count() == 2
+    found = df.where(date_window("ts", "2024-05-09", "2024-06-01")).agg(F.min("ts"), F.max("ts")).first()
+    assert found[0] == dt.datetime(2024, 5, 9)
+    assert found[1] == dt.datetime(2024, 5, 31, 18)
+    assert df.where(date_window("ts", "2024-05-09")).count() == 4
 
 
 def test_date_window_of_instants_uses_the_zone(spark):
-    df = spark.sql("select timestamp'2022-03-28 21:30:00Z' as ts")
-    assert df.where(date_window("ts", "2022-03-29", timezone="Europe/Kiev")).count() == 1
-    assert df.where(date_window("ts", "2022-03-29", timezone="UTC")).count() == 0
+    df = spark.sql("select timestamp'2024-05-08 19:45:00Z' as ts")
+    assert df.where(date_window("ts", "2024-05-09", timezone="Asia/Tokyo")).count() == 1
+    assert df.where(date_window("ts", "2024-05-09", timezone="UTC")).count() == 0
 
 
 def test_filters_are_optional(frame):
     assert filter_source(frame).count() == 2
-    assert filter_source(frame, "id = 1 or id = 2", F.col("hour") == "00").count() == 1
+    assert filter_source(frame, "no = 11 or no = 12", F.col("grade") == "low").count() == 1
 
 
 def test_string_join(spark):

@@ -20,62 +20,62 @@ from tablesync.operators.shape import (
 def raw(spark):
     return spark.createDataFrame(
         [
-            (1, dt.date(2019, 10, 5), "00", "A", dt.datetime(2022, 6, 5)),
-            (2, dt.date(2019, 10, 9), "01", "B", dt.datetime(2022, 6, 5)),
+            (11, dt.date(2023, 2, 17), "low", "pear", dt.datetime(2024, 7, 30)),
+            (12, dt.date(2023, 2, 26), "mid", "plum", dt.datetime(2024, 7, 30)),
         ],
-        "`i:d` int, date date, hour string, content string, ts timestamp",
+        "`no:` int, picked date, grade string, fruit string, sold timestamp",
     )
 
 
 def test_clean_column_names(spark):
     df = spark.createDataFrame(
-        [(1, "2019-10-05", "00", "A"), (2, "2019-10-05", "01", "B")],
-        "`id:` int, `d(at)e` string, `ho*ur.` string, `cont ent` string",
+        [(11, "low", "pear"), (12, "mid", "plum")],
+        "`no:` int, `gr(ad)e` string, `fruit of.tree` string",
     )
     cleaned = clean_column_names(df)
-    assert cleaned.columns == ["id__", "date", "ho*ur__", "cont__ent"]
+    assert cleaned.columns == ["no__", "grade", "fruit__of__tree"]
     assert rows(cleaned) == rows(df)
-    same = df.toDF("id", "date", "hour", "content")
+    same = df.toDF("no", "grade", "fruit")
     assert clean_column_names(same).columns == same.columns
 
 
 def test_full_shape(raw):
-    shaped = shape(raw, "Europe/Kiev", ["ts", "i:d"], ("test", "day(date)", "string"))
+    shaped = shape(raw, "Asia/Tokyo", ["sold", "no:"], ("picked_day", "day(picked)", "string"))
     assert [(f.name, f.dataType.simpleString()) for f in shaped.schema] == [
         (INGESTED_AT, "timestamp"),
-        ("i__d", "int"),
-        ("date", "timestamp"),
-        ("hour", "string"),
-        ("content", "string"),
-        ("ts", "date"),
-        ("test", "string"),
+        ("no__", "int"),
+        ("picked", "timestamp"),
+        ("grade", "string"),
+        ("fruit", "string"),
+        ("sold", "date"),
+        ("picked_day", "string"),
     ]
-    assert [r.test for r in shaped.orderBy("i__d").collect()] == ["5", "9"]
-    assert {r.ts for r in shaped.collect()} == {dt.date(2022, 6, 5)}
+    assert [r.picked_day for r in shaped.orderBy("no__").collect()] == ["17", "26"]
+    assert {r.sold for r in shaped.collect()} == {dt.date(2024, 7, 30)}
 
 
 def test_shape_is_one_projection_over_the_source(raw):
-    plan = shape(raw, "Europe/Kiev", ["ts"], ("g", "day(date)", "int"))._jdf.queryExecution()
+    plan = shape(raw, "Asia/Tokyo", ["sold"], ("g", "day(picked)", "int"))._jdf.queryExecution()
     assert plan.optimizedPlan().toString().count("Project") == 1
 
 
 def test_generated_column_replaces_existing(raw):
-    df = add_generated_column(raw, "content", "concat(content, hour)", "string")
+    df = add_generated_column(raw, "fruit", "concat(fruit, grade)", "string")
     assert df.columns == raw.columns
-    assert [r.content for r in df.orderBy("hour").collect()] == ["A00", "B01"]
+    assert [r.fruit for r in df.orderBy("grade").collect()] == ["pearlow", "plummid"]
 
 
 def test_generated_value_that_does_not_fit_is_null(raw):
-    df = add_generated_column(raw, "n", "content", "int")
+    df = add_generated_column(raw, "n", "fruit", "int")
     assert [r.n for r in df.collect()] == [None, None]
 
 
 def test_generated_column_is_shifted_and_cast(raw):
     df = shape(
-        raw.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "Europe/Kiev",
-        generated=("copy", "ts", "timestamp_ntz"), ingestion_time=False,
+        raw.withColumn("sold", F.col("sold").cast("timestamp_ntz")), "Asia/Tokyo",
+        generated=("copy", "sold", "timestamp_ntz"), ingestion_time=False,
     ).withColumn("copy", utc_wall_clock(F.col("copy")))
-    assert {r["copy"] for r in df.collect()} == {dt.datetime(2022, 6, 4, 21)}
+    assert {r["copy"] for r in df.collect()} == {dt.datetime(2024, 7, 29, 15)}
 
 
 def test_existing_ingestion_time_is_replaced(raw):
@@ -89,17 +89,17 @@ def test_ingestion_time_can_be_left_out(raw):
 
 
 def test_columns_whose_type_merely_mentions_date_are_untouched(spark):
-    df = spark.createDataFrame([((1, dt.date(2020, 1, 1)),)], "s struct<a: int, date: date>")
+    df = spark.createDataFrame([((1, dt.date(2021, 5, 4)),)], "s struct<a: int, date: date>")
     assert shape(df, "UTC", ingestion_time=False).schema == df.schema
 
 
 def test_partition_date_local_or_utc(spark):
-    df = spark.sql("select timestamp_ntz'2022-03-29 00:30:00' as ts")
-    local = shape(df, "Europe/Kiev", ["ts"], ingestion_time=False).first()[0]
-    utc = shape(df, "Europe/Kiev", ["ts"], ingestion_time=False, partition_date="utc").first()[0]
-    assert (local, utc) == (dt.date(2022, 3, 29), dt.date(2022, 3, 28))
+    df = spark.sql("select timestamp_ntz'2024-11-02 03:10:00' as ts")
+    local = shape(df, "Asia/Tokyo", ["ts"], ingestion_time=False).first()[0]
+    utc = shape(df, "Asia/Tokyo", ["ts"], ingestion_time=False, partition_date="utc").first()[0]
+    assert (local, utc) == (dt.date(2024, 11, 2), dt.date(2024, 11, 1))
 
 
 def test_partition_column_matches_in_any_case(spark):
-    df = spark.sql("select timestamp_ntz'2022-03-29 00:30:00' as Ts, 1 as other")
+    df = spark.sql("select timestamp_ntz'2024-11-02 03:10:00' as Ts, 1 as other")
     assert isinstance(partition_timestamp_to_date(df, ["tS"]).schema["Ts"].dataType, DateType)
