@@ -27,7 +27,7 @@ from tablesync.llm.common import Words, byte_slices, map_arrow
 from tablesync.sinks.files import stage
 
 #: Bytes of the longest context.
-DEPTH = 7
+DEPTH = 6
 #: Least share of all training symbols for a context with its next symbol: at most
 #: 1 / LEAST_GRAM of them are kept for each context length.
 LEAST_GRAM = 3e-7
@@ -43,7 +43,7 @@ DIVERGENCE = 0.5
 #: Bytes of text that are counted or scored at once.
 SLICE = 2_000_000
 #: Grams that a task merges before it hands them on.
-HELD = 2_500_000
+HELD = 1_500_000
 
 _END, _PAD = 0x09, 0x0A  # white space, so in no word
 
@@ -89,18 +89,22 @@ def _word_array(words: Words) -> pa.Array:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE):
-            words = Words(part.column("text"))
-            coded = _word_array(words).dictionary_encode()
-            code, distinct = coded.indices.to_numpy(), len(coded.dictionary)
-            train = ~part.column("held_out").to_numpy(zero_copy_only=False)[words.owner]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    coded.dictionary.cast(pa.string()),
-                    pa.array(np.bincount(code, minlength=distinct)),
-                    pa.array(np.bincount(code[train], minlength=distinct)),
-                ],
-                ["word", "n_all", "n"],
-            )
+            yield _words_of(part)
+
+
+def _words_of(part: pa.RecordBatch) -> pa.RecordBatch:
+    words = Words(part.column("text"))
+    coded = _word_array(words).dictionary_encode()
+    code, distinct = coded.indices.to_numpy(), len(coded.dictionary)
+    train = ~part.column("held_out").to_numpy(zero_copy_only=False)[words.owner]
+    return pa.RecordBatch.from_arrays(
+        [
+            coded.dictionary.cast(pa.string()),
+            pa.array(np.bincount(code, minlength=distinct)),
+            pa.array(np.bincount(code[train], minlength=distinct)),
+        ],
+        ["word", "n_all", "n"],
+    )
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,37 +256,37 @@ def score_texts(docs: DataFrame) -> DataFrame:
         end = math.log10((train_ends + 1) / divisor)
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE):
-                words = Words(part.column("text"))
-                spelled = _word_array(words)
-                index = pc.fill_null(pc.index_in(spelled, value_set=names), -1).to_numpy(zero_copy_only=False)
-                common = index >= 0
-                base = np.bincount(words.owner[common], chance[index[common]], words.texts) + end
-                seen = np.bincount(words.owner[common], np.r_[counts, 0][index[common]] > 0, words.texts)
-                stream = Stream(words)
-                code, inverse = np.unique(stream.code, return_inverse=True)
-                logs = np.log10(tree.value.probability(code))[inverse]
-                score = np.add.reduceat(logs, stream.first[:-1])
-                row, doc = part.column("row"), part.column("doc_id")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row, doc, part.column("held_out"), pa.nulls(words.texts, pa.string()),
-                        pa.array(np.diff(words.first) + 1),
-                        pa.array(seen.astype(np.int64) + int(train_ends > 0)),
-                        pa.array(base), pa.array(score),
-                    ],
-                    _SUMS,
-                )
-                rare = np.flatnonzero(~common)
-                owner = pa.array(words.owner[rare])
-                zero = pa.array(np.zeros(len(rare)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row.take(owner), doc.take(owner), part.column("held_out").take(owner),
-                        spelled.take(pa.array(rare)).cast(pa.string()),
-                        pa.array(np.zeros(len(rare), np.int64)), pa.array(np.zeros(len(rare), np.int64)), zero, zero,
-                    ],
-                    _SUMS,
-                )
+                yield from parts_of(part, names, counts, chance, end)
+
+    def parts_of(part, names, counts, chance, end) -> list[pa.RecordBatch]:
+        words = Words(part.column("text"))
+        spelled = _word_array(words)
+        index = pc.fill_null(pc.index_in(spelled, value_set=names), -1).to_numpy(zero_copy_only=False)
+        common = index >= 0
+        base = np.bincount(words.owner[common], chance[index[common]], words.texts) + end
+        seen = np.bincount(words.owner[common], np.r_[counts, 0][index[common]] > 0, words.texts)
+        stream = Stream(words)
+        code, inverse = np.unique(stream.code, return_inverse=True)
+        logs = np.log10(tree.value.probability(code))[inverse]
+        score = np.add.reduceat(logs, stream.first[:-1])
+        row, doc, held_out = (part.column(c) for c in ("row", "doc_id", "held_out"))
+        own = pa.RecordBatch.from_arrays(
+            [
+                row, doc, held_out, pa.nulls(words.texts, pa.string()), pa.array(np.diff(words.first) + 1),
+                pa.array(seen.astype(np.int64) + int(train_ends > 0)), pa.array(base), pa.array(score),
+            ],
+            _SUMS,
+        )
+        rare = np.flatnonzero(~common)
+        owner, none, zero = pa.array(words.owner[rare]), pa.array(np.zeros(len(rare), np.int64)), pa.array(np.zeros(len(rare)))
+        single = pa.RecordBatch.from_arrays(
+            [
+                row.take(owner), doc.take(owner), held_out.take(owner),
+                spelled.take(pa.array(rare)).cast(pa.string()), none, none, zero, zero,
+            ],
+            _SUMS,
+        )
+        return [own, single]
 
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     sums_and_words = map_arrow(
