@@ -49,7 +49,8 @@ def unit_interval(*parts: Column) -> Column:
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """`mapInArrow` with this package's folder on the workers' import path.
+    """`mapInArrow` with this package's folder on the workers' import path, and for column names
+    of any characters.
 
     Where executors do not share that folder, the package comes with the job (`--py-files`).
     """
@@ -58,7 +59,12 @@ def map_arrow(
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
-    return df.mapInArrow(function, schema)
+    names = df.columns
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return function(batch.rename_columns(names) for batch in batches)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
 
 
 def byte_slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -47,7 +47,7 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((len(lengths), width), np.int64)
     row = np.repeat(np.arange(len(lengths)), lengths)
-    at = np.arange(len(flat)) - np.repeat(np.r_[0, np.cumsum(lengths)[:-1]], lengths)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     out[row, at] = flat
     return out
 
