@@ -192,7 +192,7 @@ def learn(train: DataFrame, vocabulary: str) -> Pieces:
                 spelling = body.to_pylist()
                 length = np.array([len(w) for w in spelling])
                 data = np.frombuffer(b"".join(spelling), np.uint8)
-                start = np.r_[0, np.cumsum(length)[:-1]]
+                start = np.cumsum(length) - length
                 weight = np.zeros((len(spelling), table.shape[1]))
                 weight[np.arange(len(spelling)), batch.column("language").to_numpy()] = batch.column("n").to_numpy()
                 for chosen, lattice in _lattices(data, start, length, keys, table.shape[1]):

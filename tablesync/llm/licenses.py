@@ -103,7 +103,7 @@ class Library:
         for size, own in self.by_size.items():
             blocks = -(-counts // size)
             start = np.repeat(first[:-1], blocks)
-            start = start + size * (np.arange(len(start)) - np.repeat(np.r_[0, np.cumsum(blocks)[:-1]], blocks))
+            start = start + size * (np.arange(len(start)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
             text = np.repeat(np.arange(len(counts)), blocks)
             if not len(start):
                 continue
