@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,6 +60,7 @@ PATTERNS = {
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?!\w)", re.ASCII),
     "person": re.compile(rf"(?<!\w)(?:(?P<title>{_TITLE})\.?[ ])?(?P<given>{_GIVEN})(?: (?P<family>{_CAPITAL}))?(?!\w)|(?<!\w)(?P<title2>{_TITLE})\.? (?P<family2>{_CAPITAL})(?!\w)"),
 }
+_NAME = re.compile(rf"(?<!\w){_CAPITAL}(?!\w)")
 #: A text without any of these has no entity.
 _HINT = re.compile(rf"[@0-9]|(?i:token|secret|password|key)|(?<!\w)(?:{_GIVEN}|{_TITLE})(?!\w)")
 
@@ -73,46 +75,49 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     if not _HINT.search(text):
         return []
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
-
-    def add(first: int, last: int, kind: str, canon: str) -> None:
-        found.append((first, last, kind, canon))
-        taken.append((first, last))
-
-    families: dict[str, str] = {}
+    families: set[str] = set()
     for kind, pattern in PATTERNS.items():
-        spans = sorted(taken)
+        taken = _Spans(found)
         for match in pattern.finditer(text):
             first, last = match.span(1) if kind == "secret" else match.span()
-            if kind != "person" and any(a < last and first < b for a, b in spans):
+            if taken.meet(first, last):
                 continue
             if kind == "person":
-                given, family = match["given"], match["family"] or match["family2"]
-                family_at = match.start("family") if match["family"] else match.start("family2")
-                if family and not family[0].isupper():
-                    family = None
-                if any(a < last and first < b for a, b in spans) or not family:
-                    continue
-                if given:
-                    add(match.start("given"), match.end("given"), "given", given)
-                families[family] = ""
+                family = match["family"] or match["family2"]
+                if family and family[0].isupper():
+                    families.add(family)
+                    if match["given"]:
+                        found.append((match.start("given"), match.end("given"), "given", match["given"]))
             elif kind == "email":
                 at = match.group().index("@")
                 dot = match.group().rindex(".")
-                add(first, first + at, "mailbox", match.group().lower())
-                add(first + at + 1, first + dot, "domain", match.group()[at + 1 : dot].lower())
+                found.append((first, first + at, "mailbox", match.group().lower()))
+                found.append((first + at + 1, first + dot, "domain", match.group()[at + 1 : dot].lower()))
             elif kind == "secret":
-                add(first, last, kind, match.group(1))
+                found.append((first, last, kind, match.group(1)))
             elif kind == "ip":
-                add(first, last, kind, ".".join(str(int(p)) for p in match.group().split(".")))
+                found.append((first, last, kind, ".".join(str(int(p)) for p in match.group().split("."))))
             else:
-                add(first, last, kind, "".join(c for c in match.group() if c.isalnum()))
-    for family in families:
-        kind = "given" if family in _NAMES else "family"
-        for match in re.finditer(rf"(?<!\w){re.escape(family)}(?!\w)", text):
-            if not any(a < match.end() and match.start() < b for a, b in taken):
-                add(match.start(), match.end(), kind, family)
-    return sorted(set(found))
+                found.append((first, last, kind, "".join(c for c in match.group() if c.isalnum())))
+    if families:
+        taken = _Spans(found)
+        for match in _NAME.finditer(text):
+            name = match.group()
+            if name in families and not taken.meet(*match.span()):
+                found.append((*match.span(), "given" if name in _NAMES else "family", name))
+    return sorted(found)
+
+
+class _Spans:
+    """Spans that do not overlap each other; each look-up is a binary search."""
+
+    def __init__(self, found: list[tuple[int, int, str, str]]):
+        spans = sorted(e[:2] for e in found)
+        self._first, self._last = [s[0] for s in spans], [s[1] for s in spans]
+
+    def meet(self, first: int, last: int) -> bool:
+        before = bisect_left(self._first, last)
+        return before > 0 and self._last[before - 1] > first
 
 
 def _permute(index: int, size: int, key: bytes) -> int:
