@@ -185,6 +185,46 @@ def test_half_a_license_is_none(spark):
     assert found[1].licenses == [] and found[2].licenses == ["MIT"] and found[2].matches[0]["first"] == 2
 
 
+def test_license_lines_of_the_documents_are_found(spark):
+    """The wordings are those that a plain search for license lines finds in the test tables."""
+    names = {"MIT License": "MIT", "Apache License": "Apache-2.0", "GNU General Public License, version 3": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    expected = {}
+    for r in docs.collect():
+        lines = re.findall(r"[^.\n]*licen[sc]e[^\n]*", r.text or "", re.IGNORECASE)
+        expected[r.doc_id] = sorted({name for line in lines for wording, name in names.items() if wording in line})
+        assert not lines or expected[r.doc_id], lines
+    assert sum("MIT" in own for own in expected.values()) > 0
+    assert {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()} == expected
+
+
+@pytest.mark.parametrize(
+    "line, names",
+    [
+        ("Released under the MIT License.", ["MIT"]),
+        ("This project is licensed under the MIT License - see LICENSE", ["MIT"]),
+        ("// SPDX-License-Identifier: MIT", ["MIT"]),
+        ("# SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+        ("SPDX-License-Identifier: Apache-2.0 OR MIT", ["Apache-2.0", "MIT"]),
+        ("distributed under the BSD 3-Clause License", ["BSD"]),
+        ("is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ["CC-BY-SA-4.0"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+        ("The MIT lab released the software under the terms agreed", []),
+    ],
+)
+def test_usual_one_line_notices(spark, line, names):
+    rows = [(1, line), (2, f"é some words before it\n{line}\nand some more words after it"), (3, f"{line} {line}")]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [r.licenses for r in sorted(found, key=lambda r: r.doc_id)] == [names] * 3
+
+
+def test_short_notices_do_not_reach_into_the_next_text(spark):
+    rows = [(1, "Released under the MIT"), (2, "License."), (3, "Released under the MIT License.")]
+    found = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()}
+    assert found[1].licenses == [] and found[2].licenses == [] and len(found[3].matches) == 1
+    assert tuple(found[3].matches[0]) == ("MIT", 0, 30, 1.0)
+
+
 def test_licenses_of_awkward_rows(spark):
     df = awkward(spark, "licenses matches")
     found = licenses.scan_licenses(df).collect()
