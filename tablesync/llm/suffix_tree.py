@@ -7,9 +7,12 @@ suffix by more than its free parameters cost. The longest state that is a suffix
 predicts the next symbol; its counts are smoothed with the prediction of the next shorter
 state, down to uniform bytes, so the probabilities of all texts add up to one.
 
-All training documents are counted. States and distributions are kept down to a least share of
-the symbols, so their number has a bound that does not depend on the corpus; word counts have
-none and stay distributed.
+All training documents are counted, and every context that is seen LEAST times with a next symbol
+may become a state: their number grows with the corpus, so states and distributions are never
+in one place. Grams are dealt out by the KEY bytes before the symbol. Whatever a longer context
+is compared with then lies in the same part, but for the contexts below KEY bytes, which every
+part knows. The result is a table of all grams that occur, with their probabilities. Scoring
+takes the frequent ones from memory and joins the others; so it is with words.
 """
 
 from __future__ import annotations
@@ -27,10 +30,14 @@ from tablesync.llm.common import Words, byte_slices, map_arrow
 from tablesync.sinks.files import stage
 
 #: Bytes of the longest context.
-DEPTH = 6
-#: Least share of all training symbols for a context with its next symbol: at most
-#: 1 / LEAST_GRAM of them are kept for each context length.
-LEAST_GRAM = 3e-7
+DEPTH = 7
+#: Least count of a context with its next symbol, whatever the size of the corpus.
+LEAST = 2
+#: Bytes before a symbol by which grams are dealt out; shorter contexts are sent to all tasks.
+KEY = 3
+#: Grams with at least this share of all symbols are known to every task: at most 1 / LEAST_GRAM.
+#: The others are joined.
+LEAST_GRAM = 5e-8
 #: Words with at least this share of all tokens are known to every task: at most 1 / LEAST_WORD.
 LEAST_WORD = 5e-7
 
@@ -43,7 +50,7 @@ DIVERGENCE = 0.5
 #: Bytes of text that are counted or scored at once.
 SLICE = 2_000_000
 #: Grams that a task merges before it hands them on.
-HELD = 1_500_000
+HELD = 3_000_000
 
 _END, _PAD = 0x09, 0x0A  # white space, so in no word
 
@@ -108,22 +115,51 @@ def _words_of(part: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each task, merged as they grow."""
+    """Counts of each task, in all texts and in those held in, merged as they grow."""
+
+    def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for part in byte_slices(batch, "text", SLICE):
+                stream = Stream(Words(part.column("text")))
+                train = ~part.column("held_out").to_numpy(zero_copy_only=False)
+                train = np.repeat(train, np.diff(stream.first))
+                for own, n in ((stream.code[train], 1), (stream.code[~train], 0)):
+                    code, count = np.unique(own, return_counts=True)
+                    yield code, np.stack([count, count * n], axis=1)
+
+    return _gram_batches(_merged_as_they_grow(counted()))
+
+
+def _count_short_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same for contexts below KEY bytes."""
+
+    def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for part in byte_slices(batch, "text", SLICE):
+                code, count = np.unique(Stream(Words(part.column("text"))).code & _mask(KEY), return_counts=True)
+                yield code, np.stack([count, count], axis=1)
+
+    return _gram_batches(_merged_as_they_grow(counted()))
+
+
+def _merged_as_they_grow(
+    parts: Iterator[tuple[np.ndarray, np.ndarray]], hand_on: bool = True
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes in ascending order with the sums of their counts; all at once unless many may be handed on before."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    rows = 0
-    for batch in batches:
-        for part in byte_slices(batch, "text", SLICE):
-            code, count = np.unique(Stream(Words(part.column("text"))).code, return_counts=True)
-            held.append((code, count))
-            rows += len(code)
-            if rows > HELD:
-                held = [_merged(held)]
-                rows = len(held[0][0])
-                if rows > HELD // 2:
-                    yield _gram_batch(*held.pop())
-                    rows = 0
+    rows, limit = 0, HELD
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows > limit:
+            held = [_merged(held)]
+            rows = len(held[0][0])
+            if hand_on and rows > HELD // 2:
+                yield held.pop()
+                rows = 0
+            limit = max(HELD, 2 * rows)
     if held:
-        yield _gram_batch(*_merged(held))
+        yield _merged(held)
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +170,23 @@ def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return code[first], np.add.reduceat(count, first) if len(code) else count
 
 
-def _gram_batch(code: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(count)], ["code", "n"])
+def _gram_batches(grams: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for code, count in grams:
+        columns = code.view(np.int64), count[:, 0].copy(), count[:, 1].copy()
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n_all", "n"])
+
+
+Level = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _totals(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending grams with their counts, their contexts' counts and numbers of next symbols."""
+    if not len(code):
+        return code, n, n, n
+    context = code >> np.uint64(8)
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    kinds = np.diff(np.r_[first, len(code)])
+    return code, n, np.repeat(np.add.reduceat(n, first), kinds), np.repeat(kinds, kinds)
 
 
 class SuffixTree:
@@ -169,6 +220,30 @@ class SuffixTree:
             self.escape[depth] = np.maximum(rest[0], 1e-12) / np.maximum(rest[1], 1e-12)
         self.contexts[depth], self.grams[depth], self.chance[depth] = context[first], code, chance
 
+    def grow(self, code: np.ndarray, count: np.ndarray, depths: range, known: Level | None = None) -> Level | None:
+        """Add the states of some lengths from the counts of grams that are at least as long.
+
+        `known` is the level below the first of them, frequent grams with their counts and
+        those of their contexts; the last level comes back.
+        """
+        for depth in depths:
+            level, n = _merged([(code & _mask(depth + 1), count)])
+            level, n, total, kinds = _totals(level, n)
+            often = n >= LEAST
+            level, n, total, kinds = level[often], n[often], total[often], kinds[often]
+            kept = np.ones(len(level), bool)
+            if known is not None and len(level):
+                at = np.searchsorted(known[0], level & _mask(depth))
+                gain = n * np.log(n / total * known[2][at] / known[1][at])
+                context = level >> np.uint64(8)
+                first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+                symbols = np.diff(np.r_[first, len(level)])
+                states = np.add.reduceat(gain, first) > DIVERGENCE * symbols * np.log(total[first])
+                kept = np.repeat(states, symbols)
+            self.add(depth, level[kept], n[kept], total[kept], kinds[kept])
+            known = level, n, total
+        return known
+
     def probability(self, code: np.ndarray, deepest: int | None = None) -> np.ndarray:
         """Of the lowest byte of each code after the bytes above it."""
         found, weight = np.full(len(code), 1 / 256), np.ones(len(code))
@@ -189,38 +264,51 @@ class SuffixTree:
 
 
 def learn(train: DataFrame) -> SuffixTree:
-    """The tree of the texts in the column `text`."""
-    grams = map_arrow(train.select("text"), _count_grams, "code bigint, n bigint")
-    grams = stage(grams.groupBy("code").agg(F.sum("n").alias("n")), "grams")
-    symbols = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(1, math.ceil(LEAST_GRAM * symbols))
-    levels = {DEPTH: grams}
-    for depth in range(DEPTH - 1, -1, -1):
-        shorter_code = F.col("code").bitwiseAND(F.lit(int(_mask(depth + 1))))
-        summed = levels[depth + 1].groupBy(shorter_code.alias("code")).agg(F.sum("n").alias("n"))
-        levels[depth] = stage(summed, f"grams-{depth}")
-    tree, shorter = SuffixTree(), None
-    for depth in range(DEPTH + 1):
-        level = levels[depth].withColumn("context", F.shiftrightunsigned("code", 8))
-        totals = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        level = level.filter(F.col("n") >= least).join(totals.filter(F.col("total") >= least), "context")
-        level = stage(level, f"frequent-{depth}")
-        kept = level
-        if shorter is not None:
-            suffix = F.col("code").bitwiseAND(F.lit(int(_mask(depth))))
-            known = shorter.selectExpr("code as suffix", "n as suffix_n", "total as suffix_total")
-            told = level.withColumn("suffix", suffix).join(known, "suffix")
-            gain = F.sum(F.col("n") * F.log(F.col("n") / F.col("total") * F.col("suffix_total") / F.col("suffix_n")))
-            states = told.groupBy("context", "total").agg(gain.alias("gain"), F.count("*").alias("symbols"))
-            states = states.filter(f"gain > {DIVERGENCE} * symbols * ln(total)").select("context")
-            kept = level.join(states, "context", "left_semi")
-        shorter = level
-        found = kept.select("code", "n", "total", "kinds").toArrow()
-        code, *counts = (found.column(c).to_numpy() for c in ("code", "n", "total", "kinds"))
-        tree.add(depth, code.view(np.uint64), *counts)
+    """The tree of the texts in the column `text`, in one place: for corpora that fit the driver.
+
+    `chances` has the same probabilities for corpora of any size.
+    """
+    docs = train.select("text", F.lit(False).alias("held_out"))
+    code, n = _collected(map_arrow(docs, _count_grams, "code bigint, n_all bigint, n bigint"))
+    tree = SuffixTree()
+    tree.grow(code, n, range(DEPTH + 1))
     return tree
 
 
+def _collected(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    found = grams.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return found.column("code").to_numpy().view(np.uint64), found.column("n").to_numpy()
+
+
+def chances(docs: DataFrame) -> DataFrame:
+    """code, n_all and chance (log10) of all grams of `text`, learned from the texts not held out."""
+    short = map_arrow(docs.filter("not held_out").select("text"), _count_short_grams, "code bigint, n_all bigint, n bigint")
+    tree = SuffixTree()
+    known = tree.grow(*_collected(short), range(KEY))
+    shared = docs.sparkSession.sparkContext.broadcast((tree, known))
+
+    def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = (
+            (b.column("code").to_numpy().view(np.uint64), np.stack([b.column(c).to_numpy() for c in ("n_all", "n")], axis=1))
+            for b in batches
+        )
+        for code, count in _merged_as_they_grow(parts, hand_on=False):
+            own, below = SuffixTree(), shared.value[1]
+            for name, levels in vars(shared.value[0]).items():
+                setattr(own, name, list(levels))
+            train = count[:, 1] > 0
+            own.grow(code[train], count[train, 1], range(KEY, DEPTH + 1), below)
+            for at in range(0, len(code), HELD // 4):
+                some = code[at : at + HELD // 4]
+                n_all = count[at : at + HELD // 4, 0].copy()
+                columns = some.view(np.int64), n_all, np.log10(own.probability(some))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n_all", "chance"])
+
+    grams = map_arrow(docs.select("text", "held_out"), _count_grams, "code bigint, n_all bigint, n bigint")
+    dealt = grams.repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(int(_mask(KEY)))))
+    return stage(map_arrow(dealt, modelled, "code bigint, n_all bigint, chance double"), "chances")
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -233,6 +321,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
     docs = docs.select("doc_id", "text", (part == 2).alias("held_out"))
+    # a row's number has to be the same for its words and its grams
+    docs = stage(docs.withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
     spark = docs.sparkSession
 
     counted = map_arrow(docs.select("text", "held_out"), _count_words, "word string, n_all bigint, n bigint")
@@ -244,7 +334,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
     divisor = tokens + (sums["kinds"] or 0) + int(train_ends > 0) + 1
     frequent = counted.filter(F.col("n_all") >= math.ceil(LEAST_WORD * (sums["n_all"] or 0)))
     known = spark.sparkContext.broadcast(frequent.select("word", "n").toArrow().combine_chunks())
-    tree = spark.sparkContext.broadcast(learn(docs.filter("not held_out")))
+    grams = chances(docs)
+    least_gram = math.ceil(LEAST_GRAM * (grams.agg(F.sum("n_all")).first()[0] or 0))
+    common_grams = grams.filter(F.col("n_all") >= least_gram).select("code", "chance").toArrow()
+    code, chance = (common_grams.column(c).to_numpy() for c in ("code", "chance"))
+    order = np.argsort(code.view(np.uint64))
+    common_grams = spark.sparkContext.broadcast((code.view(np.uint64)[order], chance[order]))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,15 +360,11 @@ def score_texts(docs: DataFrame) -> DataFrame:
         common = index >= 0
         base = np.bincount(words.owner[common], chance[index[common]], words.texts) + end
         seen = np.bincount(words.owner[common], np.r_[counts, 0][index[common]] > 0, words.texts)
-        stream = Stream(words)
-        code, inverse = np.unique(stream.code, return_inverse=True)
-        logs = np.log10(tree.value.probability(code))[inverse]
-        score = np.add.reduceat(logs, stream.first[:-1])
         row, doc, held_out = (part.column(c) for c in ("row", "doc_id", "held_out"))
         own = pa.RecordBatch.from_arrays(
             [
                 row, doc, held_out, pa.nulls(words.texts, pa.string()), pa.array(np.diff(words.first) + 1),
-                pa.array(seen.astype(np.int64) + int(train_ends > 0)), pa.array(base), pa.array(score),
+                pa.array(seen.astype(np.int64) + int(train_ends > 0)), pa.array(base),
             ],
             _SUMS,
         )
@@ -282,16 +373,36 @@ def score_texts(docs: DataFrame) -> DataFrame:
         single = pa.RecordBatch.from_arrays(
             [
                 row.take(owner), doc.take(owner), held_out.take(owner),
-                spelled.take(pa.array(rare)).cast(pa.string()), none, none, zero, zero,
+                spelled.take(pa.array(rare)).cast(pa.string()), none, none, zero,
             ],
             _SUMS,
         )
         return [own, single]
 
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text with the sum of its frequent grams, and a row for each other gram."""
+        known, chance = common_grams.value
+        chance = np.r_[chance, 0.0]
+        for batch in batches:
+            for part in byte_slices(batch, "text", SLICE):
+                stream, row = Stream(Words(part.column("text"))), part.column("row").to_numpy()
+                code, inverse = np.unique(stream.code, return_inverse=True)
+                at = np.searchsorted(known, code)
+                inside = np.minimum(at, max(len(known) - 1, 0))
+                hit = known[inside] == code if len(known) else np.zeros(len(code), bool)
+                logs = np.where(hit, chance[inside], 0.0)[inverse]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row), pa.array(row), pa.array(np.add.reduceat(logs, stream.first[:-1]))], _GRAMS
+                )
+                rare = np.flatnonzero(~hit[inverse])
+                owner = np.repeat(np.arange(len(row)), np.diff(stream.first))[rare]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row[owner]), pa.array(stream.code[rare].view(np.int64)), pa.nulls(len(rare), pa.float64())], _GRAMS
+                )
+
     sums_and_words = map_arrow(
-        numbered, scored,
-        f"row bigint, doc_id {kind}, held_out boolean, word string, n_tokens bigint, n_known bigint, base double, score double",
+        docs, scored,
+        f"row bigint, doc_id {kind}, held_out boolean, word string, n_tokens bigint, n_known bigint, base double",
     )
     # a word holds no white space: a text's own row matches no word and goes to a partition by chance
     word = F.coalesce("word", F.concat(F.lit("\t"), F.col("row").cast("string")))
@@ -300,11 +411,18 @@ def score_texts(docs: DataFrame) -> DataFrame:
     n = F.coalesce("n", F.lit(0))
     is_word = F.col("word").isNotNull()
     joined = joined.select(
-        "row", "doc_id", "held_out", "n_tokens", "score",
+        "row", "doc_id", "held_out", "n_tokens",
         F.when(is_word, (n > 0).cast("bigint")).otherwise(F.col("n_known")).alias("n_known"),
         F.when(is_word, F.log10((n + 1) / F.lit(float(divisor)))).otherwise(F.col("base")).alias("base"),
     )
-    total = joined.groupBy("row", "doc_id", "held_out").agg(
+    # a text's sum has its row as code; it is told from a gram by its score, and matches none
+    sums_and_grams = map_arrow(docs.select("row", "text"), predicted, "row bigint, code bigint, score double")
+    sums_and_grams = sums_and_grams.withColumn("gram", F.col("score").isNull())
+    rare_grams = grams.filter(F.col("n_all") < least_gram).select("code", F.lit(True).alias("gram"), "chance")
+    scores = sums_and_grams.join(rare_grams.hint("shuffle_hash"), ["code", "gram"], "left")
+    scores = scores.select("row", F.coalesce("score", "chance").alias("score"))
+    total = joined.unionByName(scores, allowMissingColumns=True).groupBy("row").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.max("held_out").alias("held_out"),
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.sum("base").alias("base_score"), F.sum("score").alias("score"),
     )
@@ -313,4 +431,5 @@ def score_texts(docs: DataFrame) -> DataFrame:
     )
 
 
-_SUMS = ["row", "doc_id", "held_out", "word", "n_tokens", "n_known", "base", "score"]
+_SUMS = ["row", "doc_id", "held_out", "word", "n_tokens", "n_known", "base"]
+_GRAMS = ["row", "code", "score"]

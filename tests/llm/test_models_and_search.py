@@ -86,6 +86,35 @@ def test_the_tree_predicts_held_out_text_better_than_words(spark):
     assert sums[0] > sums[1]
 
 
+@pytest.mark.parametrize("share", [0.0, 1e-3, 1.0])
+def test_scores_equal_those_of_the_whole_tree(spark, table, monkeypatch, share):
+    """Whether grams are known to every task or joined, and wherever their states are learned."""
+    monkeypatch.setattr(suffix_tree, "LEAST_GRAM", share)
+    docs = table("documents").select("doc_id", "text").union(awkward(spark).select("doc_id", "text"))
+    rows = docs.collect()
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    tree = suffix_tree.learn(docs.filter(~held))
+    assert sum(len(c) for c in tree.contexts[suffix_tree.KEY :]) > 100
+    stream = suffix_tree.Stream(Words(pa.array([r.text for r in rows], pa.string())))
+    expected = np.add.reduceat(np.log10(tree.probability(stream.code)), stream.first[:-1])
+    found = suffix_tree.score_texts(docs).collect()
+    key = lambda pair: (pair[0] is None, pair[0] or 0, pair[1])
+    expected = sorted(((r.doc_id, e) for r, e in zip(rows, expected, strict=True)), key=key)
+    found = sorted(((r.doc_id, r.score) for r in found), key=key)
+    assert [f[0] for f in found] == [e[0] for e in expected]
+    assert np.allclose([f[1] for f in found], [e[1] for e in expected], rtol=1e-9)
+
+
+def test_contexts_are_kept_by_count_whatever_the_size_of_the_corpus():
+    """A context of seven bytes seen ten times among 10^9 symbols is a state."""
+    code = np.frombuffer(b"abcdefgx"[::-1] + b"\0\0\0\0\0\0ez" [::-1], np.uint64).copy()
+    code = np.r_[code, np.frombuffer(b"abcdefgy"[::-1], np.uint64), np.frombuffer(b"qbcdefgy"[::-1], np.uint64)]
+    tree = suffix_tree.SuffixTree()
+    tree.grow(code, np.array([10, 10**9, 1, 10**6]), range(suffix_tree.DEPTH + 1))
+    assert suffix_tree.DEPTH == 7 and code[0] >> np.uint64(8) in tree.contexts[7] and code[0] in tree.grams[7]
+    assert tree.probability(code[:1])[0] > 0.5
+
+
 # surrogates ----------------------------------------------------------------------------------
 
 PERSONAL = (
