@@ -4,7 +4,8 @@ A surrogate is the image of the entity under a keyed permutation of all texts of
 (vowels, consonants and digits place by place; names among names of their gender and script),
 so one entity has one surrogate in the whole corpus and two entities never share one. What the
 permutation can't know is checked over the whole corpus: no surrogate may be an entity that
-occurs. Entities found in such a collision are permuted again until none is left.
+occurs. Entities found in such a collision are permuted again until none is left. Only where a
+shape has fewer free texts than entities, the last ones take texts that occur, each another one.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ from tablesync.llm.common import map_arrow, quoted
 from tablesync.sinks.files import stage
 
 KEY = "surrogate key"
-#: Rounds of permuting entities again; then what still collides stays with its first surrogate,
-#: which is distinct from all others of its shape.
+#: Rounds with one more attempt; then what still collides takes twice as many in each round, and
+#: shapes without free texts are looked for.
 ROUNDS = 8
+#: Attempts of all entities in one of the later rounds, about.
+ATTEMPTS = 1_000_000
 #: Entities with a later surrogate that are sent to all tasks; more are joined to their texts.
 BROADCAST_ENTITIES = 100_000
 
@@ -230,9 +233,35 @@ def _owner_form(kind: str, canon: str, new: str) -> str:
     return f"{new}@{canon.partition('@')[2]}" if kind == "mailbox" else new
 
 
+def _room(kind: str, canon: str) -> tuple[str, int]:
+    """A name for the texts among which the surrogate is, and their number (up to 2^62)."""
+    if kind == "ip":
+        for block in _BLOCKS:
+            if ipaddress.IPv4Address(canon) in block:
+                return str(block), block.num_addresses
+        return "", (1 << 32) - sum(b.num_addresses for b in _BLOCKS)
+    if kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", canon):
+        return f"{len(canon)} {canon == canon.lower()}", min(16 ** len(canon), 1 << 62)
+    text, _, domain = canon.partition("@") if kind == "mailbox" else (canon, "", "")
+    fixed = max(0, len(canon) - 10) if kind == "phone" else 2 if kind == "iban" else 0
+    size = 1
+    for c in text[fixed:]:
+        size *= len(_CLASS.get(c, " "))
+    name = text[:fixed] + "".join(_CLASS.get(c, c)[0] for c in text[fixed:]) + "@" + domain
+    if kind == "card":
+        return f"{name} {_luhn(canon)}", size // 10 if _luhn(canon) else size - size // 10
+    return name, min(size, 1 << 62)
+
+
 def later_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """type, canon and attempt of the entities of `text` whose first surrogate collides with an
-    entity of the corpus, or with a surrogate chosen for another one."""
+    entity of the corpus, or with a surrogate chosen for another one.
+
+    An entity takes the first attempt that is free; of several entities the one with the lowest
+    attempt, then the lowest canonical form, has it. This goes on until all have one. In a shape
+    whose texts all occur or are taken, what is left (`loose`) takes texts that occur but are no
+    other's surrogate, itself only if nothing else is left.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,33 +270,64 @@ def later_surrogates(docs: DataFrame, key: str) -> DataFrame:
                 [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], ["type", "canon"]
             )
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def claimed(width: int):
+        def claims(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = batch.to_pylist()
+                step = max(1, 50_000 // width)
+                for at in range(0, len(rows), step):
+                    tried = [r | {"attempt": r["attempt"] + i} for r in rows[at : at + step] for i in range(width)]
+                    for r in tried:
+                        r["new"] = _owner_form(r["type"], r["canon"], surrogate(r["type"], r["canon"], key, r["attempt"]))
+                    yield pa.RecordBatch.from_pylist(tried, _CLAIM)
+
+        return claims
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            new = [_owner_form(r["type"], r["canon"], surrogate(r["type"], r["canon"], key, r["attempt"])) for r in rows]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], ["type", "canon", "attempt", "new"])
+            rooms = [_room(r["type"], r["canon"]) for r in batch.to_pylist()]
+            name, size = pa.array([r[0] for r in rooms], pa.string()), pa.array([r[1] for r in rooms], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, name, size], ["type", "canon", "shape", "size"])
 
     # a list of names is too short to leave out the names that occur: they are only kept distinct
     known = map_arrow(docs.select("text"), found, "type string, canon string").filter("type <> 'given'").distinct()
     known = stage(known, "entities")
-    state = known.withColumn("attempt", F.lit(0))
-    for turn in range(ROUNDS):
-        state = stage(map_arrow(state, named, "type string, canon string, attempt int, new string"), "surrogates")
-        taken = known.select("type", F.col("canon").alias("new"), F.lit(True).alias("occurs"))
-        first = state.groupBy("type", "new").agg(F.min(F.struct("attempt", "canon")).alias("first"), F.count("*").alias("claims"))
-        judged = first.join(taken, ["type", "new"], "left").filter("occurs or claims > 1")
-        judged = stage(judged.select("type", "new", "occurs", "first.canon"), "collisions").withColumnRenamed("canon", "winner")
-        if judged.isEmpty():
+    waiting = known.select("type", "canon", F.lit(0).alias("attempt"), F.lit(False).alias("loose"), F.lit(False).alias("itself"))
+    settled, shaped, width, turn = None, None, 1, 0
+    while True:
+        claims = "type string, canon string, attempt int, loose boolean, itself boolean, new string"
+        claims = stage(map_arrow(waiting, claimed(width), claims), "surrogates")
+        # inner joins with distinct texts, so that the smaller side can be sent
+        taken = claims.filter("not loose").select("type", "new").distinct()
+        taken = taken.join(known.withColumnRenamed("canon", "new"), ["type", "new"]).withColumn("loose", F.lit(False))
+        if settled is not None:
+            used = claims.select("type", "new", "loose").distinct().join(settled.select("type", "new"), ["type", "new"])
+            taken = taken.unionByName(used)
+        free = claims.filter("itself or new <> canon").join(stage(taken, "collisions"), ["type", "new", "loose"], "left_anti")
+        first = free.groupBy("type", "new").agg(F.min(F.struct("attempt", "canon")).alias("first"))
+        first = first.groupBy("type", "first.canon").agg(F.min(F.struct("first.attempt", "new")).alias("first"))
+        won = stage(first.select("type", "canon", "first.attempt", "first.new"), "settled")
+        settled = won if settled is None else settled.union(won)
+        waiting = waiting.join(won.select("type", "canon"), ["type", "canon"], "left_anti")
+        waiting = stage(waiting.withColumn("attempt", F.col("attempt") + width), "waiting")
+        turn += 1
+        if waiting.isEmpty():
             break
-        again = state.join(judged, ["type", "new"], "left")
-        moves = F.col("winner").isNotNull() & (F.coalesce("occurs", F.lit(False)) | (F.col("canon") != F.col("winner")))
-        state = again.select("type", "canon", (F.col("attempt") + F.when(moves, 1).otherwise(0)).alias("attempt"))
-    else:
-        # what does not settle goes back, with all of its shape, to the first surrogates
-        shape = F.translate("canon", "".join(c for c in _CLASS), "".join(_CLASS[c][0] for c in _CLASS))
-        loose = state.filter(F.col("attempt") == ROUNDS).select("type", shape.alias("shape")).distinct()
-        state = state.withColumn("shape", shape).join(loose, ["type", "shape"], "left_anti")
-    return stage(state.filter("attempt > 0").select("type", "canon", "attempt"), "later-surrogates")
+        if turn >= ROUNDS:
+            shaped = shaped or stage(map_arrow(known, sized, "type string, canon string, shape string, size bigint"), "shapes")
+            settled = stage(settled, "settled")
+            own = shaped.join(waiting, ["type", "canon"]).select("type", "shape").distinct()
+            held = shaped.join(own, ["type", "shape"]).join(settled.select("type", "canon", "new"), ["type", "canon"], "left")
+            rooms = held.groupBy("type", "shape").agg(F.min("size").alias("size"), F.count("*").alias("n"), F.count("new").alias("used"))
+            waiting = waiting.drop("loose", "itself").join(shaped.drop("size"), ["type", "canon"]).join(rooms, ["type", "shape"])
+            full, last = F.col("size") <= F.col("n") + F.col("used"), F.col("size") - F.col("used") <= F.col("n") - F.col("used")
+            waiting = waiting.select("type", "canon", "attempt", full.alias("loose"), (full & last).alias("itself"))
+            waiting = stage(waiting, "waiting")
+            width = max(1, min(2 * width, ATTEMPTS // waiting.count()))
+    return stage(settled.filter("attempt > 0").select("type", "canon", "attempt"), "later-surrogates")
+
+
+_CLAIM = pa.schema([("type", pa.string()), ("canon", pa.string()), ("attempt", pa.int32()), ("loose", pa.bool_()), ("itself", pa.bool_()), ("new", pa.string())])
 
 
 def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:

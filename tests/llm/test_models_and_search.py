@@ -167,6 +167,32 @@ def test_no_surrogate_is_an_entity_that_occurs(spark):
     assert [r.text for r in found if r.doc_id == 101] == ["a clean text"]
 
 
+def test_collisions_go_on_until_none_is_left(spark):
+    """Of 210 domains of one shape 100 are in use, of ten 8, of another ten all; 'é' has no other text."""
+    names = {f"{c}{d}" for c in "bcdfghjklm" for d in range(10)}
+    crowded, full = {str(d) for d in range(8)}, {f"{d}--" for d in range(10)}
+    text = " ".join(f"a@{n}.org" for n in sorted(names | crowded | full)) + " Mr Óé"
+    later = surrogates.later_surrogates(spark.createDataFrame([(text,)], "text string"), "key").collect()
+    attempts = {(r.type, r.canon): r.attempt for r in later}
+    new = {n: surrogates.surrogate("domain", n, "key", attempts.get(("domain", n), 0)) for n in names | crowded | full}
+    assert len(set(new.values())) == len(new)
+    assert not names & {new[n] for n in names}
+    assert {"8", "9"} <= {new[n] for n in crowded} and not any(n == new[n] for n in crowded)
+    assert {new[n] for n in full} == full
+    assert max(attempts.values()) > surrogates.ROUNDS
+
+
+@pytest.mark.parametrize(
+    "kind, canon, size",
+    [("domain", "b1", 210), ("ssn", "123456789", 10**9), ("ip", "192.168.1.2", 2**16), ("mailbox", "a1@b.org", 50), ("card", "4111111111111111", 10**15), ("phone", "490305550199", 10**10), ("iban", "DE89", 100), ("family", "Óé", 1)],
+)
+def test_rooms_of_surrogates(kind, canon, size):
+    assert surrogates._room(kind, canon)[1] == size
+    for attempt in range(5):
+        new = surrogates._owner_form(kind, canon, surrogates.surrogate(kind, canon, "key", attempt))
+        assert surrogates._room(kind, new) == surrogates._room(kind, canon)
+
+
 def test_many_collisions_are_joined_instead_of_sent(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"net 192.168.0.{i} and 192.168.0.{i + 1}") for i in range(20)], "doc_id bigint, text string")
     later = spark.createDataFrame([("ip", "192.168.0.3", 2)], "type string, canon string, attempt int")
