@@ -9,6 +9,7 @@ from, so no round gathers the corpus.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -49,13 +50,31 @@ _RULE = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
 _SAME = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
-def _byte_pieces(vocabulary: dict[str, int]) -> dict[bytes, int]:
+def byte_pieces(vocabulary: dict[str, int]) -> dict[bytes, int]:
     """The pieces of a byte-level vocabulary as bytes; special tokens are left out."""
     others = [b for b in range(256) if b not in _SAME]
     number = {chr(b): b for b in _SAME} | {chr(256 + i): b for i, b in enumerate(others)}
     return {bytes(map(number.__getitem__, t)): i for t, i in vocabulary.items() if all(c in number for c in t)}
 
 
+def strung_encoder(tokenizer) -> tiktoken.Encoding | None:
+    """A faster encoder with the same ids, or None unless the vocabulary has the byte-level cutting rule,
+    no changes of the text, and merges whose results have ids in their order."""
+    model = json.loads(tokenizer.to_str())["model"]
+    if str(tokenizer.pre_tokenizer) != _RULE or tokenizer.normalizer is not None or model["type"] != "BPE":
+        return None
+    if model.get("ignore_merges") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+        return None
+    vocabulary = model["vocab"]
+    merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+    made = [vocabulary.get(m.replace(" ", "")) for m in merges]
+    if None in made or any(a >= b for a, b in zip(made, made[1:], strict=False)):
+        return None
+    special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+    pieces = byte_pieces({t: i for t, i in vocabulary.items() if t not in special})
+    return tiktoken.Encoding("words", pat_str=_CUT, mergeable_ranks=pieces, special_tokens={})
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, each distinct word tokenized once.
 
@@ -72,11 +91,11 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.encode_special_tokens = True
-        self._by_words = str(self._tokenizer.pre_tokenizer) == _RULE and self._tokenizer.normalizer is None
+        self._strung = strung_encoder(self._tokenizer)
+        self._by_words = self._strung is not None
         if self._by_words:
             special = {t.content for t in self._tokenizer.get_added_tokens_decoder().values()}
-            pieces = _byte_pieces({t: i for t, i in self._tokenizer.get_vocab().items() if t not in special})
-            self._strung = tiktoken.Encoding("words", pat_str=_CUT, mergeable_ranks=pieces, special_tokens={})
+            pieces = byte_pieces({t: i for t, i in self._tokenizer.get_vocab().items() if t not in special})
             self._size = np.zeros(max(pieces.values()) + 1, np.int64)
             for piece, number in pieces.items():
                 self._size[number] = len(piece)

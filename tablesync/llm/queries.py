@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.llm.alignment import align_documents
 from tablesync.llm.common import table
 from tablesync.llm.exact_dedup import exact_duplicates
+from tablesync.llm.hard_negatives import hard_negatives, labelled_vectors
 from tablesync.llm.langid import predict_languages
 from tablesync.llm.licenses import scan_licenses
+from tablesync.llm.line_dedup import drop_shared_lines
 from tablesync.llm.metric_tree import integer_vectors, top_k
 from tablesync.llm.minhash import near_duplicates
 from tablesync.llm.mixing import REST, SEED, SOURCE_WEIGHTS, mix_sources
@@ -75,6 +78,21 @@ def op10_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = labelled_vectors(table(spark, sf_dir, "embeddings"), moved)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_tree_scores": op1_suffix_tree_scores,
     "op2_surrogates": op2_surrogates,
@@ -86,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_super_minhash": op8_super_minhash,
     "op9_marginal_language_id": op9_marginal_language_id,
     "op10_residual_packing": op10_residual_packing,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w!r}::double)" for s, w in SOURCE_WEIGHTS.items())
@@ -131,4 +152,36 @@ scored as (
     from vectors q join vectors v on q.vec_id % 50 = 0 and v.vec_id <> q.vec_id)
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::integer as rank, vec_id, score
 from scored qualify rank <= 5""",
+    "op12_line_dedup": """
+with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+lines as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as at from split),
+keyed as (
+    select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines),
+shared as (
+    select key, max(doc_id) as best from keyed where length(key) >= 40
+    group by key having count(distinct doc_id) >= 5)
+select doc_id, count(*) as n_lines, count(*) filter (where best <> doc_id) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by at) filter (where best is null or best = doc_id), '')) as kept_sha256
+from keyed left join shared using (key) group by doc_id""",
+    "op13_hard_negatives": """
+with vectors as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, v.vec_id, v.label = a.label as alike,
+        list_sum(list_transform(list_zip(a.x, v.x), lambda p: p[1] * p[2]))::bigint as score
+    from vectors a join vectors v on a.vec_id % 100 = 0 and v.vec_id <> a.vec_id),
+positives as (
+    select * from scored where alike
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+matched as (
+    select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+        (row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id))::integer as rank
+    from positives p join scored n on n.anchor_id = p.anchor_id and not n.alike
+        and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from matched where rank <= 5""",
 }
