@@ -154,7 +154,7 @@ select query_id, (row_number() over (partition by query_id order by score desc,
 from scored qualify rank <= 5""",
     "op12_line_dedup": """
 with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
-lines as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as at from split),
+lines as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from split),
 keyed as (
     select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
@@ -163,7 +163,7 @@ shared as (
     select key, max(doc_id) as best from keyed where length(key) >= 40
     group by key having count(distinct doc_id) >= 5)
 select doc_id, count(*) as n_lines, count(*) filter (where best <> doc_id) as n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) order by at) filter (where best is null or best = doc_id), '')) as kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where best is null or best = doc_id), '')) as kept_sha256
 from keyed left join shared using (key) group by doc_id""",
     "op13_hard_negatives": """
 with vectors as (
