@@ -18,11 +18,9 @@ from tablesync.sinks.files import stage
 #: Parts that the documents of one line are dealt to, so that a line which a third of all
 #: documents hold spreads over as many ranges.
 PARTS = 256
-#: Keys, or documents with dropped lines, that are sent to all tasks (at most about 64 bytes and
-#: 200 bytes each); with more of them the rows are joined by a shuffle.
-BROADCAST_KEYS, BROADCAST_DOCS = 500_000, 100_000
-#: Bytes of bitmaps that are sent to all tasks at most.
-BROADCAST_BYTES = 32_000_000
+#: Shared lines that are sent to all tasks (at most about 64 bytes each); with more of them the rows are
+#: joined by a shuffle.
+BROADCAST_KEYS = 500_000
 # Fixed value: the white space that is stripped from both ends of a line, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -153,13 +151,12 @@ def drop_shared_lines(docs: DataFrame, least_chars: int = 40, least_docs: int =
     """
     added = ["n_lines", "n_dropped", "keep", "_text_key"]
     columns = [c for c in docs.columns if c not in added]
-    maps = stage(keep_bitmaps(docs, least_chars, least_docs), "keep-bitmaps")
-    facts = maps.agg(F.count("*").alias("docs"), F.sum(F.octet_length("keep")).alias("bytes")).first()
-    few = facts["docs"] <= BROADCAST_DOCS and (facts["bytes"] or 0) <= BROADCAST_BYTES
+    maps = keep_bitmaps(docs, least_chars, least_docs)
     maps = maps.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "n_dropped", "keep")
     texts = docs.select(*quoted(columns)).withColumn("_text_key", text_key())
     own = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
-    marked = texts.join(F.broadcast(maps) if few else maps, own, "left")
+    # the documents that lose lines grow with the corpus, so they are never sent to all tasks
+    marked = texts.join(maps, own, "left")
     text = F.when(F.col("keep").isNull(), F.coalesce("text", F.lit(""))).otherwise(
         F.array_join(kept_lines(_lines(), F.col("keep")), "\n")
     )
