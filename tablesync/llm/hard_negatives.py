@@ -272,17 +272,18 @@ def _searched(anchors: DataFrame, tiles: DataFrame, blocks: int, width: int, k:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, best = None, []
+        block, best, own = None, [], None
         for batch in batches:
             for row in range(batch.num_rows):
+                here = batch.column("block")[row].as_py()
                 body = _unpacked(batch.column("body")[row].as_py())
                 if batch.column("kind")[row].as_py() == 0:
                     if block is not None:
                         yield told(block, best)
-                    block = body
+                    block, own = body, here
                     windows = np.bincount(block["window_of"], minlength=len(block["ids"]))
                     best = [[Best(k) for _ in range(n)] for n in windows] if windowed else [Best(k) for _ in block["ids"]]
-                else:
+                elif here == own:  # a number that no anchor fell to has tiles only
                     (find_negatives if windowed else find_positives)(Candidates(body, block, exact), block, best)
         if block is not None:
             yield told(block, best)
