@@ -1,6 +1,9 @@
 import datetime as dt
+import string
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablesync.functions import (
@@ -15,40 +18,66 @@ from tablesync.functions import (
     wall_clock_to_instant,
 )
 from tablesync.functions.cursor import cursor_text, parse_cursor
+from tablesync.functions.names import slug_column
 
 
-@pytest.mark.parametrize(
-    "name, cleaned",
-    [
-        ("fruit", "fruit"),
-        ("no:", "no__"),
-        ("gr(ad)e", "grade"),
-        ("fruit of.tree", "fruit__of__tree"),
-        ("x  y\tz", "x____y__z"),
-    ],
-)
-def test_clean_name(name, cleaned):
-    assert clean_name(name) == cleaned
+SPACE = " \t\n\x0b\x0c\r"
+WORDLIKE = "abcXYZ019_"
+names = st.text(alphabet=st.one_of(st.sampled_from("()" + ".:" + SPACE + WORDLIKE), st.characters(codec="utf-8")), max_size=40)
+
+
+@given(names)
+def test_clean_name_character_by_character(name):
+    """Round brackets vanish, white space, dots and colons double an underscore, the rest stays in place."""
+    expected = ""
+    for c in name:
+        if c in "()":
+            continue
+        expected += "__" if c in SPACE + ".:" else c
+    assert clean_name(name) == expected
+    assert clean_name(clean_name(name)) == clean_name(name)
+
 
+@pytest.mark.parametrize("signs, cleaned", [("..", "____"), (":)", "__"), ("((", ""), ("% of $", "%__of__$"), ("größe.m²", "größe__m²"), ("1st:", "1st__"), ("\u00a0x", "\u00a0x")])
+def test_clean_name_of_signs_digits_and_other_letters(signs, cleaned):
+    assert clean_name(signs) == cleaned
 
-def test_slug_and_target_name():
-    assert slug("fresh_fruit+nuts!?") == "fresh_fruit_nuts__"
-    assert slug("fresh_fruit+nuts!?", "__") == "fresh_fruit__nuts____"
-    assert target_name("sales", "BasketLines") == "sales__basketlines"
+
+@given(names, st.sampled_from(["", "_", "-", "\\1", "__"]))
+def test_slug_replaces_each_sign_alone(text, replacement):
+    letters = set(string.ascii_letters + string.digits + "_")
+    assert slug(text, replacement) == "".join(c if c in letters else replacement for c in text)
 
 
 @pytest.mark.parametrize(
-    "text, keys",
+    "schema, table, name",
     [
-        ("no,[shop], line", ["no", "shop", "line"]),
-        ("'shop', picked", ["shop", "picked"]),
-        ("", []),
-        (None, []),
-        (["a", "b"], ["a", "b"]),
+        ("dbo", "T", "dbo__t"),
+        ("", "loose", "__loose"),
+        ("Archive.2019", "Order-Lines (old)", "archive_2019__order_lines__old_"),
+        ("ünï", "9lives", "_n___9lives"),
+        ("a__b", "c", "a__b__c"),
     ],
 )
-def test_key_list(text, keys):
-    assert key_list(text) == keys
+def test_target_names(schema, table, name):
+    assert target_name(schema, table) == name
+
+
+def test_slug_column_equals_slug(spark):
+    texts = ["Mixed CASE", "--", "tail!", "", "x" * 50]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", slug_column(F.col("t")).alias("s"))
+    assert all(r.s == slug(r.t).lower() for r in found.collect())
+
+
+@given(st.lists(st.text(alphabet="abc xyz_9é", min_size=1).map(str.strip).filter(bool), max_size=5), st.sampled_from(["{}", "[{}]", "'{}'", "  {} ", "['{}' ]"]))
+def test_key_list_reads_what_is_written(keys, form):
+    assert key_list(", ".join(form.format(key) for key in keys)) == keys
+    assert key_list(",,".join(form.format(key) for key in keys) + ",") == keys
+    assert key_list(tuple(keys)) == keys
+
+
+def test_key_list_of_nothing():
+    assert key_list(None) == key_list("") == key_list(" , [ ],''") == []
 
 
 def test_cursor_forms(spark):

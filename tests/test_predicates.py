@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,27 +19,32 @@ from tablesync.operators.predicates import (
 
 
 @pytest.fixture
-def frame(spark):
-    return spark.createDataFrame(
-        [(11, "2023-02-17", "low", "pear"), (12, "2023-02-17", "mid", "plum")],
-        "no int, picked string, grade string, fruit string",
-    )
+def orders(table):
+    return table("orders")
 
 
-def text(column):
-    return column._jc.toString()
+@pytest.mark.parametrize("keys", [["c_nationkey"], ["c_nationkey", "c_mktsegment"]])
+def test_key_equality_joins_like_a_dictionary(table, keys):
+    """Customers joined with themselves on a nullable key: nulls meet nothing."""
+    customers = table("customer").withColumn("c_nationkey", F.when(F.col("c_nationkey") % 4 > 0, F.col("c_nationkey")))
+    counts = Counter(tuple(r) for r in customers.select(keys).collect() if None not in tuple(r))
+    joined = customers.alias("L").join(customers.alias("R"), key_equality(keys, "L", "R"))
+    assert joined.count() == sum(n * n for n in counts.values())
 
 
-def test_key_equality(spark):
-    t = spark.createDataFrame([(7, 5, 6), (7, 5, 8), (None, 5, 6)], "no int, shop int, line int")
-    joined = t.alias("L").join(t.alias("R"), key_equality(["no", "shop", "line"], "L", "R"))
-    assert joined.count() == 2
+def test_key_equality_of_prefixed_sides_and_of_no_keys(table):
+    nation = table("nation")
+    left, right = (nation.toDF(*[side + c for c in nation.columns]).alias(side) for side in ("new_", "old_"))
+    assert left.join(right, key_equality(["n_nationkey"], "new_", "old_", "new_", "old_")).count() == 25
     with pytest.raises(ValueError):
         key_equality([], "L", "R")
 
 
-def test_touched_partitions(frame):
-    assert rows(touched_partitions(frame, "no")) == [(11,), (12,)]
+def test_touched_partitions_are_the_distinct_values(orders):
+    with_null = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    assert {r[0] for r in touched_partitions(with_null, "o_orderstatus").collect()} == {"F", "O", None}
+    renamed = touched_partitions(with_null.withColumnRenamed("o_orderstatus", "_pk_s"), "s", "_pk_")
+    assert renamed.columns == ["s"] and renamed.count() == 3
 
 
 def test_touched_partition_values_are_never_text(spark):
@@ -51,14 +57,21 @@ def test_touched_partition_values_are_never_text(spark):
         assert not_in_touched_partitions(df, touched, "p").count() == len(values) - 1
 
 
-def test_user_where_and_touched_partitions(spark, frame):
-    target = spark.createDataFrame([(11, "fig"), (12, "kiwi"), (13, "lime")], "no int, fruit string")
-    scoped = target.where(replace_scope("fruit <> 'kiwi'"))
-    assert rows(in_touched_partitions(scoped, touched_partitions(frame, "no"), "no")) == [(11, "fig")]
+@pytest.mark.parametrize("where", ["o_totalprice > 150000", None, "o_orderpriority like '1%' and o_orderkey % 2 = 0"])
+def test_scope_and_touched_partitions_both_narrow(orders, where):
+    source = orders.where("o_orderkey < 40")
+    touched = touched_partitions(source, "o_custkey")
+    found = in_touched_partitions(orders.where(replace_scope(where)), touched, "o_custkey")
+    customers = {r.o_custkey for r in source.collect()}
+    expected = [r for r in orders.where(where or "true").collect() if r.o_custkey in customers]
+    assert rows(found) == sorted(map(tuple, expected), key=repr)
 
 
-def test_scope_without_conditions_is_everything(frame):
-    assert frame.where(replace_scope(None)).count() == 2
+def test_scope_takes_the_window_too(orders):
+    window = date_window("o_orderdate", "1995-01-01", "1996-01-01")
+    inside = orders.where(replace_scope("o_orderstatus = 'F'", window))
+    assert 0 < inside.count() == orders.where("year(o_orderdate) = 1995 and o_orderstatus = 'F'").count()
+    assert orders.where(replace_scope(None)).count() == orders.count()
 
 
 def test_scope_with_null_outcome_is_outside(spark):
@@ -67,20 +80,14 @@ def test_scope_with_null_outcome_is_outside(spark):
     assert rows(df.where(~replace_scope("a = 1"))) == [(None,)]
 
 
-def test_merge_condition_with_prefixes_and_partition(spark):
-    target = spark.range(4).selectExpr("id as no", "id + 100 as shop", "-1 as line")
-    source = target.selectExpr("no as _pk_no", "shop as _pk_shop", "line as _pk_line", "shop")
-    keys = ["no", "shop", "line"]
-    plain = merge_condition(keys, source_prefix="_pk_")
-    pruned = merge_condition(
-        keys, source_prefix="_pk_", partition_values=[100, 103], partition_column="shop"
-    )
-    join = lambda c: source.alias("source").join(target.alias("target"), c).count()
-    assert join(plain) == 4
-    assert join(pruned) == 2
-    assert text(merge_condition(keys, partition_values=[], partition_column="shop")) == text(
-        merge_condition(keys)
+@pytest.mark.parametrize("values, keys_met", [(None, 25), ([], 25), ([0, 4], 10), ([17], 0)])
+def test_merge_condition_is_narrowed_to_partition_values(table, values, keys_met):
+    nation = table("nation")
+    changes = nation.select(F.col("n_nationkey").alias("_pk_n_nationkey"), "n_name")
+    condition = merge_condition(
+        ["n_nationkey"], "c", "t", source_prefix="_pk_", partition_values=values, partition_column="n_regionkey"
     )
+    assert changes.alias("c").join(nation.alias("t"), condition).count() == keys_met
 
 
 def test_date_window_is_half_open(spark):
@@ -100,9 +107,11 @@ def test_date_window_of_instants_uses_the_zone(spark):
     assert df.where(date_window("ts", "2024-05-09", timezone="UTC")).count() == 0
 
 
-def test_filters_are_optional(frame):
-    assert filter_source(frame).count() == 2
-    assert filter_source(frame, "no = 11 or no = 12", F.col("grade") == "low").count() == 1
+def test_filters_are_optional_and_add_up(orders):
+    urgent, early = F.col("o_orderpriority") == "1-URGENT", date_window("o_orderdate", "1995-01-01", "1997-01-01")
+    counts = [filter_source(orders, *args).count() for args in ((), (urgent,), (None, early), (urgent, early))]
+    assert counts[0] == orders.count() and counts[0] > counts[1] > counts[3] and counts[2] > counts[3] > 0
+    assert counts[3] == orders.where(urgent & early).count()
 
 
 def test_string_join(spark):
