@@ -1,12 +1,13 @@
 """Merges as joins over whole frames.
 
-A merge never needs a full outer join here. The target loses the rows whose key the source
-touches (an anti-join on the key columns alone, which Spark broadcasts when the source is
-small and splits by key otherwise) and gains the source's rows. A source row that matches
-several target rows replaces each of them: the keys of the matched target rows, found by a
-keys-only semi-join, are joined with the source, so a key on many target rows is spread by
-adaptive execution like any skewed join. `target_keys_unique=True` states that no key repeats
-and drops that pass. A source that repeats a key raises `DuplicateKeyError`.
+A merge never needs a full outer join here. The source is staged and measured first: one
+aggregation tells whether a key repeats, which raises `DuplicateKeyError`, and whether its rows are
+few enough to be sent to the target. A keys-only pass then writes down which source keys the
+target has. The merged rows follow from one scan of the target, left-joined with the source, so
+a source row that matches several target rows replaces each of them, and from the source rows
+whose key was not written down. A key on many target rows is spread by adaptive execution like any
+skewed join. `target_keys_unique=True` states that no key repeats; then the target just loses the
+touched keys and gains the source's rows, without the pass over its keys.
 
 NULL keys match nothing on either side: such target rows stay, such source rows are inserted.
 """
@@ -14,11 +15,13 @@ NULL keys match nothing on either side: such target rows stay, such source rows
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from tablesync.operators import predicates
 from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
     CHANGE_OP,
@@ -31,6 +34,7 @@ from tablesync.operators.predicates import (
     touched_partitions,
 )
 from tablesync.operators.shape import actual_names, quoted
+from tablesync.sinks.files import stage
 
 
 class DuplicateKeyError(ValueError):
@@ -106,35 +110,137 @@ def _renamed_keys(source: DataFrame, keys: Sequence[str], prefix: str) -> DataFr
     return source.select([quoted(prefix + key).alias(key) for key in keys])
 
 
+@dataclass(frozen=True)
+class SourceKeys:
+    """Measured facts about a merge source and its keys."""
+
+    n_rows: int
+    max_per_key: int
+    key_bytes: int
+    row_bytes: int
+    counts: dict[str, int]
+    bounds: list[tuple]
+    types: list[DataType]
+
+    @property
+    def few_keys(self) -> bool:
+        """Whether the keys may be sent to all tasks."""
+        return self.key_bytes <= predicates.BROADCAST_BYTES
+
+    @property
+    def few_rows(self) -> bool:
+        """Whether whole rows may be."""
+        return self.row_bytes <= predicates.BROADCAST_BYTES
+
+
+def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
+    """Rows, highest count of a non-NULL key, size of keys and rows, bounds of the keys and, for change
+    rows, the number of rows per operation, in one aggregation.
+
+    The per-key facts are combined before the shuffle. Sizes are those of the values as text, and 16
+    bytes for each.
+    """
+    operations = ("I", "U", "D") if CHANGE_OP in source.columns else ()
+    names = [quoted(key) for key in keys]
+    any_null = F.lit(False)
+    for name in names:
+        any_null = any_null | name.isNull()
+    per_key = source.groupBy(names).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(_text_bytes(source.columns)).alias("_row_bytes"),
+        *[F.count_if(F.col(CHANGE_OP) == op).alias(f"_n_{op}") for op in operations],
+    )
+    row = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.max(F.when(~any_null, F.col("_n"))), F.lit(0)).alias("max_per_key"),
+        F.coalesce(F.sum(_text_bytes(keys) * F.col("_n")), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.sum("_row_bytes"), F.lit(0)).alias("row_bytes"),
+        *[F.coalesce(F.sum(f"_n_{op}"), F.lit(0)).alias(f"_n_{op}") for op in operations],
+        *[F.min(name).alias(f"_low_{i}") for i, name in enumerate(names)],
+        *[F.max(name).alias(f"_high_{i}") for i, name in enumerate(names)],
+    ).first()
+    return SourceKeys(
+        int(row["n_rows"]),
+        int(row["max_per_key"]),
+        int(row["key_bytes"]),
+        int(row["row_bytes"]),
+        {op: int(row[f"_n_{op}"]) for op in operations},
+        [(row[f"_low_{i}"], row[f"_high_{i}"]) for i in range(len(names))],
+        [field.dataType for field in source.select(names).schema],
+    )
+
+
+def _text_bytes(columns: Sequence[str]) -> Column:
+    """About the size of some values of a row."""
+    width = F.lit(0).cast("long")
+    for name in columns:
+        width = width + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0)) + 16
+    return width
+
+
+def measured_source(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, SourceKeys]:
+    """The source staged, and its facts; raises `DuplicateKeyError` if the merge would be ambiguous."""
+    source = stage(source, "merge-source")
+    facts = measure_keys(source, keys)
+    if facts.max_per_key > 1:
+        raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
+    return source, facts
+
+
+def _sent(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def matched_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key of every target row that the source touches, once per row."""
     return target.select([quoted(key) for key in keys]).join(source_keys, list(keys), "left_semi")
 
 
-def _split_matched(
-    source: DataFrame, matched: DataFrame, keys: Sequence[str], prefix: str
-) -> tuple[DataFrame, DataFrame]:
-    """Source rows once for each target row they match, and source rows that match none."""
-    hits = matched.select([quoted(key).alias(f"_hit_{key}") for key in keys])
-    condition = [quoted(prefix + key) == F.col(f"`_hit_{key}`") for key in keys]
-    columns = [quoted(name) for name in source.columns]
-    return hits.join(source, condition).select(columns), source.join(hits, condition, "left_anti")
+def updated_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], prefix: str = "", small: bool = False
+) -> DataFrame:
+    """Target rows, each replaced by the source row of its key, if any; rows that a change row deletes go.
 
+    `prefix` is that of the source's key columns, for change rows; `small` says that the source was
+    measured to be so.
+    """
+    gone = F.coalesce(is_delete(), F.lit(False)) if prefix else F.lit(False)
+    side = source.select(
+        *[quoted(prefix + key).alias(f"_merge_key_{i}") for i, key in enumerate(keys)],
+        *[quoted(name).alias(f"_merge_new_{i}") for i, name in enumerate(target.columns)],
+        gone.alias("_merge_gone"),
+        F.lit(True).alias("_merge_hit"),
+    )
+    condition = [quoted(key) == F.col(f"_merge_key_{i}") for i, key in enumerate(keys)]
+    joined = target.join(_sent(side, small), condition, "left").where(~F.coalesce("_merge_gone", F.lit(False)))
+    return joined.select(
+        *[
+            F.when(F.col("_merge_hit"), F.col(f"_merge_new_{i}")).otherwise(quoted(name)).alias(name)
+            for i, name in enumerate(target.columns)
+        ]
+    )
 
-def rows_to_upsert(source: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows as a merge writes them: one per matched target row, one if unmatched."""
-    updates, inserts = _split_matched(source, matched, keys, "")
-    return updates.unionByName(inserts)
 
+def inserted_rows(
+    source: DataFrame, hits: DataFrame, keys: Sequence[str], prefix: str = "", small: bool = False
+) -> DataFrame:
+    """Source rows whose key is not among `hits`, the keys that the target has; of change rows those
+    that insert or update."""
+    known = hits.select([quoted(key).alias(f"_hit_{i}") for i, key in enumerate(keys)])
+    condition = [quoted(prefix + key) == F.col(f"_hit_{i}") for i, key in enumerate(keys)]
+    absent = source.join(_sent(known, small), condition, "left_anti")
+    return drop_change_columns(absent.where(is_write())) if prefix else absent
 
-def rows_to_apply(changes: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Change rows as a merge writes them.
 
-    Matched rows are written unless they delete; unmatched rows only if they insert or update.
-    """
-    updates, inserts = _split_matched(changes, matched, keys, CHANGE_KEY_PREFIX)
-    written = updates.where(F.coalesce(~is_delete(), F.lit(True))).unionByName(inserts.where(is_write()))
-    return drop_change_columns(written)
+def _merged(
+    target: DataFrame, source: DataFrame, facts: SourceKeys, keys: Sequence[str], prefix: str
+) -> DataFrame:
+    """The target after a merge with a measured source; the target's keys are read now, its rows later."""
+    source_keys = _sent(_renamed_keys(source, keys, prefix), facts.few_keys)
+    hits = stage(matched_keys(target, source_keys, keys).distinct(), "matched-keys")
+    return updated_rows(target, source, keys, prefix, facts.few_rows).unionByName(
+        inserted_rows(source, hits, keys, prefix, facts.few_keys)
+    )
 
 
 def drop_change_columns(changes: DataFrame) -> DataFrame:
@@ -168,12 +274,11 @@ def upsert(
         inside = in_touched_partitions(target, touched, source_partitions_only)
         outside = not_in_touched_partitions(target, touched, source_partitions_only)
         return upsert(inside, source, keys, target_keys_unique).unionByName(outside)
-    require_unique_keys(source, keys)
-    source_keys = _renamed_keys(source, keys, "")
-    kept = delete_keys(target, source_keys, keys)
+    source, facts = measured_source(source, keys)
     if target_keys_unique:
-        return kept.unionByName(source)
-    return kept.unionByName(rows_to_upsert(source, matched_keys(target, source_keys, keys), keys))
+        touched = _sent(_renamed_keys(source, keys, ""), facts.few_keys)
+        return delete_keys(target, touched, keys).unionByName(source)
+    return _merged(target, source, facts, keys, "")
 
 
 def apply_changes(
@@ -186,13 +291,11 @@ def apply_changes(
 
     Deletes of absent rows do nothing; updates of absent rows insert.
     """
-    require_unique_keys(changes, [CHANGE_KEY_PREFIX + key for key in keys])
-    change_keys = _renamed_keys(changes, keys, CHANGE_KEY_PREFIX)
-    kept = delete_keys(target, change_keys, keys)
+    changes, facts = measured_source(changes, [CHANGE_KEY_PREFIX + key for key in keys])
     if target_keys_unique:
-        return kept.unionByName(drop_change_columns(changes.where(is_write())))
-    matched = matched_keys(target, change_keys, keys)
-    return kept.unionByName(rows_to_apply(changes, matched, keys))
+        touched = _sent(_renamed_keys(changes, keys, CHANGE_KEY_PREFIX), facts.few_keys)
+        return delete_keys(target, touched, keys).unionByName(drop_change_columns(changes.where(is_write())))
+    return _merged(target, changes, facts, keys, CHANGE_KEY_PREFIX)
 
 
 def apply_parent_child_changes(
@@ -203,17 +306,17 @@ def apply_parent_child_changes(
     target_keys_unique: bool = False,
 ) -> DataFrame:
     """Delete all rows of the parents that occur in D rows, then upsert the I and U rows."""
-    writes = changes.where(is_write())
-    require_unique_keys(writes, [CHANGE_KEY_PREFIX + key for key in primary_key])
-    parents = _renamed_keys(changes.where(is_delete()), parent_key, CHANGE_KEY_PREFIX)
-    change_keys = _renamed_keys(writes, primary_key, CHANGE_KEY_PREFIX)
-    kept = delete_keys(delete_keys(target, change_keys, primary_key), parents, parent_key)
+    changes = stage(changes, "merge-source")
+    writes, deletes = changes.where(is_write()), changes.where(is_delete())
+    facts = measure_keys(writes, [CHANGE_KEY_PREFIX + key for key in primary_key])
+    if facts.max_per_key > 1:
+        raise DuplicateKeyError(f"source rows are not unique on {list(primary_key)}")
+    parents = broadcast_if_small(_renamed_keys(deletes, parent_key, CHANGE_KEY_PREFIX).dropna().distinct())
+    left = delete_keys(target, parents, parent_key)
     if target_keys_unique:
-        return kept.unionByName(drop_change_columns(writes))
-    both = target.select([quoted(name) for name in dict.fromkeys([*primary_key, *parent_key])])
-    touched = both.join(change_keys, list(primary_key), "left_semi").select(both.columns)
-    matched = delete_keys(touched, parents, parent_key)
-    return kept.unionByName(rows_to_apply(writes, matched, primary_key))
+        touched = _sent(_renamed_keys(writes, primary_key, CHANGE_KEY_PREFIX), facts.few_keys)
+        return delete_keys(left, touched, primary_key).unionByName(drop_change_columns(writes))
+    return _merged(left, writes, facts, primary_key, CHANGE_KEY_PREFIX)
 
 
 def replace_where(

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import replace
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,19 +33,19 @@ from pyspark.sql.types import (
 )
 
 from tablesync.functions.cursor import cursor_text
-from tablesync.operators import predicates
 from tablesync.operators.layout import ZVALUE, zorder
 from tablesync.operators.merge import (
     DuplicateKeyError,
+    SourceKeys,
     delete_keys,
     drop_change_columns,
+    inserted_rows,
+    measure_keys,
     require_in_scope,
-    rows_to_apply,
-    rows_to_upsert,
+    updated_rows,
 )
 from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
-    CHANGE_OP,
     as_column,
     is_delete,
     is_write,
@@ -57,6 +57,8 @@ from tablesync.sinks.files import stage, staging_scope
 from tablesync.sinks.ledger import BATCH, OPTIMIZE, SLICE, Commit, Ledger
 
 _DIR = "_dir"
+# Marks of target rows: the parent is deleted, the primary key is written.
+_GONE, _HIT = "_gone", "_hit"
 
 # Neighbouring tasks that share a slice directory. Tasks write some 64 to 128 MB each.
 TASKS_PER_SLICE = 64
@@ -69,6 +71,9 @@ _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 SMALL_SLICE_BYTES = 64 * 1024 * 1024
 SMALL_SLICES = 8
 
+# Directories whose sizes are asked for one by one; more are listed by a Spark job.
+FEW_DIRS = 32
+
 # Size of a clustered file.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -77,52 +82,6 @@ class TableExistsError(RuntimeError):
     """The target exists and the write mode does not allow that."""
 
 
-@dataclass(frozen=True)
-class SourceKeys:
-    """Measured facts about the merge keys of a source."""
-
-    n_rows: int
-    max_per_key: int
-    key_bytes: int
-    counts: dict[str, int]
-    bounds: list[tuple]
-    types: list[DataType]
-
-
-def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
-    """Rows, highest count of a non-NULL key, size and bounds of the keys and, for change rows,
-    the number of rows per operation, in one aggregation.
-
-    The per-key counts are combined before the shuffle; only the needed columns are read.
-    """
-    operations = ("I", "U", "D") if CHANGE_OP in source.columns else ()
-    names = [quoted(key) for key in keys]
-    width = sum((F.coalesce(F.octet_length(n.cast("string")), F.lit(0)) + 16 for n in names), F.lit(0))
-    any_null = F.lit(False)
-    for name in names:
-        any_null = any_null | name.isNull()
-    per_key = source.groupBy(names).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(CHANGE_OP) == op).alias(f"_n_{op}") for op in operations],
-    )
-    row = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.max(F.when(~any_null, F.col("_n"))), F.lit(0)).alias("max_per_key"),
-        F.coalesce(F.sum(width * F.col("_n")), F.lit(0)).alias("key_bytes"),
-        *[F.coalesce(F.sum(f"_n_{op}"), F.lit(0)).alias(f"_n_{op}") for op in operations],
-        *[F.min(name).alias(f"_low_{i}") for i, name in enumerate(names)],
-        *[F.max(name).alias(f"_high_{i}") for i, name in enumerate(names)],
-    ).first()
-    return SourceKeys(
-        int(row["n_rows"]),
-        int(row["max_per_key"]),
-        int(row["key_bytes"]),
-        {op: int(row[f"_n_{op}"]) for op in operations},
-        [(row[f"_low_{i}"], row[f"_high_{i}"]) for i in range(len(names))],
-        [field.dataType for field in source.select(names).schema],
-    )
-
-
 class TargetTable:
     """One target table under `path`."""
 
@@ -270,8 +229,7 @@ class TargetTable:
             return self.write(source, "errorifexists", partition_by, version=version)
         require_same_columns(source.columns, before.struct.names)
         return self._merge(
-            before, source, keys, "", rows_to_upsert, version, source_partitions_only,
-            stage_source=stage_source,
+            before, source, keys, "", version, source_partitions_only, stage_source=stage_source
         )
 
     def apply_changes(
@@ -288,8 +246,7 @@ class TargetTable:
         before = self._require()
         require_same_columns(drop_change_columns(changes).columns, before.struct.names)
         return self._merge(
-            before, changes, keys, CHANGE_KEY_PREFIX, rows_to_apply, version,
-            source_partitions_only, stream, batch, stage_source,
+            before, changes, keys, CHANGE_KEY_PREFIX, version, source_partitions_only, stream, batch, stage_source
         )
 
     def apply_parent_child_changes(
@@ -310,14 +267,47 @@ class TargetTable:
         require_same_columns(drop_change_columns(changes).columns, before.struct.names)
         with staging_scope(self.spark):
             changes = stage(changes, "merge-source") if stage_source else changes
-            deletes, writes = changes.where(is_delete()), changes.where(is_write())
             old = self.cursor() if last_version is None else last_version
-            if writes.isEmpty():
-                return self._delete(before, deletes, parent_key, version)
-            after = before if deletes.isEmpty() else self._delete(before, deletes, parent_key, old)
-            return self._merge(
-                after, writes, primary_key, CHANGE_KEY_PREFIX, rows_to_apply, version, stage_source=False
+            parents = _Side(changes.where(is_delete()), parent_key, before)
+            writes = _Side(changes.where(is_write()), primary_key, before)
+            if writes.facts.max_per_key > 1:
+                raise DuplicateKeyError(f"source rows are not unique on {list(primary_key)}")
+            found = self._located_by_both(before, parents, writes)
+            if not writes.facts.n_rows:
+                return self._delete(before, parents, found, version)
+            after = self._delete(before, parents, found, old) if parents.facts.n_rows else before
+            # rows of the directories that the first commit replaced are where it wrote them
+            rest = found.where(F.col(_HIT) & ~F.col(_GONE))
+            fresh = sorted(set(after.dirs) - set(before.dirs))
+            moved = set(before.dirs) - set(after.dirs)
+            dirs = self._collect_dirs(rest)
+            if dirs & moved:
+                again = _matched_rows(self._scan(after, fresh, with_dir=True), writes.sent_keys(), writes.keys)
+                dirs |= self._collect_dirs(again)
+            commit, new_dirs = self._write_merge(
+                after, writes.source, writes.facts, writes.keys, CHANGE_KEY_PREFIX, dirs - moved, rest, version, {}
             )
+        self._compact(commit, new_dirs)
+        return commit
+
+    def _located_by_both(self, before: Commit, parents: _Side, writes: _Side) -> DataFrame:
+        """Keys and directory of the target rows whose parent is deleted (`_gone`) or whose primary key is
+        written (`_hit`), from one scan of the key columns."""
+        names = [quoted(name) for name in dict.fromkeys([*writes.keys, *parents.keys])]
+        sides = [(side, mark) for side, mark in ((parents, _GONE), (writes, _HIT)) if side.facts.n_rows]
+        located = self._scan(before, None, with_dir=True)
+        inside = F.lit(False)
+        for side, _ in sides:
+            inside = inside | _within_bounds(located, side.keys, side.facts)
+        located = located.where(inside).select(*names, _DIR)
+        for side, mark in sides:
+            marked = side.distinct_keys().withColumn(mark, F.lit(True))
+            located = located.join(F.broadcast(marked) if side.facts.few_keys else marked, list(side.keys), "left")
+        marks = [
+            F.coalesce(F.col(mark), F.lit(False)).alias(mark) if any(mark == m for _, m in sides) else F.lit(False).alias(mark)
+            for mark in (_GONE, _HIT)
+        ]
+        return stage(located.select(*names, _DIR, *marks).where(F.col(_GONE) | F.col(_HIT)), "matched")
 
     def _merge(
         self,
@@ -325,7 +315,6 @@ class TargetTable:
         source: DataFrame,
         keys: Sequence[str],
         prefix: str,
-        written_rows,
         version: int | None,
         source_partitions_only: bool = False,
         stream: str | None = None,
@@ -349,8 +338,7 @@ class TargetTable:
                 raise DuplicateKeyError(f"source rows are not unique on {list(keys)}")
             if facts.n_rows == 0:
                 return self._commit(before, "MERGE", set(), [], version, **marks)
-            small = facts.key_bytes <= predicates.BROADCAST_BYTES
-            source_keys = _merge_keys(source, prefixed, keys, small)
+            source_keys = _merge_keys(source, prefixed, keys, facts.few_keys)
             dirs = None
             if before.partition_by and (source_partitions_only or before.partition_by[-1] in keys):
                 column = before.partition_by[-1]
@@ -358,33 +346,48 @@ class TargetTable:
                 dirs = self._dirs_of(before, touched_partitions(source, named).toDF(column), column)
             located = _skip_by_bounds(self._scan(before, dirs, with_dir=True), keys, facts)
             matched = stage(_matched_rows(located, source_keys, keys), "matched")
-            replaced = self._collect_dirs(matched)
-            rows = written_rows(source, matched, keys)
-            if replaced:
-                kept = delete_keys(self._scan(before, sorted(replaced)), source_keys, keys)
-                rows = rows.unionByName(kept)
-            new_dirs = self._put(rows, before, redistribute=True)
-            commit = self._commit(before, "MERGE", replaced, new_dirs, version, **marks)
+            commit, new_dirs = self._write_merge(
+                before, source, facts, keys, prefix, self._collect_dirs(matched), matched, version, marks
+            )
         self._compact(commit, new_dirs)
         return commit
 
-    def _delete(
-        self, before: Commit, deletes: DataFrame, parent_key: Sequence[str], version: int | None
-    ) -> Commit:
-        prefixed = actual_names([CHANGE_KEY_PREFIX + k for k in parent_key], deletes.columns)
-        parent_key = actual_names(parent_key, before.struct.names)
-        facts = measure_keys(deletes, prefixed)
-        if facts.n_rows == 0:
+    def _write_merge(
+        self,
+        before: Commit,
+        source: DataFrame,
+        facts: SourceKeys,
+        keys: Sequence[str],
+        prefix: str,
+        replaced: set[str],
+        matched: DataFrame,
+        version: int | None,
+        marks: dict,
+    ) -> tuple[Commit, list[str]]:
+        """Rewrite the directories with matched rows together with the source's new rows; the commit and
+        the directories written."""
+        hits = matched.select([quoted(key) for key in keys]).distinct()
+        rows = inserted_rows(source, hits, keys, prefix, facts.few_keys)
+        if replaced:
+            old = self._scan(before, sorted(replaced))
+            rows = updated_rows(old, source, keys, prefix, facts.few_rows).unionByName(rows)
+        new_dirs = self._put(rows, before, redistribute=True)
+        # a slice never changes, so its size is asked for once and kept in the commits
+        dirs = [name for name in before.dirs if name not in replaced] + new_dirs
+        unknown = {n for names in self._crowded(before, dirs, new_dirs) for n in names if n not in before.sizes}
+        marks = {"changes": facts.counts, "sizes": {**before.sizes, **self._sizes(sorted(unknown))}, **marks}
+        return self._commit(before, "MERGE", replaced, new_dirs, version, **marks), new_dirs
+
+    def _delete(self, before: Commit, parents: _Side, found: DataFrame, version: int | None) -> Commit:
+        """Remove the rows of deleted parents from the directories that hold any."""
+        if not parents.facts.n_rows:
             return self._commit(before, "MERGE", set(), [], version)
-        small = facts.key_bytes <= predicates.BROADCAST_BYTES
-        parents = _merge_keys(deletes, prefixed, parent_key, small)
-        located = _skip_by_bounds(self._scan(before, None, with_dir=True), parent_key, facts)
-        replaced = self._collect_dirs(located.join(parents, list(parent_key), "left_semi"))
+        replaced = self._collect_dirs(found.where(_GONE))
         new_dirs = []
         if replaced:
-            kept = delete_keys(self._scan(before, sorted(replaced)), parents, parent_key)
-            new_dirs = self._put(kept, before, redistribute=not small)
-        return self._commit(before, "MERGE", replaced, new_dirs, version, changes=facts.counts)
+            kept = delete_keys(self._scan(before, sorted(replaced)), parents.sent_keys(), parents.keys)
+            new_dirs = self._put(kept, before, redistribute=not parents.facts.few_keys)
+        return self._commit(before, "MERGE", replaced, new_dirs, version, changes=parents.facts.counts)
 
     # upkeep ----------------------------------------------------------------------------
 
@@ -448,25 +451,41 @@ class TargetTable:
 
     def _compact(self, commit: Commit, written: Sequence[str]) -> None:
         """Join the small slices of the partitions just written to, where they are many."""
-        if not commit.sliced:
-            return
-        by_partition: dict[str, list[str]] = {}
-        for name in commit.dirs:
-            by_partition.setdefault(commit.partition_of(name), []).append(name)
-        whole = [] if commit.partition_by else [commit.dirs]
-        touched = {commit.partition_of(name) for name in written} if commit.partition_by else set()
+        crowded = self._crowded(commit, commit.dirs, written)
         small: set[str] = set()
-        for names in [by_partition[partition] for partition in touched] + whole:
-            if len(names) > SMALL_SLICES:
-                few = [n for n in names if self._size([n]) < SMALL_SLICE_BYTES]
-                small.update(few if len(few) > SMALL_SLICES else [])
+        for names in crowded:
+            few = [name for name in names if commit.sizes[name] < SMALL_SLICE_BYTES]
+            small.update(few if len(few) > SMALL_SLICES else [])
         if small:
             rows = self._scan(commit, sorted(small))
             self._commit(commit, OPTIMIZE, small, self._put(rows, commit, redistribute=True), None)
 
+    def _crowded(self, before: Commit, dirs: Sequence[str], written: Sequence[str]) -> list[list[str]]:
+        """The slices of partitions written to that have many of them."""
+        if not before.sliced:
+            return []
+        touched = {before.partition_of(name) if before.partition_by else "" for name in written}
+        by_partition: dict[str, list[str]] = {}
+        for name in dirs:
+            partition = before.partition_of(name) if before.partition_by else ""
+            if partition in touched:
+                by_partition.setdefault(partition, []).append(name)
+        return [names for names in by_partition.values() if len(names) > SMALL_SLICES]
+
+    def _sizes(self, dirs: Sequence[str]) -> dict[str, int]:
+        """Bytes of each directory; many are listed by Spark, not one by one."""
+        paths = {f"{self.root}/{name}": name for name in dirs}
+        if len(dirs) <= FEW_DIRS:
+            return {name: self.ledger.files.size([path]) for path, name in paths.items()}
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths))
+        parent = F.regexp_extract("path", f"({BATCH}=.*)/[^/]+$", 1)
+        rows = files.groupBy(parent.alias("dir")).agg(F.sum("length").alias("bytes")).collect()
+        found = {unquote(row["dir"]): row["bytes"] for row in rows}
+        return {name: int(found.get(name, found.get(unquote(name), 0))) for name in dirs}
+
     def _size(self, dirs: Sequence[str]) -> int:
         """Bytes of some directories."""
-        return self.ledger.files.size([f"{self.root}/{name}" for name in dirs])
+        return sum(self._sizes(dirs).values())
 
     def _put(
         self, df: DataFrame, before: Commit, redistribute: bool, order: str | None = None
@@ -513,6 +532,8 @@ class TargetTable:
         if unknown:
             raise RuntimeError(f"directories not in commit {before.commit}: {sorted(unknown)[:3]}")
         dirs = [name for name in before.dirs if name not in replaced] + new_dirs
+        sizes = marks.get("sizes", before.sizes)
+        marks["sizes"] = {name: sizes[name] for name in dirs if name in sizes}
         if marks.get("stream") is not None:
             marks["streams"] = {**before.streams, marks["stream"]: marks["batch"]}
         commit = self.ledger.next(
@@ -521,6 +542,24 @@ class TargetTable:
         return self.ledger.append(commit)
 
 
+class _Side:
+    """The D rows, or the I and U rows, of a batch, by a key of the target."""
+
+    def __init__(self, source: DataFrame, keys: Sequence[str], before: Commit):
+        self.prefixed = actual_names([CHANGE_KEY_PREFIX + key for key in keys], source.columns)
+        self.keys = actual_names(keys, before.struct.names)
+        named = dict(zip(self.prefixed, [CHANGE_KEY_PREFIX + key for key in self.keys], strict=True))
+        self.source = source.withColumnsRenamed(named)
+        self.prefixed = list(named.values())
+        self.facts = measure_keys(self.source, self.prefixed)
+
+    def sent_keys(self) -> DataFrame:
+        return _merge_keys(self.source, self.prefixed, self.keys, self.facts.few_keys)
+
+    def distinct_keys(self) -> DataFrame:
+        return _merge_keys(self.source, self.prefixed, self.keys, False).distinct()
+
+
 def _merge_keys(
     source: DataFrame, prefixed: Sequence[str], keys: Sequence[str], small: bool
 ) -> DataFrame:
@@ -535,11 +574,16 @@ def _skip_by_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys)
     The constants reach the scan, which skips files and row groups outside the range; a load
     of recent keys then does not read the keys of the whole table.
     """
+    return located.where(_within_bounds(located, keys, facts))
+
+
+def _within_bounds(located: DataFrame, keys: Sequence[str], facts: SourceKeys) -> Column:
     types = {field.name: field.dataType for field in located.schema}
+    inside = F.lit(True)
     for key, source_type, (low, high) in zip(keys, facts.types, facts.bounds):
         if low is not None and _same_order(source_type, types[key]):
-            located = located.where((quoted(key) >= F.lit(low)) & (quoted(key) <= F.lit(high)))
-    return located
+            inside = inside & (quoted(key) >= F.lit(low)) & (quoted(key) <= F.lit(high))
+    return inside
 
 
 def _same_order(source: DataType, target: DataType) -> bool:

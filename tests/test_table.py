@@ -254,13 +254,13 @@ def test_crash_between_the_two_commits_of_a_parent_child_run(spark, filled, monk
         [(None, None, None, "D", None, "a"), (3, "a", 33, "I", 3, "a"), (1, "b", 11, "U", 1, "b")],
         f"{SCHEMA}, _op string, _pk_k int, _pk_p string",
     )
-    merge = TargetTable._merge
-    monkeypatch.setattr(TargetTable, "_merge", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+    merge = TargetTable._write_merge
+    monkeypatch.setattr(TargetTable, "_write_merge", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         filled.apply_parent_child_changes(changes, ["k"], ["p"], 5, 1)
     assert filled.cursor() == 1
     assert filled.read().where("p = 'a'").count() == 0
-    monkeypatch.setattr(TargetTable, "_merge", merge)
+    monkeypatch.setattr(TargetTable, "_write_merge", merge)
     filled.apply_parent_child_changes(changes, ["k"], ["p"], 5, 1)
     assert filled.cursor() == 5
     assert rows(filled.read().where("k in (0, 1, 3)")) == [(1, "b", 11), (3, "a", 33)]
