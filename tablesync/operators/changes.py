@@ -6,10 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from tablesync.operators.merge import require_unique_keys
-from tablesync.operators.predicates import CHANGE_KEY_PREFIX, CHANGE_OP
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DoubleType,
+    FloatType,
+    MapType,
+    StructType,
+    TimestampType,
+    VariantType,
+)
+
+from tablesync.operators.merge import DuplicateKeyError
+from tablesync.operators.predicates import (
+    CHANGE_KEY_PREFIX,
+    CHANGE_OP,
+    broadcast_if_small,
+    is_delete,
+    is_write,
+)
 from tablesync.operators.shape import actual_names, quoted
+from tablesync.sinks.files import stage
 
 
 class CursorExpiredError(ValueError):
@@ -84,51 +101,78 @@ def change_feed(
     )
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """256 bits that tell rows apart by the given columns, nulls included.
+
+    Each value is written as text behind its length, so no two rows have the same text: doubles with
+    -0.0 as 0.0, instants in microseconds, nested values as JSON (maps in the order of their entries).
+    """
+    parts = []
+    for name in columns:
+        kind, value = df.schema[name].dataType, quoted(name)
+        if isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            spelled = F.to_json(F.struct(value), _EXACT_JSON)
+        elif isinstance(kind, (DoubleType, FloatType)):
+            spelled = (value + F.lit(0.0).cast(kind)).cast("string")
+        elif isinstance(kind, TimestampType):
+            spelled = F.unix_micros(value).cast("string")
+        elif isinstance(kind, BinaryType):
+            spelled = F.hex(value)
+        else:
+            spelled = value.cast("string")
+        parts.append(F.when(value.isNull(), "-").otherwise(F.concat(F.octet_length(spelled).cast("string"), F.lit(":"), spelled)))
+    return F.unhex(F.sha2(F.concat(F.lit(""), *parts), 256))
+
+
+_EXACT_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows that turn `old` into `new`: I, U and D with `_pk_<key>` columns.
 
-    A key that a snapshot repeats raises `DuplicateKeyError`. Columns are compared null-safely, so the result is exact.
-    Rows with a NULL key match nothing: they are listed as deleted and inserted without taking
-    part in the join, where they would all meet in one task.
+    Both sides meet as keys and digests of the other columns, in one narrow hash aggregate. What
+    differs is written down; a key that a snapshot repeats raises `DuplicateKeyError` then. Whole rows
+    are read only of `new`, and only joined with the keys that differ, which are sent to it if
+    measured to be few. Columns are compared null-safely, in the type that both sides have in common.
+    Rows with a NULL key match nothing: they are listed as deleted and inserted, without joining.
     """
     names = new.columns
     keys = actual_names(keys, names)
-    for snapshot in (old, new):
-        require_unique_keys(snapshot, keys)
+    others = [name for name in names if name not in set(keys)]
+    common = old.select([quoted(n) for n in names]).unionByName(new).schema
     keyless = " or ".join(f"`{key}` is null" for key in keys)
-    gone = old.where(keyless).select(
-        *[F.lit(None).cast(new.schema[name].dataType).alias(name) for name in names],
-        F.lit("D").alias(CHANGE_OP),
-        *[quoted(key).alias(change_key(key)) for key in keys],
+    sides = []
+    for number, snapshot in enumerate((old, new)):
+        alike = snapshot.where(f"not ({keyless})").select([quoted(n).cast(common[n].dataType).alias(n) for n in names])
+        sides.append(alike.select(*[quoted(key) for key in keys], F.lit(number).alias("_side"), row_digest(alike, others).alias("_digest")))
+    mine = [F.when(F.col("_side") == number, F.col("_digest")) for number in (0, 1)]
+    met = sides[0].unionByName(sides[1]).groupBy([quoted(key) for key in keys]).agg(
+        *[F.count(side).alias(f"_n{number}") for number, side in enumerate(mine)],
+        *[F.max(side).alias(f"_d{number}") for number, side in enumerate(mine)],
     )
-    added = new.where(keyless).select(
-        *[quoted(name) for name in names],
-        F.lit("I").alias(CHANGE_OP),
-        *[quoted(key).alias(change_key(key)) for key in keys],
-    )
-    old, new = old.where(f"not ({keyless})"), new.where(f"not ({keyless})")
-    before = old.select([quoted(name).alias(f"_old_{name}") for name in names] + [
-        F.lit(True).alias("_in_old")
-    ])
-    after = new.select([quoted(name) for name in names] + [F.lit(True).alias("_in_new")])
-    condition = [quoted(key) == F.col(f"`_old_{key}`") for key in keys]
-    same = F.lit(True)
-    for name in names:
-        if name not in set(keys):
-            same = same & quoted(name).eqNullSafe(F.col(f"`_old_{name}`"))
-    operation = (
-        F.when(F.col("_in_new").isNull(), "D").when(F.col("_in_old").isNull(), "I").when(~same, "U")
-    )
-    both = before.join(after, condition, "full_outer").withColumn(CHANGE_OP, operation)
-    found = both.where(F.col(CHANGE_OP).isNotNull()).select(
-        *[quoted(name) for name in names],
-        quoted(CHANGE_OP),
-        *[
-            F.coalesce(quoted(key), F.col(f"`_old_{key}`")).alias(change_key(key))
-            for key in keys
-        ],
+    operation = F.when(F.col("_n1") == 0, "D").when(F.col("_n0") == 0, "I").when(F.col("_d0") != F.col("_d1"), "U")
+    told = met.select(*[quoted(key) for key in keys], operation.alias(CHANGE_OP), F.greatest("_n0", "_n1").alias("_rows"))
+    told = stage(told.where(F.col(CHANGE_OP).isNotNull() | (F.col("_rows") > 1)), "snapshot-keys")
+    repeated = told.where("_rows > 1").limit(1).collect()
+    if repeated:
+        raise DuplicateKeyError(f"a snapshot repeats {list(keys)}, e.g. {repeated[0]}")
+
+    changed = told.select(*[quoted(key).alias(change_key(key)) for key in keys], quoted(CHANGE_OP))
+    written = broadcast_if_small(changed.where(is_write()))
+    condition = [quoted(key) == quoted(change_key(key)) for key in keys]
+    order = [*[quoted(name) for name in names], quoted(CHANGE_OP), *[quoted(change_key(key)) for key in keys]]
+    found = new.join(written, condition).select(order)
+    nothing = [F.lit(None).cast(new.schema[name].dataType).alias(name) for name in names]
+    dropped = changed.where(is_delete()).select(*nothing, quoted(CHANGE_OP), *order[-len(keys) :])
+    gone, added = (
+        side.where(keyless).select(*columns, F.lit(op).alias(CHANGE_OP), *[quoted(key).alias(change_key(key)) for key in keys])
+        for side, columns, op in ((old, nothing, "D"), (new, [quoted(name) for name in names], "I"))
     )
-    return found.unionByName(gone).unionByName(added)
+    return found.unionByName(dropped).unionByName(gone).unionByName(added)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:

@@ -196,6 +196,32 @@ def test_snapshot_diff_is_null_safe(spark):
     assert rows(apply_changes(old, found, ["k"])) == rows(new)
 
 
+def test_snapshot_diff_compares_values_of_every_type(spark):
+    """One key per pair of values: alike ones are no change, others are."""
+    alike = [
+        "0.0d, -0.0d", "double('nan'), double('nan')", "cast(null as int), cast(null as int)", "x'00ff', x'00FF'", "1.50bd, 1.50bd",
+        "array(1, null), array(1, null)", "timestamp'2020-10-25 00:30:00Z', timestamp'2020-10-25 03:30:00+03:00'", "map('a', 1), map('a', 1)",
+        "named_struct('a', null, 'b', 'x'), named_struct('a', null, 'b', 'x')",
+    ]
+    other = [
+        "1, null", "'', null", "'-', null", "'1:', '1'", "array(1, null), array(null, 1)", "timestamp'2020-10-25 00:30:00Z', timestamp'2020-10-25 01:30:00Z'",
+        "timestamp'2020-01-01 00:00:00.000001Z', timestamp'2020-01-01 00:00:00.000002Z'", "array(timestamp'2020-01-01 00:00:00.000001Z'), array(timestamp'2020-01-01 00:00:00Z')",
+        "named_struct('a', null, 'b', 'x'), named_struct('a', 'x', 'b', null)", "x'', x'00'", "date'0001-01-01', date'0001-01-02'", "true, false",
+    ]
+    for pairs, changes in ((alike, 0), (other, 1)):
+        for pair in pairs:
+            sides = spark.sql(f"select 1 as k, a, b from (select stack(1, {pair}) as (a, b))")
+            old, new = sides.select("k", F.col("a").alias("v")), sides.select("k", F.col("b").alias("v"))
+            assert snapshot_diff(old, new, ["k"]).count() == changes, pair
+
+
+def test_snapshot_diff_of_shifted_columns_and_types(spark):
+    old = spark.createDataFrame([(1, "a", None), (2, "ab", "c"), (3, "x", "y")], "k int, p string, q string")
+    new = spark.createDataFrame([(None, "a", 1), ("bc", "a", 2), ("y", "x", 3)], "q string, p string, k bigint")
+    found = snapshot_diff(old, new, ["K"])
+    assert found.columns == ["q", "p", "k", "_op", "_pk_k"] and rows(found) == [("bc", "a", 2, "U", 2)]
+
+
 def test_snapshot_diff_lists_rows_without_key_apart(spark):
     old = spark.createDataFrame([(None, 1, 1), (1, 1, 1)], SCHEMA)
     new = spark.createDataFrame([(None, 1, 1), (None, 2, 2), (1, 1, 2)], SCHEMA)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators import predicates
-from tablesync.operators.changes import change_feed, net_changes
+from tablesync.operators.changes import change_feed, net_changes, snapshot_diff
 from tablesync.operators.merge import apply_changes, latest_per_key, upsert
 from tablesync.operators.predicates import broadcast_if_small, date_window, touched_partitions
 from tablesync.sinks.files import SharedFiles, shared_dir
@@ -53,6 +53,26 @@ def test_merge_keys_pass_reads_key_columns_only(orders, no_broadcast):
     assert "ReadSchema: struct<o_orderkey:bigint>" in text
 
 
+def test_a_merge_scans_the_target_once(spark, orders, table, no_broadcast):
+    """The staged source stands next to it; nothing else of the target is in the plan."""
+    changes = orders.where("o_orderkey < 10").withColumns({"_op": F.lit("U"), "_pk_o_orderkey": F.col("o_orderkey")})
+    lines = table("orders").where("o_orderkey % 2 = 1")
+    for merged in (upsert(orders, lines, ["o_orderkey"]), apply_changes(orders, changes, ["o_orderkey"])):
+        text = merged._jdf.queryExecution().optimizedPlan().toString()
+        leaves = [line for line in merged.inputFiles() if line.endswith("/orders.parquet")]
+        assert len(leaves) == 1
+        assert text.count("o_totalprice") and text.count("LeftOuter") == 1 and text.count("LeftAnti") == 1
+        scans = [line for line in plan(merged).splitlines() if "Scan parquet" in line and "/sf0.001/orders.parquet" in line]
+        assert len(scans) == 1
+
+
+def test_snapshots_meet_as_keys_and_digests(orders):
+    later = orders.where("o_orderkey > 5").withColumn("o_totalprice", F.col("o_totalprice") + (F.col("o_orderkey") % 7 == 0).cast("int"))
+    text = plan(snapshot_diff(orders, later, ["o_orderkey"]))
+    assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+    assert "BroadcastHashJoin" in text and "FullOuter" not in text
+
+
 def test_net_changes_combines_before_the_shuffle_in_fixed_space(orders):
     log = orders.select("o_custkey", F.col("o_orderkey").alias("v"), F.col("o_orderstatus").alias("op"))
     text = plan(net_changes(log, ["o_custkey"], "v", "op", 100, 1000))
