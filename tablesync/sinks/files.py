@@ -9,6 +9,19 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Setting that names the commit protocol of a store that is not known.
+COMMIT_SETTING = "spark.tablesync.commitProtocol"
+# File systems whose rename is atomic and can refuse to overwrite, those whose creation without
+# overwriting is conditional on the store itself, and the option by which others offer that.
+ATOMIC_RENAME = {"file", "hdfs", "viewfs", "abfs", "abfss"}
+CONDITIONAL_CREATE = {"gs"}
+CONDITIONAL_OPTION = "fs.option.create.conditional.overwrite"
+
+
+class CommitProtocolError(RuntimeError):
+    """The storage has no way known to be safe to make a commit."""
+
+
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -67,12 +80,14 @@ class SharedFiles:
     """Hadoop file system calls the driver needs for commit files."""
 
     def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
         self._jvm = spark._jvm
         self._gateway = spark.sparkContext._gateway
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         path = self._path(root)
         self._fs = path.getFileSystem(self._conf)
         self.root = str(self._fs.makeQualified(path).toString()).rstrip("/")
+        self._scheme = self._fs.getUri().getScheme()
 
     def _path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
@@ -111,12 +126,71 @@ class SharedFiles:
         finally:
             stream.close()
 
+    def commit_protocol(self) -> str:
+        """How a file is made that no other writer may replace: `rename` or `create`.
+
+        `create` asks the store to make the object only if there is none of its name, where the file
+        system says that it can, or is known to. `rename` is for file systems whose rename is atomic
+        and refuses to overwrite. The setting `spark.tablesync.commitProtocol` names one for others;
+        without it they raise, rather than let a second writer win unnoticed.
+        """
+        named = self._spark.conf.get(COMMIT_SETTING, None)
+        if named is not None:
+            if named not in ("rename", "create"):
+                raise ValueError(f"{COMMIT_SETTING} is rename or create, not {named!r}")
+            return named
+        scheme = str(self._scheme)
+        if self._conditional() or scheme in CONDITIONAL_CREATE:
+            return "create"
+        if scheme in ATOMIC_RENAME:
+            return "rename"
+        raise CommitProtocolError(
+            f"no commit protocol is known to be safe on {scheme}: name one in {COMMIT_SETTING}"
+        )
+
+    def _conditional(self) -> bool:
+        """Whether the file system offers conditional creation as an option of its builder."""
+        return bool(self._fs.hasPathCapability(self._path(self.root), CONDITIONAL_OPTION))
+
     def create(self, file: str, text: str) -> bool:
         """Create a file with its whole content, or return False if it exists already.
 
-        The content is written under another name and renamed, so no reader sees half a file.
+        No reader sees half a file: it is written under another name and renamed, or appears with
+        its last byte, as objects of a store do.
         """
         final = self._path(file)
+        if self.commit_protocol() == "create":
+            return self._create_if_absent(final, text)
+        return self._rename_if_absent(final, text)
+
+    def _create_if_absent(self, final, text: str) -> bool:
+        try:
+            if self._conditional():
+                builder = self._fs.createFile(final).overwrite(False)
+                stream = builder.must(CONDITIONAL_OPTION, True).recursive().build()
+            else:
+                stream = self._fs.create(final, False)
+            try:
+                stream.write(bytearray(text.encode()))
+            finally:
+                stream.close()  # a store refuses here at the latest
+        except Exception as error:
+            if self._taken(error) or (self._fs.exists(final) and self.read_text(str(final)) != text):
+                return False
+            raise error
+        return True
+
+    @staticmethod
+    def _taken(error: Exception) -> bool:
+        """Whether an error of the file system says that the file exists, or a precondition failed."""
+        cause = getattr(error, "java_exception", None)
+        while cause is not None:
+            if cause.getClass().getSimpleName() in ("FileAlreadyExistsException", "RemoteFileChangedException"):
+                return True
+            cause = cause.getCause()
+        return False
+
+    def _rename_if_absent(self, final, text: str) -> bool:
         draft = self._path(f"{final.getParent()}/.{uuid.uuid4().hex}.tmp")
         self._fs.mkdirs(final.getParent())
         stream = self._fs.create(draft, False)

@@ -10,7 +10,9 @@ from tablesync.operators import predicates
 from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError
 from tablesync.operators.schema import SchemaMismatchError
 from tablesync.sinks import catalog
+from tablesync.sinks import files as files_module
 from tablesync.sinks import table as table_module
+from tablesync.sinks.files import CommitProtocolError, SharedFiles
 from tablesync.sinks.ledger import (
     OPTIMIZE,
     ConcurrentCommitError,
@@ -274,6 +276,57 @@ def test_second_writer_of_the_same_commit_fails(spark, filled):
     assert filled.read().where("k = 77").count() == 1
 
 
+@pytest.fixture
+def no_rename(spark, monkeypatch):
+    """Storage whose files cannot be renamed, as an object store's."""
+    def refuse(*args):
+        raise OSError("renamed")
+
+    monkeypatch.setattr(SharedFiles, "_rename_if_absent", refuse)
+    monkeypatch.setattr(files_module, "ATOMIC_RENAME", set())
+    yield monkeypatch
+    spark.conf.unset(files_module.COMMIT_SETTING)
+
+
+def test_storage_without_a_safe_protocol_is_refused(spark, filled, no_rename):
+    before = rows(filled.read())
+    with pytest.raises(CommitProtocolError, match="file"):
+        filled.write(spark.createDataFrame([(77, "a", 7)], SCHEMA), "append")
+    assert rows(filled.read()) == before
+    spark.conf.set(files_module.COMMIT_SETTING, "copy")
+    with pytest.raises(ValueError):
+        filled.write(spark.createDataFrame([(77, "a", 7)], SCHEMA), "append")
+
+
+@pytest.mark.parametrize("how", ["setting", "scheme"])
+def test_commits_by_conditional_creation(spark, filled, no_rename, how):
+    if how == "setting":
+        spark.conf.set(files_module.COMMIT_SETTING, "create")
+    else:
+        no_rename.setattr(files_module, "CONDITIONAL_CREATE", {"file"})
+    stale = filled.ledger.next(filled.ledger.latest(), op="WRITE", dirs=[])
+    filled.write(spark.createDataFrame([(77, "a", 7)], SCHEMA), "append")
+    with pytest.raises(ConcurrentCommitError):
+        filled.ledger.append(stale)
+    assert filled.read().where("k = 77").count() == 1
+    assert not [n for n in filled.ledger.files.names(filled.ledger.directory) if n.endswith(".tmp")]
+    filled.apply_changes(change(spark, (77, "a", 8, "U")), ["k"], 9)
+    assert rows(filled.read().where("k = 77")) == [(77, "a", 8)] and filled.cursor() == 9
+
+
+def test_a_store_that_fails_otherwise_is_no_second_writer(filled, no_rename, spark, monkeypatch):
+    spark.conf.set(files_module.COMMIT_SETTING, "create")
+    last = filled.ledger.latest()
+    monkeypatch.setattr(SharedFiles, "_conditional", lambda self: (_ for _ in ()).throw(OSError("store is down")))
+    with pytest.raises(OSError, match="down"):
+        filled.ledger.append(filled.ledger.next(last, op="WRITE"))
+    assert filled.ledger.latest().commit == last.commit
+
+
+def test_the_default_protocol_goes_by_the_storage(spark, filled):
+    assert filled.ledger.files.commit_protocol() == "rename"
+
+
 def test_readers_keep_the_commit_they_started_from(spark, filled):
     held = filled.read()
     filled.write(spark.createDataFrame([(77, "a", 7)], SCHEMA), "overwrite")
