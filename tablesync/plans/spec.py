@@ -64,6 +64,8 @@ class SyncSpec:
     changes_query: str = ""
     changes_params: list[str] | str = field(default_factory=list)
     changes_version: str = ""
+    changes_counts: str = ""
+    changes_counts_params: list[str] | str = field(default_factory=list)
     min_valid_version_query: str = ""
     min_valid_version_params: list[str] | str = field(default_factory=list)
     current_version_query: str = ""
@@ -220,6 +222,7 @@ _LIST_FIELDS = [
     "parent_key",
     "zorder_by",
     "changes_params",
+    "changes_counts_params",
     "min_valid_version_params",
     "current_version_params",
 ]
@@ -255,6 +258,8 @@ _OPTION_FIELDS = {
     "ct_changes_query": "changes_query",
     "ct_changes_query_params": "changes_params",
     "ct_changes_version": "changes_version",
+    "ct_changes_counts_query": "changes_counts",
+    "ct_changes_counts_query_params": "changes_counts_params",
     "ct_min_valid_version_query": "min_valid_version_query",
     "ct_min_valid_version_params": "min_valid_version_params",
     "ct_current_version_query": "current_version_query",

@@ -127,6 +127,8 @@ def jdbc_change_source(spark: SparkSession, spec: SyncSpec) -> JdbcChangeSource:
         changes_query=spec.changes_query,
         changes_params=spec.changes_params,
         feed_version=spec.changes_version,
+        counts_query=spec.changes_counts,
+        counts_params=spec.changes_counts_params,
     )
 
 

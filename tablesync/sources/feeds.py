@@ -91,7 +91,8 @@ class JdbcChangeSource:
     The queries may hold `?` markers; their parameter lists may use the reserved words of
     `change_sql`. `feed_version` names the version column of the rows that `changes_query`, or
     `feed`, a function from `(last, current)` to query text, returns. With it the range is read
-    in `num_partitions` slices, one query each; as a key may then show up in several slices,
+    in `num_partitions` slices, one query each, which hold about equally many changes if
+    `counts_query` returns the versions and the number `n` of changes of each; as a key may then show up in several slices,
     its latest row is kept. Change tracking without a query of its own is split by the change
     key of `split_by`, which deleted rows have too.
     """
@@ -112,6 +113,8 @@ class JdbcChangeSource:
     changes_params: Sequence[str] = field(default_factory=list)
     feed: Callable[[int, int], str] | None = None
     feed_version: str = ""
+    counts_query: str = ""
+    counts_params: Sequence[str] = field(default_factory=list)
 
     def _render(
         self, query: str, params: Sequence[str], last: int | None, current: int | None
@@ -145,7 +148,10 @@ class JdbcChangeSource:
             return self._scan(query, change_key(split_by) if keyed else self.split_by)
         slices = self.num_partitions if self.feed_version else 1
         rows = with_change_names(
-            jdbc_version_range_scan(self.spark, self.options, feed, "", last, current, slices)
+            jdbc_version_range_scan(
+                self.spark, self.options, feed, self.feed_version, last, current, slices,
+                self._rendered_counts if self.counts_query else None,
+            )
         )
         if not self.feed_version:
             return rows
@@ -155,6 +161,9 @@ class JdbcChangeSource:
     def _rendered_changes(self, last: int, current: int) -> str:
         return self._render(self.changes_query, self.changes_params, last, current)
 
+    def _rendered_counts(self, last: int, current: int) -> str:
+        return self._render(self.counts_query, self.counts_params, last, current)
+
     def _scan(self, query: str, split_by: str) -> DataFrame:
         if not split_by:
             return jdbc_scan(self.spark, self.options, query, self.custom_schema)

@@ -13,6 +13,8 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal, InvalidOperation
 from functools import reduce
+from itertools import accumulate
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,10 @@ SQL_TYPES: dict[str, DataType] = {
     "TIMESTAMP": TimestampType(),
 }
 
+# Rounds of a histogram, its edges at most (a tree of ten comparisons), and the share of a range's mean that a
+# cell may hold.
+HISTOGRAM_ROUNDS, MOST_EDGES, FINENESS = 6, 1000, 0.25
+
 # Types of columns by which a read can be split into ranges.
 _RANGE_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
 
@@ -143,17 +149,24 @@ def jdbc_partitioned_scan(
     column: str,
     num_partitions: int,
     custom_schema: str = "",
+    even: bool = True,
 ) -> DataFrame:
-    """Read in `num_partitions` parallel ranges of a numeric, date or timestamp column.
+    """Read in up to `num_partitions` parallel ranges of a numeric, date or timestamp column.
 
-    The ranges span the rows of the relation, so a filter that narrows them much belongs into
-    it (`filtered_relation`); otherwise few ranges would hold all that is left. An empty source
-    has no bounds and is read over one connection.
+    The ranges hold about equally many rows of the relation, by a histogram that the source counts
+    (`depth_edges`): each of its few rounds is one grouped query over the split column. With
+    `even=False` they are equally wide instead, from one query for the bounds. Either way a filter
+    that narrows the rows belongs into the relation (`filtered_relation`). An empty source is read
+    over one connection. A value that holds much of the source stays in one range.
     """
     scan = jdbc_scan(spark, options, relation, custom_schema)
     split_type = column_type(scan, column)
     if not isinstance(split_type, _RANGE_TYPES):
         raise ValueError(f"cannot split a read by {column} of type {split_type.simpleString()}")
+    if even:
+        edges, n_null, mean = depth_edges(spark, options, relation, column, num_partitions)
+        predicates = range_conditions(column, edges, n_null > mean)
+        return _jdbc_predicates(spark, options, relation, predicates, custom_schema) if len(predicates) > 1 else scan
     bounds = jdbc_bounds(spark, options, relation, column, whole_days=False).first()
     if bounds is None or bounds["min_bound"] is None:
         return scan
@@ -169,6 +182,106 @@ def jdbc_partitioned_scan(
     return jdbc_scan(spark, {**options, **ranges}, relation, custom_schema)
 
 
+class _Cell(NamedTuple):
+    """Values of a column between two that occur, both included, and how many rows have them."""
+
+    low: Any
+    high: Any
+    n: int
+
+
+def depth_edges(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    relation: str,
+    column: str,
+    parts: int,
+    weight: str = "1",
+) -> tuple[list, int, float]:
+    """Values that cut a relation into `parts` ranges of about equally many rows; the number of rows
+    without a value, and the mean of a range.
+
+    The source counts the rows between some edges and tells the least and greatest value there; cells
+    that hold too much are cut again, between values that occur, until none does or all its rows
+    have one value. `weight` is what a row counts for, as SQL.
+    """
+    derived = _derived_table(relation)
+    query = f"select min(b.{column}) as low, max(b.{column}) as high, sum({_present(column, weight)}) as n, sum({weight}) as m from {derived} b"
+    whole = jdbc_scan(spark, options, query).toDF("low", "high", "n", "m").first()
+    total = int(whole["n"] or 0)
+    n_null, mean = int(whole["m"] or 0) - total, max(total, 1) / parts
+    cells = [_Cell(whole["low"], whole["high"], total)] if whole["low"] is not None else []
+    for _ in range(HISTOGRAM_ROUNDS):
+        heavy = [c for c in cells if c.n > mean * FINENESS and c.low != c.high]
+        room = MOST_EDGES - len(cells)
+        if not heavy or room < 1:
+            break
+        weights = sum(c.n for c in heavy)
+        inner = [e for c in heavy for e in _between(c.low, c.high, 2 + int(min(room * c.n / weights, 8 * c.n / mean)))]
+        edges = sorted({c.low for c in cells[1:]} | set(inner))[:MOST_EDGES]
+        query = (
+            f"select q.bucket, min(q.c) as low, max(q.c) as high, sum(q.w) as n from "
+            f"(select {_bucket(f'b.{column}', edges)} as bucket, b.{column} as c, {weight} as w from {derived} b where b.{column} is not null) q "
+            "group by q.bucket"
+        )
+        # no more rows than edges
+        counted = jdbc_scan(spark, options, query).toDF("bucket", "low", "high", "n").collect()
+        cells = sorted(_Cell(r["low"], r["high"], int(r["n"])) for r in counted)
+    before = list(accumulate((c.n for c in cells), initial=0))
+    edges = set()
+    for part in range(1, parts):
+        nearest = min(range(len(cells)), key=lambda i: abs(before[i] - part * total / parts), default=0)
+        if nearest:
+            edges.add(cells[nearest].low)
+    return sorted(edges), n_null, mean
+
+
+def _present(column: str, weight: str) -> str:
+    return f"case when b.{column} is null then 0 else {weight} end"
+
+
+def _between(low, high, pieces: int) -> list:
+    """Inner edges of equally wide pieces, of the values' own type."""
+    if isinstance(low, dt.date) and not isinstance(low, dt.datetime):
+        days = (high - low).days
+        return sorted({low + dt.timedelta(days=-(-days * i // pieces)) for i in range(1, pieces)} - {low})
+    if isinstance(low, int):
+        return sorted({low - (-(high - low) * i // pieces) for i in range(1, pieces)} - {low})
+    step = (high - low) / pieces
+    return sorted({low + step * i for i in range(1, pieces)} - {low})
+
+
+def sql_literal(value) -> str:
+    """A number, date or wall clock as SQL, times with JDBC's literals."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value}'}}"
+    if isinstance(value, Decimal):
+        return f"{value:f}"
+    return repr(value).upper()
+
+
+def _bucket(column: str, edges: Sequence, first: int = 0) -> str:
+    """The number of edges up to a value, as a balanced tree of comparisons."""
+    if not edges:
+        return str(first)
+    middle = len(edges) // 2
+    below, above = _bucket(column, edges[:middle], first), _bucket(column, edges[middle + 1 :], first + middle + 1)
+    return f"case when {column} < {sql_literal(edges[middle])} then {below} else {above} end"
+
+
+def range_conditions(column: str, edges: Sequence, nulls_apart: bool = False) -> list[str]:
+    """Adjacent conditions between the edges; the outer ones are open, the first takes the NULLs
+    unless they stand apart."""
+    marks = [sql_literal(edge) for edge in edges]
+    if not marks:
+        return [f"{column} is null", f"{column} is not null"] if nulls_apart else [f"{column} is null or {column} is not null"]
+    lowest = [f"{column} is null", f"{column} < {marks[0]}"] if nulls_apart else [f"{column} < {marks[0]} or {column} is null"]
+    middle = [f"{column} >= {a} and {column} < {b}" for a, b in zip(marks, marks[1:], strict=False)]
+    return [*lowest, *middle, f"{column} >= {marks[-1]}"]
+
+
 def _whole(bound: str, rounding: Callable[[Decimal], int]) -> str:
     """A fractional bound as the whole number Spark wants for numeric columns."""
     try:
@@ -280,6 +393,13 @@ def version_slices(last: int, current: int, num_slices: int) -> list[tuple[int,
     return list(zip(edges, edges[1:]))
 
 
+def depth_slices(last: int, current: int, edges: Sequence[int]) -> list[tuple[int, int]]:
+    """`(last, current]` cut before each of the edges."""
+    inner = [int(edge) - 1 for edge in edges if last < int(edge) - 1 < current]
+    marks = [last, *inner, current]
+    return list(zip(marks, marks[1:], strict=False))
+
+
 def version_range_scan(
     df: DataFrame, version: str, last: int, current: int
 ) -> DataFrame:
@@ -296,15 +416,25 @@ def jdbc_version_range_scan(
     last: int,
     current: int,
     num_slices: int,
+    counts: Callable[[int, int], str] | None = None,
 ) -> DataFrame:
     """Read a change feed of `(last, current]` in parallel slices of versions.
 
     `feed` is a relation with a version column, or a function from `(last, current)` to a
     query (a table function or procedure call of the source); it is then called once per
-    slice and `version` is not needed. A source that can only answer the whole range is read
-    with `num_slices=1`; those rows are spread over the cluster afterwards.
+    slice and `version` is not needed, unless `counts` is given: a function from `(last, current)`
+    to a query for the number `n` of changes of each version (`version`). The slices hold about equally
+    many changes where the source can count them (a relation, or `counts`), else equally many versions.
+    A source that can only answer the whole range is read with `num_slices=1`; those rows are spread
+    over the cluster afterwards.
     """
     slices = version_slices(last, current, num_slices)
+    if len(slices) > 1 and (counts is not None or not callable(feed)):
+        limits = [f"{version} > {last}", f"{version} <= {current}"]
+        counted = counts(last, current) if counts is not None else filtered_relation(feed, limits)
+        weight = "1" if counts is None else "b.n"
+        edges, _, _ = depth_edges(spark, options, counted, version, num_slices, weight)
+        slices = depth_slices(last, current, edges)
     if callable(feed):
         parts = [jdbc_scan(spark, options, feed(low, high)) for low, high in slices]
         df = reduce(DataFrame.unionByName, parts)

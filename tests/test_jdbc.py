@@ -9,6 +9,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType
 from conftest import rows
 from tablesync.operators.predicates import date_window
 from tablesync.sources.jdbc import (
+    depth_slices,
     jdbc_bounds,
     jdbc_partitioned_scan,
     jdbc_scan,
@@ -49,6 +50,73 @@ def test_partitioned_scans(spark, source, table):
         assert rows(df) == rows(table("orders"))
 
 
+def clusters(spark, derby, frame):
+    frame.toDF(*[c.upper() for c in frame.columns]).write.format("jdbc").options(**derby).option("dbtable", "C").save()
+
+
+def sizes(df):
+    counts = {r["p"]: r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    return [counts.get(p, 0) for p in range(df.rdd.getNumPartitions())]
+
+
+DISTANT = {
+    "bigint": "case when id < 700 then id when id < 990 then 4000000000000 + 3 * id else 9000000000000000 + id end",
+    "decimal(20,4)": "case when id < 500 then id / 1000 else 1000000000000 + id end",
+    "double": "case when id < 900 then 1e-3 * id else 1e12 * id end",
+    "date": "date_add(date'1990-01-01', cast(case when id < 800 then id % 400 else 12000 + id end as int))",
+    "timestamp_ntz": "timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(case when id < 700 then 0 else 7000 end, 0, 0, id / 1000)",
+}
+
+
+@pytest.mark.parametrize("kind", DISTANT)
+def test_ranges_of_distant_clusters_are_even(spark, derby, kind):
+    frame = spark.range(1000).selectExpr("id", f"cast({DISTANT[kind]} as {kind}) as v")
+    clusters(spark, derby, frame)
+    df = jdbc_partitioned_scan(spark, derby, "select * from C where ID >= 20", "V", 10)
+    found = sizes(df)
+    assert len(found) == 10 and max(found) <= 2 * 98 and min(found) > 0
+    assert sorted(r.ID for r in df.select("ID").collect()) == list(range(20, 1000))
+    wide = sizes(jdbc_partitioned_scan(spark, derby, "C", "V", 10, even=False))
+    assert max(wide) > 3 * 98
+
+
+def test_ranges_beside_a_hot_value_and_nulls(spark, derby):
+    frame = spark.range(900).selectExpr("id", "case when id < 300 then 77 when id < 600 then null else id end as v")
+    clusters(spark, derby, frame)
+    df = jdbc_partitioned_scan(spark, derby, "C", "V", 6)
+    found = sizes(df)
+    assert df.count() == 900 and found.count(300) == 2 and all(n <= 200 for n in found if n != 300)
+
+
+def test_equal_values_are_one_range(spark, derby):
+    clusters(spark, derby, spark.range(20).selectExpr("id", "5 as v"))
+    assert sizes(jdbc_partitioned_scan(spark, derby, "C", "V", 4)) == [20]
+
+
+@pytest.mark.parametrize("edges, rest", [([], [0, 10]), ([1], [0, 10]), ([4, 4, 11, 12], [0, 3, 3, 10]), ([2, 9], [0, 1, 8, 10])])
+def test_slices_before_edges_cover_the_range(edges, rest):
+    assert [a for a, _ in depth_slices(0, 10, edges)] + [10] == rest
+
+
+@pytest.mark.parametrize("way", ["relation", "counts"])
+def test_version_slices_hold_equally_many_changes(spark, derby, way):
+    """Nine tenths of the changes lie in a hundredth of the versions."""
+    frame = spark.range(2000).selectExpr("id", "case when id < 1800 then 50001 + id % 1000 else 500 * (id - 1800) + 1 end as v")
+    clusters(spark, derby, frame)
+    def feed(low, high):
+        return f"select * from C where V > {low} and V <= {high}"
+
+    def counts(low, high):
+        return f"select V, count(*) as N from C where V > {low} and V <= {high} group by V"
+
+    args = ("C", "V", 100, 99_000, 8) if way == "relation" else (feed, "V", 100, 99_000, 8, counts)
+    df = jdbc_version_range_scan(spark, derby, *args)
+    expected = rows(frame.where("v > 100 and v <= 99000"))
+    found = sizes(df)
+    assert rows(df) == expected and len(found) == 8
+    assert max(found) <= 2 * len(expected) / 8
+
+
 def test_empty_source_is_read_over_one_connection(spark, source):
     df = jdbc_partitioned_scan(spark, source, "select * from ORDERS where O_ORDERKEY < 0", "O_ORDERKEY", 8)
     assert df.rdd.getNumPartitions() == 1 and df.count() == 0
