@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -88,23 +89,33 @@ def mix64(values: np.ndarray) -> np.ndarray:
 
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+_TO_LOWER = bytes(b + 32 if ord("A") <= b <= ord("Z") else b for b in range(256))
 
+#: Words from so many bytes on are hashed apart, one by one.
+LONG_WORD = 1024
+#: Words hashed at once.
+WORDS_AT_ONCE = 100_000
+#: Masks of the lowest 0 to 8 bytes.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
-def _powers(kind: str, base: int, count: int) -> np.ndarray:
-    """base^0, base^1, ... modulo 2^64, kept for the next call."""
-    known = _POWERS.get(kind)
-    if known is None or len(known) < count:
-        with np.errstate(over="ignore"):
-            known = np.cumprod(np.r_[np.uint64(1), np.full(max(count, 1 << 16), base, np.uint64)])
-        if count <= 8 * SLICE_BYTES:
-            _POWERS[kind] = known
-    return known[:count]
 
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of bytes, eight bytes a step; eight bytes must follow the last run.
 
-_LOWERED = np.arange(256, dtype=np.uint8)
-_LOWERED[ord("A") : ord("Z") + 1] += 32
+    Each step mixes the bytes in and adds them to what comes out, so no bytes can be solved for that
+    lead back to a given state, and two words of equal length share no pattern that cancels.
+    """
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    value = mix64(size.astype(np.uint64) + np.uint64(_MULTIPLIER))
+    left, rows, at = size, np.arange(len(size)), start
+    while len(rows):
+        bytes_ = eights[at] & _BYTES[np.minimum(left, 8)]
+        with np.errstate(over="ignore"):
+            state = value[rows]
+            value[rows] = mix64(state ^ bytes_) + bytes_ * np.uint64(_MULTIPLIER) + (state >> np.uint64(17))
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    return mix64(value)
 
 
 #: For each byte whether it parts words: ASCII white space, or all ASCII but letters and digits.
@@ -120,18 +131,11 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, gaps: np.ndarray = WHITE_SPACE):
-        filled = pc.fill_null(texts.cast(pa.large_string()), "")
-        self.texts = len(filled)
-        offsets = np.zeros(1, np.int64)
-        if self.texts:
-            offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + self.texts + 1]
-        body = filled.buffers()[2] or b""
-        raw = _LOWERED[np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]]]
-        lengths = np.diff(offsets)
-        place = np.arange(len(raw)) + np.repeat(np.arange(self.texts), lengths)
-        self.data = np.full(len(raw) + self.texts, 32, np.uint8)
-        self.data[place] = raw
-        self.text_start = offsets[:-1] - offsets[0] + np.arange(self.texts)
+        listed = pc.fill_null(texts.cast(pa.large_string()), "").cast(pa.large_binary()).to_pylist()
+        self.texts = len(listed)
+        lengths = np.array([len(text) for text in listed], np.int64)
+        self.data = np.frombuffer((b" ".join(listed) + b" " * bool(listed)).translate(_TO_LOWER), np.uint8)
+        self.text_start = np.cumsum(lengths) - lengths + np.arange(self.texts)
         edge = np.flatnonzero(np.diff(np.r_[True, gaps[self.data], True].astype(np.int8)))
         self.start, self.end = edge[::2], edge[1::2]
         self.first = np.searchsorted(self.start, np.r_[self.text_start, len(self.data)])
@@ -139,12 +143,16 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same wherever the word stands."""
-        count = len(self.data)
-        with np.errstate(over="ignore"):
-            sums = np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers("up", _MULTIPLIER, count))
-            sums = np.r_[np.uint64(0), sums]
-            value = (sums[self.end] - sums[self.start]) * _powers("down", _INVERSE, count + 1)[self.start]
-        return mix64(value ^ (self.end - self.start).astype(np.uint64))
+        out = np.empty(len(self.start), np.uint64)
+        size = self.end - self.start
+        data = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        for at in range(0, len(out), WORDS_AT_ONCE):
+            part = slice(at, at + WORDS_AT_ONCE)
+            out[part] = _hashes(data, self.start[part], np.where(size[part] < LONG_WORD, size[part], 0))
+        for word in np.flatnonzero(size >= LONG_WORD):
+            digest = hashlib.blake2b(data[self.start[word] : self.end[word]].tobytes(), digest_size=8).digest()
+            out[word] = int.from_bytes(digest, "little")
+        return out
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of `size` words, and the text each is from.

@@ -34,7 +34,9 @@ REPLAYED = 4
 #: Representatives whose ids are sent to all tasks; more of them are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
 #: Shingles whose permutations are written out at once.
-WRITTEN_OUT = 40_000
+WRITTEN_OUT = 16_000
+#: Bytes of text whose signatures are made at once.
+SLICE = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _RANK = np.uint64(48)
@@ -113,7 +115,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SLICE):
                 values, owner, counts = _sets(part.column("text"), words)
                 kept = super_min_hash(values, owner, part.num_rows, BANDS * ROWS)
                 key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (part.num_rows, BANDS))
@@ -156,7 +158,7 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SLICE):
                 values, _, counts = _sets(part.column("text"), words)
                 offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
@@ -223,6 +225,16 @@ def components(links: DataFrame) -> DataFrame:
     return stage(links.selectExpr("u as node", "v as root").union(roots), "components")
 
 
+def _meetings(members: DataFrame) -> DataFrame:
+    """Pairs of members of a bucket (columns with a and b behind their names) from different components.
+
+    Members of a bucket's largest component (`most`) meet the others, never each other.
+    """
+    left, right = (members.select("key", *(F.col(c).alias(c + side) for c in members.columns if c != "key")) for side in "ab")
+    pairs = left.filter("roota <> mosta").join(right, "key")
+    return pairs.filter("roota <> rootb and (rootb = mostb or repa < repb)")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, text_key (see `text_key`), n_shingles, component_id, kept.
 
@@ -271,17 +283,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = _sets_of(docs, rest.select(F.col("rep").alias("node")), words)
     own_keys = rest.groupBy("rep").agg(F.collect_set("key").alias("keys"))
     rest = rest.join(own_keys, "rep").join(_prefixes(sets, percent), "rep")
-    rest = stage(rest, "members-with-prefixes")
-    sides = ("rep", "n", "root", "far", "prefix", "keys")
-    left, right = (rest.select("key", *(F.col(c).alias(c + side) for c in sides)) for side in "ab")
+    roots = rest.groupBy("key", "root").agg(F.count("*").alias("of_root"))
+    most = roots.groupBy("key").agg(F.max_by("root", F.struct("of_root", "root")).alias("most"))
+    rest = stage(rest.join(most, "key"), "members-with-prefixes")
     near = f"coalesce(abs(fara - farb) <= {1 - percent / 100 + 1e-9}, true)"
     shared = f"cast(ceil({percent} * (na + nb) / {100 + percent}) as int)"
     heads = (f"slice(prefix{side}, 1, cast(greatest(n{side} - {shared} + 1, 0) as int))" for side in "ab")
-    pairs = left.join(right, "key").filter("repa < repb and roota <> rootb").filter(near).filter(fits.format("na", "nb"))
+    pairs = _meetings(rest)
+    pairs = pairs.filter(near).filter(fits.format("na", "nb"))
     pairs = pairs.filter(f"coalesce(arrays_overlap({', '.join(heads)}), false)")
     # a pair that meets in several buckets is named in one of them
     pairs = pairs.filter("key = array_min(array_intersect(keysa, keysb))")
-    pairs = pairs.selectExpr("repa as a", "repb as b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = pairs.selectExpr("least(repa, repb) as a", "greatest(repa, repb) as b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
     second = _measured(stage(pairs, "candidate-pairs"), sets)
     more = second.filter(linked).select("a", "b")
     if not more.isEmpty():

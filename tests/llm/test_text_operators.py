@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import SCHEMA, awkward, empty, lower, words  # noqa: E402
 
+from tablesync.llm import minhash  # noqa: E402
 from tablesync.llm.common import Words, byte_slices, mix64  # noqa: E402
 from tablesync.llm.exact_dedup import chunks, exact_duplicates  # noqa: E402
 from tablesync.llm.minhash import components, near_duplicates, super_min_hash  # noqa: E402
@@ -331,6 +332,29 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert found == _similar(known, size, 80)
 
 
+def thue_morse(size, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [64, 512, 1023, 1024, 4096])
+def test_words_made_for_polynomial_hashes_are_told_apart(spark, size):
+    """A Thue-Morse word and its complement have one value under any base modulo 2^64."""
+    pair = [thue_morse(size, "ab"), thue_morse(size, "ba")]
+    known = Words(pa.array([f"{pair[0]} x {pair[0]}", pair[1]])).hashes()
+    assert known[0] == known[2] != known[3]
+    df = spark.createDataFrame([(1, f"{pair[0]} same"), (2, f"{pair[1]} same")], "doc_id bigint, text string")
+    assert near_duplicates(df, words=2).where("kept").count() == 2
+
+
+def test_members_of_the_largest_component_never_meet(spark):
+    """2,000 members of one bucket, all but ten of one component."""
+    members = spark.range(2000).selectExpr("7L as key", "id as rep", "if(id < 10, id, 100L) as root", "100L as most")
+    met = minhash._meetings(members)
+    assert met.count() == 10 * 1990 + 45
+    assert met.selectExpr("least(repa, repb)", "greatest(repa, repb)").distinct().count() == met.count()
+    assert members.filter("root <> most").join(members.select("key"), "key").count() == 10 * 2000  # pairs tested
+
+
 def test_near_duplicates_of_a_hot_group(spark):
     """Copies with more and more of their own: some links lead through other copies only."""
     pick = random.Random(10)
