@@ -10,11 +10,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType
-
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    DateType,
+    FractionalType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from tablesync.functions.timestamps import utc_wall_clock, wall_clock_to_instant
 from tablesync.operators.shape import quoted
 
 ZVALUE = "_zvalue"
@@ -36,9 +46,74 @@ def bits_per_column(n_columns: int, num_files: int) -> int:
 def _cut_points(df: DataFrame, columns: Sequence[str], bits: int) -> list[list[str]]:
     """`2^bits - 1` rising cut points per column as text, NULL left out.
 
-    They split a sample evenly whose size goes with the number of cut points only, so a
-    frequent value stands for several of them.
+    They split the rows about evenly, so a frequent value stands for several of them. Numbers, dates and
+    times go through mergeable quantile sketches, all in one pass; their size is fixed, and each task hands
+    on one. Other types have no such sketch and are sampled.
     """
+    sketched = [name for name in columns if _sketched(df.schema[name].dataType)]
+    points = _sketched_points(df, sketched, bits) if sketched else {}
+    others = [name for name in columns if name not in points]
+    points |= _sampled_points(df, others, bits) if others else {}
+    return [points[name] for name in columns]
+
+
+def _sketched(data_type: DataType) -> bool:
+    return isinstance(data_type, (NumericType, DateType, TimestampType, TimestampNTZType))
+
+
+def _sketched_points(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list[str]]:
+    """Cut points of columns whose values map to numbers in their order."""
+    whole = [n for n in columns if not isinstance(df.schema[n].dataType, FractionalType)]
+    ranks = F.lit([i / 2**bits for i in range(1, 2**bits)])
+    sketches = []
+    for at, name in enumerate(columns):
+        number = _as_number(quoted(name), df.schema[name].dataType)
+        if name in whole:
+            points = F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(number), ranks)
+        else:  # values that are no number are the greatest, and no cut point
+            finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+            points = F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(finite), ranks)
+        present = F.count(number if name in whole else finite)
+        sketches.append(F.when(present > 0, F.struct(points.alias("p"))).alias(f"c{at}"))
+    row = df.agg(*sketches).first()
+    found = {}
+    spelled = df.sparkSession.range(1)
+    for at, name in enumerate(columns):
+        data_type, cuts = df.schema[name].dataType, row[at]
+        found[name] = []
+        if cuts:
+            texts = F.transform(F.lit(list(cuts["p"])), partial(_spelled, data_type))
+            found[name] = [text for text in spelled.select(texts.alias("t")).first()["t"] if text is not None]
+    return found
+
+
+def _spelled(data_type: DataType, number: Column) -> Column:
+    return _as_text(_from_number(number, data_type), data_type)
+
+
+def _as_number(column: Column, data_type: DataType) -> Column:
+    """A value as a whole number or a double, in the same order."""
+    if isinstance(data_type, DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(data_type, TimestampType):
+        return F.unix_micros(column)
+    if isinstance(data_type, TimestampNTZType):
+        return F.unix_micros(wall_clock_to_instant(column, "UTC"))
+    return column.cast("double" if isinstance(data_type, FractionalType) else "bigint")
+
+
+def _from_number(column: Column, data_type: DataType) -> Column:
+    if isinstance(data_type, DateType):
+        return F.date_from_unix_date(column.cast("int"))
+    if isinstance(data_type, TimestampType):
+        return F.timestamp_micros(column)
+    if isinstance(data_type, TimestampNTZType):
+        return utc_wall_clock(F.timestamp_micros(column))
+    return column.try_cast(data_type)
+
+
+def _sampled_points(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list[str]]:
+    """Cut points from a sample whose size goes with their number only."""
     n_cells = 2**bits
     n_rows = df.count()
     share = min(1.0, ROWS_PER_CUT * n_cells / max(n_rows, 1))
@@ -52,7 +127,7 @@ def _cut_points(df: DataFrame, columns: Sequence[str], bits: int) -> list[list[s
         return F.transform(at, lambda i: _as_text(F.get(ordered, i), df.schema[name].dataType))
 
     row = sample.agg(*[cuts(name).alias(f"c{i}") for i, name in enumerate(columns)]).first()
-    return [[cut for cut in points if cut is not None] for points in row]
+    return {name: [cut for cut in points if cut is not None] for name, points in zip(columns, row, strict=True)}
 
 
 def _as_text(value: Column, data_type: DataType) -> Column:

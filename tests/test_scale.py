@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablesync import SyncSpec, TargetTable, run_sync
 from tablesync.operators.changes import snapshot_diff
+from tablesync.operators import layout
 from tablesync.operators.layout import bits_per_column, zorder
 from tablesync.operators.merge import DuplicateKeyError, apply_changes, latest_per_key, upsert
 from tablesync.plans.sync import read_source
@@ -218,6 +219,39 @@ def test_a_merge_keeps_the_other_slices_of_a_plain_load(spark, new_dir, monkeypa
     assert len(before) == 4 and len(before & set(target.ledger.latest().dirs)) == 3
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "decimal(12,2)", "date", "timestamp", "timestamp_ntz", "string", "tinyint"])
+def test_cut_points_split_rows_evenly(spark, kind):
+    values = {
+        "date": "date_add(date'1999-12-25', cast(id % 5000 as int))", "timestamp": "timestamp_micros(id * 1000003)", "string": "lpad(id, 9, '0')",
+        "timestamp_ntz": "timestamp_ntz'2024-03-31 00:00:00' + make_dt_interval(0, 0, 0, id / 10)", "tinyint": "id % 100 - 50",
+    }
+    df = spark.range(20_000).selectExpr(f"cast({values.get(kind, '(id - 9000) * 3 / 2')} as {kind}) as v")
+    df = df.union(spark.sql(f"select cast(null as {kind}) from range(10)"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Kiev")
+    try:
+        cuts = layout._cut_points(df, ["v"], 3)[0]
+        counts = {r["z"]: r["count"] for r in layout.with_zvalue(df, ["v"], 3).groupBy(F.col(layout.ZVALUE).alias("z")).count().collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(cuts) == 7 and set(counts) == set(range(8))
+    assert all(0.8 * 2500 < n < 1.25 * 2500 for n in counts.values())
+
+
+def test_cut_points_of_odd_values(spark):
+    df = spark.sql("select * from values (double('nan'), 1), (double('inf'), null), (null, null), (double('-inf'), 1), (2.5d, 1) as t(a, b)")
+    cuts = layout._cut_points(df, ["a", "b"], 2)
+    assert cuts == [["2.5"] * 3, ["1"] * 3]
+    assert layout._cut_points(df.where("a = 7"), ["a", "b"], 2) == [[], []]
+    assert zorder(df, ["a", "b"], 3).count() == 5
+
+
+def test_numbers_and_times_take_one_pass_without_lists(spark, table, monkeypatch):
+    monkeypatch.setattr(layout, "_sampled_points", lambda *a: (_ for _ in ()).throw(AssertionError("sampled")))
+    orders = table("orders")
+    assert rows(zorder(orders, ["o_orderdate", "o_totalprice", "o_custkey"], 6)) == rows(orders)
+
+
 def test_zorder_of_an_unpartitioned_target_leaves_old_files(spark, counted):
     first = counted.ledger.latest()
     counted.write(spark.range(100, 200).withColumn("v", F.lit(1)), "append")
