@@ -22,6 +22,7 @@ class CommitProtocolError(RuntimeError):
     """The storage has no way known to be safe to make a commit."""
 
 
+_RUN_DIRS: set[str] = set()
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -43,8 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, purpose: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    It lies in the application's own folder, which goes when the application ends.
+    """
+    own = f"{shared_dir(spark)}/run-{spark.sparkContext.applicationId}"
+    if own not in _RUN_DIRS:
+        SharedFiles(spark, own).delete_root_on_exit()
+        _RUN_DIRS.add(own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
@@ -52,7 +60,7 @@ def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
 
     The copy has no lineage to its source, so it is neither read again nor able to change
     between the steps of a run, and it survives the loss of executors. It is removed at the
-    end of the `staging_scope` it was made in, if any.
+    end of the `staging_scope` it was made in, else at the end of the application.
     """
     spark = df.sparkSession
     path = new_path(spark, purpose)
