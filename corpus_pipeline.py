@@ -14,7 +14,7 @@ from tablesync.llm.langid import UNKNOWN, predict_languages
 from tablesync.llm.minhash import near_duplicates, text_key
 from tablesync.llm.mixing import mix_sources
 from tablesync.llm.packing import pack_documents
-from tablesync.sinks.files import stage
+from tablesync.sinks.files import SharedFiles, new_path, stage, staging_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose language is less sure than this is rejected.
@@ -22,14 +22,20 @@ LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: null texts, texts without letters and undecided ones go."""
+    """Documents in a language: null texts, texts without letters and undecided ones go.
+
+    Null ids and repeated rows are judged each; an empty table gives an empty table.
+    """
     told = predict_languages(docs)
     sure = (told["lang_pred"] != UNKNOWN) & (told["score"] >= LEAST_SCORE)
     return told.filter(sure).select(*COLUMNS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest doc_id stays."""
+    """Of documents with equal texts (A-Z lower-cased), the one with the largest doc_id stays.
+
+    A null id is smaller than any; of rows that share id and text one stays; null texts count as empty.
+    """
     return exact_duplicates(docs).filter("kept").select(*COLUMNS)
 
 
@@ -44,12 +50,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to the sources' target weights, shuffled."""
+    """Documents repeated to the sources' target weights, shuffled.
+
+    A null source, or one without a weight of its own, is of the rest; repeated rows are drawn alike.
+    """
     return mix_sources(docs).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents with their places in sequences."""
+    """Token ids of all documents with their places in sequences, one row a piece.
+
+    A null text is an empty one, with the end's id alone; an empty table gives an empty table.
+    """
     return pack_documents(docs)
 
 
@@ -64,12 +76,17 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, from `documents` as it is."""
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
-    for at, (name, apply) in enumerate(STAGES):
-        docs = apply(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            docs = stage(docs, "pipeline-" + name.replace(" ", "-"))
-    return docs
+    docs, held = table(spark, sf_dir, "documents").select(*COLUMNS), None
+    for name, apply in STAGES[:-1]:
+        path = new_path(spark, "pipeline-" + name.replace(" ", "-"))
+        with staging_scope(spark):  # what the stage wrote for itself goes once its result is written
+            result = apply(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if held is not None:
+            SharedFiles(spark, held).delete_root()
+        held = path
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 #: Learned models and hashed signatures are beyond SQL; tests compare with brute force.
