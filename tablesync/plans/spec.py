@@ -72,6 +72,7 @@ class SyncSpec:
     current_version_params: list[str] | str = field(default_factory=list)
     ct_window: int = -1
     source_partitions_only: bool = False
+    key_slices: int = 0
     zorder_by: list[str] | str = field(default_factory=list)
     database: str = ""
     database_location: str = ""
@@ -119,6 +120,10 @@ class SyncSpec:
             "primary_key goes with change_tracking or custom_ct",
         )
         need(self.custom_ct == bool(self.parent_key), "parent_key goes with custom_ct")
+        need(
+            self.key_slices == 0 or (self.key_slices > 0 and (self.use_merge or tracked)),
+            "key_slices, a positive number, goes with use_merge, change_tracking or custom_ct",
+        )
         need(
             not (self.custom_ct and self.jdbc) or bool(self.changes_query),
             "custom_ct over JDBC needs changes_query",
@@ -265,6 +270,7 @@ _OPTION_FIELDS = {
     "ct_current_version_query": "current_version_query",
     "ct_current_version_params": "current_version_params",
     "ct_window": "ct_window",
+    "key_slices": "key_slices",
     "zorderby_col": "zorder_by",
     "hive_db": "database",
     "hive_db_location": "database_location",
@@ -280,7 +286,7 @@ _FLAG_OPTIONS = {
     "custom_ct",
     "disable_platform_ingested_at",
 }
-_NUMBER_OPTIONS = {"numpart", "ct_window"}
+_NUMBER_OPTIONS = {"numpart", "ct_window", "key_slices"}
 # Settings of the launcher rather than of the data work.
 _IGNORED_OPTIONS = {"generate_column", "log_lvl", "log_spark_lvl"}
 

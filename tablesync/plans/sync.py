@@ -191,7 +191,7 @@ def plain_sync(
         keys = [clean_name(key) for key in spec.merge_keys]
         return target.upsert(
             rows, keys, spec.layout, source_partitions_only=spec.source_partitions_only,
-            stage_source=False,
+            stage_source=False, slices=spec.key_slices,
         )
     return target.write(rows, spec.mode, spec.layout, scope)
 
@@ -203,7 +203,10 @@ def incremental_sync(
     versions = plan_versions(target, source, spec.ct_window)
     if versions.last is None:
         rows = shape_rows(source.snapshot(), spec)
-        return target.write(rows, "errorifexists", spec.layout, version=versions.current)
+        by = [clean_name(key) for key in spec.primary_key] if spec.key_slices else []
+        return target.write(
+            rows, "errorifexists", spec.layout, version=versions.current, slice_by=by, slices=spec.key_slices
+        )
     rows = shape_rows(source.changes(versions.last, versions.current), spec)
     rows = stage(rows) if stage_source else rows
     keys = [clean_name(key) for key in spec.primary_key]

@@ -147,11 +147,15 @@ class TargetTable:
         scope: Column | str | None = None,
         version: int | None = None,
         sliced: bool = True,
+        slice_by: Sequence[str] = (),
+        slices: int = 0,
     ) -> Commit | None:
         """Write a frame: append, overwrite (within `scope`), errorifexists or ignore.
 
         A table is created with `partition_by` and, unless it will never be merged into, with
-        slices; later writes follow the table's own layout.
+        slices; later writes follow the table's own layout. With `slice_by`, columns of its merge
+        key, a row's slice is one of `slices` by a hash of those columns, so a merge opens only the
+        slices that its keys fall into.
         Returns None when `ignore` left an existing table alone.
         """
         chosen = mode.lower()
@@ -159,7 +163,7 @@ class TargetTable:
             raise ValueError(f"unknown write mode {mode!r}")
         before = self.ledger.latest()
         if before is None:
-            return self._create(df, partition_by, version, sliced)
+            return self._create(df, partition_by, version, sliced, slice_by, slices)
         require_same_columns(df.columns, before.struct.names)
         if chosen == "ignore":
             return None
@@ -171,8 +175,16 @@ class TargetTable:
         return self._commit(before, "WRITE", set(), new_dirs, version)
 
     def _create(
-        self, df: DataFrame, partition_by: Sequence[str], version: int | None, sliced: bool
+        self,
+        df: DataFrame,
+        partition_by: Sequence[str],
+        version: int | None,
+        sliced: bool,
+        slice_by: Sequence[str] = (),
+        slices: int = 0,
     ) -> Commit:
+        if bool(slice_by) != (slices > 0) or (slice_by and not sliced):
+            raise ValueError("slice_by goes with a number of slices, in a sliced table")
         taken = {BATCH, SLICE} & {name.lower() for name in df.columns}
         if taken:
             raise ValueError(f"column names used by the layout: {sorted(taken)}")
@@ -182,6 +194,8 @@ class TargetTable:
             schema=_nullable(df.schema).jsonValue(),
             partition_by=actual_names(partition_by, df.columns),
             sliced=sliced,
+            slice_by=actual_names(slice_by, df.columns),
+            slices=slices,
             dirs=[],
             user_metadata=cursor_text(version),
         )
@@ -222,11 +236,13 @@ class TargetTable:
         version: int | None = None,
         source_partitions_only: bool = False,
         stage_source: bool = True,
+        slices: int = 0,
     ) -> Commit | None:
-        """Update matched rows, insert the others; the first run is a plain write."""
+        """Update matched rows, insert the others; the first run is a plain write, with `slices` by the keys."""
         before = self.ledger.latest()
         if before is None:
-            return self.write(source, "errorifexists", partition_by, version=version)
+            by = list(keys) if slices else []
+            return self.write(source, "errorifexists", partition_by, version=version, slice_by=by, slices=slices)
         require_same_columns(source.columns, before.struct.names)
         return self._merge(
             before, source, keys, "", version, source_partitions_only, stage_source=stage_source
@@ -344,6 +360,7 @@ class TargetTable:
                 column = before.partition_by[-1]
                 named = prefix + column if column in keys else column
                 dirs = self._dirs_of(before, touched_partitions(source, named).toDF(column), column)
+            dirs = self._touched_slices(before, source, keys, prefix, dirs)
             located = _skip_by_bounds(self._scan(before, dirs, with_dir=True), keys, facts)
             matched = stage(_matched_rows(located, source_keys, keys), "matched")
             commit, new_dirs = self._write_merge(
@@ -449,6 +466,17 @@ class TargetTable:
         found = frame.join(values, F.col("value").cast(kind).eqNullSafe(F.col("_touched")), "left_semi")
         return [row["dir"] for row in found.select("dir").collect()]
 
+    def _touched_slices(
+        self, before: Commit, source: DataFrame, keys: Sequence[str], prefix: str, dirs: list[str] | None
+    ) -> list[str] | None:
+        """Of the directories, those of slices that the source's keys fall into, by their names."""
+        if not before.slice_by or not set(before.slice_by) <= set(keys):
+            return dirs
+        named = [quoted(prefix + name).cast(before.struct[name].dataType) for name in before.slice_by]
+        # no more rows than slices
+        touched = {row[0] for row in source.select(_slice_number(named, before.slices).alias("s")).distinct().collect()}
+        return [name for name in (before.dirs if dirs is None else dirs) if before.slice_of(name) in touched]
+
     def _compact(self, commit: Commit, written: Sequence[str]) -> None:
         """Join the small slices of the partitions just written to, where they are many."""
         crowded = self._crowded(commit, commit.dirs, written)
@@ -464,10 +492,15 @@ class TargetTable:
         """The slices of partitions written to that have many of them."""
         if not before.sliced:
             return []
-        touched = {before.partition_of(name) if before.partition_by else "" for name in written}
+        def group(name: str) -> str:
+            """What is joined: a partition's slices, or its directories of one hashed slice."""
+            partition = before.partition_of(name) if before.partition_by else ""
+            return f"{partition}/{before.slice_of(name)}" if before.slice_by else partition
+
+        touched = {group(name) for name in written}
         by_partition: dict[str, list[str]] = {}
         for name in dirs:
-            partition = before.partition_of(name) if before.partition_by else ""
+            partition = group(name)
             if partition in touched:
                 by_partition.setdefault(partition, []).append(name)
         return [names for names in by_partition.values() if len(names) > SMALL_SLICES]
@@ -503,9 +536,12 @@ class TargetTable:
         """
         columns = [quoted(f.name).cast(f.dataType).alias(f.name) for f in before.struct]
         rows = df.select(*columns, *([order] if order else []))
-        if before.partition_by and redistribute:
-            rows = rows.hint("rebalance", *[quoted(name) for name in before.partition_by])
-        if before.sliced:
+        if before.slice_by:
+            rows = rows.withColumn(SLICE, _slice_number([quoted(name) for name in before.slice_by], before.slices))
+        gathered = [*before.partition_by, *([SLICE] if before.slice_by else [])]
+        if gathered and (redistribute or before.slice_by):
+            rows = rows.hint("rebalance", *[quoted(name) for name in gathered])
+        if before.sliced and not before.slice_by:
             number = F.floor(F.spark_partition_id() / TASKS_PER_SLICE).cast("int")
             rows = rows.withColumn(SLICE, number)
         if order:
@@ -602,6 +638,11 @@ def _matched_rows(located: DataFrame, source_keys: DataFrame, keys: Sequence[str
     )
 
 
+def _slice_number(columns: Sequence[Column], slices: int) -> Column:
+    """The slice of a row by its key."""
+    return F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
+
+
 def _same_partitions(before: Commit, written) -> set[str]:
     """Directories of a commit whose last partition value occurs among the written ones."""
     if not before.partition_by:

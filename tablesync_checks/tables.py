@@ -67,6 +67,14 @@ def _unpartitioned_target(spark, sf):
     return table.read()
 
 
+def _key_sliced_target(spark, sf):
+    """An unpartitioned table in slices by key; each merge opens only those it touches."""
+    table = new_table(spark)
+    table.write(read(spark, sf, "orders"), version=1, slice_by=["o_orderkey"], slices=16)
+    table.apply_changes(orders_changes(spark, sf), ["o_orderkey"], version=2)
+    return table.read()
+
+
 def moved_orders(spark, sf) -> DataFrame:
     """All but the low-priority orders, finished: their partition changes."""
     moved = read(spark, sf, "orders").where("o_orderpriority <> '5-LOW'")
@@ -232,6 +240,7 @@ QUERIES = {
     "partitioned_overwrite": _partitioned_overwrite,
     "target_after_commits": _target_after_commits,
     "unpartitioned_target": _unpartitioned_target,
+    "key_sliced_target": _key_sliced_target,
     "upsert_partition_move": _upsert_partition_move,
     "apply_changes_partition_move": _apply_changes_partition_move,
     "parent_child_table": _parent_child_table,
@@ -267,6 +276,7 @@ ORACLE = {
         union all select * from s""",
     "target_after_commits": APPLIED_SQL,
     "unpartitioned_target": APPLIED_SQL,
+    "key_sliced_target": APPLIED_SQL,
     "upsert_partition_move": _MOVED_SQL,
     "apply_changes_partition_move": _MOVED_SQL,
     "parent_child_table": LINES_SQL,

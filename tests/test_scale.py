@@ -219,6 +219,42 @@ def test_a_merge_keeps_the_other_slices_of_a_plain_load(spark, new_dir, monkeypa
     assert len(before) == 4 and len(before & set(target.ledger.latest().dirs)) == 3
 
 
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_a_merge_opens_only_the_slices_of_its_keys(spark, new_dir, partitioned):
+    """The other slices may be absent from storage."""
+    target = TargetTable(spark, new_dir)
+    base = spark.range(2000).selectExpr("id", "id % 2 as p", "cast(0 as int) as v")
+    target.write(base, partition_by=["p"] if partitioned else [], slice_by=["ID"], slices=32)
+    commit = target.ledger.latest()
+    assert {commit.slice_of(name) for name in commit.dirs} == set(range(32))
+    source = spark.sql("select * from values (3, 1, 7), (5, 1, 7), (90000, 0, 7), (null, 0, 8) as t(id, p, v)")
+    touched = {r[0] for r in source.select(table_module._slice_number([F.col("id").cast("bigint")], 32)).collect()}
+    for name in commit.dirs:
+        if commit.slice_of(name) not in touched:
+            SharedFiles(spark, f"{target.root}/{name}").delete_root()
+    target.upsert(source, ["id"])
+    after = target.ledger.latest()
+    left = [name for name in after.dirs if after.slice_of(name) in touched]
+    assert set(after.dirs) - set(left) == {name for name in commit.dirs if commit.slice_of(name) not in touched}
+    found = target._scan(after, left)
+    assert rows(found.where("v > 0").select("id", "v")) == sorted([(3, 7), (5, 7), (90000, 7), (None, 8)], key=repr)
+    for row in found.withColumn("s", table_module._slice_number([F.col("id")], 32)).select("s").distinct().collect():
+        assert row.s in touched
+
+
+def test_hashed_slices_stay_few_over_many_merges(spark, new_dir):
+    spec = SyncSpec(path=new_dir, table="t", use_merge=True, merge_keys="id", key_slices=4, ingestion_time=False)
+    for turn in range(14):
+        run_sync(spark, spec, spark.range(turn * 5, turn * 5 + 60).withColumn("v", F.lit(turn)))
+    target = TargetTable(spark, spec.target_path)
+    commit = target.ledger.latest()
+    assert commit.slice_by == ["id"] and len(commit.dirs) <= 4 * (table_module.SMALL_SLICES + 1)
+    assert target.read().count() == 13 * 5 + 60 and target.read().where("id = 0 and v = 0").count() == 1
+    assert target.read().agg(F.sum("v")).first()[0] == sum(min(i // 5, 13) for i in range(125))
+    with pytest.raises(ValueError):
+        TargetTable(spark, new_dir + "/other").write(spark.range(3), slice_by=["id"])
+
+
 @pytest.mark.parametrize("kind", ["int", "bigint", "double", "decimal(12,2)", "date", "timestamp", "timestamp_ntz", "string", "tinyint"])
 def test_cut_points_split_rows_evenly(spark, kind):
     values = {
