@@ -3,14 +3,16 @@
 Each language has a probability for every piece of a fixed public vocabulary. The likelihood of
 a word is the sum over all its segmentations into pieces, found by the forward algorithm; a
 text is the product of its words. The probabilities come from expectation-maximisation with the
-same sums. Words are scored once for each run of texts, all words of a length together.
+same sums. Words are scored once for each run of texts, all words of a length together; long words, and
+those whose sums are too small for that, are scored one by one with logarithms.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,10 @@ from tablesync.sinks.files import stage
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Training documents of one language, about: more are thinned by a hash of their ids.
 TRAIN_DOCS = 3000
-#: Longest piece that is used, in bytes. All single bytes are in the vocabulary.
-LONGEST = 10
-#: Longer words are cut into words of this many bytes.
-WORD_BYTES = 30
+#: Words of more bytes are scored one by one.
+LONG_WORD = 48
+#: Sums below this are found again with logarithms.
+TINY = 1e-280
 ROUNDS = 3
 UNKNOWN = "und"
 
@@ -42,7 +44,8 @@ class Pieces:
 
     keys: np.ndarray
     languages: list[str]
-    chance: np.ndarray  # pieces x languages
+    longest: int
+    chance: np.ndarray  # pieces x languages, and a last row of zeros
     prior: np.ndarray
 
 
@@ -53,19 +56,24 @@ def _chain(data: np.ndarray, code: np.ndarray) -> np.ndarray:
     return code ^ (code >> np.uint64(29))
 
 
-def vocabulary_keys(path: str) -> np.ndarray:
-    """Hashes of the pieces of up to LONGEST bytes in a file of base64 pieces."""
+#: A piece that can stand in a word: a space at most before it, no other ASCII but small letters.
+_USABLE = re.compile(rb" ?[a-z\x80-\xff]*")
+
+
+def vocabulary_keys(path: str) -> tuple[np.ndarray, int]:
+    """Hashes of the pieces in a file of base64 pieces that can stand in a word, and the longest one's bytes."""
     with open(path, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
+    pieces = [p for p in pieces if p and _USABLE.fullmatch(p)]
     keys = []
-    for length in range(1, LONGEST + 1):
+    for length in sorted({len(p) for p in pieces}):
         same = [p for p in pieces if len(p) == length]
         table = np.frombuffer(b"".join(same), np.uint8).reshape(len(same), length)
         code = np.zeros(len(same), np.uint64)
         for at in range(length):
             code = _chain(table[:, at], code)
         keys.append(code)
-    return np.unique(np.concatenate(keys))
+    return np.unique(np.concatenate(keys)), max(map(len, pieces))
 
 
 def letters(texts: pa.Array) -> pa.Array:
@@ -74,37 +82,32 @@ def letters(texts: pa.Array) -> pa.Array:
     return pc.replace_substring_regex(lowered, _LETTERS, " ")
 
 
-def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where the distinct words stand (start, length), each word's number among them, and owners.
-
-    Words above WORD_BYTES are cut.
-    """
-    start, length, owner = words.start, words.end - words.start, words.owner
-    if len(length) and length.max() > WORD_BYTES:
-        cuts = -(-length // WORD_BYTES)
-        begin = np.arange(cuts.sum()) - np.repeat(np.r_[0, np.cumsum(cuts)[:-1]], cuts)
-        owner, start = np.repeat(owner, cuts), np.repeat(start, cuts) + begin * WORD_BYTES
-        length = np.minimum(np.repeat(length, cuts) - begin * WORD_BYTES, WORD_BYTES)
-        words.start, words.end, words.owner = start, start + length, owner
+def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the distinct words stand (start, length), and each word's number among them."""
     _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    return start[first], length[first], number, owner
+    return words.start[first], (words.end - words.start)[first], number
+
+
+def _numbers(code: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The pieces' numbers by their hashes, len(keys) for none."""
+    at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+    return np.where(keys[at] == code, at, len(keys))
 
 
 class Lattice:
     """The pieces inside all words of one length: `piece[t][k]` numbers the piece of k + 1 bytes
     that ends at byte t (one past the last piece: none). A word is its bytes after a space."""
 
-    def __init__(self, data: np.ndarray, start: np.ndarray, length: int, keys: np.ndarray):
+    def __init__(self, data: np.ndarray, start: np.ndarray, length: int, keys: np.ndarray, longest: int):
         self.size = length + 1
         text = np.full((len(start), self.size), 32, np.uint8)
         text[:, 1:] = data[start[:, None] + np.arange(length)]
         self.piece: list[list[np.ndarray]] = [[] for _ in range(self.size)]
         for begin in range(self.size):
             code = np.zeros(len(start), np.uint64)
-            for end in range(begin, min(begin + LONGEST, self.size)):
+            for end in range(begin, min(begin + longest, self.size)):
                 code = _chain(text[:, end], code)
-                at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
-                self.piece[end].append(np.where(keys[at] == code, at, len(keys)))
+                self.piece[end].append(_numbers(code, keys))
         for end in range(self.size):
             self.piece[end].reverse()  # appended from the longest to the shortest
 
@@ -119,7 +122,7 @@ class Lattice:
         """Expected counts of the pieces (the last row counts none), words weighted by `weight`."""
         ahead = self.forward(chance)
         behind = [np.zeros(0)] * (self.size + 1)
-        behind[self.size] = weight / np.maximum(ahead[self.size], 1e-300)
+        behind[self.size] = np.divide(weight, ahead[self.size], out=np.zeros_like(weight), where=ahead[self.size] > 0)
         counts = np.zeros_like(chance)
         for end in range(self.size - 1, -1, -1):
             after = behind[end + 1]
@@ -133,14 +136,88 @@ class Lattice:
         return counts
 
 
-def _lattices(data: np.ndarray, start: np.ndarray, length: np.ndarray, keys: np.ndarray, languages: int):
-    """Numbers of words of equal length, a bounded number at a time, with their lattice."""
-    most = max(1000, 200_000 // max(4, languages))
-    for size in np.unique(length):
+class LongWord:
+    """The same sums for one word of any length, as logarithms: `piece[t, k]` numbers the piece of k + 1
+    bytes that ends at byte t."""
+
+    def __init__(self, word: bytes, keys: np.ndarray, longest: int):
+        text = np.frombuffer(b" " + word, np.uint8)
+        self.size = len(text)
+        self.piece = np.full((self.size, min(longest, self.size)), len(keys))
+        code = np.zeros(self.size, np.uint64)
+        for k in range(self.piece.shape[1]):
+            code = _chain(text[k:], code[: self.size - k])
+            self.piece[k:, k] = _numbers(code, keys)
+
+    def forward(self, logs: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums over all segmentations of the first t bytes."""
+        sums = np.zeros((self.size + 1, logs.shape[1]))
+        for end in range(self.size):
+            width = min(end + 1, self.piece.shape[1])
+            sums[end + 1] = np.logaddexp.reduce(sums[end - width + 1 : end + 1] + logs[self.piece[end, :width][::-1]])
+        return sums
+
+    def expected(self, logs: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Expected counts of the pieces, the word weighted by language."""
+        ahead = self.forward(logs)
+        behind = np.full_like(ahead, -np.inf)
+        behind[self.size] = 0
+        counts = np.zeros_like(logs)
+        for end in range(self.size - 1, -1, -1):
+            width = min(end + 1, self.piece.shape[1])
+            pieces = self.piece[end, :width]
+            share = logs[pieces] + behind[end + 1]
+            begin = end - np.arange(width)
+            with np.errstate(invalid="ignore"):
+                behind[begin] = np.logaddexp(behind[begin], share)
+                np.add.at(counts, pieces, weight * np.exp(ahead[begin] + share - ahead[self.size]))
+        return counts
+
+
+def _lattices(data: np.ndarray, start: np.ndarray, length: np.ndarray, pieces: Pieces):
+    """Numbers of words of equal length, up to LONG_WORD, a bounded number at a time, with their lattice."""
+    most = max(1000, 200_000 // max(4, len(pieces.languages)))
+    for size in np.unique(length[length <= LONG_WORD]):
         same = np.flatnonzero(length == size)
         for part in range(0, len(same), most):
             chosen = same[part : part + most]
-            yield chosen, Lattice(data, start[chosen], int(size), keys)
+            yield chosen, Lattice(data, start[chosen], int(size), pieces.keys, pieces.longest)
+
+
+def _logs(chance: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(chance)
+
+
+def log_likelihoods(data: np.ndarray, start: np.ndarray, length: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """For each word the logarithm of its likelihood in each language."""
+    logs = np.zeros((len(start), len(pieces.languages)))
+    alone = length > LONG_WORD
+    for chosen, lattice in _lattices(data, start, length, pieces):
+        total = lattice.forward(pieces.chance)[-1]
+        tiny = (total < TINY).any(axis=1)
+        alone[chosen[tiny]] = True
+        logs[chosen] = np.log(np.maximum(total, TINY))
+    table = _logs(pieces.chance) if alone.any() else None
+    for word in np.flatnonzero(alone):
+        spelled = data[start[word] : start[word] + length[word]].tobytes()
+        logs[word] = LongWord(spelled, pieces.keys, pieces.longest).forward(table)[-1]
+    return logs
+
+
+def expected_counts(data: np.ndarray, start: np.ndarray, length: np.ndarray, weight: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Expected counts of the pieces in words weighted by language."""
+    counts = np.zeros_like(pieces.chance)
+    alone = length > LONG_WORD
+    for chosen, lattice in _lattices(data, start, length, pieces):
+        tiny = ((lattice.forward(pieces.chance)[-1] < TINY) & (weight[chosen] > 0)).any(axis=1) if lattice.size > 16 else np.zeros(len(chosen), bool)
+        alone[chosen[tiny]] = True
+        counts += lattice.expected(pieces.chance, np.where(tiny[:, None], 0, weight[chosen]))
+    table = _logs(pieces.chance) if alone.any() else None
+    for word in np.flatnonzero(alone):
+        spelled = data[start[word] : start[word] + length[word]].tobytes()
+        counts += LongWord(spelled, pieces.keys, pieces.longest).expected(table, weight[word])
+    return counts
 
 
 def learn(train: DataFrame, vocabulary: str) -> Pieces:
@@ -150,11 +227,11 @@ def learn(train: DataFrame, vocabulary: str) -> Pieces:
     rest would not change a table of this size. The driver holds one number for each piece and
     language.
     """
-    keys = vocabulary_keys(vocabulary)
+    keys, longest = vocabulary_keys(vocabulary)
     sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     prior = np.array([sizes[x] for x in languages], np.float64)
-    model = Pieces(keys, languages, np.zeros((len(keys) + 1, len(languages))), np.log(prior / max(prior.sum(), 1)))
+    model = Pieces(keys, languages, longest, np.zeros((len(keys) + 1, len(languages))), np.log(prior / max(prior.sum(), 1)))
     if not languages:
         return model
     shares = [(x, TRAIN_DOCS / sizes[x]) for x in languages if sizes[x] > TRAIN_DOCS]
@@ -169,7 +246,8 @@ def learn(train: DataFrame, vocabulary: str) -> Pieces:
             for part in byte_slices(batch, "text"):
                 lang = np.array([index[x] for x in part.column("lang").to_pylist()])
                 words = Words(letters(part.column("text")))
-                start, length, number, owner = _distinct(words)
+                start, length, number = _distinct(words)
+                owner = words.owner
                 pair, count = np.unique(number * len(index) + lang[owner], return_counts=True)
                 word = pair // len(index)
                 spelling = [bytes(words.data[s : s + n]) for s, n in zip(start[word], length[word], strict=True)]
@@ -183,20 +261,20 @@ def learn(train: DataFrame, vocabulary: str) -> Pieces:
     chance = np.full((len(keys) + 1, len(languages)), 1.0 / len(keys))
     chance[-1] = 0
     for _ in range(ROUNDS):
-        shared = train.sparkSession.sparkContext.broadcast(chance)
+        shared = train.sparkSession.sparkContext.broadcast(replace(model, chance=chance))
 
         def expected(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            table, total = shared.value, np.zeros_like(shared.value)
+            known = shared.value
+            total = np.zeros_like(known.chance)
             for batch in batches:
                 body = batch.column("word")
                 spelling = body.to_pylist()
                 length = np.array([len(w) for w in spelling])
                 data = np.frombuffer(b"".join(spelling), np.uint8)
                 start = np.cumsum(length) - length
-                weight = np.zeros((len(spelling), table.shape[1]))
+                weight = np.zeros((len(spelling), len(known.languages)))
                 weight[np.arange(len(spelling)), batch.column("language").to_numpy()] = batch.column("n").to_numpy()
-                for chosen, lattice in _lattices(data, start, length, keys, table.shape[1]):
-                    total += lattice.expected(table, weight[chosen])
+                total += expected_counts(data, start, length, weight, known)
             piece, language = np.nonzero(total[:-1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece), pa.array(language), pa.array(total[piece, language])], ["piece", "language", "count"]
@@ -231,15 +309,14 @@ def identify(docs: DataFrame, model: Pieces) -> DataFrame:
                 words = Words(letters(part.column("text")))
                 best = np.full(part.num_rows, len(known.languages))
                 score = np.zeros(part.num_rows)
-                start, length, number, owner = _distinct(words)
+                start, length, number = _distinct(words)
+                lettered = pc.fill_null(pc.match_substring_regex(part.column("text"), r"\p{L}"), False)
                 if known.languages and len(start):
-                    logs = np.empty((len(start), len(known.languages)))
-                    for chosen, lattice in _lattices(words.data, start, length, known.keys, len(known.languages)):
-                        logs[chosen] = np.log(np.maximum(lattice.forward(known.chance)[-1], 1e-300))
-                    counts = np.bincount(owner, minlength=part.num_rows)
-                    some = counts > 0
+                    logs = log_likelihoods(words.data, start, length, known)
+                    counts = np.bincount(words.owner, minlength=part.num_rows)
+                    some = (counts > 0) & lettered.to_numpy(zero_copy_only=False)
                     total = np.stack(
-                        [np.bincount(owner, column[number], part.num_rows) for column in logs.T], axis=1
+                        [np.bincount(words.owner, column[number], part.num_rows) for column in logs.T], axis=1
                     )[some] / np.sqrt(counts[some])[:, None] + known.prior
                     odds = np.exp(total - total.max(axis=1, keepdims=True))
                     best[some] = total.argmax(axis=1)
