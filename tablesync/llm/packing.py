@@ -50,10 +50,15 @@ _RULE = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
 _SAME = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
+def byte_alphabet() -> dict[str, int]:
+    """The characters that spell bytes in a byte-level vocabulary, with their bytes."""
+    others = [b for b in range(256) if b not in _SAME]
+    return {chr(b): b for b in _SAME} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 def byte_pieces(vocabulary: dict[str, int]) -> dict[bytes, int]:
     """The pieces of a byte-level vocabulary as bytes; special tokens are left out."""
-    others = [b for b in range(256) if b not in _SAME]
-    number = {chr(b): b for b in _SAME} | {chr(256 + i): b for i, b in enumerate(others)}
+    number = byte_alphabet()
     return {bytes(map(number.__getitem__, t)): i for t, i in vocabulary.items() if all(c in number for c in t)}
 
 
@@ -65,11 +70,12 @@ def strung_encoder(tokenizer) -> tiktoken.Encoding | None:
         return None
     if model.get("ignore_merges") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
         return None
-    vocabulary = model["vocab"]
-    merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
-    made = [vocabulary.get(m.replace(" ", "")) for m in merges]
-    if None in made or any(a >= b for a, b in zip(made, made[1:], strict=False)):
-        return None
+    vocabulary, last = model["vocab"], -1
+    for merge in model["merges"]:
+        made = vocabulary.get(merge.replace(" ", "") if isinstance(merge, str) else "".join(merge), -1)
+        if made <= last:
+            return None
+        last = made
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     pieces = byte_pieces({t: i for t, i in vocabulary.items() if t not in special})
     return tiktoken.Encoding("words", pat_str=_CUT, mergeable_ranks=pieces, special_tokens={})

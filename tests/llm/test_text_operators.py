@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import SCHEMA, awkward, empty, lower, words  # noqa: E402
 
-from tablesync.llm import minhash  # noqa: E402
+from tablesync.llm import minhash, packing, sharding  # noqa: E402
 from tablesync.llm.common import Words, byte_slices, mix64  # noqa: E402
 from tablesync.llm.exact_dedup import chunks, exact_duplicates  # noqa: E402
 from tablesync.llm.minhash import components, near_duplicates, super_min_hash  # noqa: E402
@@ -147,6 +147,38 @@ def test_a_hot_group_is_cut(spark):
     assert len(total) == 6 and total.max() / total.min() < 1.1
 
 
+@pytest.mark.parametrize("number", ["null", "7L"])
+def test_equal_rows_without_a_number_of_their_own_are_cut(spark, number):
+    df = spark.range(4400).selectExpr(f"if(id < 4000, {number}, id) as doc_id", "if(id < 4000, 'copied', concat('own text ', id)) as text")
+    found = kd_shards(df, shards=8).toPandas()
+    total = found.groupby("shard")["size"].sum()
+    assert len(total) == 8 and total.max() / total.mean() < 1.03 and total.min() / total.mean() > 0.97
+    for _, own in found.groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+
+
+def test_cuts_equal_plain_weighted_medians(spark):
+    """Each inner node against a plain walk over its rows: the widest dimension is cut next to the median."""
+    df = spark.range(3000).selectExpr("id as doc_id", "repeat(concat('x', id % 97, '\\n'), 1 + cast(id % 23 as int)) as text")
+    meta = sharding.stage(sharding.metadata(df), "test-metadata")
+    rows, tree = meta.toPandas(), sharding.build_tree(meta, 6)
+    extent = {d: rows[d].max() - rows[d].min() for d in sharding.DIMENSIONS}
+
+    def walk(node, own):
+        if node.left is None:
+            return
+        widest = max((own[d].max() - own[d].min()) / extent[d] for d in sharding.DIMENSIONS)
+        assert (own[node.dimension].max() - own[node.dimension].min()) / extent[node.dimension] == widest
+        goes = (own[node.dimension] < node.cut) | ((own[node.dimension] == node.cut) & (own.row_hash <= node.row_cut))
+        goal = own["size"].sum() * (node.leaves // 2) / node.leaves
+        group = own.groupby(node.dimension)["size"].sum().max()
+        assert abs(own["size"][goes].sum() - goal) <= max(group, 0.02 * own["size"].sum() / node.leaves)
+        walk(node.left, own[goes])
+        walk(node.right, own[~goes])
+
+    walk(tree, rows)
+
+
 def test_shards_of_awkward_rows(spark):
     df = awkward(spark, "shard slot size")
     found = kd_shards(df, shards=3).collect()
@@ -187,6 +219,22 @@ def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("order, strung", [([("a", "b"), ("b", "c")], True), ([("b", "c"), ("a", "b")], False)])
+def test_merges_out_of_the_order_of_ids_are_noticed(order, strung):
+    """With merges in another order than the ids of what they make, ranks would give other ids."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = [*packing.byte_alphabet(), "ab", "bc"]
+    model = models.BPE(vocab={t: i for i, t in enumerate(letters)}, merges=order)
+    known = Tokenizer(model)
+    known.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    found = packing.strung_encoder(known)
+    assert (found is not None) == strung
+    if strung:
+        for text in ("abc", " bcab ab", "cabbc"):
+            assert found.encode_ordinary(text) == known.encode(text, add_special_tokens=False).ids
+
+
 def test_best_fit_fills_bins():
     lengths = random.Random(5).choices(range(1, 100), k=500)
     bins = best_fit(lengths, 100)
