@@ -29,7 +29,8 @@ _HASHES = 2**40
 
 
 def metadata(docs: DataFrame) -> DataFrame:
-    """Size, checksum and split keys of each document, without its text.
+    """Size, checksum and split keys of each document, without its text, and a number of the row that
+    tells rows apart that are equal in all else; it is fixed once the result is staged.
 
     The dimensions are facts of the text, so equal texts have equal keys and stay neighbours:
     length, share of multi-byte characters, line breaks, and the checksum. Each key has the
@@ -49,12 +50,13 @@ def metadata(docs: DataFrame) -> DataFrame:
         scaled(F.log2(lines + F.lit(1.0)) / 32),
         F.shiftright(crc, 2),
     ]
-    return docs.select(
+    return docs.withColumn("row", F.monotonically_increasing_id()).select(
         "doc_id",
+        "row",
         (length + 16).cast("bigint").alias("size"),
         crc.alias("text_crc32"),
         *((d * F.lit(2**32) + crc).alias(f"k{i}") for i, d in enumerate(dimensions)),
-        F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES)).alias("row_hash"),
+        F.pmod(F.xxhash64("doc_id", "row"), F.lit(_HASHES)).alias("row_hash"),
     )
 
 
@@ -224,16 +226,16 @@ def number_rows(rows: DataFrame, parts: int) -> DataFrame:
     Rows are numbered inside `parts` hashed parts of a shard; the parts' sizes, added up, give
     the number at which each part begins. No task holds a whole shard.
     """
-    parted = rows.withColumn("_part", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(parts)))
+    parted = rows.withColumn("_part", F.pmod(F.xxhash64("row"), F.lit(parts)))
     counts = parted.groupBy("shard", "_part").agg(F.count("*").alias("_rows"))
     begins = counts.selectExpr(
         "shard", "_part",
         "sum(_rows) over (partition by shard order by _part rows between unbounded preceding and 1 preceding) as _begin",
     )
-    inside = parted.selectExpr("*", "row_number() over (partition by shard, _part order by doc_id, text_crc32, size) - 1 as _at")
+    inside = parted.selectExpr("*", "row_number() over (partition by shard, _part order by doc_id, text_crc32, size, row) - 1 as _at")
     return inside.join(begins, ["shard", "_part"]).withColumn(
         "slot", F.coalesce("_begin", F.lit(0)) + F.col("_at")
-    ).drop("_part", "_begin", "_at")
+    ).drop("row", "_part", "_begin", "_at")
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
@@ -242,8 +244,8 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     Give the number of shards, or the bytes a shard is to hold (a size is the text's UTF-8
     bytes plus 16; null texts have none). Shards differ by the size of a document or by
     GROUP_SHARE per level, whichever is more; equal texts share a shard unless their group is
-    larger than that, then it is cut by a hash of doc_id. Rows that are equal in all columns
-    can't be told apart and stay together. Null doc_ids are ordinary values. An empty table
+    larger than that, then it is cut by a hash of doc_id and the row's number, so null and repeated
+    doc_ids are cut as well. An empty table
     gives an empty table.
     """
     if (shards is None) == (target_bytes is None):
@@ -253,6 +255,6 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     if shards is None:
         shards = max(1, -(-(totals["bytes"] or 0) // target_bytes))
     tree = build_tree(meta, shards)
-    sharded = meta.select("doc_id", "size", "text_crc32", tree.leaf().alias("shard"))
+    sharded = meta.select("doc_id", "row", "size", "text_crc32", tree.leaf().alias("shard"))
     parts = 8 + totals["rows"] // (shards * ROWS_PER_PART)
     return number_rows(sharded, parts)
