@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import map_arrow
@@ -223,8 +223,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], ["query_id", "vec_id", "score"])
 
     found = map_arrow(units, searched, "query_id bigint, vec_id bigint, score bigint")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("down"), "vec_id"))), 1, k)
-    ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best"))
-    return ranked.select(
-        "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.vec_id").alias("vec_id"), (-F.col("col.down")).alias("score")
-    )
+    # the best of each task are kept before they meet, so no query's answers of all groups come to one task
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
