@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
@@ -63,11 +64,23 @@ def map_arrow(
     names = df.columns
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return function(batch.rename_columns(names) for batch in batches)
+        try:
+            yield from function(batch.rename_columns(names) for batch in batches)
+        finally:
+            release_memory()
 
     return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
 
 
+def release_memory() -> None:
+    """Hand memory that a task no longer uses back to the system: workers stay for further tasks, of
+    other operators too, and an idle one should not keep the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with up to `limit` bytes of text; a longer text stands alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
