@@ -44,7 +44,7 @@ GIVEN_NAMES = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Señor": "m", "Señora": "f", "Dr": "", "Prof": ""}
 # Vowels and consonants of the scripts whose letters are replaced.
-ALPHABETS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "0123456789", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αειουω", "βγδζθκλμνξπρστφχψ"]
+ALPHABETS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "0123456789", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αειουω", "βγδζθκλμνξπρστφχψ", "àáâäãåèéêëìíîïòóôöõøùúûü", "çčćďľłńñřšśťýžźż", "ёіїє", "άέήίόύώ"]
 
 _CLASS = {c: a for a in ALPHABETS for c in a} | {c.upper(): a.upper() for a in ALPHABETS for c in a}
 _NAMES = {name: (names.split(), group) for group, names in GIVEN_NAMES.items() for name in names.split()}
@@ -57,7 +57,7 @@ PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])", re.ASCII),
     "secret": re.compile(r"""(?i:\b(?:token|secret|password|api[_-]?key|access[_-]?key)\b["']?\s*[:=]\s*["']?)([A-Za-z0-9+/_=-]{16,})"""),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)", re.ASCII),
-    "phone": re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)", re.ASCII),
+    "phone": re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w(.+-])\d{3}([.-])\d{3}\1\d{4}(?![\w-])", re.ASCII),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII),
     "card": re.compile(r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])", re.ASCII),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?!\w)", re.ASCII),
@@ -181,10 +181,12 @@ def _address(text: str, key: bytes) -> str:
 
 def surrogate(kind: str, canon: str, secret: str, attempt: int = 0) -> str:
     """The replacement of a canonical form; a bijection on each shape for a fixed attempt."""
-    key = hashlib.blake2b(f"{kind}:{attempt}".encode(), key=secret.encode()[:64], digest_size=32).digest()
-    if kind == "given":
-        names, group = _NAMES[canon]
-        return names[_permute(names.index(canon), len(names), key)]
+    whole = hashlib.blake2b(secret.encode()).digest()
+    key = hashlib.blake2b(f"{kind}:{attempt}".encode(), key=whole, digest_size=32).digest()
+    if kind == "given":  # the next name around a keyed circle of all, so none is its own
+        names, _ = _NAMES[canon]
+        circle = sorted(names, key=lambda name: hashlib.blake2b(name.encode(), key=key, digest_size=16).digest())
+        return circle[(circle.index(canon) + 1) % len(circle)]
     if kind == "ip":
         return _address(canon, key)
     if kind == "card":
@@ -336,7 +338,10 @@ def replace_personal_data(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     Types: mailbox and domain of an e-mail address (its ending stays), secret, ip (of the same
     block), phone (its country code stays), ssn, card (valid check digits stay valid), iban,
-    given and family names. Texts without entities, null texts among them, stay as they are.
+    given and family names. Not looked for: a given name alone ("Henry met her"), family names after
+    neither a title nor a listed given name, and addresses of houses. A given name's surrogate is another
+    name of its script and gender; a family name keeps its letters' kinds, not an ending that tells
+    a gender. Texts without entities, null texts among them, stay as they are.
     The same entity has the same surrogate in every row, so repeated rows stay equal. An empty
     table gives an empty table.
     """

@@ -6,10 +6,12 @@ import re
 import sys
 import zlib
 from collections import Counter
+from fractions import Fraction
 from pathlib import Path
 
 import __spark_entry__ as entry
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from oracle import compare, connect
@@ -32,7 +34,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_operators_are_registered():
     numbers = Counter(re.match(r"op(\d+)_", n)[1] for n in entry.queries() if re.match(r"op\d+_", n))
-    assert numbers == Counter(str(n) for n in range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == Counter(str(n) for n in range(1, 14)) and "pipeline" in entry.queries()
 
 
 # scores --------------------------------------------------------------------------------------
@@ -182,9 +184,55 @@ def test_collisions_go_on_until_none_is_left(spark):
     assert max(attempts.values()) > surrogates.ROUNDS
 
 
+@pytest.mark.parametrize("key", [f"key {i}" for i in range(10)])
+def test_every_given_name_is_replaced(key):
+    for names, group in {tuple(n): g for n, g in surrogates._NAMES.values()}.items():
+        for attempt in (0, 1, 7):
+            new = [surrogates.surrogate("given", name, key, attempt) for name in names]
+            assert sorted(new) == sorted(names), group
+            assert all(a != b for a, b in zip(names, new, strict=True))
+
+
+def test_the_whole_key_counts():
+    long = "k" * 64
+    new = {surrogates.surrogate("family", "Smithson", long + end) for end in ("", "a", "b")}
+    assert len(new) == 3
+
+
+def test_collision_rounds_equal_a_plain_loop(spark):
+    """Three-letter families of which many are surrogates of each other."""
+    names = ["Bab", "Beb", "Cac", "Dod", "Fif", "Gug", "Hah", "Jej", "Kok", "Lal", "Mim", "Non", "Pup", "Qaq", "Rer"]
+    names += [a + b + c for a in "BCD" for b in "aeiou" for c in "fghjk"]
+    names = sorted(set(names))
+    docs = spark.createDataFrame([(i, f"Mr {n} came.") for i, n in enumerate(names)], "doc_id bigint, text string")
+    found = {r.canon: r.attempt for r in surrogates.later_surrogates(docs, "plain").collect() if r.type == "family"}
+    waiting, settled, attempt = set(names), {}, 0
+    while waiting and attempt < surrogates.ROUNDS:
+        wanted = {}
+        for name in sorted(waiting):
+            new = surrogates.surrogate("family", name, "plain", attempt)
+            if new not in names and new not in settled.values() and new not in wanted:
+                wanted[new] = name
+        for new, name in wanted.items():
+            settled[name] = new
+            if attempt:
+                assert found[name] == attempt
+            else:
+                assert name not in found
+        waiting -= set(wanted.values())
+        attempt += 1
+    assert not waiting
+
+
+def test_accented_letters_and_plain_phone_numbers():
+    assert surrogates.surrogate("family", "Éé", "k") != "Éé"
+    found = surrogates.entities("call 555-123-4567 or (555) 123-4567, not 5555-123-4567")
+    assert [e[2] for e in found] == ["phone", "phone"]
+
+
 @pytest.mark.parametrize(
     "kind, canon, size",
-    [("domain", "b1", 210), ("ssn", "123456789", 10**9), ("ip", "192.168.1.2", 2**16), ("mailbox", "a1@b.org", 50), ("card", "4111111111111111", 10**15), ("phone", "490305550199", 10**10), ("iban", "DE89", 100), ("family", "Óé", 1)],
+    [("domain", "b1", 210), ("ssn", "123456789", 10**9), ("ip", "192.168.1.2", 2**16), ("mailbox", "a1@b.org", 50), ("card", "4111111111111111", 10**15), ("phone", "490305550199", 10**10), ("iban", "DE89", 100), ("family", "Óé", 24 * 24), ("family", "Ææ", 1)],
 )
 def test_rooms_of_surrogates(kind, canon, size):
     assert surrogates._room(kind, canon)[1] == size
@@ -339,7 +387,7 @@ def test_forward_sums_all_segmentations():
         return 1.0 if not text else sum(chance.get(text[:n], 0) * total(text[n:]) for n in range(1, len(text) + 1))
 
     data = np.frombuffer(b"abba", np.uint8)
-    lattice = langid.Lattice(data, np.array([0]), 4, keys)
+    lattice = langid.Lattice(data, np.array([0]), 4, keys, 3)
     assert math.isclose(lattice.forward(table)[-1][0, 0], total(b" abba"), rel_tol=1e-12)
     counts = lattice.expected(table, np.array([[2.0]]))
     length = {int(_key(p)): len(p) for p in pieces}
@@ -353,6 +401,76 @@ def _key(piece):
     return code[0]
 
 
+def _random_pieces(seed):
+    pick = random.Random(seed)
+    spelled = [bytes([b]) for b in b" abc"] + ["".join(pick.choices("abc", k=n)).encode() for n in (2, 3, 5, 8, 11) for _ in range(4)]
+    spelled = sorted({*spelled, b" a", b" bca", b" abcabcabcabc"}, key=_key)
+    table = np.array([[pick.random() ** 4 * 1e-3 for _ in range(2)] for _ in spelled] + [[0, 0]])
+    keys = np.array([_key(p) for p in spelled], np.uint64)
+    pieces = langid.Pieces(keys, ["x", "y"], 13, table, np.zeros(2))
+    return pieces, dict(zip(spelled, table, strict=False)), pick
+
+
+def _log_sum(text, chance):
+    """The logarithm of the sum over all segmentations, in exact fractions."""
+    sums = [Fraction(1)]
+    for end in range(1, len(text) + 1):
+        sums.append(sum(sums[begin] * Fraction(chance[text[begin:end]]) for begin in range(max(0, end - 13), end) if text[begin:end] in chance))
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
+@pytest.mark.parametrize("size", [1, 20, 48, 49, 200])
+def test_words_of_any_length_are_summed_whole(size):
+    pieces, chance, pick = _random_pieces(size)
+    word = "".join(pick.choices("abc", k=size)).encode()
+    data = np.frombuffer(word, np.uint8)
+    logs = langid.log_likelihoods(data, np.array([0]), np.array([size]), pieces)
+    expected = [_log_sum(b" " + word, {p: c[i] for p, c in chance.items()}) for i in range(2)]
+    assert np.allclose(logs[0], expected, rtol=1e-9)
+    assert size < 200 or expected[0] < math.log(5e-324)  # below any floating-point number
+    weight = np.array([[2.0, 3.0]])
+    counts = langid.expected_counts(data, np.array([0]), np.array([size]), weight, pieces)
+    alone = langid.LongWord(word, pieces.keys, pieces.longest).expected(langid._logs(pieces.chance), weight[0])
+    assert np.allclose(counts, alone, rtol=1e-8)
+    lengths = np.array([len(p) for p in chance])
+    assert np.allclose((counts[:-1] * lengths[:, None]).sum(axis=0), weight[0] * (size + 1))
+
+
+def test_predictions_equal_plain_ones(spark, table):
+    """Posteriors of whole texts from the learned table, word by word in plain Python."""
+    docs = table("documents").where("doc_id < 40")
+    train = table("documents").where("lang is not null and text is not null and doc_id % 4 = 1")
+    model = langid.learn(train.select("doc_id", "text", "lang"), str(public_tokenizers.path(langid.VOCABULARY)))
+    rows = langid.identify(docs.select("doc_id", "text"), model).collect()
+    place = {int(k): i for i, k in enumerate(model.keys)}
+    for row in rows[:12]:
+        lowered = re.sub(r"[^\w]|[\d_]", " ", (row.text or "").lower())
+        total = np.zeros(len(model.languages))
+        found = lowered.split()
+        if len(found) > 300 or not all(c.isascii() for c in lowered):
+            continue
+        for word in found:
+            spelled = b" " + word.encode()
+            sums = [np.ones(len(model.languages))]
+            for end in range(1, len(spelled) + 1):
+                numbers = [(b, place.get(int(_key(spelled[b:end])))) for b in range(max(0, end - model.longest), end)]
+                sums.append(sum(sums[b] * model.chance[n] for b, n in numbers if n is not None))
+            total += np.log(sums[-1])
+        if not found:
+            assert row.lang_pred == "und"
+            continue
+        total = total / math.sqrt(len(found)) + model.prior
+        odds = np.exp(total - total.max())
+        assert row.lang_pred == model.languages[int(total.argmax())]
+        assert math.isclose(row.score, odds.max() / odds.sum(), rel_tol=1e-6)
+
+
+def test_all_usable_pieces_are_known():
+    keys, longest = langid.vocabulary_keys(str(public_tokenizers.path(langid.VOCABULARY)))
+    for piece in (" everything", " government", " a", "a", "ing"):
+        assert _key(piece.encode()) in keys and len(piece) <= longest
+
+
 def test_held_out_languages(spark, table):
     docs = table("documents")
     found = langid.predict_languages(docs).where("held_out and lang is not null")
@@ -377,7 +495,7 @@ def test_languages_of_awkward_rows(spark):
     rows = found.collect()
     assert len(rows) == df.count()
     for r in rows:
-        lettered = any(c.isalpha() for c in r.text or "")
+        lettered = any(c.isalpha() for c in r.text or "")  # combining marks are no letters
         assert (r.lang_pred != "und") == lettered and 0 <= r.score <= 1 and (lettered or r.score == 0)
     assert langid.predict_languages(empty(spark)).count() == 0
     unlabelled = langid.predict_languages(df.withColumn("lang", F.lit(None).cast("string")))
