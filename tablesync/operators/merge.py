@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType, VariantType
 
 from tablesync.operators import predicates
 from tablesync.operators.predicates import (
@@ -137,8 +137,7 @@ def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
     """Rows, highest count of a non-NULL key, size of keys and rows, bounds of the keys and, for change
     rows, the number of rows per operation, in one aggregation.
 
-    The per-key facts are combined before the shuffle. Sizes are those of the values as text, and 16
-    bytes for each.
+    The per-key facts are combined before the shuffle. Sizes are those of `value_bytes`.
     """
     operations = ("I", "U", "D") if CHANGE_OP in source.columns else ()
     names = [quoted(key) for key in keys]
@@ -147,13 +146,13 @@ def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
         any_null = any_null | name.isNull()
     per_key = source.groupBy(names).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(_text_bytes(source.columns)).alias("_row_bytes"),
+        F.sum(value_bytes(source.schema)).alias("_row_bytes"),
         *[F.count_if(F.col(CHANGE_OP) == op).alias(f"_n_{op}") for op in operations],
     )
     row = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.max(F.when(~any_null, F.col("_n"))), F.lit(0)).alias("max_per_key"),
-        F.coalesce(F.sum(_text_bytes(keys) * F.col("_n")), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.sum(value_bytes(source.select(names).schema) * F.col("_n")), F.lit(0)).alias("key_bytes"),
         F.coalesce(F.sum("_row_bytes"), F.lit(0)).alias("row_bytes"),
         *[F.coalesce(F.sum(f"_n_{op}"), F.lit(0)).alias(f"_n_{op}") for op in operations],
         *[F.min(name).alias(f"_low_{i}") for i, name in enumerate(names)],
@@ -170,11 +169,19 @@ def measure_keys(source: DataFrame, keys: Sequence[str]) -> SourceKeys:
     )
 
 
-def _text_bytes(columns: Sequence[str]) -> Column:
-    """About the size of some values of a row."""
+def value_bytes(schema: StructType) -> Column:
+    """About the size of the values of a row in memory: 16 bytes for each, and 8 for what has a fixed
+    width or else its length, as text if it is nested."""
     width = F.lit(0).cast("long")
-    for name in columns:
-        width = width + F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0)) + 16
+    for field in schema:
+        kind, value = field.dataType, quoted(field.name)
+        if isinstance(kind, (StringType, BinaryType)):
+            size = F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            size = F.coalesce(F.octet_length(value.cast("string")), F.lit(0))
+        else:
+            size = F.lit(8)
+        width = width + size + 16
     return width
 
 

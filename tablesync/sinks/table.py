@@ -15,6 +15,7 @@ and joins a partition's small slices once there are many, so directories do not
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Sequence
 from dataclasses import replace
 from urllib.parse import unquote
@@ -27,6 +28,7 @@ from pyspark.sql.types import (
     DecimalType,
     IntegerType,
     IntegralType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -56,6 +58,7 @@ from tablesync.operators.shape import actual_names, quoted
 from tablesync.sinks.files import stage, staging_scope
 from tablesync.sinks.ledger import BATCH, OPTIMIZE, SLICE, Commit, Ledger
 
+# Checksum of the path of a row's file; it stands for the directory, whose name is long.
 _DIR = "_dir"
 # Marks of target rows: the parent is deleted, the primary key is written.
 _GONE, _HIT = "_gone", "_hit"
@@ -89,6 +92,7 @@ class TargetTable:
         self.spark = spark
         self.ledger = Ledger(spark, path)
         self.root = self.ledger.files.root
+        self._dirs_by_sum: dict[int, set[str]] = {}
 
     # reading ---------------------------------------------------------------------------
 
@@ -118,11 +122,12 @@ class TargetTable:
     def _scan(
         self, commit: Commit, dirs: Sequence[str] | None, with_dir: bool = False
     ) -> DataFrame:
-        """Rows of some (default: all) directories of a commit, optionally with the directory."""
+        """Rows of some (default: all) directories of a commit, optionally with a number that `_collect_dirs`
+        knows the directory by."""
         wanted = commit.dirs if dirs is None else list(dirs)
         schema = commit.struct
         if not wanted:
-            extra = [StructField(_DIR, StringType())] if with_dir else []
+            extra = [StructField(_DIR, LongType())] if with_dir else []
             return self.spark.createDataFrame([], StructType(schema.fields + extra))
         hidden = [StructField(BATCH, StringType()), StructField(SLICE, IntegerType())]
         full = StructType(schema.fields + hidden[: 2 if commit.sliced else 1])
@@ -133,8 +138,13 @@ class TargetTable:
         )
         columns = [quoted(field.name) for field in schema]
         if with_dir:
-            parent = F.regexp_extract("_metadata.file_path", f"({BATCH}=.*)/[^/]+$", 1)
-            columns.append(parent.alias(_DIR))
+            depth = 2 + len(commit.layout)  # the batch, what is below it, the file
+            for path in rows.inputFiles():
+                inner = path.split("/")[-depth:]
+                names = self._dirs_by_sum.setdefault(zlib.crc32("/".join(inner).encode()), set())
+                names.add(unquote("/".join(inner[:-1])))
+            inner = F.substring_index("_metadata.file_path", "/", -depth)
+            columns.append(F.crc32(inner.cast("binary")).alias(_DIR))
         return rows.select(columns)
 
     # plain writes ----------------------------------------------------------------------
@@ -221,7 +231,7 @@ class TargetTable:
         replaced = _same_partitions(before, new_dirs)
         if scope is not None:
             located = self._scan(before, sorted(replaced), with_dir=True)
-            replaced = self._collect_dirs(located.where(scope))
+            replaced = self._collect_dirs(located.where(scope), before)
             kept = self._scan(before, sorted(replaced)).where(~scope)
             new_dirs += self._put(kept, before, redistribute=False) if replaced else []
         return self._commit(before, "WRITE", replaced, new_dirs, version)
@@ -296,16 +306,29 @@ class TargetTable:
             rest = found.where(F.col(_HIT) & ~F.col(_GONE))
             fresh = sorted(set(after.dirs) - set(before.dirs))
             moved = set(before.dirs) - set(after.dirs)
-            dirs = self._collect_dirs(rest)
+            dirs = self._collect_dirs(rest, before)
             if dirs & moved:
-                again = _matched_rows(self._scan(after, fresh, with_dir=True), writes.sent_keys(), writes.keys)
-                dirs |= self._collect_dirs(again)
+                dirs |= self._followed(after, dirs & moved, fresh, writes)
             commit, new_dirs = self._write_merge(
                 after, writes.source, writes.facts, writes.keys, CHANGE_KEY_PREFIX, dirs - moved, rest, version, {}
             )
         self._compact(commit, new_dirs)
         return commit
 
+    def _followed(self, after: Commit, moved: set[str], fresh: Sequence[str], writes: _Side) -> set[str]:
+        """Of the directories just written, those that took over rows with written keys from `moved` ones.
+
+        Rows stay in their partition. Where that leaves a choice, few keys are looked for again; many are
+        in nearly every directory, and looking for them costs more than writing all of these.
+        """
+        places = {_place(after, name) for name in moved}
+        near = [name for name in fresh if _place(after, name) in places]
+        told = len(near) == len(places) or not writes.facts.few_keys
+        if told and {_place(after, name) for name in near} == places:
+            return set(near)
+        again = _matched_rows(self._scan(after, fresh, with_dir=True), writes.sent_keys(), writes.keys)
+        return self._collect_dirs(again, after)
+
     def _located_by_both(self, before: Commit, parents: _Side, writes: _Side) -> DataFrame:
         """Keys and directory of the target rows whose parent is deleted (`_gone`) or whose primary key is
         written (`_hit`), from one scan of the key columns."""
@@ -317,7 +340,7 @@ class TargetTable:
             inside = inside | _within_bounds(located, side.keys, side.facts)
         located = located.where(inside).select(*names, _DIR)
         for side, mark in sides:
-            marked = side.distinct_keys().withColumn(mark, F.lit(True))
+            marked = (side.all_keys() if side.facts.max_per_key == 1 else side.all_keys().distinct()).withColumn(mark, F.lit(True))
             located = located.join(F.broadcast(marked) if side.facts.few_keys else marked, list(side.keys), "left")
         marks = [
             F.coalesce(F.col(mark), F.lit(False)).alias(mark) if any(mark == m for _, m in sides) else F.lit(False).alias(mark)
@@ -364,7 +387,7 @@ class TargetTable:
             located = _skip_by_bounds(self._scan(before, dirs, with_dir=True), keys, facts)
             matched = stage(_matched_rows(located, source_keys, keys), "matched")
             commit, new_dirs = self._write_merge(
-                before, source, facts, keys, prefix, self._collect_dirs(matched), matched, version, marks
+                before, source, facts, keys, prefix, self._collect_dirs(matched, before), matched, version, marks
             )
         self._compact(commit, new_dirs)
         return commit
@@ -399,7 +422,7 @@ class TargetTable:
         """Remove the rows of deleted parents from the directories that hold any."""
         if not parents.facts.n_rows:
             return self._commit(before, "MERGE", set(), [], version)
-        replaced = self._collect_dirs(found.where(_GONE))
+        replaced = self._collect_dirs(found.where(_GONE), before)
         new_dirs = []
         if replaced:
             kept = delete_keys(self._scan(before, sorted(replaced)), parents.sent_keys(), parents.keys)
@@ -449,9 +472,14 @@ class TargetTable:
 
     # commit machinery ------------------------------------------------------------------
 
-    def _collect_dirs(self, located: DataFrame) -> set[str]:
-        """Distinct directories of some rows; bounded by the directories the commit lists."""
-        return {unquote(row[0]) for row in located.select(_DIR).distinct().collect()}
+    def _collect_dirs(self, located: DataFrame, commit: Commit) -> set[str]:
+        """Distinct directories of some rows of a commit; bounded by its files.
+
+        Files with equal checksums stand for each other's directories, so one that holds none of
+        the rows may be among them; that is rewritten as it is.
+        """
+        found = [self._dirs_by_sum[row[0]] for row in located.select(_DIR).distinct().collect()]
+        return set().union(*found) & set(commit.dirs)
 
     def _dirs_of(self, commit: Commit, touched: DataFrame, column: str) -> list[str]:
         """Directories of a commit whose value of a partition column is touched.
@@ -492,15 +520,10 @@ class TargetTable:
         """The slices of partitions written to that have many of them."""
         if not before.sliced:
             return []
-        def group(name: str) -> str:
-            """What is joined: a partition's slices, or its directories of one hashed slice."""
-            partition = before.partition_of(name) if before.partition_by else ""
-            return f"{partition}/{before.slice_of(name)}" if before.slice_by else partition
-
-        touched = {group(name) for name in written}
+        touched = {_place(before, name) for name in written}
         by_partition: dict[str, list[str]] = {}
         for name in dirs:
-            partition = group(name)
+            partition = _place(before, name)
             if partition in touched:
                 by_partition.setdefault(partition, []).append(name)
         return [names for names in by_partition.values() if len(names) > SMALL_SLICES]
@@ -592,8 +615,8 @@ class _Side:
     def sent_keys(self) -> DataFrame:
         return _merge_keys(self.source, self.prefixed, self.keys, self.facts.few_keys)
 
-    def distinct_keys(self) -> DataFrame:
-        return _merge_keys(self.source, self.prefixed, self.keys, False).distinct()
+    def all_keys(self) -> DataFrame:
+        return _merge_keys(self.source, self.prefixed, self.keys, False)
 
 
 def _merge_keys(
@@ -643,6 +666,12 @@ def _slice_number(columns: Sequence[Column], slices: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
 
 
+def _place(commit: Commit, directory: str) -> str:
+    """What a row does not leave when it is rewritten: its partition, and its slice if that is hashed."""
+    partition = commit.partition_of(directory) if commit.partition_by else ""
+    return f"{partition}/{commit.slice_of(directory)}" if commit.slice_by else partition
+
+
 def _same_partitions(before: Commit, written) -> set[str]:
     """Directories of a commit whose last partition value occurs among the written ones."""
     if not before.partition_by:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablesync.functions.names import target_name
 from tablesync.operators import predicates
-from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError
+from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError, measure_keys
 from tablesync.operators.schema import SchemaMismatchError
 from tablesync.sinks import catalog
 from tablesync.sinks import files as files_module
@@ -421,3 +421,49 @@ def test_ledger_file_holds_one_commit(filled):
     content = json.loads(text)
     assert content["user_metadata"] == '{"ChangeTrackingVersion":1}'
     assert dt.datetime.fromisoformat(content["ts"]).tzinfo is not None
+
+
+@pytest.mark.parametrize("limit", [64 * 1024 * 1024, -1])
+def test_rows_moved_by_the_first_commit_are_found_by_the_second(spark, new_dir, monkeypatch, limit):
+    """Deletes and writes fall into the same directories, slices of odd and null partitions among them."""
+    monkeypatch.setattr(predicates, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(table_module, "TASKS_PER_SLICE", 1)
+    target = TargetTable(spark, new_dir)
+    odd = ["a b", "é%/2", None, "x=y"]
+    lines = [(k, k // 2, odd[k % 4], k) for k in range(40)]
+    schema = "k int, parent int, p string, v int"
+    target.write(spark.createDataFrame(lines, schema).repartition(3), partition_by=["p"], version=1)
+    gone = [(None, None, None, None, "D", None, n) for n in (0, 1, 1, 5)]
+    new = [(k, 0 if k < 2 else k // 2, odd[k % 4], -k, "U", k, None) for k in (1, 4, 5, 23, 30, 41)]
+    changes = spark.createDataFrame(gone + new, f"{schema}, _op string, _pk_k int, _pk_parent int")
+    target.apply_parent_child_changes(changes, ["k"], ["parent"], 2)
+    kept = {k: (k, parent, p, v) for k, parent, p, v in lines if parent not in (0, 1, 5)}
+    assert rows(target.read()) == rows_of(kept | {row[0]: row[:4] for row in new})
+
+
+def rows_of(by_key):
+    return sorted(by_key.values(), key=repr)
+
+
+def test_many_written_keys_are_not_looked_for_twice(spark, target, monkeypatch):
+    monkeypatch.setattr(predicates, "BROADCAST_BYTES", -1)
+    target.write(spark.range(40).selectExpr("cast(id as int) k", "cast(id % 5 as int) parent", "1 v"), version=1)
+    schema = "k int, parent int, v int, _op string, _pk_k int, _pk_parent int"
+    changes = spark.createDataFrame([(None, None, None, "D", None, 0), (1, 1, 2, "U", 1, None)], schema)
+    monkeypatch.setattr(table_module, "_matched_rows", lambda *a: pytest.fail("looked for again"))
+    target.apply_parent_child_changes(changes, ["k"], ["parent"], 2)
+    assert target.read().count() == 32 and rows(target.read().where("v = 2")) == [(1, 1, 2)]
+
+
+def test_directories_go_through_joins_as_numbers(spark, filled):
+    commit = filled.ledger.latest()
+    located = filled._scan(commit, None, with_dir=True)
+    assert located.schema["_dir"].dataType.typeName() == "long"
+    assert filled._collect_dirs(located.where("p = 'b'"), commit) == partition_dirs(commit, "b")
+    assert filled._collect_dirs(located, commit) == set(commit.dirs)
+
+
+def test_sizes_of_values_take_no_texts_of_numbers(spark):
+    source = spark.sql("select id k, cast(id as double) x, timestamp_micros(id) t, 'abc' s from range(10)")
+    facts = measure_keys(source, ["k"])
+    assert (facts.key_bytes, facts.row_bytes) == (10 * 24, 10 * (3 * 24 + 19))
