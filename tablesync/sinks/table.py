@@ -45,6 +45,7 @@ from tablesync.operators.merge import (
     measure_keys,
     require_in_scope,
     updated_rows,
+    value_bytes,
 )
 from tablesync.operators.predicates import (
     CHANGE_KEY_PREFIX,
@@ -77,8 +78,9 @@ SMALL_SLICES = 8
 # Directories whose sizes are asked for one by one; more are listed by a Spark job.
 FEW_DIRS = 32
 
-# Size of a clustered file.
+# Most of a clustered file, and of its rows in memory, where one task sorts them.
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+SORTED_BYTES = 256 * 1024 * 1024
 
 
 class TableExistsError(RuntimeError):
@@ -449,7 +451,7 @@ class TargetTable:
             dirs = _same_partitions(before, dirs) if before.partition_by else dirs
         if not dirs:
             return None
-        n_files = num_files or max(1, -(-self._size(sorted(dirs)) // TARGET_FILE_BYTES))
+        n_files = num_files or self._files_for(before, sorted(dirs))
         columns = actual_names(columns, before.struct.names)
         position = F.xxhash64(F.col("_metadata.row_index"))
         rows = self._scan(before, sorted(dirs)).select("*", position.alias("_position"))
@@ -459,6 +461,14 @@ class TargetTable:
         new_dirs = self._put(clustered, before, redistribute=False, order=ZVALUE)
         return self._commit(before, OPTIMIZE, dirs, new_dirs, None)
 
+    def _files_for(self, commit: Commit, dirs: Sequence[str]) -> int:
+        """Files that the rows of some directories are clustered into: as few as stay below both sizes.
+
+        Files are compressed, so their rows may take many times as much memory.
+        """
+        row = self._scan(commit, dirs).agg(F.sum(value_bytes(commit.struct))).first()
+        return max(1, -(-self._size(dirs) // TARGET_FILE_BYTES), -(-int(row[0] or 0) // SORTED_BYTES))
+
     def set_retention(self, log: str, deleted_files: str) -> Commit | None:
         """Record retention durations if they differ; the commit keeps the sync cursor."""
         wanted = {"log": log, "deleted_files": deleted_files}

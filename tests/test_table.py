@@ -467,3 +467,12 @@ def test_sizes_of_values_take_no_texts_of_numbers(spark):
     source = spark.sql("select id k, cast(id as double) x, timestamp_micros(id) t, 'abc' s from range(10)")
     facts = measure_keys(source, ["k"])
     assert (facts.key_bytes, facts.row_bytes) == (10 * 24, 10 * (3 * 24 + 19))
+
+
+def test_clustered_files_are_bounded_by_their_rows_in_memory(spark, target, monkeypatch):
+    """20,000 equal rows are a tiny file, but 48 bytes each for the task that sorts them."""
+    monkeypatch.setattr(table_module, "SORTED_BYTES", 240_000)
+    target.write(spark.range(20000).selectExpr("1 k", "2 j"))
+    target.zorder(["k", "j"])
+    sizes = [r["count"] for r in target.read().groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 4 and max(sizes) < 10000
