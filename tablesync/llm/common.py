@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
@@ -61,9 +62,10 @@ def map_arrow(
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
-    names = df.columns
+    names, module = df.columns, function.__module__
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept_by_others(module)
         try:
             yield from function(batch.rename_columns(names) for batch in batches)
         finally:
@@ -72,6 +74,23 @@ def map_arrow(
     return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept_between_tasks(module: str) -> dict:
+    """A worker's memory of what the tasks of one module need again, until another module's task runs there."""
+    return _KEPT.setdefault(module, {})
+
+
+def drop_kept_by_others(module: str) -> None:
+    """Empty what tasks of other modules have left in this worker, which counts against this task's memory."""
+    for owner, kept in _KEPT.items():
+        if owner != module and kept:
+            kept.clear()
+            gc.collect()
+            release_memory()
+
+
 def release_memory() -> None:
     """Hand memory that a task no longer uses back to the system: workers stay for further tasks, of
     other operators too, and an idle one should not keep the peak of its last task."""

@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import byte_slices, map_arrow
+from tablesync.llm.common import byte_slices, kept_between_tasks, map_arrow
 from tablesync.sinks.files import stage
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -154,7 +154,7 @@ class Encoder:
                 yield self._whole(words[0]) + b"".join(map(known.__getitem__, words[1:]))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = kept_between_tasks(__name__)
 
 
 def _encoder(vocabulary: str) -> Encoder:

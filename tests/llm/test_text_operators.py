@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 from helpers import SCHEMA, awkward, empty, lower, words  # noqa: E402
 
-from tablesync.llm import minhash, packing, sharding  # noqa: E402
+from tablesync.llm import common, minhash, packing, sharding  # noqa: E402
 from tablesync.llm.common import Words, byte_slices, mix64  # noqa: E402
 from tablesync.llm.exact_dedup import chunks, exact_duplicates  # noqa: E402
 from tablesync.llm.minhash import components, near_duplicates, super_min_hash  # noqa: E402
@@ -432,3 +432,14 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert all(r.kept and r.component_id is None for r in by_id[None])
     assert near_duplicates(empty(spark)).count() == 0
     assert near_duplicates(spark.createDataFrame([(1, "a b c", "", "", 1)], SCHEMA)).count() == 1
+
+
+def test_a_worker_keeps_nothing_for_tasks_of_other_modules(spark):
+    """The encoder with its words is there for the next packing task, and gone once another operator's task runs."""
+    kept = common.kept_between_tasks("packing")
+    kept["words"] = list(range(1000))
+    common.drop_kept_by_others("packing")
+    assert kept
+    common.drop_kept_by_others("langid")
+    assert not kept
+    assert packing._ENCODERS is common.kept_between_tasks("tablesync.llm.packing")
