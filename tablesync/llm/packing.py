@@ -35,8 +35,13 @@ GROUP = 20_000
 FAN_IN = 8
 #: A sequence with fewer free tokens is full.
 NEARLY_FULL = 16
-#: Words whose ids a generation of a worker's memory holds.
-REMEMBERED = 500_000
+#: Bytes from which on a generation of remembered words takes no more, about: most words of a
+#: corpus are rare, so a worker gains little by holding more.
+REMEMBERED = 16_000_000
+#: Bytes that a remembered word takes besides its letters and ids, about.
+WORD_BYTES = 200
+#: Bytes of text that are tokenized at once.
+SLICE = 1_000_000
 
 #: A space at either end of a text, or beside other white space.
 _ODD_SPACE = re.compile(r"\A | \Z|\s | \s")
@@ -88,7 +93,8 @@ class Encoder:
     such words can be tokenized apart, each with its space. New words are strung together and
     tokenized at once; the lengths of the pieces tell which ids are whose. A text with any other
     space is tokenized as a whole, as are all texts if the vocabulary has another rule. Two
-    generations of words are remembered, so words in use stay and memory is bounded.
+    generations of words are remembered, so words in use stay; by their bytes, so memory is bounded
+    whatever the words are.
     """
 
     def __init__(self, vocabulary: str):
@@ -107,6 +113,7 @@ class Encoder:
                 self._size[number] = len(piece)
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0  # bytes of the words in _known, about
 
     def _whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -121,19 +128,24 @@ class Encoder:
                 new.append(word)
             else:
                 self._known[word] = ids
+                self._held += len(word) + len(ids)
+        self._held += WORD_BYTES * len(words)
         if new:
             ids = np.array(self._strung.encode_ordinary("".join(new)), "<u4")
             ends = np.cumsum([len(word.encode()) for word in new])
             edges = np.searchsorted(np.cumsum(self._size[ids]), ends) + 1
             body, start = ids.tobytes(), 0
+            self._held += int(ends[-1]) + len(body)
             for word, edge in zip(new, (4 * edges).tolist(), strict=True):
                 self._known[word] = body[start:edge]
                 start = edge
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text; the more texts at once, the better."""
-        if len(self._known) > REMEMBERED:
-            self._known, self._older = {}, self._known
+        if self._held > REMEMBERED:
+            # a run of texts that alone takes more, such as one very long text, is not kept at all
+            self._known, self._older = {}, self._known if self._held <= 2 * REMEMBERED else {}
+            self._held = 0
         apart: list[list[str] | None] = []
         unknown: list[str] = []
         known = self._known
@@ -176,7 +188,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = CA
         encoder = _encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in byte_slices(batch, "text"):
+            for part in byte_slices(batch, "text", SLICE):
                 rows: dict[str, list] = defaultdict(list)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for at, ids in enumerate(encoder.encode(texts)):

@@ -219,6 +219,22 @@ def test_encoder_gives_the_ids_of_the_tokenizer(tokenizer, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_remembers_words_by_their_bytes(tokenizer, monkeypatch):
+    """Few long words take as much memory as many short ones; one huge run of texts is not kept."""
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "REMEMBERED", 100_000)
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    draw = random.Random(7)
+    held = []
+    for run in range(60):
+        some = ["a " + " ".join("%x" % draw.getrandbits(4000) for _ in range(1000 if run == 30 else 10)) + " b"]
+        ids = list(encoder.encode(some))
+        assert np.frombuffer(ids[0], "<u4").tolist() == tokenizer.encode(some[0], add_special_tokens=False).ids
+        held.append(sum(len(word) + len(ids) for known in (encoder._known, encoder._older) for word, ids in known.items()))
+    assert max(held[:30] + held[31:]) < 400_000
+
+
 @pytest.mark.parametrize("order, strung", [([("a", "b"), ("b", "c")], True), ([("b", "c"), ("a", "b")], False)])
 def test_merges_out_of_the_order_of_ids_are_noticed(order, strung):
     """With merges in another order than the ids of what they make, ranks would give other ids."""
