@@ -13,17 +13,22 @@ in one place. Grams are dealt out by the KEY bytes before the symbol. Whatever a
 is compared with then lies in the same part, but for the contexts below KEY bytes, which every
 part knows. The result is a table of all grams that occur, with their probabilities. Scoring
 takes the frequent ones from memory and joins the others; so it is with words.
+
+Grams are sorted from the nearest byte to the farthest, so neighbours differ in their last bytes
+and those of a part lie together. They cross the cluster as compressed runs, one for each part that
+a task has grams of: an eight-byte gram and its counts take less than two bytes there.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import Words, byte_slices, map_arrow
@@ -50,7 +55,13 @@ DIVERGENCE = 0.5
 #: Bytes of text that are counted or scored at once.
 SLICE = 2_000_000
 #: Grams that a task merges before it hands them on.
-HELD = 3_000_000
+HELD = 5_000_000
+#: Grams merged at once, about.
+PIECE = 250_000
+#: Symbols of a part of all grams, about, and how many parts there are at most.
+PART_SYMBOLS, PARTS = 1_000_000, 2_048
+#: Sums of up to 2 to this power texts are brought together at once.
+BLOCK_BITS = 18
 
 _END, _PAD = 0x09, 0x0A  # white space, so in no word
 
@@ -114,66 +125,160 @@ def _words_of(part: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near_first(code: np.ndarray) -> np.ndarray:
+    """Codes with the byte before the symbol highest, the farthest one below, and the symbol lowest."""
+    turned = code.byteswap()
+    return (turned << np.uint64(8)) | (turned >> np.uint64(56))
+
+
+def _far_first(code: np.ndarray) -> np.ndarray:
+    """Codes of a Stream from those of `_near_first`."""
+    return ((code >> np.uint64(8)) | (code << np.uint64(56))).byteswap()
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit values, compressed; bytes of equal weight stand together, as the high ones are mostly zero."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=8 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).ravel()
+
+
+def _pack_ascending(code: np.ndarray) -> bytes:
+    return _pack(np.diff(code, prepend=np.uint64(0)))
+
+
+def _unpack_ascending(packed: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpack(packed, size, np.uint64), dtype=np.uint64)
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[Row]]]:
+    """The rows of each part, from rows in the order of `part`."""
+    rows = (Row(**row) for batch in batches for at in range(batch.num_rows) for row in batch.slice(at, 1).to_pylist())
+    return groupby(rows, key=lambda row: row.part)
+
+
+def _parts(code: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The parts that hold some of these ascending codes (near byte first), and where; `edges` are the first codes of all parts but one."""
+    for part, (start, stop) in enumerate(pairwise([0, *np.searchsorted(code, edges).tolist(), len(code)])):
+        if stop > start:
+            yield part, slice(start, stop)
+
+
+def _edges(code: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """First codes of parts with about equal numbers of symbols; `code` are grams of KEY bytes, as in a Stream.
+
+    What follows the same KEY bytes is in one part.
+    """
+    key = _near_first(code << np.uint64(8)) >> np.uint64(8 * (8 - KEY))
+    order = np.argsort(key)
+    key, before = key[order], np.cumsum(count[order]) - count[order]
+    part = before // max(PART_SYMBOLS, -(-int(count.sum()) // PARTS))
+    return key[np.flatnonzero(np.diff(part)) + 1] << np.uint64(8 * (8 - KEY))
+
+
+_COUNTS = "part int, size bigint, codes binary, n_all binary, n binary"
+
+
+def _count_grams(edges: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of each task, in all texts and in those held in, merged as they grow."""
 
-    def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE):
-                stream = Stream(Words(part.column("text")))
-                train = ~part.column("held_out").to_numpy(zero_copy_only=False)
-                train = np.repeat(train, np.diff(stream.first))
-                for own, n in ((stream.code[train], 1), (stream.code[~train], 0)):
-                    code, count = np.unique(own, return_counts=True)
-                    yield code, np.stack([count, count * n], axis=1)
+                yield from _counted(part)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, counts in _merged_as_they_grow(slices(batches)):
+            rows = [
+                (part, own.stop - own.start, _pack_ascending(code[own]), *(_pack(counts[own, c].astype(np.int64)) for c in (0, 1)))
+                for part, own in _parts(code, edges)
+            ]
+            yield _record_batch(rows, _COUNTS)
+
+    return count
 
-    return _gram_batches(_merged_as_they_grow(counted()))
+
+def _counted(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    stream = Stream(Words(part.column("text")))
+    train = ~part.column("held_out").to_numpy(zero_copy_only=False)
+    train = np.repeat(train, np.diff(stream.first))
+    code = _near_first(stream.code)
+    for own, n in ((code[train], 1), (code[~train], 0)):
+        distinct, count = np.unique(own, return_counts=True)
+        yield distinct, np.stack([count, count * n], axis=1).astype(np.uint32)
+
+
+_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [field.split() for field in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, _TYPES[kind]) for column, (_, kind) in zip(columns, fields, strict=True)], [name for name, _ in fields]
+    )
 
 
 def _count_short_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same for contexts below KEY bytes."""
+    """Counts of each task for contexts below KEY bytes, in all texts and in those held in."""
 
     def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE):
-                code, count = np.unique(Stream(Words(part.column("text"))).code & _mask(KEY), return_counts=True)
-                yield code, np.stack([count, count], axis=1)
+                stream = Stream(Words(part.column("text")))
+                train = ~part.column("held_out").to_numpy(zero_copy_only=False)
+                code, train = stream.code & _mask(KEY), np.repeat(train, np.diff(stream.first))
+                for own, n in ((code[train], 1), (code[~train], 0)):
+                    distinct, count = np.unique(own, return_counts=True)
+                    yield distinct, np.stack([count, count * n], axis=1).astype(np.uint32)
 
-    return _gram_batches(_merged_as_they_grow(counted()))
+    for code, count in _merged_as_they_grow(counted()):
+        columns = code.view(np.int64), *(count[:, c].astype(np.int64) for c in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n_all", "n"])
 
 
-def _merged_as_they_grow(
-    parts: Iterator[tuple[np.ndarray, np.ndarray]], hand_on: bool = True
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Codes in ascending order with the sums of their counts; all at once unless many may be handed on before."""
+def _merged_as_they_grow(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes in ascending order with the sums of their counts, handed on when there are many or 32 bits might not hold a count."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    rows, limit = 0, HELD
-    for part in parts:
-        held.append(part)
-        rows += len(part[0])
+    rows, limit, symbols = 0, HELD // 2, 0
+    for code, count in parts:
+        added = int(count[:, 0].sum(dtype=np.int64))
+        if held and symbols + added >= 1 << 32:
+            yield _merged(held)
+            held, rows, limit, symbols = [], 0, HELD // 2, 0
+        held.append((code, count))
+        rows, symbols = rows + len(code), symbols + added
         if rows > limit:
             held = [_merged(held)]
             rows = len(held[0][0])
-            if hand_on and rows > HELD // 2:
-                yield held.pop()
-                rows = 0
-            limit = max(HELD, 2 * rows)
+            limit = rows + HELD // 2
+        if rows > HELD and len(held) == 1:
+            yield held.pop()
+            rows, limit, symbols = 0, HELD // 2, 0
     if held:
         yield _merged(held)
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    code = np.concatenate([c for c, _ in held])
+    """The same from several ascending runs, piece by piece; counts keep their type."""
+    longest = max((code for code, _ in held), key=len)
+    cuts = longest[PIECE // len(held) :: max(PIECE // len(held), 1)]
+    ends = [[0, *np.searchsorted(code, cuts).tolist(), len(code)] for code, _ in held]
+    pieces = [
+        _summed(*(np.concatenate([run[c][end[k] : end[k + 1]] for run, end in zip(held, ends, strict=True)]) for c in (0, 1)))
+        for k in range(len(cuts) + 1)
+    ]
+    return tuple(np.concatenate(column) for column in zip(*pieces, strict=True))
+
+
+def _summed(code: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(code, kind="stable")
-    code, count = code[order], np.concatenate([n for _, n in held])[order]
+    code, count = code[order], count[order]
     first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
-    return code[first], np.add.reduceat(count, first) if len(code) else count
-
-
-def _gram_batches(grams: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    for code, count in grams:
-        columns = code.view(np.int64), count[:, 0].copy(), count[:, 1].copy()
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n_all", "n"])
+    return code[first], np.add.reduceat(count, first, dtype=count.dtype) if len(code) else count
 
 
 Level = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -227,7 +332,7 @@ class SuffixTree:
         those of their contexts; the last level comes back.
         """
         for depth in depths:
-            level, n = _merged([(code & _mask(depth + 1), count)])
+            level, n = _summed(code & _mask(depth + 1), count)
             level, n, total, kinds = _totals(level, n)
             often = n >= LEAST
             level, n, total, kinds = level[often], n[often], total[often], kinds[often]
@@ -269,44 +374,58 @@ def learn(train: DataFrame) -> SuffixTree:
     `chances` has the same probabilities for corpora of any size.
     """
     docs = train.select("text", F.lit(False).alias("held_out"))
-    code, n = _collected(map_arrow(docs, _count_grams, "code bigint, n_all bigint, n bigint"))
+    rows = map_arrow(docs, _count_grams(np.zeros(0, np.uint64)), _COUNTS).collect()
     tree = SuffixTree()
-    tree.grow(code, n, range(DEPTH + 1))
+    if rows:
+        code, count = _unpacked(rows)
+        tree.grow(_far_first(code), count[:, 1], range(DEPTH + 1))
     return tree
 
 
-def _collected(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    found = grams.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    return found.column("code").to_numpy().view(np.uint64), found.column("n").to_numpy()
+def _unpacked(rows: Iterator[Row]) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of one part with their counts from all tasks."""
+    return _merged([
+        (_unpack_ascending(r.codes, r.size), np.stack([_unpack(packed, r.size) for packed in (r.n_all, r.n)], axis=1)) for r in rows
+    ])
+
 
+_CHANCES = "part int, common boolean, size bigint, codes binary, chances binary"
 
-def chances(docs: DataFrame) -> DataFrame:
-    """code, n_all and chance (log10) of all grams of `text`, learned from the texts not held out."""
-    short = map_arrow(docs.filter("not held_out").select("text"), _count_short_grams, "code bigint, n_all bigint, n bigint")
+
+def chances(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Chance (log10) of all grams of `text`, learned from the texts not held out, and the edges of their parts.
+
+    A row holds the grams of a part, near byte first, that are `common` (have the share LEAST_GRAM of all symbols) or that are not.
+    """
+    docs = docs.select("text", "held_out")
+    short = map_arrow(docs, _count_short_grams, "code bigint, n_all bigint, n bigint")
+    short = short.groupBy("code").agg(F.sum("n_all").alias("n_all"), F.sum("n").alias("n")).toArrow()
+    code, n_all, n = (short.column(c).to_numpy() for c in ("code", "n_all", "n"))
+    code, edges = code.view(np.uint64), _edges(code.view(np.uint64), n_all)
+    least_gram = math.ceil(LEAST_GRAM * int(n_all.sum()))
     tree = SuffixTree()
-    known = tree.grow(*_collected(short), range(KEY))
+    known = tree.grow(code[n > 0], n[n > 0], range(KEY))
     shared = docs.sparkSession.sparkContext.broadcast((tree, known))
 
     def modelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = (
-            (b.column("code").to_numpy().view(np.uint64), np.stack([b.column(c).to_numpy() for c in ("n_all", "n")], axis=1))
-            for b in batches
-        )
-        for code, count in _merged_as_they_grow(parts, hand_on=False):
+        for part, rows in _by_part(batches):
+            code, count = _unpacked(rows)
             own, below = SuffixTree(), shared.value[1]
             for name, levels in vars(shared.value[0]).items():
                 setattr(own, name, list(levels))
-            train = count[:, 1] > 0
-            own.grow(code[train], count[train, 1], range(KEY, DEPTH + 1), below)
-            for at in range(0, len(code), HELD // 4):
-                some = code[at : at + HELD // 4]
-                n_all = count[at : at + HELD // 4, 0].copy()
-                columns = some.view(np.int64), n_all, np.log10(own.probability(some))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n_all", "chance"])
+            plain, train = _far_first(code), count[:, 1] > 0
+            own.grow(plain[train], count[train, 1], range(KEY, DEPTH + 1), below)
+            chance, common = np.log10(own.probability(plain)), count[:, 0] >= least_gram
+            rows = [
+                (part, which, int(some.sum()), _pack_ascending(code[some]), _pack(chance[some]))
+                for which, some in ((True, common), (False, ~common))
+                if some.any()
+            ]
+            yield _record_batch(rows, _CHANCES)
 
-    grams = map_arrow(docs.select("text", "held_out"), _count_grams, "code bigint, n_all bigint, n bigint")
-    dealt = grams.repartition(F.shiftrightunsigned("code", 8).bitwiseAND(F.lit(int(_mask(KEY)))))
-    return stage(map_arrow(dealt, modelled, "code bigint, n_all bigint, chance double"), "chances")
+    grams = map_arrow(docs, _count_grams(edges), _COUNTS)
+    dealt = grams.repartition("part").sortWithinPartitions("part")
+    return stage(map_arrow(dealt, modelled, _CHANCES), "chances"), edges
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -322,7 +441,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
     docs = docs.select("doc_id", "text", (part == 2).alias("held_out"))
     # a row's number has to be the same for its words and its grams
-    docs = stage(docs.withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
+    docs = stage(docs.withColumn("row", F.monotonically_increasing_id()), "numbered-texts", compression="zstd")
     spark = docs.sparkSession
 
     counted = map_arrow(docs.select("text", "held_out"), _count_words, "word string, n_all bigint, n bigint")
@@ -334,12 +453,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     divisor = tokens + (sums["kinds"] or 0) + int(train_ends > 0) + 1
     frequent = counted.filter(F.col("n_all") >= math.ceil(LEAST_WORD * (sums["n_all"] or 0)))
     known = spark.sparkContext.broadcast(frequent.select("word", "n").toArrow().combine_chunks())
-    grams = chances(docs)
-    least_gram = math.ceil(LEAST_GRAM * (grams.agg(F.sum("n_all")).first()[0] or 0))
-    common_grams = grams.filter(F.col("n_all") >= least_gram).select("code", "chance").toArrow()
-    code, chance = (common_grams.column(c).to_numpy() for c in ("code", "chance"))
-    order = np.argsort(code.view(np.uint64))
-    common_grams = spark.sparkContext.broadcast((code.view(np.uint64)[order], chance[order]))
+    grams, edges = chances(docs)
+    common_grams = spark.sparkContext.broadcast(_common_grams(grams.filter("common").collect()))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,7 +487,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         owner, none, zero = pa.array(words.owner[rare]), pa.array(np.zeros(len(rare), np.int64)), pa.array(np.zeros(len(rare)))
         single = pa.RecordBatch.from_arrays(
             [
-                row.take(owner), doc.take(owner), held_out.take(owner),
+                row.take(owner), pa.nulls(len(rare), doc.type), pa.nulls(len(rare), held_out.type),
                 spelled.take(pa.array(rare)).cast(pa.string()), none, none, zero,
             ],
             _SUMS,
@@ -380,25 +495,62 @@ def score_texts(docs: DataFrame) -> DataFrame:
         return [own, single]
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text with the sum of its frequent grams, and a row for each other gram."""
+        """The sums of the texts' frequent grams, and each other gram with the rows of the texts it stands in, once for each time."""
         known, chance = common_grams.value
         chance = np.r_[chance, 0.0]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for part in byte_slices(batch, "text", SLICE):
                 stream, row = Stream(Words(part.column("text"))), part.column("row").to_numpy()
-                code, inverse = np.unique(stream.code, return_inverse=True)
-                at = np.searchsorted(known, code)
-                inside = np.minimum(at, max(len(known) - 1, 0))
-                hit = known[inside] == code if len(known) else np.zeros(len(code), bool)
-                logs = np.where(hit, chance[inside], 0.0)[inverse]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row), pa.array(row), pa.array(np.add.reduceat(logs, stream.first[:-1]))], _GRAMS
-                )
-                rare = np.flatnonzero(~hit[inverse])
-                owner = np.repeat(np.arange(len(row)), np.diff(stream.first))[rare]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row[owner]), pa.array(stream.code[rare].view(np.int64)), pa.nulls(len(rare), pa.float64())], _GRAMS
-                )
+                code = _near_first(stream.code)
+                order = np.argsort(code)
+                code = code[order]
+                owner = np.repeat(np.arange(len(row)), np.diff(stream.first))[order]
+                first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+                at = np.minimum(np.searchsorted(known, code[first]), max(len(known) - 1, 0))
+                hit = known[at] == code[first] if len(known) else np.zeros(len(first), bool)
+                times = np.diff(np.r_[first, len(code)])
+                sums = np.bincount(owner, np.repeat(np.where(hit, chance[at], 0.0), times), len(row))
+                yield _record_batch([(int(row[0] % (len(edges) + 1)), _OWN, len(row), None, _pack(sums), *_packed_rows(row))], _GRAMS)
+                rare = ~np.repeat(hit, times)
+                held.append((code[rare], row[owner[rare]]))
+                if sum(len(rows) for _, rows in held) > HELD // 2:
+                    yield _listed(held, edges)
+                    held = []
+        if held:
+            yield _listed(held, edges)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums by row, of the parts of one task, as a run for each block of rows."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, rows in _by_part(batches):
+            code, chance = np.zeros(0, np.uint64), np.zeros(0)
+            for r in rows:
+                if r.kind == _CHANCE:
+                    code, chance = _unpack_ascending(r.codes, r.size), _unpack(r.numbers, r.size, np.float64)
+                    continue
+                if r.kind == _OWN:
+                    logs = _unpack(r.numbers, r.size, np.float64)
+                else:
+                    at = np.searchsorted(code, _unpack_ascending(r.codes, r.size))
+                    logs = np.repeat(chance[at], _unpack(r.numbers, r.size))
+                held.append(_summed(_unpack(r.rows, len(logs)) + r.base, logs))
+                if sum(len(row) for row, _ in held) > HELD // 2:
+                    held = [_merged(held)]
+                    if len(held[0][0]) > HELD // 4:
+                        yield _blocks(*held.pop())
+        if held:
+            yield _blocks(*_merged(held))
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, from the sums of all tasks."""
+        for _, rows in _by_part(batches):
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            for r in rows:
+                held.append((_unpack(r.rows, r.size) + r.base, _unpack(r.numbers, r.size, np.float64)))
+                if sum(len(row) for row, _ in held) > HELD // 2:
+                    held = [_merged(held)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _merged(held)], ["row", "score"])
 
     sums_and_words = map_arrow(
         docs, scored,
@@ -415,12 +567,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
         F.when(is_word, (n > 0).cast("bigint")).otherwise(F.col("n_known")).alias("n_known"),
         F.when(is_word, F.log10((n + 1) / F.lit(float(divisor)))).otherwise(F.col("base")).alias("base"),
     )
-    # a text's sum has its row as code; it is told from a gram by its score, and matches none
-    sums_and_grams = map_arrow(docs.select("row", "text"), predicted, "row bigint, code bigint, score double")
-    sums_and_grams = sums_and_grams.withColumn("gram", F.col("score").isNull())
-    rare_grams = grams.filter(F.col("n_all") < least_gram).select("code", F.lit(True).alias("gram"), "chance")
-    scores = sums_and_grams.join(rare_grams.hint("shuffle_hash"), ["code", "gram"], "left")
-    scores = scores.select("row", F.coalesce("score", "chance").alias("score"))
+    sums_and_grams = map_arrow(docs.select("row", "text"), predicted, _GRAMS)
+    rare_grams = grams.filter("not common").select(
+        "part", F.lit(_CHANCE).alias("kind"), "size", "codes", F.col("chances").alias("numbers"),
+        F.lit(0).cast("bigint").alias("base"), F.lit(None).cast("binary").alias("rows"),
+    )
+    dealt = sums_and_grams.unionByName(rare_grams).repartition("part").sortWithinPartitions("part", "kind")
+    # a text has a sum from each task that holds some of its grams: no more than it has rare grams
+    dealt = map_arrow(dealt, summed, _SUMMED).repartition("part").sortWithinPartitions("part")
+    scores = map_arrow(dealt, totals, "row bigint, score double")
     total = joined.unionByName(scores, allowMissingColumns=True).groupBy("row").agg(
         F.first("doc_id", ignorenulls=True).alias("doc_id"), F.max("held_out").alias("held_out"),
         F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
@@ -431,5 +586,41 @@ def score_texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _common_grams(rows: list[Row]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending codes, near byte first, and their chances."""
+    rows = sorted(rows, key=lambda r: r.part)
+    codes = [_unpack_ascending(r.codes, r.size) for r in rows]
+    values = [_unpack(r.chances, r.size, np.float64) for r in rows]
+    return np.concatenate([np.zeros(0, np.uint64), *codes]), np.concatenate([np.zeros(0), *values])
+
+
+def _packed_rows(row: np.ndarray) -> tuple[int, bytes]:
+    """The least row, and the others as distances from it."""
+    return int(row.min()), _pack(row - row.min())
+
+
+def _blocks(row: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    """Sums of ascending rows, block by block."""
+    block, first = np.unique(row >> BLOCK_BITS, return_index=True)
+    runs = [slice(*ends) for ends in pairwise([*first.tolist(), len(row)])]
+    packed = ((own.stop - own.start, _pack(total[own]), *_packed_rows(row[own])) for own in runs)
+    return _record_batch([(part, *run) for part, run in zip(block.tolist(), packed, strict=True)], _SUMMED)
+
+
+def _listed(held: list[tuple[np.ndarray, np.ndarray]], edges: np.ndarray) -> pa.RecordBatch:
+    """For each part its different codes, how often they occur, and the row of each time, in the order of the codes."""
+    code, row = (np.concatenate([run[c] for run in held]) for c in (0, 1))
+    order = np.argsort(code, kind="stable")
+    code, row = code[order], row[order]
+    listed = []
+    for part, own in _parts(code, edges):
+        distinct, count = np.unique(code[own], return_counts=True)
+        listed.append((part, _RARE, len(distinct), _pack_ascending(distinct), _pack(count), *_packed_rows(row[own])))
+    return _record_batch(listed, _GRAMS)
+
+
 _SUMS = ["row", "doc_id", "held_out", "word", "n_tokens", "n_known", "base"]
-_GRAMS = ["row", "code", "score"]
+_GRAMS = "part int, kind int, size bigint, codes binary, numbers binary, base bigint, rows binary"
+_SUMMED = "part bigint, size bigint, numbers binary, base bigint, rows binary"
+# Fixed values, in the order that scoring needs: chances of a part's grams, grams with the rows of their texts, sums of texts.
+_CHANCE, _RARE, _OWN = 0, 1, 2

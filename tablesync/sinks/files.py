@@ -55,19 +55,20 @@ def new_path(spark: SparkSession, purpose: str) -> str:
     return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, purpose: str = "staged") -> DataFrame:
+def stage(df: DataFrame, purpose: str = "staged", compression: str | None = None) -> DataFrame:
     """Write a frame once to the shared folder and return the written copy.
 
     The copy has no lineage to its source, so it is neither read again nor able to change
     between the steps of a run, and it survives the loss of executors. It is removed at the
-    end of the `staging_scope` it was made in, else at the end of the application.
+    end of the `staging_scope` it was made in, else at the end of the application. `compression` is
+    that of its files, the session's if it is not given.
     """
     spark = df.sparkSession
     path = new_path(spark, purpose)
     scope = _STAGED.get()
     if scope is not None:
         scope.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from oracle import compare, connect
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -107,6 +108,53 @@ def test_scores_equal_those_of_the_whole_tree(spark, table, monkeypatch, share):
     assert np.allclose([f[1] for f in found], [e[1] for e in expected], rtol=1e-9)
 
 
+def _texts(seed, count):
+    pick = random.Random(seed)
+    names = ["".join(pick.choices("abcdefgh", k=pick.randrange(2, 9))) for _ in range(3000)]
+    return [" ".join(pick.choices(names, k=400)) for _ in range(count)]
+
+
+def test_grams_cross_the_cluster_in_few_bytes(monkeypatch):
+    """Once for each task, sorted by part, and in less than half of the eight bytes of a gram, its counts included."""
+    batch = pa.record_batch({"text": _texts(1, 100), "held_out": [i % 7 == 2 for i in range(100)]})
+    code = suffix_tree.Stream(Words(batch.column("text"))).code
+    monkeypatch.setattr(suffix_tree, "PART_SYMBOLS", 10_000)
+    edges = suffix_tree._edges(*np.unique(code & np.uint64(0xFFFFFF), return_counts=True))
+    assert len(edges) > 5
+    monkeypatch.setattr(suffix_tree, "SLICE", 10_000)
+    (sent,) = suffix_tree._count_grams(edges)(iter([batch]))
+    assert sent.num_rows <= len(edges) + 1
+    assert sent.nbytes < 4 * len(np.unique(code))
+    for row in sent.to_pylist():
+        codes = suffix_tree._unpack_ascending(row["codes"], row["size"])
+        assert (np.searchsorted(edges, codes, side="right") == row["part"]).all()
+    monkeypatch.setattr(suffix_tree, "HELD", 3_000)
+    monkeypatch.setattr(suffix_tree, "PIECE", 100)
+    more = list(suffix_tree._count_grams(edges)(iter([batch])))
+    assert len(more) > 1
+    train = np.repeat([i % 7 != 2 for i in range(100)], np.diff(suffix_tree.Stream(Words(batch.column("text"))).first))
+    expected, expected_train = Counter(code.tolist()), Counter(code[train].tolist())
+    for batches in ([sent], more):
+        found, counts = suffix_tree._unpacked([Row(**row) for b in batches for row in b.to_pylist()])
+        found = suffix_tree._far_first(found).tolist()
+        assert dict(zip(found, counts[:, 0].tolist(), strict=True)) == expected
+        assert dict(zip(found, counts[:, 1].tolist(), strict=True)) == {c: expected_train[c] for c in expected}
+
+
+@pytest.mark.parametrize("held", [300, 5_000_000])
+def test_scores_are_the_same_from_many_parts(spark, monkeypatch, held):
+    """Also if tasks hand grams and sums on before their end."""
+    rows = [(i, text) for i, text in enumerate(_texts(2, 60))] + [(None, None), (3, ""), (5, "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(suffix_tree, "LEAST_GRAM", 1e-4)
+    whole = sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree.score_texts(docs).collect())
+    for name, value in {"PART_SYMBOLS": 2_000, "PIECE": 50, "SLICE": 5_000, "HELD": held}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    parts = sorted((str(r.doc_id), r.n_tokens, r.score) for r in suffix_tree.score_texts(docs).collect())
+    assert [p[:2] for p in parts] == [w[:2] for w in whole]
+    assert np.allclose([p[2] for p in parts], [w[2] for w in whole], rtol=1e-9)
+
+
 def test_contexts_are_kept_by_count_whatever_the_size_of_the_corpus():
     """A context of seven bytes seen ten times among 10^9 symbols is a state."""
     code = np.frombuffer(b"abcdefgx"[::-1] + b"\0\0\0\0\0\0ez" [::-1], np.uint64).copy()
