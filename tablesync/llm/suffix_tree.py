@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import Words, byte_slices, map_arrow
+from tablesync.llm.common import WHITE_SPACE, Words, byte_slices, map_arrow
 from tablesync.sinks.files import stage
 
 #: Bytes of the longest context.
@@ -71,24 +71,24 @@ class Stream:
     bytes before it above, `first[t]` is where text t begins."""
 
     def __init__(self, words: Words):
-        lengths = words.end - words.start + 1
         counts = np.diff(words.first)
-        size = np.r_[0, np.cumsum(lengths)]
-        symbols = size[words.first[1:]] - size[words.first[:-1]] + (counts == 0)
+        ends = np.r_[0, np.cumsum(words.end - words.start + 1)]
+        symbols = ends[words.first[1:]] - ends[words.first[:-1]] + (counts == 0)
         self.first = np.r_[0, np.cumsum(symbols)]
-        lead = DEPTH + 8
-        stream = np.full(self.first[-1] + lead * words.texts, _PAD, np.uint8)
-        begin = self.first[:-1] + lead * np.arange(1, words.texts + 1)
-        stream[begin - 1] = _END
-        word_at = size[:-1] - size[words.first[:-1]][words.owner] + begin[words.owner]
-        shift = np.repeat(word_at - words.start, lengths)
-        source = np.arange(len(shift)) - np.repeat(size[:-1] - words.start, lengths)
-        stream[source + shift] = words.data[source]
-        stream[word_at + lengths - 1] = 0x20
-        stream[begin + symbols - 1] = _END
-        windows = np.ndarray((max(len(stream) - 7, 0),), ">u8", stream, strides=(1,))
-        inside = np.arange(self.first[-1]) + np.repeat(lead * np.arange(1, words.texts + 1), symbols)
-        self.code = windows[inside - 7].astype(np.uint64) & _mask(DEPTH + 1)
+        # a word and the gap after it, which is one symbol; a text without words has its last gap alone
+        kept = ~WHITE_SPACE[words.data]
+        kept[words.end] = True
+        kept[np.r_[words.text_start[1:], len(words.data)][counts == 0] - 1] = True
+        stream = np.r_[np.full(7, _PAD, np.uint8), words.data[kept]]
+        symbol = stream[7:]
+        symbol[WHITE_SPACE[symbol]] = 0x20
+        symbol[self.first[1:] - 1] = _END
+        self.code = np.ndarray((len(symbol),), ">u8", stream, strides=(1,)).astype(np.uint64)
+        for at in range(DEPTH):
+            # what stands before a text: its end symbol, and padding
+            own = self.first[:-1][symbols > at] + at
+            before = int.from_bytes(bytes([_PAD] * (DEPTH - 1 - at) + [_END]) + bytes(at + 1))
+            self.code[own] = self.code[own] & _mask(at + 1) | np.uint64(before)
 
 
 def _mask(count: int) -> np.uint64:
@@ -187,7 +187,7 @@ def _count_grams(edges: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
-            for part in byte_slices(batch, "text", SLICE):
+            for part in byte_slices(batch, "text", 2 * SLICE):
                 yield from _counted(part)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,21 +243,21 @@ def _count_short_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def _merged_as_they_grow(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Codes in ascending order with the sums of their counts, handed on when there are many or 32 bits might not hold a count."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    rows, limit, symbols = 0, HELD // 2, 0
+    rows, limit, symbols = 0, HELD, 0
     for code, count in parts:
         added = int(count[:, 0].sum(dtype=np.int64))
         if held and symbols + added >= 1 << 32:
             yield _merged(held)
-            held, rows, limit, symbols = [], 0, HELD // 2, 0
+            held, rows, limit, symbols = [], 0, HELD, 0
         held.append((code, count))
         rows, symbols = rows + len(code), symbols + added
         if rows > limit:
             held = [_merged(held)]
             rows = len(held[0][0])
-            limit = rows + HELD // 2
+            limit = rows + HELD
         if rows > HELD and len(held) == 1:
             yield held.pop()
-            rows, limit, symbols = 0, HELD // 2, 0
+            rows, limit, symbols = 0, HELD, 0
     if held:
         yield _merged(held)
 

@@ -75,6 +75,19 @@ def test_streams_hold_whole_texts():
     assert symbols == [b"ab c\t", b"\t", b"\t", b"d\t"]
 
 
+def test_codes_hold_the_bytes_before_each_symbol():
+    pick = random.Random(4)
+    texts = [None if pick.random() < 0.1 else "".join(pick.choices("aB é\t\n\x0b\x0c\r  中\0", k=pick.randrange(14))) for _ in range(500)]
+    stream = suffix_tree.Stream(Words(pa.array(texts, pa.string())))
+    expected = []
+    for text in texts:
+        past = b"\n" * 6 + b"\t" + " ".join(words(text)).encode() + b"\t"
+        expected += [int.from_bytes(past[at - 7 : at + 1]) for at in range(7, len(past))]
+    assert stream.code.tolist() == expected
+    codes = suffix_tree._near_first(stream.code)
+    assert (suffix_tree._far_first(codes) == stream.code).all()
+
+
 def test_the_tree_predicts_held_out_text_better_than_words(spark):
     pick = random.Random(1)
     rows = []
