@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,40 +205,71 @@ def matched_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str])
     return target.select([quoted(key) for key in keys]).join(source_keys, list(keys), "left_semi")
 
 
+def _keyless(source: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    """Whether a source row lacks a part of its key."""
+    return reduce(or_, [quoted(prefix + key).isNull() for key in keys])
+
+
+def _merge_side(source: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Source rows with a whole key, in the one form that both joins of a merge take, so that Spark shuffles
+    them once for the two."""
+    names = sorted(drop_change_columns(source).columns if prefix else source.columns)
+    extra = [F.coalesce(is_delete(), F.lit(False)).alias("_merge_gone")] if prefix else []
+    return source.where(~_keyless(source, keys, prefix)).select(
+        *[quoted(prefix + key).alias(f"_merge_key_{i}") for i, key in enumerate(keys)],
+        *[quoted(name).alias(f"_merge_new_{name}") for name in names],
+        *extra,
+    )
+
+
+def each_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of some rows, each once; grouped in their order, so that a join by them shuffles no more."""
+    names = [quoted(key) for key in keys]
+    return df.groupBy(names).agg(F.count(F.lit(1))).select(names)
+
+
 def updated_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], prefix: str = "", small: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    prefix: str = "",
+    small: bool = False,
+    deletes: bool = True,
 ) -> DataFrame:
     """Target rows, each replaced by the source row of its key, if any; rows that a change row deletes go.
 
-    `prefix` is that of the source's key columns, for change rows; `small` says that the source was
-    measured to be so.
+    `prefix` is that of the source's key columns, for change rows, of which `deletes` says whether any
+    deletes; `small` says that the source was measured to be so.
     """
-    gone = F.coalesce(is_delete(), F.lit(False)) if prefix else F.lit(False)
-    side = source.select(
-        *[quoted(prefix + key).alias(f"_merge_key_{i}") for i, key in enumerate(keys)],
-        *[quoted(name).alias(f"_merge_new_{i}") for i, name in enumerate(target.columns)],
-        gone.alias("_merge_gone"),
-        F.lit(True).alias("_merge_hit"),
-    )
+    side = _merge_side(source, keys, prefix)
     condition = [quoted(key) == F.col(f"_merge_key_{i}") for i, key in enumerate(keys)]
-    joined = target.join(_sent(side, small), condition, "left").where(~F.coalesce("_merge_gone", F.lit(False)))
+    joined = target.join(_sent(side, small), condition, "left")
+    if prefix and deletes:
+        joined = joined.where(~F.coalesce("_merge_gone", F.lit(False)))
+    hit = F.col("_merge_key_0").isNotNull()
     return joined.select(
-        *[
-            F.when(F.col("_merge_hit"), F.col(f"_merge_new_{i}")).otherwise(quoted(name)).alias(name)
-            for i, name in enumerate(target.columns)
-        ]
+        *[F.when(hit, quoted(f"_merge_new_{name}")).otherwise(quoted(name)).alias(name) for name in target.columns]
     )
 
 
 def inserted_rows(
     source: DataFrame, hits: DataFrame, keys: Sequence[str], prefix: str = "", small: bool = False
 ) -> DataFrame:
-    """Source rows whose key is not among `hits`, the keys that the target has; of change rows those
-    that insert or update."""
+    """Source rows whose key is not among `hits`, the keys that the target has, each once; of change rows
+    those that insert or update."""
+    source = source.where(is_write()) if prefix else source
+    names = drop_change_columns(source).columns if prefix else source.columns
     known = hits.select([quoted(key).alias(f"_hit_{i}") for i, key in enumerate(keys)])
-    condition = [quoted(prefix + key) == F.col(f"_hit_{i}") for i, key in enumerate(keys)]
-    absent = source.join(_sent(known, small), condition, "left_anti")
-    return drop_change_columns(absent.where(is_write())) if prefix else absent
+    if small:
+        condition = [quoted(prefix + key) == F.col(f"_hit_{i}") for i, key in enumerate(keys)]
+        absent = source.join(F.broadcast(known), condition, "left_anti")
+        return absent.select([quoted(name) for name in names])
+    # an outer join, as Spark would move an anti join below the columns that the other join is to share
+    condition = [F.col(f"_merge_key_{i}") == F.col(f"_hit_{i}") for i in range(len(keys))]
+    absent = _merge_side(source, keys, prefix).join(known, condition, "left").where("_hit_0 is null")
+    return absent.select([quoted(f"_merge_new_{name}").alias(name) for name in names]).unionByName(
+        source.where(_keyless(source, keys, prefix)).select([quoted(name) for name in names])
+    )
 
 
 def _merged(
@@ -245,7 +278,8 @@ def _merged(
     """The target after a merge with a measured source; the target's keys are read now, its rows later."""
     source_keys = _sent(_renamed_keys(source, keys, prefix), facts.few_keys)
     hits = stage(matched_keys(target, source_keys, keys).distinct(), "matched-keys")
-    return updated_rows(target, source, keys, prefix, facts.few_rows).unionByName(
+    deletes = bool(facts.counts.get("D"))
+    return updated_rows(target, source, keys, prefix, facts.few_rows, deletes).unionByName(
         inserted_rows(source, hits, keys, prefix, facts.few_keys)
     )
 

@@ -16,6 +16,8 @@ COMMIT_SETTING = "spark.tablesync.commitProtocol"
 ATOMIC_RENAME = {"file", "hdfs", "viewfs", "abfs", "abfss"}
 CONDITIONAL_CREATE = {"gs"}
 CONDITIONAL_OPTION = "fs.option.create.conditional.overwrite"
+#: Spark's setting by which an action removes its shuffle files when it ends.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class CommitProtocolError(RuntimeError):
@@ -85,6 +87,24 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
             SharedFiles(spark, path).delete_root()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let each action of a block remove its shuffle files when it ends.
+
+    Otherwise they stay on the executors' disks until the driver happens to collect its garbage, so
+    those of all steps of a merge may lie there together. A frame that is used again is computed again.
+    """
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    spark.conf.set(CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_SETTING)
+        else:
+            spark.conf.set(CLEANUP_SETTING, before)
+
+
 class SharedFiles:
     """Hadoop file system calls the driver needs for commit files."""
 

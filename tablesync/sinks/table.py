@@ -18,6 +18,7 @@ import uuid
 import zlib
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,15 +33,19 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from tablesync.functions.cursor import cursor_text
+from tablesync.operators import predicates
 from tablesync.operators.layout import ZVALUE, zorder
 from tablesync.operators.merge import (
     DuplicateKeyError,
     SourceKeys,
     delete_keys,
     drop_change_columns,
+    each_once,
     inserted_rows,
     measure_keys,
     require_in_scope,
@@ -56,7 +61,7 @@ from tablesync.operators.predicates import (
 )
 from tablesync.operators.schema import require_same_columns
 from tablesync.operators.shape import actual_names, quoted
-from tablesync.sinks.files import stage, staging_scope
+from tablesync.sinks.files import shuffles_removed, stage, staging_scope
 from tablesync.sinks.ledger import BATCH, OPTIMIZE, SLICE, Commit, Ledger
 
 # Checksum of the path of a row's file; it stands for the directory, whose name is long.
@@ -75,6 +80,18 @@ _BOUNDED_TYPES = (IntegralType, DecimalType, DateType, StringType)
 SMALL_SLICE_BYTES = 64 * 1024 * 1024
 SMALL_SLICES = 8
 
+# Rows that a join must shuffle take turns, in passes over parts of their keys, and the shuffle files of a
+# pass go when it ends: about PASS_BYTES of rows at once, as `value_bytes` counts them. Each pass reads all
+# rows, so there are at most MAX_PASSES; SENT_PASSES if that makes keys few enough to be sent to all tasks,
+# so that nothing is shuffled. Each writes directories of its own, so it has PLACE_BYTES for each partition.
+PASS_BYTES = 4 * 1024 * 1024 * 1024
+MAX_PASSES = 4
+SENT_PASSES = 8
+PLACE_BYTES = 1536 * 1024 * 1024
+
+# Key types of which equal values of one type have equal hashes; strings too, if they compare as bytes.
+_HASHED_TYPES = (IntegralType, DecimalType, DateType, TimestampType, TimestampNTZType)
+
 # Directories whose sizes are asked for one by one; more are listed by a Spark job.
 FEW_DIRS = 32
 
@@ -293,8 +310,8 @@ class TargetTable:
         """
         before = self._require()
         require_same_columns(drop_change_columns(changes).columns, before.struct.names)
-        with staging_scope(self.spark):
-            changes = stage(changes, "merge-source") if stage_source else changes
+        with staging_scope(self.spark), shuffles_removed(self.spark):
+            changes = stage(changes, "merge-source", "zstd") if stage_source else changes
             old = self.cursor() if last_version is None else last_version
             parents = _Side(changes.where(is_delete()), parent_key, before)
             writes = _Side(changes.where(is_write()), primary_key, before)
@@ -341,14 +358,26 @@ class TargetTable:
         for side, _ in sides:
             inside = inside | _within_bounds(located, side.keys, side.facts)
         located = located.where(inside).select(*names, _DIR)
-        for side, mark in sides:
-            marked = (side.all_keys() if side.facts.max_per_key == 1 else side.all_keys().distinct()).withColumn(mark, F.lit(True))
-            located = located.join(F.broadcast(marked) if side.facts.few_keys else marked, list(side.keys), "left")
-        marks = [
-            F.coalesce(F.col(mark), F.lit(False)).alias(mark) if any(mark == m for _, m in sides) else F.lit(False).alias(mark)
-            for mark in (_GONE, _HIT)
-        ]
-        return stage(located.select(*names, _DIR, *marks).where(F.col(_GONE) | F.col(_HIT)), "matched")
+        many = [side for side, _ in sides if not side.facts.few_keys]
+        by = [key for key in writes.keys if many and all(key in side.keys for side in many)]
+        passes = 1
+        if by and all(side.hashed_alike(before, by) for side in many):
+            passes = _passes(_value_bytes(located) + sum(side.facts.key_bytes for side in many))
+        found = []
+        for number in range(passes):
+            rows = _part(located, by, number, passes)
+            for side, mark in sides:
+                # keys that may be sent as a whole need not have the columns that tell passes apart
+                parts = passes if side in many else 1
+                marked = _part(side.all_keys(), by, number, parts).withColumn(mark, F.lit(True))
+                rows = rows.join(F.broadcast(marked) if side.few_keys(parts) else marked, list(side.keys), "left")
+            marks = [
+                F.coalesce(F.col(mark), F.lit(False)).alias(mark) if any(mark == m for _, m in sides) else F.lit(False).alias(mark)
+                for mark in (_GONE, _HIT)
+            ]
+            rows = rows.select(*names, _DIR, *marks).where(F.col(_GONE) | F.col(_HIT))
+            found.append(stage(rows, "matched", "zstd"))
+        return reduce(DataFrame.unionByName, found)
 
     def _merge(
         self,
@@ -371,7 +400,7 @@ class TargetTable:
         keys = actual_names(keys, before.struct.names)
         source = source.withColumnsRenamed(dict(zip(prefixed, [prefix + key for key in keys])))
         prefixed = [prefix + key for key in keys]
-        with staging_scope(self.spark):
+        with staging_scope(self.spark), shuffles_removed(self.spark):
             source = stage(source, "merge-source") if stage_source else source
             facts = measure_keys(source, prefixed)
             marks = {"stream": stream, "batch": batch, "changes": facts.counts}
@@ -408,12 +437,20 @@ class TargetTable:
     ) -> tuple[Commit, list[str]]:
         """Rewrite the directories with matched rows together with the source's new rows; the commit and
         the directories written."""
-        hits = matched.select([quoted(key) for key in keys]).distinct()
-        rows = inserted_rows(source, hits, keys, prefix, facts.few_keys)
-        if replaced:
-            old = self._scan(before, sorted(replaced))
-            rows = updated_rows(old, source, keys, prefix, facts.few_rows).unionByName(rows)
-        new_dirs = self._put(rows, before, redistribute=True)
+        prefixed, deletes = [prefix + key for key in keys], bool(facts.counts.get("D"))
+        passes = 1
+        if not facts.few_rows and _hashed_alike(facts.types, before, keys):
+            n_bytes = facts.row_bytes + (_value_bytes(self._scan(before, sorted(replaced))) if replaced else 0)
+            passes = _passes(n_bytes, _places(before))
+        new_dirs = []
+        for number in range(passes):
+            part = _part(source, prefixed, number, passes)
+            hits = each_once(_part(matched, keys, number, passes), keys)
+            rows = inserted_rows(part, hits, keys, prefix, facts.few_keys)
+            if replaced:
+                old = _part(self._scan(before, sorted(replaced)), keys, number, passes)
+                rows = updated_rows(old, part, keys, prefix, facts.few_rows, deletes).unionByName(rows)
+            new_dirs += self._put(rows, before, redistribute=True)
         # a slice never changes, so its size is asked for once and kept in the commits
         dirs = [name for name in before.dirs if name not in replaced] + new_dirs
         unknown = {n for names in self._crowded(before, dirs, new_dirs) for n in names if n not in before.sizes}
@@ -427,8 +464,17 @@ class TargetTable:
         replaced = self._collect_dirs(found.where(_GONE), before)
         new_dirs = []
         if replaced:
-            kept = delete_keys(self._scan(before, sorted(replaced)), parents.sent_keys(), parents.keys)
-            new_dirs = self._put(kept, before, redistribute=not parents.facts.few_keys)
+            old = self._scan(before, sorted(replaced))
+            passes = 1
+            if not parents.facts.few_keys and parents.hashed_alike(before, parents.keys):
+                n_bytes, places = _value_bytes(old), _places(before)
+                most = min(SENT_PASSES, n_bytes // (places * PLACE_BYTES))
+                passes = next((n for n in range(1, most + 1) if parents.few_keys(n)), _passes(n_bytes, places))
+            for number in range(passes):
+                few, gone = parents.few_keys(passes), _part(parents.all_keys(), parents.keys, number, passes)
+                rows = _part(old, parents.keys, number, passes)
+                kept = delete_keys(rows, F.broadcast(gone) if few else gone, parents.keys)
+                new_dirs += self._put(kept, before, redistribute=not few)
         return self._commit(before, "MERGE", replaced, new_dirs, version, changes=parents.facts.counts)
 
     # upkeep ----------------------------------------------------------------------------
@@ -466,8 +512,8 @@ class TargetTable:
 
         Files are compressed, so their rows may take many times as much memory.
         """
-        row = self._scan(commit, dirs).agg(F.sum(value_bytes(commit.struct))).first()
-        return max(1, -(-self._size(dirs) // TARGET_FILE_BYTES), -(-int(row[0] or 0) // SORTED_BYTES))
+        in_memory = _value_bytes(self._scan(commit, dirs))
+        return max(1, -(-self._size(dirs) // TARGET_FILE_BYTES), -(-in_memory // SORTED_BYTES))
 
     def set_retention(self, log: str, deleted_files: str) -> Commit | None:
         """Record retention durations if they differ; the commit keeps the sync cursor."""
@@ -581,7 +627,8 @@ class TargetTable:
             rows = rows.sortWithinPartitions(*[quoted(n) for n in before.layout], order).drop(order)
         name = f"{BATCH}={uuid.uuid4().hex}"
         writer = rows.write.partitionBy(*before.layout) if before.layout else rows.write
-        writer.parquet(f"{self.root}/{name}")
+        with shuffles_removed(df.sparkSession):
+            writer.parquet(f"{self.root}/{name}")
         if not before.layout:
             return [name]
         found = self.ledger.files.directories(f"{self.root}/{name}" + "/*=*" * len(before.layout))
@@ -626,7 +673,17 @@ class _Side:
         return _merge_keys(self.source, self.prefixed, self.keys, self.facts.few_keys)
 
     def all_keys(self) -> DataFrame:
-        return _merge_keys(self.source, self.prefixed, self.keys, False)
+        """Each of the keys once."""
+        keys = _merge_keys(self.source, self.prefixed, self.keys, False)
+        return keys if self.facts.max_per_key == 1 else keys.distinct()
+
+    def few_keys(self, passes: int) -> bool:
+        """Whether the keys of one of some passes may be sent to all tasks; parts are only about equal."""
+        return self.facts.few_keys if passes == 1 else self.facts.key_bytes * 4 // (3 * passes) <= predicates.BROADCAST_BYTES
+
+    def hashed_alike(self, before: Commit, by: Sequence[str]) -> bool:
+        types = dict(zip(self.keys, self.facts.types))
+        return _hashed_alike([types[key] for key in by], before, by)
 
 
 def _merge_keys(
@@ -671,6 +728,30 @@ def _matched_rows(located: DataFrame, source_keys: DataFrame, keys: Sequence[str
     )
 
 
+def _value_bytes(df: DataFrame) -> int:
+    """About the size of a frame's values in memory."""
+    return int(df.agg(F.sum(value_bytes(df.schema))).first()[0] or 0)
+
+
+def _hashed_alike(types: Sequence[DataType], commit: Commit, keys: Sequence[str]) -> bool:
+    """Whether source keys of these types have the hashes of the target keys that they equal."""
+    return all(
+        kind == commit.struct[key].dataType and (isinstance(kind, _HASHED_TYPES) or kind == StringType())
+        for kind, key in zip(types, keys)
+    )
+
+
+def _passes(n_bytes: int, places: int = 0) -> int:
+    """Passes in which rows of some bytes are shuffled, and written to some partitions."""
+    wanted = min(MAX_PASSES, -(-n_bytes // PASS_BYTES))
+    return max(1, min(wanted, n_bytes // (places * PLACE_BYTES)) if places else wanted)
+
+
+def _part(df: DataFrame, by: Sequence[str], number: int, passes: int) -> DataFrame:
+    """The rows of one of several passes: equal values of the columns `by` are in the same one."""
+    return df if passes == 1 else df.where(_slice_number([quoted(name) for name in by], passes) == number)
+
+
 def _slice_number(columns: Sequence[Column], slices: int) -> Column:
     """The slice of a row by its key."""
     return F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
@@ -682,6 +763,11 @@ def _place(commit: Commit, directory: str) -> str:
     return f"{partition}/{commit.slice_of(directory)}" if commit.slice_by else partition
 
 
+def _places(commit: Commit) -> int:
+    """How many places a commit has."""
+    return max(1, len({_place(commit, name) for name in commit.dirs}))
+
+
 def _same_partitions(before: Commit, written) -> set[str]:
     """Directories of a commit whose last partition value occurs among the written ones."""
     if not before.partition_by:

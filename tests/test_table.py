@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablesync.functions.names import target_name
 from tablesync.operators import predicates
-from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError, measure_keys
+from tablesync.operators.merge import DuplicateKeyError, ReplaceScopeError, measure_keys, upsert
 from tablesync.operators.schema import SchemaMismatchError
 from tablesync.sinks import catalog
 from tablesync.sinks import files as files_module
@@ -476,3 +476,108 @@ def test_clustered_files_are_bounded_by_their_rows_in_memory(spark, target, monk
     target.zorder(["k", "j"])
     sizes = [r["count"] for r in target.read().groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 20000 and len(sizes) == 4 and max(sizes) < 10000
+
+
+LINES = "k int, parent int, p string, v int"
+
+
+def line_changes(spark, gone, new):
+    """D rows of parents, and U rows by key."""
+    deleted = [(None, None, None, None, "D", None, n) for n in gone]
+    written = [(*row, "U", row[0], None) for row in new]
+    return spark.createDataFrame(deleted + written, f"{LINES}, _op string, _pk_k int, _pk_parent int")
+
+
+@pytest.fixture
+def in_passes(monkeypatch):
+    """Small limits: nothing may be sent whole, and shuffled rows take as many passes as there may be."""
+    monkeypatch.setattr(predicates, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(table_module, "PASS_BYTES", 1)
+    monkeypatch.setattr(table_module, "PLACE_BYTES", 1)
+    return monkeypatch
+
+
+@pytest.mark.parametrize("parent_key", [["parent"], ["k"], ["parent", "k"]])
+def test_parent_child_changes_in_passes_over_parts_of_the_keys(spark, new_dir, in_passes, parent_key):
+    """Keys that repeat or are null among rows of all passes, in both commits."""
+    target = TargetTable(spark, new_dir)
+    lines = [(k, None if k % 7 == 0 else k // 3, "ab"[k % 2], k) for k in range(60)] + [(None, 4, "a", -9), (8, 50, "b", 8)]
+    target.write(spark.createDataFrame(lines, LINES).repartition(3), partition_by=["p"], version=1)
+    new = [(k, 900 + k % 3, "abc"[k % 3], -k) for k in range(50, 90)] + [(8, 8, "a", -8), (None, 1, "a", -1), (None, 1, "a", -1)]
+    changes = line_changes(spark, [0, 3, 3, 5, None, 17], new).withColumn(
+        "_pk_k", F.when(F.col("_op") == "D", F.col("_pk_parent") * 3).otherwise(F.col("_pk_k"))
+    )
+    puts, plain = [], TargetTable._put
+    in_passes.setattr(TargetTable, "_put", lambda self, df, *a, **k: puts.append(df) or plain(self, df, *a, **k))
+    target.apply_parent_child_changes(changes, ["k"], parent_key, 2)
+    assert len(puts) >= 2 * table_module.MAX_PASSES
+    if parent_key == ["parent"]:
+        left = [r for r in lines if r[1] not in (0, 3, 5, 17)]
+    elif parent_key == ["k"]:
+        left = [r for r in lines if r[0] not in (0, 9, 15, 51)]
+    else:
+        left = [r for r in lines if (r[1], r[0]) not in ((3, 9), (5, 15), (17, 51), (0, 0))]
+    by_key = {r[0]: r for r in new if r[0] is not None}
+    known = {r[0] for r in left}
+    merged = [by_key.get(r[0], r) for r in left] + [r for r in new if r[0] is None or r[0] not in known]
+    assert rows(target.read()) == sorted(merged, key=repr)
+
+
+def test_keys_too_many_to_be_sent_at_once_are_sent_in_passes(spark, new_dir, in_passes):
+    """Parts of the parents' keys go to all tasks, so the rows that stay are not shuffled."""
+    target = TargetTable(spark, new_dir)
+    target.write(spark.range(400).selectExpr("cast(id as int) k", "cast(id % 80 as int) parent", "'a' p", "1 v"), version=1)
+    in_passes.setattr(predicates, "BROADCAST_BYTES", 400)  # of 60 keys of 24 bytes
+    gathered, plain = [], TargetTable._put
+    in_passes.setattr(
+        TargetTable, "_put", lambda self, df, before, redistribute: gathered.append(redistribute) or plain(self, df, before, redistribute)
+    )
+    in_passes.setattr(TargetTable, "_compact", lambda *a: None)
+    target.apply_parent_child_changes(line_changes(spark, range(60), []), ["k"], ["parent"], 2)
+    assert gathered == [False] * 5
+    assert rows(target.read().select("k")) == [(k,) for k in sorted((k for k in range(400) if k % 80 >= 60), key=lambda k: repr((k,)))]
+
+
+def test_keys_of_other_types_are_merged_in_one_pass(spark, filled, in_passes):
+    source = spark.createDataFrame([("09", "a", -9), ("10", "b", -10), ("77", "c", 0)], "k string, p string, v int")
+    filled.upsert(source, ["k"])
+    assert rows(filled.read().where("v <= 0 and k > 0")) == [(10, "b", -10), (77, "c", 0), (9, "a", -9)]
+
+
+def test_many_partitions_are_not_written_in_passes(spark, new_dir, in_passes):
+    """A pass writes directories of its own, so it must have enough rows for each partition."""
+    in_passes.setattr(table_module, "PLACE_BYTES", 10_000)
+    target = TargetTable(spark, new_dir)
+    target.write(spark.range(60).selectExpr("cast(id as int) k", "cast(id as int) parent", "string(id % 6) p", "1 v"), partition_by=["p"], version=1)
+    commit = target.apply_parent_child_changes(line_changes(spark, [1], [(k, k, str(k % 6), 2) for k in range(60)]), ["k"], ["parent"], 2)
+    assert len(commit.dirs) == 6 and rows(target.read().select("v").distinct()) == [(2,)]
+
+
+def shuffle_files(spark):
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(local.apply(i).getName()) for i in range(local.size()) if local.apply(i).getName().startswith("shuffle_")}
+
+
+def test_no_shuffle_files_of_a_merge_stay(spark, new_dir, in_passes):
+    target = TargetTable(spark, new_dir)
+    source = spark.range(400).selectExpr("cast(id as int) k", "cast(id % 80 as int) parent", "string(id % 2) p", "1 v")
+    changes = line_changes(spark, range(60), [(k, k, "0", 2) for k in range(200, 500)])
+    before = shuffle_files(spark)
+    target.write(source, partition_by=["p"], version=1)
+    target.apply_parent_child_changes(changes, ["k"], ["parent"], 2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(files_module.CLEANUP_SETTING) == "false"
+
+
+def test_rows_of_a_source_are_shuffled_once_for_both_joins(spark, in_passes):
+    target = spark.range(100).selectExpr("id k", "id % 7 j", "1 v")
+    source = spark.range(50, 150).selectExpr("id k", "id % 7 j", "2 v")
+    merged = upsert(target, source, ["k", "j"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rows(merged)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == sorted(((k, k % 7, 1 if k < 50 else 2) for k in range(150)), key=repr)
+    assert "ReusedExchange" in plan
